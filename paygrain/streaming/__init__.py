@@ -1,0 +1 @@
+"""The analysis is a daily batch over landed snapshots; it has no streaming operators."""
