@@ -68,9 +68,10 @@ def conform_duration(df: DataFrame, with_id: bool = True, **options) -> DataFram
     return fact.select((F.monotonically_increasing_id() + 1).alias("duration_analysis_id"), "*")
 
 
-def load_fact(df: DataFrame, table: str) -> None:
-    """Full refresh of a catalog table."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(table)
+def load_fact(df: DataFrame, table: str, path: str | None = None) -> None:
+    """Full refresh of a catalog table, at ``path`` if given."""
+    options = {"path": path} if path else {}
+    df.write.mode("overwrite").format("parquet").options(**options).saveAsTable(table)
 
 
 def load_fact_jdbc(
