@@ -92,11 +92,19 @@ def _code_point(text: Column, index: Column) -> Column:
 
 def char_tokens(text: Column) -> Column:
     """The multiset of characters as a set: one number per (character, n-th occurrence)."""
-    codes = F.array_sort(
+    codes = F.sort_array(
         F.transform(F.sequence(F.lit(1), F.length(text)), lambda i: _code_point(text, i))
     )
-    numbered = F.transform(
-        codes, lambda c, i: c * F.lit(1 << 32) + (i + 1 - F.array_position(codes, c)).cast("long")
+    # The one-element array binds the sorted codes, so that they are computed once.
+    numbered = F.flatten(
+        F.transform(
+            F.array(codes),
+            lambda all_codes: F.transform(
+                all_codes,
+                lambda c, i: c * F.lit(1 << 32)
+                + (i + 1 - F.array_position(all_codes, c)).cast("long"),
+            ),
+        )
     )
     return F.when(F.length(text) > 0, numbered).otherwise(F.array().cast("array<bigint>"))
 

@@ -28,6 +28,8 @@ _EPS = 1e-9
 # The order of the tokens changes the speed only, never the result, so that the list of
 # frequent tokens may be cut; all others count as equally rare.
 _ORDERED_TOKENS = 1000
+# 64-bit words of the token bitmap that bounds the overlap cheaply.
+_WORDS = 4
 
 
 @F.pandas_udf(T.DoubleType())
@@ -54,37 +56,71 @@ def _frequent_tokens(df: DataFrame) -> DataFrame:
     return top.agg(F.map_from_entries(F.collect_list(F.struct("token", "count"))))
 
 
-def _with_prefix(df: DataFrame, frequency: Column, coef: float, band: float) -> DataFrame:
-    """Add size, size class and the prefix: the rarest tokens, so many that any partner with
+def _slices(df: DataFrame) -> int:
+    """Explicit partition count for steps whose cost is CPU time, not bytes; AQE would merge
+    their small partitions."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _bitmap(word: int) -> Column:
+    """One of the words of a bitmap with a bit per token hash."""
+
+    def slot(t: Column) -> Column:
+        return F.pmod(F.xxhash64(t), F.lit(64 * _WORDS))
+
+    mine = F.filter("tokens", lambda t: F.floor(slot(t) / 64) == word)
+    bits = F.transform(
+        mine, lambda t: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(slot(t), F.lit(64)).cast("int"))
+    )
+    return F.aggregate(bits, F.lit(0).cast("long"), lambda acc, bit: acc.bitwiseOR(bit))
+
+
+def _misses(mine: str, other: str) -> Column:
+    """At least so many of my tokens are certainly not among the other ones."""
+    total = F.lit(0)
+    for w in range(_WORDS):
+        outside = F.bitwise_not(F.col(f"{other}_bits{w}"))
+        total = total + F.bit_count(F.col(f"{mine}_bits{w}").bitwiseAND(outside))
+    return total
+
+
+def _encoded(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides with the rare tokens first, size and bitmap.
+
+    Stored, because the optimizer would otherwise repeat the array expressions in every filter
+    that it pushes down.
+    """
+    frequency = _frequent_tokens(right).scalar()
+    df = left.withColumn("side", F.lit("left")).unionByName(
+        right.withColumn("side", F.lit("right")), allowMissingColumns=True
+    )
+    ranked = F.transform(
+        "tokens",
+        lambda t: F.struct(
+            F.coalesce(F.try_element_at("freq", t), F.lit(0)).alias("f"), t.alias("t")
+        ),
+    )
+    encoded = (
+        df.repartition(_slices(df), "key")
+        .withColumn("freq", frequency)
+        .withColumn("tokens", F.transform(F.sort_array(ranked), lambda s: s["t"]))
+        .withColumn("size", F.size("tokens"))
+        .withColumns({f"bits{w}": _bitmap(w) for w in range(_WORDS)})
+        .drop("freq")
+    )
+    stored = materialize(encoded, "tokens").where("size > 0")
+    return stored.where("side = 'left'"), stored.where("side = 'right'")
+
+
+def _with_prefix(df: DataFrame, coef: float, band: float) -> DataFrame:
+    """Add the size class and the prefix: the rarest tokens, so many that any partner with
     enough overlap shares at least one of them."""
-    size = F.size("tokens")
+    size = F.col("size")
     least_partner = F.ceil(size / F.lit(band) - _EPS)
     least_overlap = F.ceil((size + least_partner) * F.lit(coef) - _EPS)
-    return (
-        df.withColumn("freq", frequency)
-        .withColumn(
-            "tokens",
-            F.transform(
-                F.array_sort(
-                    F.transform(
-                        "tokens",
-                        lambda t: F.struct(
-                            F.coalesce(F.try_element_at("freq", t), F.lit(0)).alias("f"),
-                            t.alias("t"),
-                        ),
-                    )
-                ),
-                lambda s: s["t"],
-            ),
-        )
-        .drop("freq")
-        .where(F.size("tokens") > 0)
-        .withColumn("size", size)
-        .withColumn(
-            "size_class", F.floor(F.log(size) / F.lit(math.log(band * (1 + _EPS)))).cast("int")
-        )
-        .withColumn("prefix", F.slice("tokens", F.lit(1), (size - least_overlap + 1).cast("int")))
-    )
+    size_class = F.floor(F.log(size) / F.lit(math.log(band * (1 + _EPS))))
+    prefix = F.slice("tokens", F.lit(1), (size - least_overlap + 1).cast("int"))
+    return df.withColumns({"size_class": size_class.cast("int"), "prefix": prefix})
 
 
 def overlap_pairs(
@@ -102,47 +138,46 @@ def overlap_pairs(
     split where one token is hot.
     """
     band = (1 - coef) / coef
-    frequency = _frequent_tokens(right).scalar()
-    a = _with_prefix(left.select(*block, "key", "tokens"), frequency, coef, band)
-    b = _with_prefix(right, frequency, coef, band)
-
+    a, b = _encoded(left.select(*block, "key", "tokens"), right)
+    a, b = _with_prefix(a, coef, band), _with_prefix(b, coef, band)
     extra = [c for c in right.columns if c not in {*block, "key", "tokens"}]
-    a = a.select(
-        *block,
-        F.col("key").alias("left_key"),
-        F.col("tokens").alias("left_tokens"),
-        F.col("prefix").alias("left_prefix"),
-        F.col("size").alias("left_size"),
-        F.explode(F.sequence(F.col("size_class") - 1, F.col("size_class") + 1)).alias("size_class"),
-        "prefix",
-    ).select("*", F.posexplode("prefix").alias("left_pos", "token")).drop("prefix")
-    b = b.select(
-        *block,
-        F.col("key").alias("right_key"),
-        F.col("tokens").alias("right_tokens"),
-        F.col("prefix").alias("right_prefix"),
-        F.col("size").alias("right_size"),
-        "size_class",
-        *extra,
-        F.posexplode("prefix").alias("right_pos", "token"),
+
+    def renamed(side: str) -> list[Column]:
+        names = ["key", "tokens", "prefix", "size", *[f"bits{w}" for w in range(_WORDS)]]
+        return [F.col(n).alias(f"{side}_{n}") for n in names]
+
+    neighbours = F.explode(F.sequence(F.col("size_class") - 1, F.col("size_class") + 1))
+    a = a.select(*block, *renamed("left"), neighbours.alias("size_class")).select(
+        "*", F.posexplode("left_prefix").alias("left_pos", "token")
+    )
+    b = b.select(*block, *renamed("right"), "size_class", *extra).select(
+        "*", F.posexplode("right_prefix").alias("right_pos", "token")
     )
 
-    need = (F.col("left_size") + F.col("right_size")) * F.lit(coef) - _EPS
+    left_size, right_size = F.col("left_size"), F.col("right_size")
+    need = (left_size + right_size) * F.lit(coef) - _EPS
     # From the first shared token on, at most the shorter tail can be shared.
-    reachable = F.least(
-        F.col("left_size") - F.col("left_pos"), F.col("right_size") - F.col("right_pos")
-    )
-    joined = a.join(b, [*block, "size_class", "token"]).where(reachable >= need)
+    reachable = F.least(left_size - F.col("left_pos"), right_size - F.col("right_pos"))
+    # Cheap upper bound of the overlap from the bitmaps.
+    possible = F.least(left_size - _misses("left", "right"), right_size - _misses("right", "left"))
     # A pair meets once per shared prefix token; keep the meeting at the first one.
     first_shared = F.element_at(F.array_intersect("left_prefix", "right_prefix"), 1)
-    shared = F.size(F.array_intersect("left_tokens", "right_tokens"))
+    # The nesting keeps the cheap tests first, whatever filters are pushed into the join.
+    shared = F.when(
+        reachable >= need,
+        F.when(
+            possible >= need,
+            F.when(
+                first_shared == F.col("token"),
+                F.size(F.array_intersect("left_tokens", "right_tokens")),
+            ),
+        ),
+    )
     return (
-        joined.where(first_shared == F.col("token"))
+        a.join(b, [*block, "size_class", "token"])
         .withColumn("shared", shared)
         .where(F.col("shared") >= need)
-        .select(
-            *block, "left_key", "right_key", "shared", "left_size", "right_size", *extra
-        )
+        .select(*block, "left_key", "right_key", "shared", "left_size", "right_size", *extra)
     )
 
 
@@ -180,16 +215,15 @@ def _score_stream(threshold: float):
 
 
 def candidate_pairs(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
-    """Pairs whose upper bound 2 * shared / (sum of the lengths) reaches the threshold."""
+    """Pairs with their upper bound 2 * shared / (sum of the lengths), where it reaches the
+    threshold but for rounding."""
     pairs = overlap_pairs(
         left.select("key", text.char_tokens(F.col("key")).alias("tokens")),
         right.select("key", "ord", text.char_tokens(F.col("key")).alias("tokens")),
         threshold / 2,
     )
     bound = F.lit(2.0) * F.col("shared") / (F.col("left_size") + F.col("right_size"))
-    return pairs.select("left_key", "right_key", "ord", bound.alias("bound")).where(
-        F.col("bound") >= threshold
-    )
+    return pairs.select("left_key", "right_key", "ord", bound.alias("bound"))
 
 
 def best_fuzzy_match(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
@@ -207,10 +241,8 @@ def best_fuzzy_match(left: DataFrame, right: DataFrame, threshold: float) -> Dat
     )
     rest = left.join(right.select("key"), "key", "left_anti")
     pairs = candidate_pairs(rest, right, threshold)
-    # Scoring is bound by Python time, not by bytes: keep AQE from merging the partitions.
-    slices = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     scored = (
-        pairs.repartition(slices, "left_key")
+        pairs.repartition(_slices(pairs), "left_key")
         .sortWithinPartitions("left_key", F.desc("bound"), "ord")
         .mapInPandas(_score_stream(threshold), "key string, match string, score double")
     )
