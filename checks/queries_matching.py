@@ -4,8 +4,9 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from checks.queries_columns import PAYROLL_SQL
+from checks.queries_columns import PAYROLL_SQL, POSTINGS_SQL
 from checks.queries_scalars import ALNUM_KEY, GRAMS, SIMILARITY
+from checks.ratio_sql import best_match
 from checks.registry import dec, query, rounded
 from paygrain.functions.columns import benchmarks_for_year
 from paygrain.operators import benchmark, facts, marts, payroll, postings, reports
@@ -83,7 +84,7 @@ titles AS (SELECT a.title_description AS t, b.title_description AS u,
 near_titles AS (SELECT t, u, CASE WHEN t = u THEN CAST(1.0 AS FLOAT) ELSE {SIMILARITY.format("g", "h")} END
     AS ratio FROM titles),
 partners AS (SELECT t, ratio, bench.* FROM bench JOIN near_titles ON u = title_description
-    WHERE t = u OR ratio > CAST(0.85 AS DOUBLE)),
+    WHERE t = u OR ratio > CAST({{threshold}} AS DOUBLE)),
 matched AS (SELECT j.*, p.min_base_salary AS payroll_min_salary, p.max_base_salary AS payroll_max_salary,
     p.median_base_salary AS payroll_median_salary, p.avg_base_salary AS payroll_avg_salary,
     p.employee_count AS payroll_employee_count, p.salary_band AS payroll_salary_band,
@@ -118,13 +119,55 @@ def _(fx):
     )
 
 
-@query("J2_best_fuzzy_match")
-def _(fx):
-    df = postings.prepare_postings(fx.jobs, YEARS).select("job_id", "fuzzy_match_string")
-    return postings.match_payroll(df, payroll.build_payroll(fx.payroll))
+LOOKUP = f"""pay AS (SELECT * FROM ({PAYROLL_SQL}) p),
+lookup AS (SELECT fuzzy_match_string AS key, {dec("avg(salary_min)")} AS payroll_salary_min,
+    {dec("avg(salary_max)")} AS payroll_salary_max FROM pay
+    WHERE fuzzy_match_string <> '' AND salary_min IS NOT NULL AND salary_max IS NOT NULL GROUP BY 1)"""
+JOBS_PROCESSED = f"""{LOOKUP}, prepared AS MATERIALIZED ({POSTINGS_SQL}),
+keys AS MATERIALIZED (SELECT DISTINCT fuzzy_match_string AS key FROM prepared),
+{best_match("keys", "lookup", 0.85)},
+jobs_processed AS MATERIALIZED (SELECT p.*, b.match AS best_payroll_match, b.score AS best_match_score,
+    l.payroll_salary_min, l.payroll_salary_max
+    FROM prepared p LEFT JOIN best b ON p.fuzzy_match_string = b.key LEFT JOIN lookup l ON b.match = l.key)"""
+MATCH_COLUMNS = ["best_payroll_match", "best_match_score", "payroll_salary_min", "payroll_salary_max"]
+MATCH_SCALES = {"payroll_salary_min": 2, "payroll_salary_max": 2}
 
 
-@query("J3_best_title_match")
+@query("J2_best_fuzzy_match", f"""
+WITH RECURSIVE {JOBS_PROCESSED}
+SELECT job_id, fuzzy_match_string, {", ".join(MATCH_COLUMNS)} FROM jobs_processed""", ["fx_payroll", "fx_jobs"])
+def _(fx):
+    df = postings.prepare_postings(fx.jobs, YEARS).select("job_id", "fuzzy_match_string")
+    matched = postings.match_payroll(df, payroll.build_payroll(fx.payroll))
+    return rounded(matched.select("job_id", "fuzzy_match_string", *MATCH_COLUMNS), **MATCH_SCALES)
+
+
+TITLE_MATCH = f"""title_keys AS MATERIALIZED (SELECT DISTINCT {ALNUM_KEY.format("business_title")} AS key
+    FROM prepared),
+titles AS MATERIALIZED (SELECT {ALNUM_KEY.format("job_title")} AS key, job_title,
+    median_posting_duration, CAST(total_postings AS INT) AS total_postings, median_salary, top_skills,
+    education_requirements, experience_level FROM fx_benchmark),
+{best_match("title_keys", "titles", 0.7)},
+matched AS (SELECT p.*, b.score, t.*, posting_duration_days - median_posting_duration AS days_over
+    FROM prepared p LEFT JOIN best b ON {ALNUM_KEY.format("p.business_title")} = b.key
+    LEFT JOIN titles t ON b.match = t.key)"""
+TITLE_COLUMNS = """job_title AS lighthouse_match_title, score AS lighthouse_match_score,
+    median_posting_duration AS lighthouse_median_posting_duration,
+    total_postings AS lighthouse_total_postings, median_salary AS lighthouse_median_salary,
+    top_skills AS lighthouse_top_skills, education_requirements AS lighthouse_education_requirements,
+    experience_level AS lighthouse_experience_level,
+    CASE WHEN score IS NULL THEN NULL WHEN median_salary < 40000 THEN 'Low'
+         WHEN median_salary < 70000 THEN 'Medium' WHEN median_salary < 100000 THEN 'High'
+         ELSE 'Very High' END AS lighthouse_salary_category,
+    total_postings / median_posting_duration AS lighthouse_posting_intensity,
+    days_over AS duration_variance,
+    CASE WHEN median_posting_duration > 0 THEN days_over / median_posting_duration * 100 END
+        AS duration_variance_pct"""
+
+
+@query("J3_best_title_match", f"""
+WITH RECURSIVE prepared AS MATERIALIZED ({POSTINGS_SQL}), {TITLE_MATCH}
+SELECT job_id, business_title, posting_duration_days, {TITLE_COLUMNS} FROM matched""", ["fx_jobs", "fx_benchmark"])
 def _(fx):
     df = postings.prepare_postings(fx.jobs, YEARS).select(
         "job_id", "business_title", "posting_duration_days"
@@ -132,22 +175,35 @@ def _(fx):
     return benchmark.match_benchmark(df, benchmark.build_benchmark(fx.benchmark))
 
 
-@query("J4_benchmark_match", f"""
-{MODELS}, {MATCHED}
-SELECT job_id, agency_name_standardized, title_description, payroll_median_salary,
-       payroll_employee_count, payroll_salary_band, salary_match_ratio FROM matched""",
-       ["fx_payroll", "fx_jobs"])
-def _(fx):
+def _matched(threshold: float) -> str:
+    return MATCHED.replace("{threshold}", str(threshold))
+
+
+J4_COLUMNS = ["job_id", "agency_name_standardized", "title_description", "payroll_median_salary",
+              "payroll_employee_count", "payroll_salary_band", "salary_match_ratio"]
+
+
+def _partners(fx, threshold: float):
     from paygrain.functions.columns import filter_date_range
 
     df = marts.benchmark_match(
         filter_date_range(_staged_jobs(fx), "posting_date", "1997-01-01", "1998-12-31"),
         benchmarks_for_year(marts.int_salary_benchmarks(_staged_pay(fx)), 1998),
+        threshold,
     )
-    return df.select(
-        "job_id", "agency_name_standardized", "title_description", "payroll_median_salary",
-        "payroll_employee_count", "payroll_salary_band", "salary_match_ratio",
-    )
+    return df.select(J4_COLUMNS)
+
+
+@query("J4_benchmark_match", f"""
+{MODELS}, {_matched(0.85)} SELECT {", ".join(J4_COLUMNS)} FROM matched""", ["fx_payroll", "fx_jobs"])
+def _(fx):
+    return _partners(fx, 0.85)
+
+
+@query("J4_benchmark_match_several_partners", f"""
+{MODELS}, {_matched(0.4)} SELECT {", ".join(J4_COLUMNS)} FROM matched""", ["fx_payroll", "fx_jobs"])
+def _(fx):
+    return _partners(fx, 0.4)
 
 
 @query("J5_posting_duration_join", """
@@ -215,9 +271,15 @@ def _(fx):
     return payroll.build_payroll(fx.payroll)
 
 
-@query("V2_jobs_processed")
+POSTING_COLUMNS = ["job_id", "agency", "posting_type", "number_of_positions", "business_title",
+                   "career_level", "salary_range_from", "salary_range_to", "posting_date",
+                   "posting_duration_days", "fuzzy_match_string"]
+
+
+@query("V2_jobs_processed", f"WITH RECURSIVE {JOBS_PROCESSED} SELECT * FROM jobs_processed", ["fx_payroll", "fx_jobs"])
 def _(fx):
-    return postings.build_postings(fx.jobs, payroll.build_payroll(fx.payroll), YEARS)
+    df = postings.build_postings(fx.jobs, payroll.build_payroll(fx.payroll), YEARS)
+    return rounded(df, **MATCH_SCALES)
 
 
 @query("V3_benchmark_processed", """
@@ -240,18 +302,43 @@ def _jobs_processed(fx):
     return materialize(postings.build_postings(fx.jobs, pay, YEARS), "jobs")
 
 
-@query("V4_jobs_benchmark_matched")
+@query("V4_jobs_benchmark_matched", f"""
+WITH RECURSIVE prepared AS MATERIALIZED ({POSTINGS_SQL}), {TITLE_MATCH}
+SELECT {", ".join(POSTING_COLUMNS)}, {TITLE_COLUMNS} FROM matched""", ["fx_jobs", "fx_benchmark"])
 def _(fx):
-    return benchmark.match_benchmark(_jobs_processed(fx), benchmark.build_benchmark(fx.benchmark))
+    matched = benchmark.match_benchmark(_jobs_processed(fx), benchmark.build_benchmark(fx.benchmark))
+    return matched.drop(*MATCH_COLUMNS)
 
 
-@query("V5_fact_job_postings")
+@query("V5_fact_job_postings", f"""
+WITH RECURSIVE {JOBS_PROCESSED}
+SELECT job_id, agency, business_title, CAST(number_of_positions AS INT) AS number_of_positions,
+    CAST(CAST(salary_range_from AS DECIMAL(24,6)) AS DECIMAL(12,2)) AS salary_range_from,
+    CAST(CAST(salary_range_to AS DECIMAL(24,6)) AS DECIMAL(12,2)) AS salary_range_to,
+    CAST(posting_date AS TIMESTAMP) AS posting_date, posting_duration_days, best_payroll_match,
+    CAST(CAST(best_match_score AS DECIMAL(24,6)) AS DECIMAL(5,4)) AS best_match_score,
+    CAST(payroll_salary_min AS DECIMAL(12,2)) AS payroll_salary_min FROM jobs_processed""", ["fx_payroll", "fx_jobs"])
 def _(fx):
     df = facts.conform_postings(_jobs_processed(fx), check_widths=True)
-    return df.drop("created_at", "updated_at")
-
-
-@query("V5_fact_posting_duration")
+    return df.select(
+        "job_id", "agency", "business_title", "number_of_positions", "salary_range_from",
+        "salary_range_to", "posting_date", "posting_duration_days", "best_payroll_match",
+        "best_match_score", "payroll_salary_min",
+    )
+
+
+@query("V5_fact_posting_duration", f"""
+WITH RECURSIVE prepared AS MATERIALIZED ({POSTINGS_SQL}), {TITLE_MATCH},
+wide AS (SELECT job_id, agency, business_title, posting_duration_days, {TITLE_COLUMNS} FROM matched)
+SELECT job_id, agency, business_title, posting_duration_days AS actual_posting_duration_days,
+    {_d("lighthouse_median_posting_duration", 8, 2)} AS lighthouse_median_posting_duration,
+    {_d("duration_variance", 8, 2)} AS duration_variance,
+    {_d("duration_variance_pct", 8, 2)} AS duration_variance_pct, lighthouse_match_title,
+    {_d("lighthouse_match_score", 5, 4)} AS lighthouse_match_score, lighthouse_total_postings,
+    {_d("lighthouse_median_salary", 12, 2)} AS lighthouse_median_salary, lighthouse_top_skills,
+    lighthouse_education_requirements, lighthouse_experience_level, lighthouse_salary_category,
+    {_d("lighthouse_posting_intensity", 8, 4)} AS lighthouse_posting_intensity FROM wide""",
+       ["fx_jobs", "fx_benchmark"])
 def _(fx):
     matched = benchmark.match_benchmark(_jobs_processed(fx), benchmark.build_benchmark(fx.benchmark))
     return facts.conform_duration(matched, with_id=False).drop("created_at", "updated_at")
@@ -314,7 +401,7 @@ FROM (SELECT *, CASE WHEN salary_match_ratio >= CAST(0.85 AS DOUBLE)
          / CAST(payroll_median_salary AS DOUBLE) END AS variance FROM matched) m"""
 
 
-@query("V12_mart_job_posting_analysis", f"{MODELS}, {MATCHED} {MART}", ["fx_payroll", "fx_jobs"])
+@query("V12_mart_job_posting_analysis", f"{MODELS}, {_matched(0.85)} {MART}", ["fx_payroll", "fx_jobs"])
 def _(fx):
     return marts.mart_job_posting_analysis(
         _staged_jobs(fx),
@@ -330,7 +417,7 @@ BEST = """, ranked AS (SELECT *, row_number() OVER (PARTITION BY job_id ORDER BY
 SELECT job_id, salary_match_ratio, payroll_employee_count FROM ranked WHERE rank = 1"""
 
 
-@query("V12_mart_best_partner", f"{MODELS}, {MATCHED}{BEST}", ["fx_payroll", "fx_jobs"])
+@query("V12_mart_best_partner", f"{MODELS}, {_matched(0.85)}{BEST}", ["fx_payroll", "fx_jobs"])
 def _(fx):
     df = marts.mart_job_posting_analysis(
         _staged_jobs(fx),

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from checks.registry import dec, query, rounded
+from checks.ratio_sql import ratio
 from paygrain.functions import columns, scalars, text
 from paygrain.operators import payroll
 
@@ -191,10 +192,14 @@ def _(fx):
     return _pairs(fx).withColumn("ratio", ratio)
 
 
-@query("T4_sequence_ratio")
+@query("T4_sequence_ratio", f"""
+WITH RECURSIVE pairs AS (SELECT DISTINCT business_title AS x, title_description AS y FROM fx_jobs),
+{ratio("pairs")}
+SELECT x AS business_title, y AS title_description, ratio FROM ratios""", JOBS)
 def _(fx):
     from paygrain.operators.similarity import sequence_ratio
 
+    # One Python call per distinct pair, spread over the tasks.
     return _pairs(fx).withColumn("ratio", sequence_ratio("business_title", "title_description"))
 
 

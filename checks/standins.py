@@ -136,8 +136,9 @@ def oracle(names, body: str) -> str:
     """
     parts = [f"{n} AS MATERIALIZED ({VIEWS[n].format(ts='TIMESTAMP')}\n)" for n in _closure(names)]
     body = body.strip()
-    if body.upper().startswith("WITH "):
-        return "WITH " + ",\n".join(parts) + ",\n" + body[5:]
+    for start in ("WITH RECURSIVE ", "WITH "):
+        if body.startswith(start) and parts:
+            return start + ",\n".join(parts) + ",\n" + body.removeprefix(start)
     return "WITH " + ",\n".join(parts) + "\n" + body if parts else body
 
 
