@@ -133,13 +133,34 @@ def money(col: Column, precision: int = 10, scale: int = 2) -> Column:
 # ---- filters --------------------------------------------------------------------------------
 
 
+def _year_runs(years: Sequence[int]) -> list[tuple[int, int]]:
+    """Consecutive years as (first, one after the last)."""
+    runs: list[tuple[int, int]] = []
+    for year in sorted(set(years)):
+        if runs and runs[-1][1] == year:
+            runs[-1] = (runs[-1][0], year + 1)
+        else:
+            runs.append((year, year + 1))
+    return runs
+
+
 def filter_years(df: DataFrame, timestamp: str, years: Sequence[int] = (2024, 2025)) -> DataFrame:
     """Keep the years; written as ranges so that partitions and row groups can be skipped."""
     col, keep = F.col(timestamp), F.lit(False)
-    for year in sorted(years):
-        start = F.lit(dt.datetime(year, 1, 1)).cast("timestamp_ntz")
-        end = F.lit(dt.datetime(year + 1, 1, 1)).cast("timestamp_ntz")
-        keep = keep | ((col >= start) & (col < end))
+    for first, end in _year_runs(years):
+        low, high = (F.lit(dt.datetime(y, 1, 1)).cast("timestamp_ntz") for y in (first, end))
+        keep = keep | ((col >= low) & (col < high))
+    return df.where(keep)
+
+
+def filter_year_text(df: DataFrame, iso_text: str, years: Sequence[int]) -> DataFrame:
+    """The same on ISO text, which sorts like the dates: a range of strings that the scan can use.
+
+    Text that is no timestamp may stay and has to fail the cast afterwards.
+    """
+    col, keep = F.col(iso_text), F.lit(False)
+    for first, end in _year_runs(years):
+        keep = keep | ((col >= f"{first:04d}-") & (col < f"{end:04d}-"))
     return df.where(keep)
 
 

@@ -90,23 +90,15 @@ def _code_point(text: Column, index: Column) -> Column:
     return F.ascii(F.substring(text, index, F.lit(1))).cast("long")
 
 
-def char_tokens(text: Column) -> Column:
+def char_tokens(column: str) -> Column:
     """The multiset of characters as a set: one number per (character, n-th occurrence)."""
-    codes = F.sort_array(
-        F.transform(F.sequence(F.lit(1), F.length(text)), lambda i: _code_point(text, i))
-    )
-    # The one-element array binds the sorted codes, so that they are computed once.
-    numbered = F.flatten(
-        F.transform(
-            F.array(codes),
-            lambda all_codes: F.transform(
-                all_codes,
-                lambda c, i: c * F.lit(1 << 32)
-                + (i + 1 - F.array_position(all_codes, c)).cast("long"),
-            ),
-        )
-    )
-    return F.when(F.length(text) > 0, numbered).otherwise(F.array().cast("array<bigint>"))
+    # The one-element array binds the sorted code points, so that they are computed once.
+    return F.expr(f"""
+        CASE WHEN length({column}) > 0 THEN flatten(transform(
+            array(sort_array(transform(sequence(1, length({column})),
+                i -> bigint(ascii(substring({column}, i, 1)))))),
+            codes -> transform(codes, (c, i) -> shiftleft(c, 32) + i + 1 - array_position(codes, c))))
+        ELSE cast(array() AS array<bigint>) END""")
 
 
 def trigram_tokens(text: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from paygrain.functions import scalars, text
 from paygrain.functions.columns import (
-    filter_years,
+    filter_year_text,
     lenient_timestamp,
     select_available,
     typed_nulls,
@@ -53,7 +53,8 @@ def with_posting_duration(df: DataFrame) -> DataFrame:
 def prepare_postings(raw: DataFrame, years: Sequence[int] = (2024, 2025)) -> DataFrame:
     """All narrow steps: selection, dates, year filter, duration and match key."""
     df, _ = select_available(raw, RAW_POSTINGS)
-    df = filter_years(with_posting_dates(with_missing(df, RAW_POSTINGS)), "posting_start", years)
+    df = filter_year_text(with_missing(df, RAW_POSTINGS), "posting_date", years)
+    df = with_posting_dates(df).where(F.col("posting_start").isNotNull())
     key = text.match_key(F.col("agency"), F.col("business_title"))
     return with_posting_duration(df).withColumn("fuzzy_match_string", key)
 

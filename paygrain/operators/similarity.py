@@ -64,15 +64,10 @@ def _slices(df: DataFrame) -> int:
 
 def _bitmap(word: int) -> Column:
     """One of the words of a bitmap with a bit per token hash."""
-
-    def slot(t: Column) -> Column:
-        return F.pmod(F.xxhash64(t), F.lit(64 * _WORDS))
-
-    mine = F.filter("tokens", lambda t: F.floor(slot(t) / 64) == word)
-    bits = F.transform(
-        mine, lambda t: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(slot(t), F.lit(64)).cast("int"))
-    )
-    return F.aggregate(bits, F.lit(0).cast("long"), lambda acc, bit: acc.bitwiseOR(bit))
+    return F.expr(f"""
+        aggregate(tokens, 0L, (bits, t) -> CASE
+            WHEN pmod(xxhash64(t), {64 * _WORDS}) DIV 64 = {word}
+            THEN bits | shiftleft(1L, int(pmod(xxhash64(t), 64))) ELSE bits END)""")
 
 
 def _misses(mine: str, other: str) -> Column:
@@ -94,16 +89,13 @@ def _encoded(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
     df = left.withColumn("side", F.lit("left")).unionByName(
         right.withColumn("side", F.lit("right")), allowMissingColumns=True
     )
-    ranked = F.transform(
-        "tokens",
-        lambda t: F.struct(
-            F.coalesce(F.try_element_at("freq", t), F.lit(0)).alias("f"), t.alias("t")
-        ),
-    )
+    rare_first = """
+        transform(sort_array(transform(tokens,
+            t -> struct(coalesce(try_element_at(freq, t), 0) AS f, t AS t))), s -> s.t)"""
     encoded = (
         df.repartition(_slices(df), "key")
         .withColumn("freq", frequency)
-        .withColumn("tokens", F.transform(F.sort_array(ranked), lambda s: s["t"]))
+        .withColumn("tokens", F.expr(rare_first))
         .withColumn("size", F.size("tokens"))
         .withColumns({f"bits{w}": _bitmap(w) for w in range(_WORDS)})
         .drop("freq")
@@ -218,8 +210,8 @@ def candidate_pairs(left: DataFrame, right: DataFrame, threshold: float) -> Data
     """Pairs with their upper bound 2 * shared / (sum of the lengths), where it reaches the
     threshold but for rounding."""
     pairs = overlap_pairs(
-        left.select("key", text.char_tokens(F.col("key")).alias("tokens")),
-        right.select("key", "ord", text.char_tokens(F.col("key")).alias("tokens")),
+        left.select("key", text.char_tokens("key").alias("tokens")),
+        right.select("key", "ord", text.char_tokens("key").alias("tokens")),
         threshold / 2,
     )
     bound = F.lit(2.0) * F.col("shared") / (F.col("left_size") + F.col("right_size"))
