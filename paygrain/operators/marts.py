@@ -206,9 +206,15 @@ def similar_titles(
 
     # The ratio is single precision, so the exact bound is taken a little below the threshold.
     low = threshold - 1e-6
-    pairs = overlap_pairs(tokens(left), tokens(right), low / (1 + low), ["agency_name"])
+    pairs = overlap_pairs(
+        tokens(left),
+        tokens(right),
+        low / (1 + low),
+        ["agency_name"],
+        accept=lambda shared, m, n: text.trigram_ratio(shared, m, n) > threshold,
+    )
     ratio = text.trigram_ratio(F.col("shared"), F.col("left_size"), F.col("right_size"))
-    near = pairs.where((F.col("left_key") != F.col("right_key")) & (ratio > threshold)).select(
+    near = pairs.where(F.col("left_key") != F.col("right_key")).select(
         "agency_name",
         F.col("left_key").alias("title_description"),
         F.col("right_key").alias("benchmark_title"),

@@ -102,18 +102,26 @@ def preview(df: DataFrame, n: int = 5) -> DataFrame:
 def salary_lookup(payroll: DataFrame) -> DataFrame:
     """Row-weighted mean salary range per match key: ``key, ord, payroll_salary_min/max``.
 
-    ``ord`` decides ties of the match: the first appearance if the input has an ``ord`` column,
-    else the smallest key.
+    The rows are summed up per role first, because the key is a function of the role and costs
+    several regular expressions. ``ord`` decides ties of the match: the first appearance if the
+    input has an ``ord`` column, else the smallest key.
     """
-    rows = payroll.where(
-        (F.length("fuzzy_match_string") > 0)
-        & F.col("salary_min").isNotNull()
-        & F.col("salary_max").isNotNull()
+    ordered = [F.min("ord").alias("ord")] if "ord" in payroll.columns else []
+    low, high = F.col("salary_min"), F.col("salary_max")
+    roles = (
+        payroll.where(low.isNotNull() & high.isNotNull())
+        .groupBy(*ROLE)
+        .agg(F.sum(low).alias("low"), F.sum(high).alias("high"), F.count(low).alias("n"), *ordered)
     )
-    ordered = "ord" in payroll.columns
-    lookup = rows.groupBy(F.col("fuzzy_match_string").alias("key")).agg(
-        F.avg("salary_min").alias("payroll_salary_min"),
-        F.avg("salary_max").alias("payroll_salary_max"),
-        *([F.min("ord").alias("ord")] if ordered else []),
+    key = text.match_key(*map(F.col, ROLE))
+    lookup = (
+        roles.withColumn("key", key)
+        .where(F.length("key") > 0)
+        .groupBy("key")
+        .agg(
+            (F.sum("low") / F.sum("n")).alias("payroll_salary_min"),
+            (F.sum("high") / F.sum("n")).alias("payroll_salary_max"),
+            *ordered,
+        )
     )
     return lookup if ordered else lookup.withColumn("ord", F.col("key"))

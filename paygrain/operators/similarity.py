@@ -13,7 +13,7 @@ pass if ``|A n B| >= coef * (|A| + |B|)``.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from difflib import SequenceMatcher
 
 import pandas as pd
@@ -70,13 +70,11 @@ def _bitmap(word: int) -> Column:
             THEN bits | shiftleft(1L, int(pmod(xxhash64(t), 64))) ELSE bits END)""")
 
 
-def _misses(mine: str, other: str) -> Column:
+def _misses(mine: str, other: str) -> str:
     """At least so many of my tokens are certainly not among the other ones."""
-    total = F.lit(0)
-    for w in range(_WORDS):
-        outside = F.bitwise_not(F.col(f"{other}_bits{w}"))
-        total = total + F.bit_count(F.col(f"{mine}_bits{w}").bitwiseAND(outside))
-    return total
+    return " + ".join(
+        f"bit_count({mine}_bits{w} & ~{other}_bits{w})" for w in range(_WORDS)
+    )
 
 
 def _encoded(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -104,19 +102,30 @@ def _encoded(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
     return stored.where("side = 'left'"), stored.where("side = 'right'")
 
 
-def _with_prefix(df: DataFrame, coef: float, band: float) -> DataFrame:
-    """Add the size class and the prefix: the rarest tokens, so many that any partner with
-    enough overlap shares at least one of them."""
-    size = F.col("size")
-    least_partner = F.ceil(size / F.lit(band) - _EPS)
-    least_overlap = F.ceil((size + least_partner) * F.lit(coef) - _EPS)
-    size_class = F.floor(F.log(size) / F.lit(math.log(band * (1 + _EPS))))
-    prefix = F.slice("tokens", F.lit(1), (size - least_overlap + 1).cast("int"))
-    return df.withColumns({"size_class": size_class.cast("int"), "prefix": prefix})
+def _prefixed(df: DataFrame, side: str, coef: float, size_class: str, others) -> DataFrame:
+    """One row per (size class, prefix token) with the other columns named after the side.
+
+    The prefix holds the rarest tokens, so many that any partner with enough overlap shares at
+    least one of them.
+    """
+    band = (1 - coef) / coef
+    least_overlap = f"ceil((size + ceil(size / {band}D - {_EPS}D)) * {coef}D - {_EPS}D)"
+    own_class = f"int(floor(ln(size) / {math.log(band * (1 + _EPS))}D))"
+    names = ["key", "tokens", "size", *[f"bits{w}" for w in range(_WORDS)]]
+    return df.selectExpr(
+        *[f"{n} AS {side}_{n}" for n in names],
+        *others,
+        f"slice(tokens, 1, int(size - {least_overlap} + 1)) AS {side}_prefix",
+        size_class.format(own=own_class) + " AS size_class",
+    ).selectExpr("*", f"posexplode({side}_prefix) AS ({side}_pos, token)")
 
 
 def overlap_pairs(
-    left: DataFrame, right: DataFrame, coef: float, block: Sequence[str] = ()
+    left: DataFrame,
+    right: DataFrame,
+    coef: float,
+    block: Sequence[str] = (),
+    accept: Callable[[Column, Column, Column], Column] | None = None,
 ) -> DataFrame:
     """All (left, right) pairs with ``|A n B| >= coef * (|A| + |B|)``, each once.
 
@@ -127,49 +136,36 @@ def overlap_pairs(
     The sizes of two partners differ at most by the factor ``(1 - coef) / coef``, so with
     classes of that width a partner is in the same or the next class on either side. The join
     key (block, size class, token) has no nulls and both inputs are plain shuffles, which AQE can
-    split where one token is hot.
+    split where one token is hot. ``accept(shared, left_size, right_size)`` may narrow the result;
+    it belongs here because a later filter would be pushed in front of the cheap tests.
     """
-    band = (1 - coef) / coef
     a, b = _encoded(left.select(*block, "key", "tokens"), right)
-    a, b = _with_prefix(a, coef, band), _with_prefix(b, coef, band)
     extra = [c for c in right.columns if c not in {*block, "key", "tokens"}]
-
-    def renamed(side: str) -> list[Column]:
-        names = ["key", "tokens", "prefix", "size", *[f"bits{w}" for w in range(_WORDS)]]
-        return [F.col(n).alias(f"{side}_{n}") for n in names]
-
-    neighbours = F.explode(F.sequence(F.col("size_class") - 1, F.col("size_class") + 1))
-    a = a.select(*block, *renamed("left"), neighbours.alias("size_class")).select(
-        "*", F.posexplode("left_prefix").alias("left_pos", "token")
-    )
-    b = b.select(*block, *renamed("right"), "size_class", *extra).select(
-        "*", F.posexplode("right_prefix").alias("right_pos", "token")
-    )
-
-    left_size, right_size = F.col("left_size"), F.col("right_size")
-    need = (left_size + right_size) * F.lit(coef) - _EPS
+    a = _prefixed(a, "left", coef, "explode(sequence({own} - 1, {own} + 1))", block)
+    b = _prefixed(b, "right", coef, "{own}", [*block, *extra])
+
+    need = f"(left_size + right_size) * {coef}D - {_EPS}D"
+    shared = "size(array_intersect(left_tokens, right_tokens))"
+    enough = F.expr(f"{shared} >= {need}")
+    if accept is not None:
+        enough = enough & accept(F.expr(shared), F.col("left_size"), F.col("right_size"))
     # From the first shared token on, at most the shorter tail can be shared.
-    reachable = F.least(left_size - F.col("left_pos"), right_size - F.col("right_pos"))
+    reachable = f"least(left_size - left_pos, right_size - right_pos) >= {need}"
     # Cheap upper bound of the overlap from the bitmaps.
-    possible = F.least(left_size - _misses("left", "right"), right_size - _misses("right", "left"))
+    possible = f"""least(left_size - ({_misses("left", "right")}),
+        right_size - ({_misses("right", "left")})) >= {need}"""
     # A pair meets once per shared prefix token; keep the meeting at the first one.
-    first_shared = F.element_at(F.array_intersect("left_prefix", "right_prefix"), 1)
-    # The nesting keeps the cheap tests first, whatever filters are pushed into the join.
-    shared = F.when(
-        reachable >= need,
-        F.when(
-            possible >= need,
-            F.when(
-                first_shared == F.col("token"),
-                F.size(F.array_intersect("left_tokens", "right_tokens")),
-            ),
-        ),
+    first_meeting = "element_at(array_intersect(left_prefix, right_prefix), 1) = token"
+    # The nesting keeps the cheap tests first.
+    passes = F.when(
+        F.expr(reachable), F.when(F.expr(possible), F.when(F.expr(first_meeting), enough))
     )
     return (
         a.join(b, [*block, "size_class", "token"])
-        .withColumn("shared", shared)
-        .where(F.col("shared") >= need)
-        .select(*block, "left_key", "right_key", "shared", "left_size", "right_size", *extra)
+        .where(passes)
+        .selectExpr(
+            *block, "left_key", "right_key", f"{shared} AS shared", "left_size", "right_size", *extra
+        )
     )
 
 
@@ -207,15 +203,19 @@ def _score_stream(threshold: float):
 
 
 def candidate_pairs(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
-    """Pairs with their upper bound 2 * shared / (sum of the lengths), where it reaches the
-    threshold but for rounding."""
+    """Pairs whose upper bound 2 * shared / (sum of the lengths) reaches the threshold."""
+
+    def bound(shared: Column, left_size: Column, right_size: Column) -> Column:
+        return F.lit(2.0) * shared / (left_size + right_size)
+
     pairs = overlap_pairs(
         left.select("key", text.char_tokens("key").alias("tokens")),
         right.select("key", "ord", text.char_tokens("key").alias("tokens")),
         threshold / 2,
+        accept=lambda shared, m, n: bound(shared, m, n) >= threshold,
     )
-    bound = F.lit(2.0) * F.col("shared") / (F.col("left_size") + F.col("right_size"))
-    return pairs.select("left_key", "right_key", "ord", bound.alias("bound"))
+    upper = bound(F.col("shared"), F.col("left_size"), F.col("right_size"))
+    return pairs.select("left_key", "right_key", "ord", upper.alias("bound"))
 
 
 def best_fuzzy_match(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
