@@ -291,9 +291,9 @@ def _(fx):
     return payroll.distinct_sample(_ranged(fx))
 
 
-@query("K4_preview")
+@query("K4_preview", "SELECT * FROM fx_benchmark ORDER BY job_title LIMIT 5", ["fx_benchmark"])
 def _(fx):
-    return payroll.preview(fx.benchmark)
+    return payroll.preview(fx.benchmark.orderBy("job_title"))
 
 
 @query("K5_union_all", """

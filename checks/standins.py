@@ -85,8 +85,7 @@ FROM (SELECT job_id, agency, business_title, CAST(job_id AS BIGINT) AS k,
              posting_duration_days AS actual_posting_duration_days,
              CAST(CASE CAST(job_id AS BIGINT) % 4 WHEN 1 THEN 20 WHEN 2 THEN 25 ELSE 40 END
                   AS DECIMAL(8,2)) AS lighthouse_median_posting_duration
-      FROM fx_fact_jobs) j
-WHERE k % 4 <> 0 OR k % 40 = 0""",
+      FROM fx_fact_jobs) j""",
 }
 
 

@@ -17,7 +17,7 @@ from collections.abc import Callable, Iterator, Sequence
 from difflib import SequenceMatcher
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -172,36 +172,59 @@ def overlap_pairs(
 def _score_stream(threshold: float):
     """Best partner per left key over batches sorted by (left_key, bound desc, ord).
 
-    A candidate whose upper bound cannot beat the best score so far is not scored.
+    A candidate whose upper bound cannot beat the best score so far is not scored. Nothing but
+    the best partner of the current key is kept.
     """
+    columns = ["key", "match", "score", "ord"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, best = None, (0.0, None, None)
+        current, best = None, None  # best: (score, ord, right key)
         matcher = SequenceMatcher(None)
         for batch in batches:
             done = []
-            columns = (batch["left_key"], batch["right_key"], batch["ord"], batch["bound"])
-            for left, right, order, bound in zip(*(c.tolist() for c in columns)):
+            fields = (batch["left_key"], batch["right_key"], batch["ord"], batch["bound"])
+            for left, right, order, bound in zip(*(f.tolist() for f in fields)):
                 if left != current:
-                    if best[2] is not None:
-                        done.append((current, best[2], best[0]))
-                    current, best = left, (0.0, None, None)
-                if bound < best[0] or (bound == best[0] and order >= best[1]):
+                    if best is not None:
+                        done.append((current, best[2], best[0], best[1]))
+                    current, best = left, None
+                if best is not None and (bound, best[1]) <= (best[0], order):
                     continue
                 matcher.set_seqs(left, right)
                 score = matcher.ratio()
                 if score >= threshold and (
-                    score > best[0] or (score == best[0] and order < best[1])
+                    best is None or score > best[0] or (score == best[0] and order < best[1])
                 ):
                     best = (score, order, right)
             if done:
-                yield pd.DataFrame(done, columns=["key", "match", "score"])
-        if best[2] is not None:
-            yield pd.DataFrame([(current, best[2], best[0])], columns=["key", "match", "score"])
+                yield pd.DataFrame(done, columns=columns)
+        if best is not None:
+            yield pd.DataFrame([(current, best[2], best[0], best[1])], columns=columns)
 
     return run
 
 
+def _scored(pairs: DataFrame, threshold: float) -> DataFrame:
+    """Score the candidates, best bounds first, and keep the best partner per left key.
+
+    Partitions are ranges of (left key, bound), so that a key with very many candidates is cut
+    over several tasks; the pairs are stored because ranges are sampled first. Each task leaves
+    one row per key, and the few rows of a cut key are compared at the end.
+    """
+    pairs = materialize(pairs, "pairs")
+    types = dict(pairs.dtypes)
+    order = ["left_key", F.desc("bound"), F.asc("ord")]
+    scored = (
+        pairs.repartitionByRange(_slices(pairs), *order)
+        .sortWithinPartitions(*order)
+        .mapInPandas(
+            _score_stream(threshold), f"key string, match string, score double, ord {types['ord']}"
+        )
+    )
+    place = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("score"), "ord"))
+    return scored.withColumn("place", place).where("place = 1").select("key", "match", "score")
+
+
 def candidate_pairs(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
     """Pairs whose upper bound 2 * shared / (sum of the lengths) reaches the threshold."""
 
@@ -233,12 +256,7 @@ def best_fuzzy_match(left: DataFrame, right: DataFrame, threshold: float) -> Dat
     )
     rest = left.join(right.select("key"), "key", "left_anti")
     pairs = candidate_pairs(rest, right, threshold)
-    scored = (
-        pairs.repartition(_slices(pairs), "left_key")
-        .sortWithinPartitions("left_key", F.desc("bound"), "ord")
-        .mapInPandas(_score_stream(threshold), "key string, match string, score double")
-    )
-    return exact.unionByName(scored)
+    return exact.unionByName(_scored(pairs, threshold))
 
 
 def attach_best_match(

@@ -103,6 +103,22 @@ def test_plan_has_no_nested_loop_and_one_python_node(spark):
     assert plan.count("MapInPandas") == 1 and "ArrowEvalPython" not in plan
 
 
+def test_one_left_key_with_many_candidates_is_cut_over_tasks(spark):
+    # All candidates have the same letters, so that no bound helps and ranges cut the key.
+    rng = random.Random(4)
+    hot = "abcdefghijklmnop"
+    right = sorted({"".join(rng.sample(hot, len(hot))) for _ in range(3000)} - {hot})
+    pairs = spark.createDataFrame(
+        [(hot, k, i, 1.0) for i, k in enumerate(right)], "left_key string, right_key string, ord int, bound double"
+    )
+    row = similarity._scored(pairs, 0.1).collect()
+    expected = brute([hot], right, 0.1)[hot]
+    assert [(r.key, r.match, r.score) for r in row] == [(hot, *expected)]
+    parts = pairs.repartitionByRange(8, "left_key", F.desc("bound"), F.asc("ord"))
+    sizes = [r["count"] for r in parts.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 1000
+
+
 def test_attach_keeps_every_row(spark):
     df = spark.createDataFrame([(1, "abcd"), (2, "abcd"), (3, None), (4, ""), (5, "zzz")], "i int, k string")
     lookup = spark.createDataFrame([("abcd", 0, 5.0), ("q", 1, 6.0)], "key string, ord int, v double")
