@@ -73,7 +73,7 @@ def _(fx):
 
 
 @query("S6_record_run", """
-SELECT 'postings' AS stage, count(*) AS output_rows, 5 AS n_columns, 0.85 AS threshold FROM fx_jobs""", JOBS)
+SELECT 'postings' AS stage, count(*) AS output_rows, 5 AS n_columns, CAST(0.85 AS DECIMAL(3,2)) AS threshold FROM fx_jobs""", JOBS)
 def _(fx):
     root, df = _folder(fx), fx.jobs.select(JOB_COLUMNS)
     rows = snapshots.write_processed(df, root, "postings", FIRST)
@@ -84,7 +84,7 @@ def _(fx):
         "stage",
         "output_rows",
         F.size("columns").alias("n_columns"),
-        F.col("thresholds")["match_threshold"].cast("decimal(2,2)").alias("threshold"),
+        F.col("thresholds")["match_threshold"].cast("decimal(3,2)").alias("threshold"),
     )
 
 

@@ -47,7 +47,7 @@ def test_global_percentile_of_nothing_is_one_null_row(spark):
     assert [tuple(r) for r in rows] == [(0, None)]
 
 
-def pay(number, title="Clerk", agency="NYC Police", base="100", status="ACTIVE", year="2025", **more):
+def pay(number, title="Clerk", agency="City Police", base="100", status="ACTIVE", year="2025", **more):
     row = dict(payroll_number=number, agency_name=agency, title_description=title, base_salary=base,
                leave_status_as_of_june_30=status, fiscal_year=year, regular_hours="10", **more)
     return row
@@ -90,7 +90,7 @@ def test_benchmarks_need_three(spark):
 
 
 def job(job_id, title, low="90", high="150", **more):
-    row = dict(job_id=job_id, agency="Police of NYC", business_title=title, title_description=title,
+    row = dict(job_id=job_id, agency="Police of the City", business_title=title, title_description=title,
                salary_range_from=low, salary_range_to=high, posting_date="2025-01-05T00:00:00",
                application_deadline="2025-01-15T00:00:00")
     return {**row, **more}

@@ -59,7 +59,7 @@ def test_sheet_slug_and_header(spark):
 
 
 def test_agency_rules_in_order(spark):
-    values = ["NYC Police & Fire", "fire dept", "Board of Education", "DOE", "Dept of Health", "Parks", None]
+    values = ["City Police & Fire", "fire dept", "Board of Education", "DOE", "Dept of Health", "Parks", None]
     assert each(spark, text.standardize_agency, values) == [
         "Police Department",
         "Fire Department",
