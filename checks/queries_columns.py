@@ -144,8 +144,7 @@ def _(fx):
 SELECT job_id, TIMESTAMP '1998-07-01 12:00:00' AS dbt_loaded_at, DATE '1998-07-01' AS dbt_valid_from
 FROM fx_jobs""", JOBS)
 def _(fx):
-    df = columns.load_stamps(fx.jobs.select("job_id"), AS_OF)
-    return df.withColumn("dbt_loaded_at", F.col("dbt_loaded_at").cast("timestamp_ntz"))
+    return columns.load_stamps(fx.jobs.select("job_id"), AS_OF)
 
 
 @query("F1_filter_years", f"""

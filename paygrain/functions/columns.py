@@ -37,8 +37,15 @@ def rename(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     return df.withColumnsRenamed({k: v for k, v in names.items() if k in df.columns})
 
 
+def stamp(as_of: dt.datetime | None) -> Column:
+    """The given or the current time without zone; independent of the zone of the session."""
+    if as_of is None:
+        return F.localtimestamp()
+    return F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def load_stamps(df: DataFrame, as_of: dt.datetime | None = None) -> DataFrame:
-    now = F.current_timestamp() if as_of is None else F.lit(as_of)
+    now = stamp(as_of)
     return df.withColumns({"dbt_loaded_at": now, "dbt_valid_from": now.cast("date")})
 
 
@@ -148,7 +155,7 @@ def filter_years(df: DataFrame, timestamp: str, years: Sequence[int] = (2024, 20
     """Keep the years; written as ranges so that partitions and row groups can be skipped."""
     col, keep = F.col(timestamp), F.lit(False)
     for first, end in _year_runs(years):
-        low, high = (F.lit(dt.datetime(y, 1, 1)).cast("timestamp_ntz") for y in (first, end))
+        low, high = (F.lit(f"{y:04d}-01-01").cast("timestamp_ntz") for y in (first, end))
         keep = keep | ((col >= low) & (col < high))
     return df.where(keep)
 

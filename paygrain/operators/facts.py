@@ -9,7 +9,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paygrain.functions.columns import lenient_timestamp, money
+from paygrain.functions.columns import lenient_timestamp, money, stamp
 from paygrain.sources.schemas import FACT_DURATION, FACT_POSTINGS
 
 
@@ -46,11 +46,10 @@ def conform(
     check_widths: bool = False,
 ) -> DataFrame:
     """Columns of ``ddl`` in order and type plus the audit stamps; absent ones become null."""
-    stamp = F.current_timestamp() if as_of is None else F.lit(as_of)
     return df.select(
         *[_conformed(df, n, t, check_widths) for n, t in ddl.items()],
-        stamp.cast("timestamp_ntz").alias("created_at"),
-        stamp.cast("timestamp_ntz").alias("updated_at"),
+        stamp(as_of).alias("created_at"),
+        stamp(as_of).alias("updated_at"),
     )
 
 

@@ -22,6 +22,7 @@ from paygrain.functions.columns import (
     non_positive_to_null,
     require_not_null,
     safe_cast,
+    stamp,
     strict_cast,
     with_missing,
 )
@@ -321,7 +322,7 @@ def mart_job_posting_analysis(
         scalars.is_salary_outlier(variance, outlier_threshold).alias("is_salary_outlier"),
         "payroll_salary_band",
         "is_high_variance_position",
-        (F.current_timestamp() if as_of is None else F.lit(as_of)).alias("analysis_timestamp"),
+        stamp(as_of).alias("analysis_timestamp"),
     )
 
 

@@ -100,3 +100,17 @@ def test_stats_count_matched_rows_only(spark):
     df = spark.createDataFrame([(0.9, 1.0), (0.95, None), (None, None)], "best_match_score double, payroll_salary_min double")
     row = postings.payroll_match_stats(df).first()
     assert (row.total_jobs, row.n_rows, row.jobs_with_payroll_salary, row.median_match_score) == (2, 3, 1, 0.925)
+
+
+def test_results_do_not_depend_on_the_session_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([("2024-12-31T23:59:59",), ("2025-01-01T00:00:00",)], "s string")
+        df = df.withColumn("t", columns.lenient_timestamp(F.col("s")))
+        assert columns.filter_years(df, "t", (2025,)).first().s == "2025-01-01T00:00:00"
+        stamped = columns.load_stamps(df, dt.datetime(2025, 1, 1, 2)).first()
+        assert stamped.dbt_loaded_at == dt.datetime(2025, 1, 1, 2)
+        assert stamped.dbt_valid_from == dt.date(2025, 1, 1)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
