@@ -19,7 +19,7 @@ TIMESTAMP_FORMAT = "%Y%m%d_%H%M%S"
 METADATA_SCHEMA = (
     "stage string, input_rows bigint, output_rows bigint, columns array<string>, "
     "transformations array<string>, thresholds map<string,double>, details string, "
-    "processed_timestamp timestamp"
+    "processed_timestamp timestamp_ntz"
 )
 
 
