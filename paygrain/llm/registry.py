@@ -9,9 +9,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paygrain.llm import byte_bpe, records, token_counts
+from paygrain.llm import byte_bpe, decontaminate, quality, records, secrets, token_counts
 from paygrain.session import scratch_dir
 
+KINDS = ("assign", "access", "hex")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -47,3 +49,40 @@ def op9_token_counts(spark, sf_dir):
     path = public_tokenizers.path("word_bpe_49k.json")
     counted = token_counts.count_tokens(table(spark, sf_dir, "documents"), path)
     return counted.withColumn("over_limit", F.col("n_tokens") > 2048)
+
+
+@query
+def op7_decontamination(spark, sf_dir):
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.find_leaks(docs, items)
+
+
+@query
+def op8_quality(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = quality.quality_scores(docs, labels)
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+@query
+def op2_secrets(spark, sf_dir):
+    versions = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("path"), "text")
+    found = secrets.scan_versions(versions, new_folder(spark, "secret-ledger"))
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == KINDS.index(kind))).cast("long")
+
+    def joined(spans):
+        kind = F.substring_index
+        texts = F.transform(
+            spans, lambda s: F.concat_ws(":", kind(s["rule"], "/", 1), s["start"], s["end"])
+        )
+        return F.array_join(texts, ",")
+
+    base = F.filter("spans", lambda s: s["kind"] < len(KINDS))
+    return found.select(
+        F.col("path").alias("doc_id"),
+        *[count(k).alias(f"n_{k}") for k in KINDS],
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
