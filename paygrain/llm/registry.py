@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paygrain.llm import byte_bpe, decontaminate, quality, records, secrets, token_counts
+from paygrain.llm import byte_bpe, decontaminate, minhash, quality, records, secrets, token_counts
 from paygrain.session import scratch_dir
 
 KINDS = ("assign", "access", "hex")
@@ -86,3 +86,8 @@ def op2_secrets(spark, sf_dir):
         F.sha2(joined(base), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"),
     )
+
+
+@query
+def op1_minhash(spark, sf_dir):
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=2)
