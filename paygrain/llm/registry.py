@@ -9,7 +9,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paygrain.llm import byte_bpe, decontaminate, minhash, quality, records, secrets, token_counts
+from paygrain.llm import (
+    byte_bpe,
+    decontaminate,
+    embedding,
+    minhash,
+    quality,
+    records,
+    secrets,
+    token_counts,
+)
 from paygrain.session import scratch_dir
 
 KINDS = ("assign", "access", "hex")
@@ -91,3 +100,8 @@ def op2_secrets(spark, sf_dir):
 @query
 def op1_minhash(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=2)
+
+
+@query
+def op6_embedding(spark, sf_dir):
+    return embedding.near_vectors(table(spark, sf_dir, "embeddings"))
