@@ -4,16 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
 from paygrain.session import materialize
 
 ROWS_AT_ONCE = 256
 OUTPUT_BYTES = 8 << 20
+PARTIAL = StructType(
+    [StructField("i", IntegerType()), StructField("values", ArrayType(DoubleType()))]
+)
 
 
 def fold(doc_id: Column, of: int = 5) -> Column:
@@ -109,3 +113,31 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     if found is None:
         return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return found.select("node", F.col("root").alias("component"))
+
+
+def summed(rows: DataFrame, partial: Callable[[pa.RecordBatch], np.ndarray]) -> np.ndarray:
+    """The sum over all rows of the matrix that ``partial`` gives for a batch; empty without rows.
+
+    Tasks add up their batches, Spark adds up the cells of the tasks. The matrix must have a size that does
+    not depend on the data: it comes to the driver.
+    """
+    arrow = to_arrow_schema(PARTIAL)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for b in batches:
+            if b.num_rows:
+                part = partial(b)
+                total = part if total is None else total + part
+        if total is not None:
+            columns = [pa.array(range(len(total)), pa.int32()), pa.array(list(total), arrow.field(1).type)]
+            yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+
+    cells = rows.mapInArrow(run, PARTIAL).select("i", F.posexplode("values").alias("j", "x"))
+    got = cells.groupBy("i", "j").agg(F.sum("x").alias("x")).toArrow()
+    if not got.num_rows:
+        return np.zeros((0, 0))
+    i, j = got["i"].to_numpy(), got["j"].to_numpy()
+    total = np.zeros((i.max() + 1, j.max() + 1))
+    total[i, j] = got["x"].to_numpy()
+    return total

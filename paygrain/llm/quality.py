@@ -20,13 +20,12 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import (
     ArrayType,
     DoubleType,
-    IntegerType,
     LongType,
     StructField,
     StructType,
 )
 
-from paygrain.llm.common import fold, map_rows, whole_texts
+from paygrain.llm.common import fold, map_rows, summed, whole_texts
 from paygrain.session import materialize
 
 N_STATS, N_FOURIER, WIDTH, RIDGE, SEED, BINS = 24, 192, 3.0, 1e-3, 7, 2_000
@@ -37,9 +36,6 @@ STATS = StructType(
         StructField("stats", ArrayType(DoubleType())),
     ]
 )
-PARTIAL = StructType(
-    [StructField("i", IntegerType()), StructField("values", ArrayType(DoubleType()))]
-)
 
 
 def document_stats(text: str) -> list[float]:
@@ -127,31 +123,11 @@ def _stats_array(column: pa.Array) -> np.ndarray:
 
 
 def _summed(rows: DataFrame, partial) -> np.ndarray:
-    """The sum over all rows of the matrix that ``partial(stats, labels)`` gives for a batch.
-
-    Tasks add up their batches; the rows of their matrices are then summed by Spark.
-    """
-    arrow = to_arrow_schema(PARTIAL)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = None
-        for b in batches:
-            if b.num_rows:
-                part = partial(_stats_array(b.column(0)), b.column(1).to_numpy(zero_copy_only=False))
-                total = part if total is None else total + part
-        if total is not None:
-            columns = [pa.array(range(len(total)), pa.int32()), pa.array(list(total), arrow.field(1).type)]
-            yield pa.RecordBatch.from_arrays(columns, schema=arrow)
-
-    parts = rows.select("stats", "label").mapInArrow(run, PARTIAL)
-    cells = parts.select("i", F.posexplode("values").alias("j", "x"))
-    got = cells.groupBy("i", "j").agg(F.sum("x").alias("x")).toArrow()
-    if not got.num_rows:
-        return np.zeros((0, 0))
-    i, j = got["i"].to_numpy(), got["j"].to_numpy()
-    total = np.zeros((i.max() + 1, j.max() + 1))
-    total[i, j] = got["x"].to_numpy()
-    return total
+    """The sum over all rows of what ``partial(stats, labels)`` gives for a batch."""
+    return summed(
+        rows.select("stats", "label"),
+        lambda b: partial(_stats_array(b.column(0)), b.column(1).to_numpy(zero_copy_only=False)),
+    )
 
 
 def isotonic(x: np.ndarray, weight: np.ndarray, positive: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

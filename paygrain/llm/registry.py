@@ -13,6 +13,7 @@ from paygrain.llm import (
     byte_bpe,
     decontaminate,
     embedding,
+    hmm,
     minhash,
     quality,
     records,
@@ -105,3 +106,8 @@ def op1_minhash(spark, sf_dir):
 @query
 def op6_embedding(spark, sf_dir):
     return embedding.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op4_hmm(spark, sf_dir):
+    return hmm.score_documents(table(spark, sf_dir, "documents"))
