@@ -18,6 +18,7 @@ from paygrain.llm import (
     quality,
     records,
     secrets,
+    suffixes,
     token_counts,
 )
 from paygrain.session import scratch_dir
@@ -111,3 +112,18 @@ def op6_embedding(spark, sf_dir):
 @query
 def op4_hmm(spark, sf_dir):
     return hmm.score_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_suffix_dedup(spark, sf_dir):
+    found = suffixes.repeated_bytes(table(spark, sf_dir, "documents"))
+    removed = F.aggregate(
+        F.zip_with("starts", "ends", lambda a, z: z - a), F.lit(0).cast("long"), lambda x, y: x + y
+    )
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("starts").cast("long").alias("n_spans"),
+        "kept_sha256",
+    )
