@@ -17,7 +17,14 @@ from array import array
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import (
+    BinaryType,
+    BooleanType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 from paygrain.llm.common import map_rows, whole_texts
 
@@ -36,6 +43,15 @@ DECODED = StructType(
     ]
 )
 
+CHECKED = StructType(
+    [
+        StructField("doc_id", LongType()),
+        StructField("n_tokens", LongType()),
+        StructField("ids", BinaryType()),
+        StructField("intact", BooleanType()),
+    ]
+)
+
 
 def byte_of_char() -> dict[str, int]:
     """The printable stand-in characters of byte-level vocabularies, back to bytes."""
@@ -213,3 +229,18 @@ def round_trip_digests(docs: DataFrame, vocabulary: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+def encode_checked(docs: DataFrame, vocabulary: str) -> DataFrame:
+    """(doc_id, n_tokens, ids, intact): ids as :func:`encode` gives them, and whether they decode to the text."""
+
+    def make():
+        bpe = load(vocabulary)
+
+        def f(doc_id, text):
+            ids = bpe.encode(text)
+            return [(doc_id, len(ids) // 4, ids, bpe.decode(ids) == text)]
+
+        return f
+
+    return map_rows(whole_texts(docs), make, CHECKED)

@@ -15,10 +15,9 @@ from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from paygrain.llm.common import map_rows, whole_texts
+from paygrain.llm.common import filter_rows, map_rows, whole_texts
 
 Q, EDIT_SHARE, BLOCK_BYTES, LEAST_BYTES = 8, 0.1, 4 << 20, 50
 SLOTS = 1 << 20
@@ -209,10 +208,16 @@ def find_leaks(
     return found
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame, edit_share: float = EDIT_SHARE) -> DataFrame:
-    """``docs`` without the documents in which an item stands; rows with a null doc_id stay if clean.
+def without_leaks(
+    docs: DataFrame, benchmark: DataFrame, edit_share: float = EDIT_SHARE, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
+    """``docs`` without the rows in whose text an item stands; all columns stay, nothing is shuffled."""
+    for block in item_blocks(benchmark, block_bytes):
+        held = docs.sparkSession.sparkContext.broadcast((block, edit_share))  # as in find_leaks
 
-    All columns stay as they are. Documents are told apart by doc_id and text.
-    """
-    leaks = find_leaks(docs, benchmark, edit_share).select(F.col("doc_id").alias("_leak")).distinct()
-    return docs.join(leaks, docs["doc_id"].cast("long").eqNullSafe(F.col("_leak")), "left_anti")
+        def make(held=held):
+            items = Items.of(*held.value)
+            return lambda text: not items.matches(plain(text))
+
+        docs = filter_rows(docs, make)
+    return docs

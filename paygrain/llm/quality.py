@@ -25,7 +25,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from paygrain.llm.common import fold, map_rows, summed, whole_texts
+from paygrain.llm.common import filter_rows, fold, map_rows, summed, whole_texts
 from paygrain.session import materialize
 
 N_STATS, N_FOURIER, WIDTH, RIDGE, SEED, BINS = 24, 192, 3.0, 1e-3, 7, 2_000
@@ -219,3 +219,18 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     scored = score(stats, fit(stats, labels))
     held_out = F.coalesce(fold(F.col("doc_id")) == 0, F.lit(False))
     return scored.select("doc_id", held_out.alias("held_out"), "score")
+
+
+def without_bad(docs: DataFrame, labels: DataFrame, least: float = 0.3) -> DataFrame:
+    """``docs`` without the documents that score under ``least``; all columns stay, nothing is shuffled.
+
+    Learns as :func:`quality_scores` does; without labels nothing is rejected.
+    """
+    model = fit(stats_of(docs), labels)
+
+    def make():
+        if model is None:
+            return lambda text: True
+        return lambda text: model.score(np.array([document_stats(text)]))[0] >= least
+
+    return filter_rows(docs, make)
