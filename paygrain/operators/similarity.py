@@ -1,13 +1,12 @@
 """String-similarity joins.
 
-Both similarity measures used here are bounded by the overlap of two token sets: a pair can only
-pass if ``|A n B| >= coef * (|A| + |B|)``.
+:func:`best_fuzzy_match` finds the best partner of every key by sequence ratio. The lookup side is taken
+in blocks of bounded size, against which tasks compare their share of the keys: cheap upper bounds of
+the ratio for a whole block at once, then the longest common subsequence, then the ratio itself. No pair
+becomes a row.
 
-* sequence ratio >= t: A, B are the character multisets and ``coef = t / 2``;
-* trigram similarity > t: A, B are the trigram sets and ``coef = t / (1 + t)``.
-
-:func:`overlap_pairs` finds all pairs that satisfy the bound with an equi-join on rare tokens
-(prefix filtering), never by comparing everything with everything.
+:func:`overlap_pairs` finds all pairs of token sets with ``|A n B| >= coef * (|A| + |B|)`` by an
+equi-join on rare tokens (prefix filtering). For trigram similarity > t, ``coef = t / (1 + t)``.
 """
 
 from __future__ import annotations
@@ -16,20 +15,20 @@ import math
 from collections.abc import Callable, Iterator, Sequence
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paygrain.functions import text
 from paygrain.session import materialize
 
 _EPS = 1e-9
-# The order of the tokens changes the speed only, never the result, so that the list of
-# frequent tokens may be cut; all others count as equally rare.
-_ORDERED_TOKENS = 1000
 # 64-bit words of the token bitmap that bounds the overlap cheaply.
 _WORDS = 4
+# Lookup keys that a task holds at a time, and the hash classes of their letters and letter pairs.
+BLOCK_KEYS, BLOCK_CHARS = 50_000, 4 << 20
+_LETTERS, _PAIRS = 48, 96
 
 
 @F.pandas_udf(T.DoubleType())
@@ -44,24 +43,6 @@ def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     )
 
 
-def _frequent_tokens(df: DataFrame) -> DataFrame:
-    """One row with a map token -> frequency of the most frequent tokens."""
-    top = (
-        df.select(F.explode("tokens").alias("token"))
-        .groupBy("token")
-        .count()
-        .orderBy(F.desc("count"), "token")
-        .limit(_ORDERED_TOKENS)
-    )
-    return top.agg(F.map_from_entries(F.collect_list(F.struct("token", "count"))))
-
-
-def _slices(df: DataFrame) -> int:
-    """Explicit partition count for steps whose cost is CPU time, not bytes; AQE would merge
-    their small partitions."""
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def _bitmap(word: int) -> Column:
     """One of the words of a bitmap with a bit per token hash."""
     return F.expr(f"""
@@ -80,25 +61,29 @@ def _misses(mine: str, other: str) -> str:
 def _encoded(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Both sides with the rare tokens first, size and bitmap.
 
-    Stored, because the optimizer would otherwise repeat the array expressions in every filter
-    that it pushes down.
+    The frequency of every token of the right side is counted and joined to the tokens. Stored, because
+    the optimizer would otherwise repeat the array expressions in every filter that it pushes down.
     """
-    frequency = _frequent_tokens(right).scalar()
+    counts = right.select(F.explode("tokens").alias("token")).groupBy("token").agg(
+        F.count("*").alias("f")
+    )
     df = left.withColumn("side", F.lit("left")).unionByName(
         right.withColumn("side", F.lit("right")), allowMissingColumns=True
     )
-    rare_first = """
-        transform(sort_array(transform(tokens,
-            t -> struct(coalesce(try_element_at(freq, t), 0) AS f, t AS t))), s -> s.t)"""
-    encoded = (
-        df.repartition(_slices(df), "key")
-        .withColumn("freq", frequency)
-        .withColumn("tokens", F.expr(rare_first))
-        .withColumn("size", F.size("tokens"))
-        .withColumns({f"bits{w}": _bitmap(w) for w in range(_WORDS)})
-        .drop("freq")
+    names = [c for c in df.columns if c != "tokens"]
+    ranked = (
+        df.withColumn("token", F.explode("tokens"))
+        .drop("tokens")
+        .join(counts, "token", "left")
+        .groupBy(*names)
+        .agg(F.sort_array(F.collect_list(F.struct(F.coalesce("f", F.lit(0)).alias("f"), "token"))).alias("ranked"))
+        .withColumn("tokens", F.transform("ranked", lambda x: x["token"]))
+        .drop("ranked")
     )
-    stored = materialize(encoded, "tokens").where("size > 0")
+    encoded = ranked.withColumn("size", F.size("tokens")).withColumns(
+        {f"bits{w}": _bitmap(w) for w in range(_WORDS)}
+    )
+    stored = materialize(encoded, "tokens")
     return stored.where("side = 'left'"), stored.where("side = 'right'")
 
 
@@ -169,76 +154,135 @@ def overlap_pairs(
     )
 
 
-def _score_stream(threshold: float):
-    """Best partner per left key over batches sorted by (left_key, bound desc, ord).
+def _profile(keys: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of the letters and of the neighbouring pairs of letters of each key, by hash class."""
+    wide = max(map(len, keys), default=0) > 255
+    kind = np.uint32 if wide else np.uint8
+    letters = np.zeros((len(keys), _LETTERS), kind)
+    pairs = np.zeros((len(keys), _PAIRS), kind)
+    for row, key in enumerate(keys):
+        codes = np.frombuffer(key.encode("utf-32-le"), np.uint32).astype(np.int64)
+        letters[row] = np.bincount(codes % _LETTERS, minlength=_LETTERS)
+        pairs[row] = np.bincount((codes[:-1] * 31 + codes[1:]) % _PAIRS, minlength=_PAIRS)
+    return letters, pairs
 
-    A candidate whose upper bound cannot beat the best score so far is not scored. Nothing but
-    the best partner of the current key is kept.
-    """
-    columns = ["key", "match", "score", "ord"]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, best = None, None  # best: (score, ord, right key)
-        matcher = SequenceMatcher(None)
-        for batch in batches:
-            done = []
-            fields = (batch["left_key"], batch["right_key"], batch["ord"], batch["bound"])
-            for left, right, order, bound in zip(*(f.tolist() for f in fields)):
-                if left != current:
-                    if best is not None:
-                        done.append((current, best[2], best[0], best[1]))
-                    current, best = left, None
-                if best is not None and (bound, best[1]) <= (best[0], order):
-                    continue
-                matcher.set_seqs(left, right)
-                score = matcher.ratio()
-                if score >= threshold and (
-                    best is None or score > best[0] or (score == best[0] and order < best[1])
-                ):
-                    best = (score, order, right)
-            if done:
-                yield pd.DataFrame(done, columns=columns)
-        if best is not None:
-            yield pd.DataFrame([(current, best[2], best[0], best[1])], columns=columns)
-
-    return run
-
-
-def _scored(pairs: DataFrame, threshold: float) -> DataFrame:
-    """Score the candidates, best bounds first, and keep the best partner per left key.
-
-    Partitions are ranges of (left key, bound), so that a key with very many candidates is cut
-    over several tasks; the pairs are stored because ranges are sampled first. Each task leaves
-    one row per key, and the few rows of a cut key are compared at the end.
-    """
-    pairs = materialize(pairs, "pairs")
-    types = dict(pairs.dtypes)
-    order = ["left_key", F.desc("bound"), F.asc("ord")]
-    scored = (
-        pairs.repartitionByRange(_slices(pairs), *order)
-        .sortWithinPartitions(*order)
-        .mapInPandas(
-            _score_stream(threshold), f"key string, match string, score double, ord {types['ord']}"
-        )
-    )
-    place = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("score"), "ord"))
-    return scored.withColumn("place", place).where("place = 1").select("key", "match", "score")
 
+def common_subsequence(masks: dict[str, int], size: int, other: str) -> int:
+    """Length of the longest common subsequence of ``other`` and the string that the bit masks stand for."""
+    full = (1 << size) - 1
+    rest = full
+    for ch in other:
+        hit = rest & masks.get(ch, 0)
+        rest = ((rest + hit) | (rest - hit)) & full
+    return size - rest.bit_count()
 
-def candidate_pairs(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
-    """Pairs whose upper bound 2 * shared / (sum of the lengths) reaches the threshold."""
 
-    def bound(shared: Column, left_size: Column, right_size: Column) -> Column:
-        return F.lit(2.0) * shared / (left_size + right_size)
+class _Block:
+    """Some lookup keys, by length, with what bounds the ratio.
 
-    pairs = overlap_pairs(
-        left.select("key", text.char_tokens("key").alias("tokens")),
-        right.select("key", "ord", text.char_tokens("key").alias("tokens")),
-        threshold / 2,
-        accept=lambda shared, m, n: bound(shared, m, n) >= threshold,
+    M matched characters in r blocks leave r - 1 gaps, each with an unmatched character, so that the two
+    strings (T characters together) share at least M - r >= 3 M - 1 - T pairs of letters, and M letters. Merging
+    letters or pairs into classes can only raise what they seem to share.
+    """
+
+    def __init__(self, rows: list[tuple[str, object]], threshold: float):
+        rows = sorted(rows, key=lambda r: len(r[0]))
+        self.keys, self.order = [k for k, _ in rows], [o for _, o in rows]
+        self.sizes = np.array([len(k) for k in self.keys])
+        self.letters, self.pairs = _profile(self.keys)
+        self.threshold = threshold
+
+    def candidates(self, key: str) -> tuple[np.ndarray, np.ndarray]:
+        """(places, upper bounds) of the keys whose bound reaches the threshold, best first."""
+        t, m = self.threshold, len(key)
+        low = np.searchsorted(self.sizes, math.ceil(m * t / (2 - t) - _EPS), "left")
+        high = np.searchsorted(self.sizes, math.floor(m * (2 - t) / t + _EPS), "right")
+        letters, pairs = _profile([key])
+        total = m + self.sizes[low:high]
+        kind = np.promote_types(self.letters.dtype, letters.dtype)
+        shared = np.minimum(self.letters[low:high], letters.astype(kind)).sum(1, dtype=np.int64)
+        places = np.flatnonzero(2 * shared >= (t - _EPS) * total)
+        total, shared = total[places], shared[places]
+        near = np.minimum(self.pairs[low + places], pairs.astype(kind)).sum(1, dtype=np.int64)
+        bound = np.minimum(2 * shared / total, 2 * (near + 1 + total) / (3 * total))
+        fine = bound >= t - _EPS
+        places, bound = low + places[fine], bound[fine]
+        best_first = np.argsort(-bound, kind="stable")
+        return places[best_first], bound[best_first]
+
+    def best(self, key: str) -> tuple[tuple | None, int, int]:
+        """((score, order, match) or None, pairs past the bounds, ratios computed)."""
+        places, bounds = self.candidates(key)
+        masks: dict[str, int] = {}
+        for i, ch in enumerate(key):
+            masks[ch] = masks.get(ch, 0) | 1 << i
+        best, scored, matcher = None, 0, SequenceMatcher(None)
+        for place, bound in zip(places.tolist(), bounds.tolist()):
+            if best is not None and bound < best[0] - _EPS:
+                break
+            other, order = self.keys[place], self.order[place]
+            most = 2 * common_subsequence(masks, len(key), other) / (len(key) + len(other))
+            if most < self.threshold or (best is not None and (most, best[1]) <= (best[0], order)):
+                continue
+            matcher.set_seqs(key, other)
+            score, scored = matcher.ratio(), scored + 1
+            if score >= self.threshold and (
+                best is None or score > best[0] or (score == best[0] and order < best[1])
+            ):
+                best = (score, order, other)
+        return best, len(places), scored
+
+
+def _blocks(right: DataFrame) -> Iterator[list[tuple[str, object]]]:
+    """The lookup keys in lists of bounded size; one is held at a time."""
+    block, held = [], 0
+    for key, order in right.select("key", "ord").toLocalIterator():
+        block.append((key, order))
+        held += len(key)
+        if len(block) == BLOCK_KEYS or held >= BLOCK_CHARS:
+            yield block
+            block, held = [], 0
+    if block:
+        yield block
+
+
+def scored_keys(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
+    """``key, match, score, ord, bounded, scored`` for every key and block of the lookup side.
+
+    ``match`` is null without a partner in the block; ``bounded`` pairs passed the bounds, ``scored``
+    ratios were computed.
+    """
+    if threshold <= 0:
+        raise ValueError("the threshold must be above 0")
+    spark = left.sparkSession
+    schema = T.StructType(
+        [
+            T.StructField("key", T.StringType()),
+            T.StructField("match", T.StringType()),
+            T.StructField("score", T.DoubleType()),
+            T.StructField("ord", right.schema["ord"].dataType),
+            T.StructField("bounded", T.LongType()),
+            T.StructField("scored", T.LongType()),
+        ]
     )
-    upper = bound(F.col("shared"), F.col("left_size"), F.col("right_size"))
-    return pairs.select("left_key", "right_key", "ord", upper.alias("bound"))
+    # The cost of a key does not show in its bytes, so the number of partitions is given.
+    keys = left.select("key").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "key")
+    result = spark.createDataFrame([], schema)
+    for rows in _blocks(right):
+        held = spark.sparkContext.broadcast(rows)  # at most BLOCK_KEYS keys and BLOCK_CHARS characters
+
+        def run(batches: Iterator[pd.DataFrame], held=held) -> Iterator[pd.DataFrame]:
+            block = _Block(held.value, threshold)
+            for batch in batches:
+                made = []
+                for key in batch["key"]:
+                    best, bounded, scored = block.best(key)
+                    score, order, match = best or (None, None, None)
+                    made.append((key, match, score, order, bounded, scored))
+                yield pd.DataFrame(made, columns=schema.names)
+
+        result = result.unionByName(keys.mapInPandas(run, schema))
+    return result
 
 
 def best_fuzzy_match(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
@@ -246,17 +290,24 @@ def best_fuzzy_match(left: DataFrame, right: DataFrame, threshold: float) -> Dat
 
     ``left``: distinct ``key``. ``right``: distinct ``key`` and ``ord``, where the smaller
     ``ord`` wins a tie. Empty keys match nothing. Both should be compact stored tables
-    (:func:`paygrain.session.materialize`), because each is read several times.
+    (:func:`paygrain.session.materialize`), because each is read several times. With a threshold of 1 only
+    equal keys match; one of 0 or less is an error.
     """
+    if threshold <= 0:
+        raise ValueError("the threshold must be above 0")
     left = left.where(F.length("key") > 0)
     right = right.where(F.length("key") > 0)
     # Equal keys have ratio 1.0, which no other key reaches: they need no scoring.
     exact = left.join(right, "key").select(
         "key", F.col("key").alias("match"), F.lit(1.0).alias("score")
     )
+    if threshold >= 1:
+        return exact
     rest = left.join(right.select("key"), "key", "left_anti")
-    pairs = candidate_pairs(rest, right, threshold)
-    return exact.unionByName(_scored(pairs, threshold))
+    scored = scored_keys(rest, right, threshold).where("match IS NOT NULL")
+    place = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("score"), "ord"))
+    best = scored.withColumn("place", place).where("place = 1")  # a row for each block of the lookup
+    return exact.unionByName(best.select("key", "match", "score"))
 
 
 def attach_best_match(

@@ -103,20 +103,69 @@ def test_plan_has_no_nested_loop_and_one_python_node(spark):
     assert plan.count("MapInPandas") == 1 and "ArrowEvalPython" not in plan
 
 
-def test_one_left_key_with_many_candidates_is_cut_over_tasks(spark):
-    # All candidates have the same letters, so that no bound helps and ranges cut the key.
+def test_blocks_of_the_lookup_give_one_best_partner(spark, monkeypatch):
+    # All candidates have the same letters; the best ones lie in different blocks and tie.
+    monkeypatch.setattr(similarity, "BLOCK_KEYS", 70)
     rng = random.Random(4)
     hot = "abcdefghijklmnop"
-    right = sorted({"".join(rng.sample(hot, len(hot))) for _ in range(3000)} - {hot})
-    pairs = spark.createDataFrame(
-        [(hot, k, i, 1.0) for i, k in enumerate(right)], "left_key string, right_key string, ord int, bound double"
-    )
-    row = similarity._scored(pairs, 0.1).collect()
-    expected = brute([hot], right, 0.1)[hot]
-    assert [(r.key, r.match, r.score) for r in row] == [(hot, *expected)]
-    parts = pairs.repartitionByRange(8, "left_key", F.desc("bound"), F.asc("ord"))
-    sizes = [r["count"] for r in parts.groupBy(F.spark_partition_id()).count().collect()]
-    assert len(sizes) == 8 and max(sizes) < 1000
+    right = sorted({"".join(rng.sample(hot, len(hot))) for _ in range(400)} - {hot})
+    assert run(spark, [hot, hot[::-1]], right, 0.1) == brute([hot, hot[::-1]], right, 0.1)
+
+
+def word_made(rng, n):
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", [8, 2, 3, 4, 12, 2, 2, 6, 7, 1, 1, 4, 2, 7, 8, 2, 1, 6, 6, 9, 3, 1, 2, 1, 2, 1], k=rng.randint(3, 9))) for _ in range(400)]
+    return sorted({"_".join(rng.choices(words, k=rng.randint(2, 5))) for _ in range(n)})
+
+
+@pytest.mark.parametrize("threshold,bounded,scored", [(0.85, 0.01, 0.0005), (0.7, 0.15, 0.005)])
+def test_few_pairs_pass_the_bounds_and_the_share_does_not_grow(spark, threshold, bounded, scored):
+    shares = []
+    for n in (500, 2000):
+        rng = random.Random(n)
+        left, right = word_made(rng, n), word_made(rng, n)
+        l = spark.createDataFrame([(k,) for k in left], "key string")
+        r = spark.createDataFrame([(k, k) for k in right], "key string, ord string")
+        sums = similarity.scored_keys(l, r, threshold).agg(F.sum("bounded"), F.sum("scored")).first()
+        shares.append([x / (len(left) * len(right)) for x in sums])
+    assert shares[1][0] <= bounded and shares[1][1] <= scored
+    assert shares[1][0] <= 1.2 * shares[0][0] + 1e-4
+
+
+def test_bounds_lose_nothing(spark):
+    rng = random.Random(9)
+    right = keys(rng, 60) + ["a" * 300, "ab" * 150, "x"]
+    for threshold in (0.9, 0.75, 0.5, 0.2):
+        block = similarity._Block([(k, k) for k in right], threshold)
+        for key in [*keys(rng, 60), "a" * 299, "ba" * 150, "x", "xy"]:
+            places, bounds = block.candidates(key)
+            found = {block.keys[p]: b for p, b in zip(places.tolist(), bounds.tolist())}
+            for other in right:
+                ratio = SequenceMatcher(None, key, other).ratio()
+                if ratio >= threshold:
+                    assert found[other] >= ratio - 1e-9
+
+
+def test_common_subsequence_equals_the_table():
+    rng = random.Random(3)
+    for _ in range(200):
+        a, b = ("".join(rng.choices("abcé", k=rng.randint(1, 90))) for _ in range(2))
+        row = [0] * (len(b) + 1)
+        for x in a:
+            old, row = row, [0]
+            for j, y in enumerate(b, 1):
+                row.append(old[j - 1] + 1 if x == y else max(old[j], row[j - 1]))
+        masks = {}
+        for i, ch in enumerate(a):
+            masks[ch] = masks.get(ch, 0) | 1 << i
+        assert similarity.common_subsequence(masks, len(a), b) == row[-1]
+
+
+def test_threshold_limits(spark):
+    left, right = ["abcd", "abce"], ["abcd", "zzzz"]
+    assert run(spark, left, right, 1.0) == {"abcd": ("abcd", 1.0)}
+    for bad in (0, -0.5):
+        with pytest.raises(ValueError):
+            run(spark, left, right, bad)
 
 
 def test_attach_keeps_every_row(spark):
