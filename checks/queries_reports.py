@@ -1,10 +1,13 @@
 """Aggregations, reports, top-k queries and quality checks."""
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from checks.queries_scalars import END, START
 from checks.registry import dec, query, rounded
 from paygrain.functions.columns import rule_violations
+from paygrain.plans import audit
 from paygrain.operators import benchmark, marts, payroll, postings, quality, reports
 from paygrain.sources import snapshots
 
@@ -16,7 +19,7 @@ RANGES = """stats AS (SELECT agency_name, title_description, min(base_salary) AS
 
 
 def _ranged(fx):
-    return payroll.with_role_range(payroll.standardize_annual_salary(fx.payroll))
+    return payroll.role_table(payroll.standardize_annual_salary(fx.payroll))
 
 
 @query("A1_role_salary_range", f"""
@@ -50,9 +53,8 @@ FROM fx_payroll GROUP BY pay_basis""", PAY)
 def _(fx):
     from paygrain.operators.percentiles import agg_with_percentiles
 
-    # A low limit sends the groups through the path for hot groups.
     fractions = {"p10": ("base_salary", 0.1), "p50": ("base_salary", 0.5), "p90": ("base_salary", 0.9)}
-    df = agg_with_percentiles(fx.payroll, ["pay_basis"], [F.count(F.lit(1)).alias("n")], fractions, 1000)
+    df = agg_with_percentiles(fx.payroll, ["pay_basis"], [F.count(F.lit(1)).alias("n")], fractions)
     return rounded(df, p10=4, p50=4, p90=4)
 
 
@@ -247,7 +249,7 @@ def _(fx):
 
 @query("A17_salary_statistics_hot", SALARY_STATS, FACTS)
 def _(fx):
-    return rounded(reports.salary_statistics(fx.fact_jobs, hot_rows=100), **SALARY_SCALES)
+    return rounded(reports.salary_statistics(fx.fact_jobs.repartition(40)), **SALARY_SCALES)
 
 
 @query("A18_duration_variance_statistics", VARIANCE_STATS, DURATIONS)
@@ -259,7 +261,7 @@ def _(fx):
 @query("A19_n_unique", """
 SELECT count(*) AS n FROM (SELECT DISTINCT business_title FROM fx_fact_jobs) t""", FACTS)
 def _(fx):
-    return fx.fact_jobs.select("business_title").distinct().agg(F.count(F.lit(1)).alias("n"))
+    return benchmark.n_unique(fx.fact_jobs, "business_title")
 
 
 @query("A20_avg_duration_variance", f"""
@@ -414,6 +416,41 @@ def _(fx):
     return quality.empty_stage_gate(fx.jobs, "postings").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _model_checks() -> str:
+    parts = []
+    for model, source, checks in (
+        ("stg_job_postings", "jobs", quality.MODEL_CHECKS["stg_job_postings"]),
+        ("stg_payroll_data", "pay", quality.MODEL_CHECKS["stg_payroll_data"]),
+    ):
+        head = f"SELECT '{model}' AS model, '{{}}' AS \"check\", '{{}}' AS \"column\", count(*) AS failed_rows FROM {source} WHERE "
+        parts += [head.format("not_null", c) + f"{c} IS NULL" for c in checks.not_null]
+        parts += [
+            head.format("accepted_range", c) + f"{c} NOT BETWEEN {low} AND {high}"
+            for c, (low, high) in checks.accepted_range.items()
+        ]
+        parts += [
+            head.format("unique", c)
+            + f"{c} IN (SELECT {c} FROM {source} GROUP BY 1 HAVING count(*) > 1)"
+            for c in checks.unique
+        ]
+    return " UNION ALL ".join(parts)
+
+
+@query("Q3_model_checks", f"""
+WITH jobs AS (SELECT job_id, agency AS agency_name, posting_date,
+    CASE WHEN salary_range_from > 0 THEN salary_range_from END AS salary_range_from,
+    CASE WHEN salary_range_to > 0 THEN salary_range_to END AS salary_range_to FROM fx_jobs WHERE job_id IS NOT NULL),
+pay AS (SELECT payroll_number, agency_name, CASE WHEN base_salary > 0 THEN base_salary END AS base_salary FROM fx_payroll),
+checks AS ({_model_checks()})
+SELECT *, failed_rows = 0 AS passed FROM checks
+UNION ALL SELECT 'mart_job_posting_analysis', "check", 'job_id', 0, TRUE FROM (VALUES ('unique'), ('not_null')) v("check")
+UNION ALL SELECT 'mart_job_posting_analysis', 'accepted_range', 'salary_match_ratio', 0, TRUE""", ["fx_jobs", "fx_payroll"])
+def _(fx):
+    as_of = dt.datetime(1998, 7, 1)
+    models = audit.run_models(fx.payroll, fx.jobs, as_of, "1997-01-01", "1998-12-31", mode="best")
+    return models["model_checks"]
+
+
 @query("Q7_null_and_duplicate_rates", f"""
 WITH r AS (SELECT 'agency' AS "column", {dec("(count(*) - count(agency)) / count(*)", 4)} AS null_rate,
     {dec("(count(agency) - count(DISTINCT agency)) / count(*)", 4)} AS duplicate_rate FROM fx_fact_jobs

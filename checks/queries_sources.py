@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 
 from checks.registry import query
 from paygrain.functions.text import sheet_slug
-from paygrain.operators import facts, postings
+from paygrain.plans import audit, sheets
 from paygrain.session import scratch_dir
 from paygrain.sources import cells, snapshots
-from paygrain.sources.schemas import all_strings
+from paygrain.sources.schemas import PAYROLL_SCHEMA, POSTINGS_SCHEMA, all_strings
 
 PAY, JOBS, CELLS = ["fx_payroll"], ["fx_jobs"], ["fx_cells"]
 FIRST, SECOND = dt.datetime(1998, 6, 1, 6), dt.datetime(1998, 6, 2, 6)
@@ -25,13 +25,23 @@ def _folder(fx) -> str:
 
 @query("S1_read_raw_json", JOB_SQL, JOBS)
 def _(fx):
-    # Many small {"data": [...]} objects: one per hundred postings.
-    path = _folder(fx)
-    packed = fx.jobs.groupBy(F.floor(F.col("job_id").cast("bigint") / 100)).agg(
-        F.to_json(F.struct(F.collect_list(F.struct(*JOB_COLUMNS)).alias("data"))).alias("value")
+    # A third of the postings in each form: arrays (a file each), {"data": [...]} objects, lines.
+    path, schema = _folder(fx), all_strings(JOB_COLUMNS)
+    number = F.col("job_id").cast("bigint")
+    rows = fx.jobs.select(number.alias("k"), F.struct(*JOB_COLUMNS).alias("row"))
+
+    def packed(third: int, size: int):
+        lists = rows.where(F.col("k") % 3 == third).groupBy(F.floor(F.col("k") / size))
+        return lists.agg(F.collect_list("row").alias("data"))
+
+    arrays = packed(0, 1000).select(F.to_json("data").alias("value"))
+    arrays.write.option("maxRecordsPerFile", 1).text(f"{path}/arrays")
+    packed(1, 100).select(F.to_json(F.struct("data")).alias("value")).write.text(f"{path}/wrapped")
+    rows.where("k % 3 = 2").select(F.to_json("row").alias("value")).write.text(f"{path}/lines")
+    forms = {"arrays": {}, "wrapped": {"lines": True, "wrapped": True}, "lines": {"lines": True}}
+    return snapshots.concat_chunks(
+        [snapshots.read_raw_json(fx.spark, f"{path}/{name}", schema, **form) for name, form in forms.items()]
     )
-    packed.select("value").write.text(path)
-    return snapshots.read_raw_json(fx.spark, path, all_strings(JOB_COLUMNS), lines=True)
 
 
 @query("S2_read_benchmark", """
@@ -93,6 +103,10 @@ def _two_snapshots(fx) -> str:
     for stamp in (FIRST, SECOND):
         df = fx.payroll.select("payroll_number", "base_salary", F.lit(str(stamp)).alias("tag"))
         snapshots.write_processed(df, root, "payroll", stamp)
+    # A newer one whose write has not been committed.
+    unfinished = snapshots.snapshot_path(root, "payroll", SECOND + dt.timedelta(hours=1))
+    writer = df.limit(10).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    writer.parquet(unfinished)
     return root
 
 
@@ -115,15 +129,47 @@ def _(fx):
     return snapshots.limit_rows(fx.jobs.select("job_id", "agency"), 10_000, ["job_id"])
 
 
+def _landed(fx) -> str:
+    """The three sources as landed snapshots."""
+    root = _folder(fx)
+    for df, schema, name in ((fx.payroll, PAYROLL_SCHEMA, "payroll"), (fx.jobs, POSTINGS_SCHEMA, "postings")):
+        texts = [F.col(c).cast("string") for c in schema.names if c in df.columns]
+        snapshots.write_raw(df.select(texts), root, f"raw_{name}", FIRST)
+    snapshots.write_processed(fx.benchmark, root, "raw_benchmark", FIRST)
+    return root
+
+
+NOON = FIRST + dt.timedelta(hours=6)
+
+
+@query("S6_stage_records", f"""
+WITH ranges AS (SELECT agency_name, title_description, max(base_salary) > min(base_salary) AS wide
+    FROM fx_payroll GROUP BY 1, 2)
+SELECT 'payroll_processed' AS stage, count(*) AS input_rows, count(*) AS output_rows,
+    count(*) FILTER (WHERE wide) AS positions_with_salary_range
+FROM fx_payroll JOIN ranges USING (agency_name, title_description)
+UNION ALL SELECT 'jobs_processed', count(*), count(*) FILTER (WHERE year(CAST(posting_date AS TIMESTAMP)) IN (1997, 1998)), NULL
+FROM fx_jobs""", [*PAY, *JOBS])
+def _(fx):
+    root = _landed(fx)
+    audit.run_audit_from(fx.spark, root, NOON, years=(1997, 1998), gates=False)
+    runs = snapshots.read_runs(fx.spark, root).where("stage IN ('payroll_processed', 'jobs_processed')")
+    wide = F.get_json_object("details", "$.positions_with_salary_range").cast("bigint")
+    return runs.select("stage", "input_rows", "output_rows", wide.alias("positions_with_salary_range"))
+
+
 @query("S10_load_fact", """
 SELECT job_id, agency, CAST(CAST(salary_range_to AS DECIMAL(24,6)) AS DECIMAL(12,2)) AS salary_range_to
 FROM fx_jobs WHERE year(CAST(posting_date AS TIMESTAMP)) IN (1997, 1998)""", JOBS)
 def _(fx):
-    df = facts.conform_postings(postings.build_postings(fx.jobs, None, (1997, 1998)))
-    table = f"check_postings_{uuid.uuid4().hex}"
-    for _ in range(2):  # the second load replaces the first
-        facts.load_fact(df, table, _folder(fx))
-    return fx.spark.table(table).select("job_id", "agency", "salary_range_to")
+    # Through the job from landed files; the second load replaces the first.
+    root, names = _landed(fx), [f"check_{uuid.uuid4().hex}" for _ in range(2)]
+    for hours in (0, 1):
+        audit.run_audit_from(
+            fx.spark, root, NOON + dt.timedelta(hours=hours), years=(1997, 1998), gates=False,
+            tables=tuple(names), table_path=root,
+        )
+    return fx.spark.table(names[0]).select("job_id", "agency", "salary_range_to")
 
 
 FILLED = "trim(value) <> ''"
@@ -150,7 +196,7 @@ layout AS (SELECT d.workbook, d.sheet, d.width, coalesce(header, 0) AS start,
     LEFT JOIN heads USING (workbook, sheet) LEFT JOIN titles USING (workbook, sheet)),
 kept AS (SELECT DISTINCT c.workbook, c.sheet, c.row_idx, title, start, width
     FROM fx_cells c JOIN layout l ON c.workbook = l.workbook AND c.sheet = l.sheet
-    WHERE {FILLED} AND c.row_idx > start AND c.row_idx <= start + 20),
+    WHERE {FILLED} AND c.row_idx > start),
 grid AS (SELECT k.*, unnest(range(0, width)) AS col_idx FROM kept k)
 SELECT g.workbook, g.sheet, g.title, g.row_idx,
     coalesce(nullif(trim(h.value), ''), concat('col_', CAST(g.col_idx AS VARCHAR))) AS header,
@@ -162,7 +208,25 @@ LEFT JOIN fx_cells v ON v.workbook = g.workbook AND v.sheet = g.sheet AND v.row_
 
 @query("S13_sheet_to_table", SHEETS, CELLS)
 def _(fx):
-    return cells.sheet_values(cells.sheet_rows(fx.cells, max_rows=20))
+    return cells.sheet_values(cells.sheet_rows(fx.cells))
+
+
+@query("S13_ingest_sheets", f"""
+WITH p AS (SELECT workbook, sheet, count(DISTINCT CASE WHEN row_idx < 50 AND {FILLED} THEN row_idx END) AS data_rows,
+    max(col_idx) + 1 AS width, max(row_idx) + 1 AS input_rows FROM fx_cells GROUP BY 1, 2),
+q AS (SELECT *, data_rows > 5 AND width > 2 AS qualifies FROM p),
+kept AS (SELECT * FROM (SELECT *, qualifies OR NOT bool_or(qualifies) OVER (PARTITION BY workbook) AS keep FROM q) k WHERE keep),
+filled AS (SELECT workbook, sheet, row_idx, count(*) AS n FROM fx_cells WHERE {FILLED} GROUP BY 1, 2, 3),
+heads AS (SELECT workbook, sheet, min(row_idx) AS header FROM filled WHERE row_idx < 10 AND n > 2 GROUP BY 1, 2),
+counts AS (SELECT k.workbook, k.sheet, count(f.row_idx) AS output_rows FROM kept k
+    LEFT JOIN heads h ON k.workbook = h.workbook AND k.sheet = h.sheet
+    LEFT JOIN filled f ON k.workbook = f.workbook AND k.sheet = f.sheet AND f.row_idx > coalesce(h.header, 0)
+    GROUP BY 1, 2)
+SELECT concat(k.workbook, '/lighthouse_sheet_', right(k.sheet, 1)) AS stage, input_rows, output_rows
+FROM kept k JOIN counts c ON k.workbook = c.workbook AND k.sheet = c.sheet""", CELLS)
+def _(fx):
+    runs = sheets.ingest_sheets(fx.cells, _folder(fx), FIRST)
+    return runs.select("stage", "input_rows", "output_rows")
 
 
 @query("S14_concat_chunks", "SELECT payroll_number, base_salary FROM fx_payroll", PAY)

@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 import warnings
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from paygrain.sources.schemas import BENCHMARK_NAMES
 
 _ISO_TIMESTAMP = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?$"
 
@@ -51,33 +55,24 @@ def load_stamps(df: DataFrame, as_of: dt.datetime | None = None) -> DataFrame:
 
 # ---- column names that are data -------------------------------------------------------------
 
-# Accepted names of the benchmark columns.
-BENCHMARK_NAMES = {
-    "lighthouse_job_title": ("job_title", "title", "Job Title"),
-    "lighthouse_total_postings": ("total_postings", "postings", "Total Postings"),
-    "lighthouse_median_posting_duration": (
-        "median_posting_duration", "posting_duration", "Median Posting Duration"),
-    "lighthouse_median_salary": ("median_salary", "salary", "Median Salary"),
-    "lighthouse_top_skills": ("skills", "top_skills", "Top Skills"),
-    "lighthouse_education_requirements": (
-        "education", "education_requirements", "Education Requirements"),
-    "lighthouse_experience_level": ("experience", "experience_level", "Experience Level"),
-}
-
-
-def standard_name(raw: str, names: Mapping[str, Sequence[str]], prefix: str) -> str:
-    target = {alias: name for name, aliases in names.items() for alias in aliases}
-    tidy = raw.strip().lower().replace(" ", "_").replace("-", "_")
-    tidy = "".join(ch for ch in tidy if ch == "_" or ch.isalnum())
-    for candidate in (raw, tidy):
-        if candidate in target:
-            return target[candidate]
-    return tidy if tidy.startswith(prefix) else prefix + tidy
+def standard_name(raw: str, names: Mapping[str, str], prefix: str) -> str:
+    """The standard name of a raw column name.
+
+    ``names`` is tried with the name as it is and in plain form: lower case, each blank or hyphen inside an
+    underscore, and nothing else but letters, digits and underscores. A plain name that is not known
+    gets the prefix, once.
+    """
+    plain = re.sub(r"[ -]", "_", raw.strip().lower())
+    plain = re.sub(r"\W", "", plain)
+    known = names.get(raw, names.get(plain))
+    if known is not None:
+        return known
+    return plain if plain.startswith(prefix) else f"{prefix}{plain}"
 
 
 def standardize_columns(
     df: DataFrame,
-    names: Mapping[str, Sequence[str]] = BENCHMARK_NAMES,
+    names: Mapping[str, str] = BENCHMARK_NAMES,
     prefix: str = "lighthouse_",
 ) -> DataFrame:
     """Rename by exact name, then by tidied name, else prefix the tidied name."""
@@ -104,6 +99,8 @@ def cast_by_name_pattern(df: DataFrame) -> DataFrame:
         target = type_for_name(name)
         if target == "int":
             casts[name] = F.col(f"`{name}`").try_cast("double").try_cast("int")
+        elif target == "timestamp_ntz":
+            casts[name] = lenient_timestamp(F.col(f"`{name}`"))
         elif target:
             casts[name] = F.col(f"`{name}`").try_cast(target)
     return df.withColumns(casts) if casts else df
@@ -163,8 +160,11 @@ def filter_years(df: DataFrame, timestamp: str, years: Sequence[int] = (2024, 20
 def filter_year_text(df: DataFrame, iso_text: str, years: Sequence[int]) -> DataFrame:
     """The same on ISO text, which sorts like the dates: a range of strings that the scan can use.
 
-    Text that is no timestamp may stay and has to fail the cast afterwards.
+    Text that is no timestamp may stay and has to fail the cast afterwards. A typed column is
+    filtered by :func:`filter_years`.
     """
+    if not isinstance(df.schema[iso_text].dataType, T.StringType):
+        return filter_years(df, iso_text, years)
     col, keep = F.col(iso_text), F.lit(False)
     for first, end in _year_runs(years):
         keep = keep | ((col >= f"{first:04d}-") & (col < f"{end:04d}-"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from paygrain.functions import scalars, text
 from paygrain.functions.columns import cast_by_name_pattern, standardize_columns, typed_nulls
-from paygrain.operators.percentiles import HOT_ROWS, agg_with_percentiles
+from paygrain.operators.percentiles import agg_with_percentiles
 from paygrain.operators.similarity import attach_best_match
 from paygrain.session import materialize
 
@@ -98,7 +98,7 @@ def match_benchmark(
     )
 
 
-def benchmark_match_stats(df: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def benchmark_match_stats(df: DataFrame) -> DataFrame:
     """``total_jobs`` counts matched rows only; ``n_rows`` is the number of rows."""
     score = "lighthouse_match_score"
     return agg_with_percentiles(
@@ -114,10 +114,9 @@ def benchmark_match_stats(df: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
             F.count(F.lit(1)).alias("n_rows"),
         ],
         {"median_match_score": (score, 0.5)},
-        hot_rows,
     )
 
 
-def n_unique(df: DataFrame, column: str) -> int:
-    """Number of distinct values; null counts as one."""
-    return df.select(column).distinct().count()
+def n_unique(df: DataFrame, column: str) -> DataFrame:
+    """One row ``n``: the number of distinct values; null counts as one."""
+    return df.select(column).distinct().agg(F.count(F.lit(1)).alias("n"))

@@ -26,7 +26,7 @@ from paygrain.functions.columns import (
     strict_cast,
     with_missing,
 )
-from paygrain.operators.percentiles import HOT_ROWS, agg_with_percentiles
+from paygrain.operators.percentiles import agg_with_percentiles
 from paygrain.operators.similarity import overlap_pairs
 from paygrain.session import materialize
 from paygrain.sources.schemas import (
@@ -109,7 +109,7 @@ def stg_payroll_data(
 
 
 def salary_benchmarks(
-    staged: DataFrame, min_count: int = 3, hot_rows: int = HOT_ROWS
+    staged: DataFrame, min_count: int = 3
 ) -> DataFrame:
     """Pay statistics of active staff by role and fiscal year, for groups of ``min_count``."""
     base = "base_salary"
@@ -138,7 +138,6 @@ def salary_benchmarks(
             F.avg("estimated_hourly_rate").alias("avg_rate"),
         ],
         {"median": (base, 0.5), "q1": (base, 0.25), "q3": (base, 0.75)},
-        hot_rows,
     ).where(F.col("employee_count") >= min_count)
     return stats.select(
         *ROLE_YEAR,
@@ -163,9 +162,8 @@ def int_salary_benchmarks(
     staged: DataFrame,
     min_count: int = 3,
     variance_threshold: float = 0.20,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    df = salary_benchmarks(staged, min_count, hot_rows)
+    df = salary_benchmarks(staged, min_count)
     median = F.col("median_base_salary").cast("double")
     return df.withColumns(
         {
@@ -230,9 +228,8 @@ def benchmark_match(
     """Left join of staged postings with the benchmarks of the same agency and a similar title.
 
     ``mode="all"`` keeps every partner, so a posting may appear several times. ``mode="best"``
-    keeps one: highest ratio, then most employees, then title.
+    keeps one: highest ratio, then most employees, then title. Pass stored benchmarks, which are read twice.
     """
-    benchmarks = materialize(benchmarks, "benchmarks")
     pairs = similar_titles(postings, benchmarks, threshold)
     values = benchmarks.select(
         "agency_name",
@@ -256,10 +253,7 @@ def benchmark_match(
         partners = partners.withColumn("rank", F.row_number().over(best)).where("rank = 1").drop("rank")
     elif mode != "all":
         raise ValueError(f"unknown mode: {mode}")
-    partners = materialize(
-        partners.drop("fiscal_year").withColumnRenamed("agency_name", "agency_name_standardized"),
-        "title-partners",
-    )
+    partners = partners.drop("fiscal_year").withColumnRenamed("agency_name", "agency_name_standardized")
     joined = postings.join(partners, ["agency_name_standardized", "title_description"], "left")
     ratio = F.coalesce("salary_match_ratio", F.lit(0.0).cast("float"))
     return joined.select(

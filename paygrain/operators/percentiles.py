@@ -1,107 +1,99 @@
-"""Exact, interpolated percentiles that survive a hot group.
+"""Exact, interpolated percentiles by radix selection.
 
-The built-in ``percentile`` keeps all distinct values of a group in one buffer. That is right for
-ordinary groups. Groups with ``hot_rows`` rows or more are computed by value counts that are
-spread over value buckets instead, so that no task ever holds a whole group.
+Every group is first reduced to its distinct values with their counts, combined before the shuffle. Ranks
+are then found in three steps: values of a group are cut by their leading bits, the counts of the cuts
+give the cut that holds a wanted rank, and only that cut is looked at more closely. No task
+holds or sorts more than some millions of (cut, count) pairs of one group, whatever the group holds, and there is
+one way for groups of all sizes. Interpolation is that of the built-in ``percentile``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paygrain.session import materialize
-
-HOT_ROWS = 500_000
-_BUCKETS = 256
+# Leading bits: sign, exponent and 11 bits of the fraction; then 21 more; the rest is ordered itself.
+_FIRST, _SECOND = 2.0**11, 2.0**21
 
 
 def _same(left: str, right: str, keys: Sequence[str]) -> Column:
-    condition = F.lit(True)
-    for k in keys:
-        condition = condition & F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}"))
-    return condition
+    parts = [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys]
+    return reduce(lambda a, b: a & b, parts, F.lit(True))
 
 
-def spread_percentiles(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    fractions: Sequence[float],
-    buckets: int = _BUCKETS,
-) -> DataFrame:
-    """Keys and ``percentiles`` (array of double), without gathering a group anywhere.
+def _cuts(value: Column) -> tuple[Column, Column]:
+    """Two numbers that grow with the value, the second within equal firsts.
 
-    The distinct values of a group are cut into buckets at approximate quantiles, the bucket
-    counts give the bucket that holds each wanted rank, and only those buckets are ranked.
-    The cut points are approximate, the result is exact whatever they are.
+    With |v| = f * 2^e, the first is made of e and the leading bits of f, the second of the next
+    bits. Scaling by powers of two is exact, and a rounded logarithm still grows with the value, so that the
+    order is right even where e is one off.
     """
-    if not keys:
-        one = df.select(F.lit(1).alias("_all"), value)
-        return spread_percentiles(one, ["_all"], value, fractions, buckets).drop("_all")
-    keys = list(keys)
-    counts = materialize(
-        df.where(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).cast("double").alias("v"))
-        .agg(F.count(F.lit(1)).alias("c")),
-        "value-counts",
-    )
-    steps = [i / buckets for i in range(1, buckets)]
-    cuts = counts.groupBy(*keys).agg(
-        F.percentile_approx("v", steps, 20 * buckets).alias("cuts"), F.sum("c").alias("n")
-    )
-    cuts = materialize(cuts, "value-cuts")
-    bucketed = (
-        counts.alias("a")
-        .join(cuts.alias("b"), _same("a", "b", keys))
-        .select(
-            *[F.col(f"a.{k}") for k in keys],
-            "v",
-            "c",
-            "n",
-            F.size(F.filter("cuts", lambda x: x < F.col("v"))).alias("bucket"),
-        )
+    finite = ~F.isnan(value) & (F.abs(value) < float("inf"))
+    size = F.when(finite, F.abs(value))
+    exponent = F.floor(F.log2(size))
+    scaled = size / F.pow(F.lit(2.0), exponent) * F.lit(_FIRST)
+    lead = F.floor(scaled)
+    first = (exponent + 1100) * F.lit(4 * int(_FIRST)) + lead
+    second = F.floor((scaled - lead) * F.lit(_SECOND))
+    zero, negative = size == 0, value < 0
+    ends = F.when(F.isnan(value), F.lit(2)).when(negative, F.lit(-1)).otherwise(F.lit(1)) * F.lit(1 << 40)
+    return (
+        F.when(~finite, ends).when(zero, F.lit(0)).when(negative, -first).otherwise(first).cast("long"),
+        F.when(~finite | zero, F.lit(0)).when(negative, -second).otherwise(second).cast("long"),
     )
-    # At most ``buckets`` rows per group go through this window.
-    before = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    totals = (
-        bucketed.groupBy(*keys, "bucket", "n")
-        .agg(F.sum("c").alias("rows"))
-        .withColumn("base", F.coalesce(F.sum("rows").over(before), F.lit(0)))
+
+
+def _narrowed(rows: DataFrame, keys: list[str], cut: str) -> DataFrame:
+    """Rows (keys, rank, base, ..., c) of the cuts that hold their rank, ``base`` raised to the cut's start."""
+    before = Window.partitionBy(*keys, "rank").orderBy(cut).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
     )
-    ranks = [F.floor((F.col("n") - 1) * F.lit(f)) for f in fractions]
-    ranks += [F.ceil((F.col("n") - 1) * F.lit(f)) for f in fractions]
-    wanted = F.lit(False)
-    for r in ranks:
-        wanted = wanted | ((r >= F.col("base")) & (r < F.col("base") + F.col("rows")))
-    chosen = totals.where(wanted).select(*keys, "bucket", "base")
-    within = (
-        Window.partitionBy(*keys, "bucket")
-        .orderBy("v")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    totals = rows.groupBy(*keys, "rank", "base", cut).agg(F.sum("c").alias("n_cut"))
+    totals = totals.withColumn("end", F.col("base") + F.sum("n_cut").over(before))
+    inside = (F.col("rank") >= F.col("end") - F.col("n_cut")) & (F.col("rank") < F.col("end"))
+    chosen = totals.where(inside).select(
+        *keys, "rank", cut, (F.col("end") - F.col("n_cut")).alias("new_base")
     )
-    ranked = (
-        bucketed.alias("a")
-        .join(chosen.alias("b"), _same("a", "b", keys) & (F.col("a.bucket") == F.col("b.bucket")))
-        .select(*[F.col(f"a.{k}") for k in keys], "a.bucket", "v", "c", "n", "base")
-        .withColumn("end", F.col("base") + F.sum("c").over(within))
+    a, b = rows.alias("a"), chosen.alias("b")
+    return a.join(b, _same("a", "b", [*keys, "rank", cut])).select(
+        *[F.col(f"a.{c}").alias(c) for c in rows.columns if c != "base"], F.col("b.new_base").alias("base")
     )
 
-    def value_at(rank: Column) -> Column:
-        return F.max(F.when((rank >= F.col("end") - F.col("c")) & (rank < F.col("end")), F.col("v")))
 
-    picked = ranked.groupBy(*keys, "n").agg(
-        *[value_at(r).alias(f"r{i}") for i, r in enumerate(ranks)]
+def percentiles_of(
+    df: DataFrame, keys: Sequence[str], value: str, fractions: Mapping[str, float]
+) -> DataFrame:
+    """Keys and one double per named fraction, for the groups that have a value; builds no job."""
+    keys = list(keys)
+    counts = df.where(F.col(value).isNotNull()).groupBy(
+        *keys, F.col(value).cast("double").alias("v")
+    ).agg(F.count("*").alias("c"))
+    sizes = counts.groupBy(*keys).agg(F.sum("c").alias("n"))
+    position = {name: (F.col("n") - 1) * F.lit(float(f)) for name, f in fractions.items()}
+    ranks = F.array_distinct(
+        F.array(*[f(p).cast("long") for p in position.values() for f in (F.floor, F.ceil)])
     )
-    m = len(fractions)
+    wanted = sizes.select(*keys, "n", F.explode(ranks).alias("rank"))
+    a, b = counts.alias("a"), wanted.alias("b")
+    first, second = _cuts(F.col("v"))
+    rows = a.join(b, _same("a", "b", keys)).select(
+        *[F.col(f"a.{k}").alias(k) for k in keys],
+        "v", "c", "n", "rank", F.lit(0).cast("long").alias("base"),
+        first.alias("first"), second.alias("second"),
+    )
+    for cut in ("first", "second", "v"):
+        rows = _narrowed(rows, keys, cut)
+    found = rows.groupBy(*keys, "n").agg(F.map_from_entries(F.collect_list(F.struct("rank", "v"))).alias("at"))
     results = []
-    for i, f in enumerate(fractions):
-        low, high = F.col(f"r{i}"), F.col(f"r{i + m}")
-        position = (F.col("n") - 1) * F.lit(f)
-        results.append(low + (high - low) * (position - F.floor(position)))
-    return picked.select(*keys, F.array(*results).alias("percentiles"))
+    for name, p in position.items():
+        low, high = F.floor(p).cast("long"), F.ceil(p).cast("long")
+        at_low, at_high = F.col("at")[low], F.col("at")[high]
+        between = (high - p) * at_low + (p - low) * at_high
+        results.append(F.when((low == high) | (at_low == at_high), at_low).otherwise(between).alias(name))
+    return found.select(*keys, *results)
 
 
 def agg_with_percentiles(
@@ -109,57 +101,29 @@ def agg_with_percentiles(
     keys: Sequence[str],
     aggregates: Sequence[Column],
     percentiles: Mapping[str, tuple[str, float]],
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """``groupBy(keys).agg(...)`` plus exact percentiles ``{name: (column, fraction)}``.
 
-    Without keys the result has exactly one row. Groups are sized first (one map-side combined
-    count); only the hot ones leave the single-pass plan.
+    Without keys the result has exactly one row. A group without a value has null percentiles.
     """
     keys = list(keys)
-    wanted: dict[str, list[tuple[str, float]]] = {}
+    if not keys:
+        one = df.withColumn("_all", F.lit(1))
+        result = df.agg(*aggregates).withColumn("_all", F.lit(1))
+        return _joined(one, ["_all"], result, percentiles).drop("_all")
+    return _joined(df, keys, df.groupBy(*keys).agg(*aggregates), percentiles)
+
+
+def _joined(
+    df: DataFrame, keys: list[str], result: DataFrame, percentiles: Mapping[str, tuple[str, float]]
+) -> DataFrame:
+    wanted: dict[str, dict[str, float]] = {}
     for name, (column, fraction) in percentiles.items():
-        wanted.setdefault(column, []).append((name, fraction))
-
-    def arrays(kept: Column | None) -> list[Column]:
-        out = []
-        for column, items in wanted.items():
-            value = F.col(column) if kept is None else F.when(kept, F.col(column))
-            out.append(F.percentile(value, [f for _, f in items]).alias(f"_p_{column}"))
-        return out
-
-    if keys:
-        sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        hot = materialize(sizes.where(F.col("_n") >= hot_rows).drop("_n"), "hot-groups")
-        any_hot = not hot.isEmpty()
-        if any_hot:
-            marked = (
-                df.alias("a")
-                .join(hot.withColumn("_hot", F.lit(True)).alias("b"), _same("a", "b", keys), "left")
-                .select("a.*", F.col("b._hot").isNotNull().alias("_hot"))
-            )
-            result = marked.groupBy(*keys).agg(*aggregates, *arrays(~F.col("_hot")))
-            hot_df = marked.where("_hot")
-        else:
-            result = df.groupBy(*keys).agg(*aggregates, *arrays(None))
-    else:
-        any_hot = df.count() >= hot_rows
-        result = df.agg(*aggregates, *([] if any_hot else arrays(None)))
-        hot_df = df
-
-    for column, items in wanted.items():
-        array = F.col(f"_p_{column}")
-        if any_hot:
-            fractions = [f for _, f in items]
-            spread = spread_percentiles(hot_df.select(*keys, column), keys, column, fractions)
-            if keys:
-                joined = result.alias("a").join(spread.alias("b"), _same("a", "b", keys), "left")
-                result = joined.select("a.*", "percentiles")
-                array = F.coalesce("percentiles", array)
-            else:
-                result = result.withColumn("percentiles", spread.scalar())
-                array = F.col("percentiles")
-        result = result.withColumns(
-            {name: F.try_element_at(array, F.lit(i + 1)) for i, (name, _) in enumerate(items)}
-        ).drop(f"_p_{column}", "percentiles")
+        wanted.setdefault(column, {})[name] = fraction
+    for column, fractions in wanted.items():
+        found = percentiles_of(df.select(*keys, column), keys, column, fractions)
+        a, b = result.alias("a"), found.alias("b")
+        result = a.join(b, _same("a", "b", keys), "left").select(
+            *[F.col(f"a.{c}").alias(c) for c in result.columns], *[F.col(f"b.{n}") for n in fractions]
+        )
     return result

@@ -16,7 +16,7 @@ from paygrain.functions.columns import (
     with_missing,
 )
 from paygrain.operators.payroll import salary_lookup
-from paygrain.operators.percentiles import HOT_ROWS, agg_with_percentiles
+from paygrain.operators.percentiles import agg_with_percentiles
 from paygrain.operators.similarity import attach_best_match
 from paygrain.session import materialize
 from paygrain.sources.schemas import POSTINGS_OUTPUT, RAW_POSTINGS
@@ -84,7 +84,7 @@ def build_postings(
     return df.select([c for c in POSTINGS_OUTPUT if c not in dropped])
 
 
-def duration_stats(df: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def duration_stats(df: DataFrame) -> DataFrame:
     days = "posting_duration_days"
     return agg_with_percentiles(
         df,
@@ -96,11 +96,10 @@ def duration_stats(df: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
             F.count_if(F.col("posting_end").isNull()).alias("null_process_dates"),
         ],
         {"median_duration": (days, 0.5)},
-        hot_rows,
     )
 
 
-def payroll_match_stats(df: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def payroll_match_stats(df: DataFrame) -> DataFrame:
     """``total_jobs`` counts matched rows only; ``n_rows`` is the number of rows."""
     score = "best_match_score"
     return agg_with_percentiles(
@@ -114,5 +113,4 @@ def payroll_match_stats(df: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
             F.count(F.lit(1)).alias("n_rows"),
         ],
         {"median_match_score": (score, 0.5)},
-        hot_rows,
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 import warnings
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -89,35 +90,39 @@ def run_checks(df: DataFrame, checks: TableChecks) -> DataFrame:
     for c in checks.unique:
         row = check_unique(df, c).agg(F.count(F.lit(1)).alias("unique"))
         parts.append(_as_checks(row, {"unique": ("unique", c)}))
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    return reduce(DataFrame.unionByName, parts, df.sparkSession.createDataFrame([], CHECK_SCHEMA))
+
+
+def model_checks(models: Mapping[str, DataFrame]) -> DataFrame:
+    """(model, check, column, failed_rows, passed) of the declared checks of the given models."""
+    parts = [
+        run_checks(df, MODEL_CHECKS[name]).select(F.lit(name).alias("model"), "*")
+        for name, df in models.items()
+        if name in MODEL_CHECKS
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def rate_checks(
     df: DataFrame, columns: Sequence[str], max_null: float = 0.05, max_duplicate: float = 0.01
 ) -> DataFrame:
-    """Share of nulls and of surplus copies per column against the limits."""
-    total = F.count(F.lit(1))
-    parts = []
-    for c in columns:
-        per_value = df.groupBy(c).agg(total.alias("n"))
-        present = F.when(F.col(c).isNotNull(), F.col("n"))
-        parts.append(
-            per_value.agg(
-                F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
-                F.coalesce(F.sum(F.when(F.col(c).isNull(), F.col("n"))), F.lit(0)).alias("nulls"),
-                F.coalesce(F.sum(present - 1), F.lit(0)).alias("duplicates"),
-            ).select(
-                F.lit(c).alias("column"),
-                F.try_divide("nulls", "rows").alias("null_rate"),
-                F.try_divide("duplicates", "rows").alias("duplicate_rate"),
-            )
-        )
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
+    """Share of nulls and of surplus copies per column against the limits, all in one scan and two sums."""
+    pairs = F.array(
+        *[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]
+    )
+    per_value = df.select(F.inline(pairs)).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    present = F.when(F.col("value").isNotNull(), F.col("n"))
+    sums = per_value.groupBy("column").agg(
+        F.sum("n").alias("rows"),
+        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("nulls"),
+        F.coalesce(F.sum(present - 1), F.lit(0)).alias("duplicates"),
+    )
+    names = df.sparkSession.createDataFrame([(c,) for c in columns], "column string")
+    result = names.join(sums, "column", "left").select(
+        "column",
+        F.try_divide("nulls", "rows").alias("null_rate"),
+        F.try_divide("duplicates", "rows").alias("duplicate_rate"),
+    )
     return result.withColumns(
         {
             "null_rate_passed": F.coalesce(F.col("null_rate") <= max_null, F.lit(True)),

@@ -12,7 +12,7 @@ from paygrain.functions.columns import (
     high_quality_payroll_matches,
     rule_conditions,
 )
-from paygrain.operators.percentiles import HOT_ROWS, agg_with_percentiles
+from paygrain.operators.percentiles import agg_with_percentiles
 
 COMPLETENESS = {
     "agency": "agency",
@@ -239,7 +239,7 @@ def top_titles(postings: DataFrame, n: int = 10) -> DataFrame:
     )
 
 
-def salary_statistics(postings: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def salary_statistics(postings: DataFrame) -> DataFrame:
     names = ("salary_range_from", "salary_range_to", "payroll_salary_min", "payroll_salary_max")
     low, high, pay_low, pay_high = names
     df = postings.where(F.col(low).isNotNull() & F.col(high).isNotNull()).select(
@@ -255,11 +255,10 @@ def salary_statistics(postings: DataFrame, hot_rows: int = HOT_ROWS) -> DataFram
             F.avg(pay_high).alias("avg_payroll_max"),
         ],
         {"median_min_salary": (low, 0.5), "median_max_salary": (high, 0.5)},
-        hot_rows,
     )
 
 
-def duration_variance_statistics(durations: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def duration_variance_statistics(durations: DataFrame) -> DataFrame:
     pct = F.col("duration_variance_pct")
     df = durations.where(pct.isNotNull()).select(pct.cast("double").alias("duration_variance_pct"))
     return agg_with_percentiles(
@@ -272,7 +271,6 @@ def duration_variance_statistics(durations: DataFrame, hot_rows: int = HOT_ROWS)
             _count_where(pct < 0, "shorter_than_expected"),
         ],
         {"median_variance_pct": ("duration_variance_pct", 0.5)},
-        hot_rows,
     )
 
 

@@ -3,14 +3,48 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from paygrain.functions import text
+from paygrain.functions.columns import standard_name
 from paygrain.operators import benchmark, facts, marts, payroll, postings, quality, reports
 from paygrain.session import materialize
 from paygrain.sources import snapshots
+from paygrain.sources.schemas import BENCHMARK_NAMES, PAYROLL_SCHEMA, POSTINGS_SCHEMA
+
+
+PAYROLL_SOURCE, POSTINGS_SOURCE, BENCHMARK_SOURCE = "raw_payroll", "raw_postings", "raw_benchmark"
+
+
+def _means(*columns: str) -> list[Column]:
+    return [F.avg(F.col(c).cast("double")).alias(f"avg_{c}") for c in columns]
+
+
+def _statistics(name: str) -> list[Column]:
+    """Aggregates of a stage that its writing job takes along."""
+    if name == "payroll_processed":
+        return [
+            *_means("salary_min", "salary_max", "salary_range_width", "employee_count_in_role"),
+            F.count_if(F.col("salary_range_width") > 0).alias("positions_with_salary_range"),
+        ]
+    if name == "jobs_processed":
+        return [
+            *_means("posting_duration_days", "best_match_score"),
+            F.min("posting_duration_days").alias("min_duration"),
+            F.max("posting_duration_days").alias("max_duration"),
+            F.count("best_match_score").alias("matched_rows"),
+            F.count("payroll_salary_min").alias("jobs_with_payroll_salary"),
+        ]
+    if name == "jobs_benchmark_matched":
+        return [
+            *_means("lighthouse_match_score", "duration_variance", "duration_variance_pct"),
+            F.count("lighthouse_match_score").alias("matched_rows"),
+            F.count_if(F.col("lighthouse_match_score") >= 0.8).alias("high_quality_matches_80_plus"),
+        ]
+    return []
 
 
 class _Store:
@@ -20,15 +54,29 @@ class _Store:
         self.spark, self.root, self.as_of = spark, root, as_of
 
     def keep(
-        self, df: DataFrame, name: str, steps: Sequence[str], thresholds: dict | None = None
-    ) -> DataFrame:
+        self,
+        build: Callable[[DataFrame], DataFrame | None],
+        source: DataFrame,
+        name: str,
+        steps: Sequence[str],
+        thresholds: dict | None = None,
+    ) -> DataFrame | None:
+        """Store ``build(source)``; the run record has the rows read, the rows written and the
+        statistics of the stage, all counted by the one job that writes."""
         if self.root is None:
-            return materialize(df, name)
-        rows = snapshots.write_processed(df, self.root, name, self.as_of)
-        snapshots.record_run(
-            self.spark, self.root, name, None, rows, df.columns, steps, self.as_of, thresholds
-        )
+            df = build(source)
+            return None if df is None else materialize(df, name)
+        seen = Observation()
+        df = build(source.observe(seen, F.count(F.lit(1)).alias("rows")))
+        if df is None:
+            return None
         path = snapshots.snapshot_path(self.root, name, self.as_of)
+        counted = snapshots.write_counted(df, path, measures=_statistics(name))
+        rows = counted.pop("rows")
+        snapshots.record_run(
+            self.spark, self.root, name, seen.get["rows"], rows, df.columns, steps, self.as_of,
+            thresholds, counted,
+        )
         return self.spark.read.schema(df.schema).parquet(path)
 
 
@@ -42,73 +90,128 @@ def run_audit(
     benchmark_threshold: float = benchmark.MATCH_THRESHOLD,
     root: str | None = None,
     gates: bool = True,
+    order: str | None = None,
+    tables: tuple[str, str] | None = None,
+    table_path: str | None = None,
+    register: bool = False,
+    processed_payroll: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """Process the three sources, match them, build the facts, views and reports.
+    """Process the three sources, match them, build and load the facts, views and reports.
 
     Every stage that more than one later stage reads is stored once (as a snapshot with a run
-    record if ``root`` is given). With ``gates`` an empty stage or a failed quality gate raises.
+    record if ``root`` is given). With ``gates`` an empty stage or a failed quality gate raises. ``order``
+    names a column of payroll and benchmark that gives the order of their rows: the first key wins a
+    tie of the match, the last row of a title its attributes. ``tables`` are the catalog tables (postings,
+    durations) that the facts replace, below ``table_path`` if given; the load gate follows. ``register``
+    makes the facts and views known to SQL. ``processed_payroll`` replaces the first stage.
     """
-    spark = raw_payroll.sparkSession
+    spark = raw_postings.sparkSession
     store = _Store(spark, root, as_of)
 
     def stage(df: DataFrame | None, name: str) -> DataFrame:
         return quality.empty_stage_gate(df, name) if gates else df
 
-    pay = stage(
-        store.keep(
-            payroll.build_payroll(raw_payroll),
+    pay = processed_payroll
+    if pay is None:
+        ordered = raw_payroll.withColumnRenamed(order, "ord") if order else raw_payroll
+        ranges = payroll.role_salary_range(payroll.prepare_payroll(ordered))
+        ranges = materialize(ranges, "role-ranges")
+        pay = store.keep(
+            lambda raw: payroll.build_payroll(raw, ranges),
+            ordered,
             "payroll_processed",
             ["column_selection", "annual_salary", "role_salary_range", "match_key"],
-        ),
-        "payroll",
+        )
+    pay = stage(pay, "payroll")
+    jobs = store.keep(
+        lambda raw: postings.build_postings(raw, pay, years, payroll_threshold),
+        raw_postings,
+        "jobs_processed",
+        ["year_filter", "posting_duration", "match_key", "payroll_match"],
+        {"match_threshold": payroll_threshold},
     )
-    jobs = stage(
-        store.keep(
-            postings.build_postings(raw_postings, pay, years, payroll_threshold),
-            "jobs_processed",
-            ["year_filter", "posting_duration", "match_key", "payroll_match"],
-            {"match_threshold": payroll_threshold},
-        ),
-        "postings",
+    jobs = stage(jobs, "postings")
+    bench = store.keep(
+        benchmark.build_benchmark,
+        raw_benchmark,
+        "benchmark_processed",
+        ["column_names", "data_types", "analysis_columns"],
     )
-    bench = stage(
-        store.keep(
-            benchmark.build_benchmark(raw_benchmark),
-            "benchmark_processed",
-            ["column_names", "data_types", "analysis_columns"],
-        ),
-        "benchmark",
-    )
-    matched = stage(benchmark.match_benchmark(jobs, bench, benchmark_threshold), "duration")
+    bench = stage(bench, "benchmark")
+    place = standard_name(order, BENCHMARK_NAMES, "lighthouse_") if order else None
     matched = store.keep(
-        matched,
+        lambda df: benchmark.match_benchmark(df, bench, benchmark_threshold, place),
+        jobs,
         "jobs_benchmark_matched",
         ["benchmark_match", "duration_variance"],
         {"match_threshold": benchmark_threshold},
     )
+    matched = stage(matched, "duration")
     fact_postings = store.keep(
-        facts.conform_postings(jobs, as_of=as_of), "fact_postings", ["conform"]
+        lambda df: facts.conform_postings(df, as_of=as_of), jobs, "fact_postings", ["conform"]
     )
     fact_duration = store.keep(
-        facts.conform_duration(matched, as_of=as_of), "fact_duration", ["conform"]
+        lambda df: facts.conform_duration(df, as_of=as_of), matched, "fact_duration", ["conform"]
     )
     if gates:
         quality.critical_gate(fact_postings, fact_duration)
-    return {
-        "payroll_processed": pay,
-        "jobs_processed": jobs,
-        "benchmark_processed": bench,
-        "jobs_benchmark_matched": matched,
+    if tables:
+        for df, table in zip((fact_postings, fact_duration), tables):
+            facts.load_fact(df, table, f"{table_path}/{table}" if table_path else None)
+        if gates:
+            quality.load_gate(*map(spark.table, tables))
+    views = {
         "fact_postings": fact_postings,
         "fact_duration": fact_duration,
         "vw_high_quality_payroll_matches": reports.high_quality_payroll_view(fact_postings),
         "vw_posting_duration_analysis": reports.posting_duration_view(fact_duration, fact_postings),
         "vw_audit_summary_stats": reports.audit_summary(fact_postings, fact_duration),
+    }
+    if register:
+        for name, df in views.items():
+            df.createOrReplaceTempView(name)
+    return {
+        "payroll_processed": pay,
+        "jobs_processed": jobs,
+        "benchmark_processed": bench,
+        "jobs_benchmark_matched": matched,
+        **views,
         "quality_report": reports.quality_report(fact_postings, fact_duration),
         **reports.summary_report(fact_postings, fact_duration),
     }
 
 
+def run_audit_from(
+    spark: SparkSession,
+    root: str,
+    as_of: dt.datetime,
+    max_age_hours: float = 24,
+    benchmark_max_age_hours: float = 48,
+    **options,
+) -> dict[str, DataFrame]:
+    """:func:`run_audit` from the landed snapshots below ``root``, which also gets the stages.
+
+    Payroll and postings are JSON lines, the benchmark is a stored table; the newest committed snapshot of each
+    is read. Processed payroll that is young enough at ``as_of`` is used as it is. A source without a
+    snapshot, or a benchmark that is too old, raises.
+    """
+    done = snapshots.recent_snapshot(spark, root, "payroll_processed", as_of, max_age_hours)
+    found = {
+        PAYROLL_SOURCE: snapshots.latest_snapshot(spark, root, PAYROLL_SOURCE, PAYROLL_SCHEMA),
+        POSTINGS_SOURCE: snapshots.latest_snapshot(spark, root, POSTINGS_SOURCE, POSTINGS_SCHEMA),
+        BENCHMARK_SOURCE: snapshots.recent_snapshot(
+            spark, root, BENCHMARK_SOURCE, as_of, benchmark_max_age_hours
+        ),
+    }
+    missing = [n for n, df in found.items() if df is None and not (done and n == PAYROLL_SOURCE)]
+    if missing:
+        raise FileNotFoundError(f"no snapshot of {', '.join(missing)} below {root}")
+    raw = [None if df is None else df.drop("snapshot_ts") for df in found.values()]
+    if done is not None:
+        done = done.drop("snapshot_ts")
+    return run_audit(*raw, as_of, root=root, processed_payroll=done, **options)
+
+
 def run_models(
     raw_payroll: DataFrame,
     raw_postings: DataFrame,
@@ -119,7 +222,8 @@ def run_models(
     mode: str = "all",
     register: bool = False,
 ) -> dict[str, DataFrame]:
-    """Staging, benchmarks and mart; ``register`` also creates temporary views for SQL users."""
+    """Staging, benchmarks, mart and ``model_checks``; ``register`` also creates temporary views for SQL
+    users. The checks are a table (model, check, column, failed_rows, passed) that is evaluated when read."""
     staged_pay = marts.stg_payroll_data(raw_payroll, agency_rules, as_of)
     staged_jobs = marts.stg_job_postings(raw_postings, agency_rules, as_of)
     benchmarks = materialize(marts.int_salary_benchmarks(staged_pay), "int-benchmarks")
@@ -130,4 +234,4 @@ def run_models(
     if register:
         for name, df in models.items():
             df.createOrReplaceTempView(name)
-    return models
+    return {**models, "model_checks": quality.model_checks(models)}

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,8 +17,6 @@ SESSION_CONF = {
     "spark.ui.enabled": "false",
 }
 
-_local_scratch: dict[str, str] = {}
-
 
 def build_session(app_name: str, master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
@@ -30,22 +28,20 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach: ``spark.checkpoint.dir``.
+    """Folder every executor can reach: ``spark.checkpoint.dir``, set as a setting or on the context.
 
-    Only a local-mode session may go without it and gets a temporary folder.
+    A local session without it uses its warehouse folder; any other is refused.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if configured:
         return configured
-    sc = spark.sparkContext
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    if sc.applicationId not in _local_scratch:
-        _local_scratch[sc.applicationId] = tempfile.mkdtemp(prefix="paygrain-")
-    return _local_scratch[sc.applicationId]
+    if sc.master.startswith("local") and not sc.master.startswith("local-cluster"):
+        return spark.conf.get("spark.sql.warehouse.dir")
+    raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` to the scratch area and read it back.
 
     Used for compact, aggregated tables that several later steps read. It cuts the lineage
@@ -55,5 +51,5 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark).rstrip('/')}/paygrain/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=list(by) or None)
     return spark.read.schema(df.schema).parquet(path)

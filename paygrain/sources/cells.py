@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -70,17 +72,22 @@ def _by_column(fallback) -> F.Column:
     )
 
 
-def sheet_rows(cells: DataFrame, max_rows: int = 1000) -> DataFrame:
+def sheet_rows(
+    cells: DataFrame, max_rows: int | None = None, keep: DataFrame | None = None
+) -> DataFrame:
     """Table rows of all sheets: ``workbook, sheet, title, row_idx, headers, values``.
 
     Blank rows are dropped and missing cells are empty text; a blank header becomes ``col_<j>``.
-    Only one row of a sheet is ever put together, never a sheet.
+    Only one row of a sheet is ever put together, never a sheet. All rows are taken unless ``max_rows``
+    asks for the first ones; ``keep`` is a profile of which only the sheets marked to keep are taken.
     """
+    if keep is not None:
+        cells = cells.join(keep.where("keep").select(*SHEET), SHEET, "left_semi")
     cells = _trimmed(cells)
     layout = _sheet_layout(cells)
-    placed = cells.join(layout, SHEET).where(
-        F.col("row_idx").between(F.col("start"), F.col("start") + max_rows)
-    )
+    placed = cells.join(layout, SHEET).where(F.col("row_idx") >= F.col("start"))
+    if max_rows is not None:
+        placed = placed.where(F.col("row_idx") <= F.col("start") + max_rows)
     filled = F.map_from_entries(
         F.collect_list(F.when(F.length("text") > 0, F.struct("col_idx", "text")))
     )
@@ -104,13 +111,22 @@ def sheet_values(rows: DataFrame) -> DataFrame:
     return rows.select(*SHEET, "title", "row_idx", pairs.alias("header", "value"))
 
 
+def sheet_heads(rows: DataFrame) -> DataFrame:
+    """One row per sheet with rows: ``workbook, sheet, title, headers, n_rows``."""
+    return rows.groupBy(*SHEET, "title", "headers").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def named_columns(rows: DataFrame, sheet: str, headers: Sequence[str]) -> DataFrame:
+    """The rows of one sheet with its header as column names."""
+    if len(set(headers)) < len(headers):
+        raise ValueError(f"repeated column names in sheet {sheet}: {list(headers)}")
+    return rows.select([F.get("values", F.lit(j)).alias(n) for j, n in enumerate(headers)])
+
+
 def sheet_to_table(rows: DataFrame, workbook: str, sheet: str) -> tuple[DataFrame, str] | None:
     """One sheet with its header as column names, and its title; ``None`` for an empty sheet."""
-    df = rows.where((F.col("workbook") == workbook) & (F.col("sheet") == sheet))
+    df = rows.where((F.col("workbook").cast("string") == workbook) & (F.col("sheet") == sheet))
     first = df.select("headers", "title").first()
     if first is None:
         return None
-    names = first["headers"]
-    if len(set(names)) < len(names):
-        raise ValueError(f"repeated column names in sheet {sheet}: {names}")
-    return df.select([F.get("values", F.lit(j)).alias(n) for j, n in enumerate(names)]), first["title"]
+    return named_columns(df, sheet, first["headers"]), first["title"]

@@ -51,6 +51,30 @@ FACT_DURATION = {
     "lighthouse_experience_level": "varchar(200)", "lighthouse_salary_category": "varchar(50)",
     "lighthouse_posting_intensity": "decimal(8,4)",
 }
+# Accepted names of the benchmark columns and their standard names.
+BENCHMARK_NAMES = {
+    "job_title": "lighthouse_job_title",
+    "title": "lighthouse_job_title",
+    "Job Title": "lighthouse_job_title",
+    "total_postings": "lighthouse_total_postings",
+    "postings": "lighthouse_total_postings",
+    "Total Postings": "lighthouse_total_postings",
+    "median_posting_duration": "lighthouse_median_posting_duration",
+    "posting_duration": "lighthouse_median_posting_duration",
+    "Median Posting Duration": "lighthouse_median_posting_duration",
+    "median_salary": "lighthouse_median_salary",
+    "salary": "lighthouse_median_salary",
+    "Median Salary": "lighthouse_median_salary",
+    "skills": "lighthouse_top_skills",
+    "top_skills": "lighthouse_top_skills",
+    "Top Skills": "lighthouse_top_skills",
+    "education": "lighthouse_education_requirements",
+    "education_requirements": "lighthouse_education_requirements",
+    "Education Requirements": "lighthouse_education_requirements",
+    "experience": "lighthouse_experience_level",
+    "experience_level": "lighthouse_experience_level",
+    "Experience Level": "lighthouse_experience_level",
+}
 FACT_POSTINGS_TABLE = "fact_2024_2025_job_postings"
 FACT_DURATION_TABLE = "fact_2024_2025_posting_duration"
 

@@ -11,7 +11,7 @@ import json
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,17 +27,34 @@ METADATA_SCHEMA = (
 
 
 def read_raw_json(
-    spark: SparkSession, path: str, schema: T.StructType, lines: bool = False
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    lines: bool = False,
+    wrapped: bool = False,
+    corrupt: str | None = None,
 ) -> DataFrame:
-    """Rows of a JSON array, of ``{"data": [...]}`` or (``lines=True``) of JSON lines.
+    """Rows of a JSON array per file, or (``lines``) of one object a line, or (``wrapped``) of the lists in
+    ``{"data": [...]}`` objects in either layout.
 
-    Only JSON lines can be split over tasks; use that form for large sources.
+    Only lines can be split over tasks; a file in the other layout is read by one task. Text that is no
+    JSON raises, unless ``corrupt`` names a column that then holds it (null for good rows).
     """
+    shape = T.StructType([T.StructField("data", T.ArrayType(schema))]) if wrapped else schema
     names = [f.name for f in schema.fields]
-    wrapped = T.StructType([*schema.fields, T.StructField("data", T.ArrayType(schema))])
-    df = spark.read.schema(wrapped).json(path, multiLine=not lines)
-    rows = F.coalesce("data", F.array(F.struct(*names)))
-    return df.select(F.inline(rows))
+    if corrupt is None:
+        df = spark.read.schema(shape).json(path, multiLine=not lines, mode="FAILFAST")
+        return df.select(F.inline("data")) if wrapped else df
+    shape = T.StructType([*shape.fields, T.StructField(corrupt, T.StringType())])
+    df = spark.read.schema(shape).json(
+        path, multiLine=not lines, mode="PERMISSIVE", columnNameOfCorruptRecord=corrupt
+    )
+    if not wrapped:
+        return df
+    rows = df.select(corrupt, F.explode_outer("data").alias("row"))
+    return rows.where(F.col("row").isNotNull() | F.col(corrupt).isNotNull()).select(
+        *[F.col("row")[n].alias(n) for n in names], corrupt
+    )
 
 
 def read_benchmark(spark: SparkSession, path: str) -> DataFrame:
@@ -54,11 +71,15 @@ def read_processed(spark: SparkSession, path: str) -> DataFrame:
 
 
 def list_snapshots(spark: SparkSession, root: str, source: str) -> list[tuple[str, str]]:
-    """(timestamp text, path) of the snapshots of a source, oldest first."""
+    """(timestamp text, path) of the committed snapshots of a source, oldest first.
+
+    A snapshot counts once its write has left ``_SUCCESS``. Folders are listed by the session's own file
+    system, which has no public Python call; Spark Connect sessions are not supported.
+    """
     jvm = spark.sparkContext._jvm
-    pattern = jvm.org.apache.hadoop.fs.Path(f"{root}/{source}/snapshot_ts=*")
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{root}/{source}/snapshot_ts=*/_SUCCESS")
     files = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    paths = [str(s.getPath().toString()) for s in files.globStatus(pattern) or []]
+    paths = [str(s.getPath().getParent().toString()) for s in files.globStatus(pattern) or []]
     return sorted((p.rsplit("snapshot_ts=", 1)[1], p) for p in paths)
 
 
@@ -117,20 +138,22 @@ def snapshot_path(root: str, source: str, as_of: dt.datetime) -> str:
     return f"{root}/{source}/snapshot_ts={as_of.strftime(TIMESTAMP_FORMAT)}"
 
 
-def _write_counted(df: DataFrame, path: str, file_format: str) -> int:
-    """Write and return the number of rows, counted by the writing job itself."""
+def write_counted(
+    df: DataFrame, path: str, file_format: str = "parquet", measures: Sequence[Column] = ()
+) -> dict[str, object]:
+    """Write; the number of ``rows`` and other aggregates, taken by the writing job itself."""
     seen = Observation()
-    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"), *measures)
     counted.write.mode("overwrite").format(file_format).save(path)
-    return seen.get["rows"]
+    return seen.get
 
 
 def write_raw(df: DataFrame, root: str, source: str, as_of: dt.datetime) -> int:
-    return _write_counted(df, snapshot_path(root, source, as_of), "json")
+    return write_counted(df, snapshot_path(root, source, as_of), "json")["rows"]
 
 
 def write_processed(df: DataFrame, root: str, name: str, as_of: dt.datetime) -> int:
-    return _write_counted(df, snapshot_path(root, name, as_of), "parquet")
+    return write_counted(df, snapshot_path(root, name, as_of))["rows"]
 
 
 def record_run(
@@ -151,8 +174,12 @@ def record_run(
         stage, input_rows, output_rows, list(columns), list(transformations), limits,
         json.dumps(details or {}, default=str), as_of,
     )
-    df = spark.createDataFrame([row], METADATA_SCHEMA)
-    df.coalesce(1).write.mode("append").parquet(f"{root}/run_metadata")
+    append_runs(spark.createDataFrame([row], METADATA_SCHEMA).coalesce(1), root)
+
+
+def append_runs(records: DataFrame, root: str) -> None:
+    """Append rows of the run metadata table."""
+    records.write.mode("append").parquet(f"{root}/run_metadata")
 
 
 def read_runs(spark: SparkSession, root: str) -> DataFrame:

@@ -66,4 +66,4 @@ def test_guard_for_missing_columns(spark):
 
 def test_n_unique_counts_null(spark):
     df = spark.createDataFrame([("a",), ("a",), (None,)], "t string")
-    assert benchmark.n_unique(df, "t") == 2
+    assert [tuple(r) for r in benchmark.n_unique(df, "t").collect()] == [(2,)]

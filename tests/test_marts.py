@@ -2,43 +2,42 @@ import datetime as dt
 import random
 import statistics
 
-import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from paygrain.operators import marts
-from paygrain.operators.percentiles import agg_with_percentiles, spread_percentiles
+from paygrain.operators.percentiles import agg_with_percentiles
 
 AS_OF = dt.datetime(2025, 6, 1)
 
 
-def test_percentiles_of_hot_and_cold_groups(spark):
+def test_percentiles_equal_the_built_in_to_the_last_bit(spark):
     rng = random.Random(5)
     groups = {
-        "hot": [round(rng.gauss(100, 50), 2) for _ in range(3000)],
+        "many": [round(rng.gauss(100, 50), 2) for _ in range(3000)],
+        "wide": [rng.choice([-1, 1]) * rng.random() * 10.0 ** rng.randint(-12, 12) for _ in range(700)],
+        "close": [1000 + rng.randint(0, 300) * 2.0**-40 for _ in range(400)],
+        "powers": [s * 2.0**k for k in range(-40, 40) for s in (1, -1, 1 - 2**-52)],
         "same": [7.0] * 900 + [8.0],
-        "cold": [3.0, 1.0, None, 2.0, 10.0],
+        "odd": [0.0, float("inf"), float("-inf"), 5e-324, -5e-324, float("nan")],
+        "few": [3.0, 1.0, None, 2.0, 10.0],
         None: [1.0, 2.0],
         "empty": [None, None],
     }
+    for i in range(60):
+        groups[f"g{i}"] = [rng.gauss(0, 1) for _ in range(rng.randint(1, 9))]
     rows = [(k, v) for k, values in groups.items() for v in values]
     df = spark.createDataFrame(rows, "k string, v double").repartition(4)
     fractions = {"q1": 0.25, "m": 0.5, "p99": 0.99, "lo": 0.0, "hi": 1.0}
-    for hot in (500, 10**6):
-        got = agg_with_percentiles(
-            df, ["k"], [F.count(F.lit(1)).alias("n")], {n: ("v", f) for n, f in fractions.items()}, hot
-        ).collect()
-        assert len(got) == len(groups)
-        for row in got:
-            values = [v for v in groups[row.k] if v is not None]
-            assert row.n == len(groups[row.k])
-            for name, f in fractions.items():
-                expected = pytest.approx(float(np.quantile(values, f))) if values else None
-                assert row[name] == expected
-    # Few buckets and no keys.
-    values = [v for k, v in rows if v is not None]
-    row = spread_percentiles(df, [], "v", [0.5, 0.9], buckets=4).first()
-    assert row.percentiles == [pytest.approx(float(np.quantile(values, f))) for f in (0.5, 0.9)]
+    wanted = {n: ("v", f) for n, f in fractions.items()}
+    got = agg_with_percentiles(df, ["k"], [F.count(F.lit(1)).alias("n")], wanted).collect()
+    built_in = df.groupBy("k").agg(
+        F.count(F.lit(1)).alias("n"), *[F.percentile("v", f).alias(n) for n, f in fractions.items()]
+    )
+    assert len(got) == len(groups)
+    assert {str(r.asDict()) for r in got} == {str(r.asDict()) for r in built_in.collect()}
+    row = agg_with_percentiles(df.where("v < 1000"), [], [F.count("v").alias("n")], {"m": ("v", 0.37)}).first()
+    assert row.m == df.where("v < 1000").agg(F.percentile("v", 0.37)).first()[0]
 
 
 def test_global_percentile_of_nothing_is_one_null_row(spark):

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from paygrain.operators import payroll
+from paygrain.session import materialize
 from paygrain.sources.schemas import PAYROLL_OUTPUT, RAW_PAYROLL, all_strings
 
 ROWS = [
@@ -69,12 +70,23 @@ def test_top_ranges_and_sample(spark, raw):
     assert stats.positions_with_salary_range == 3 and stats.avg_employees_per_role == 10 / 7
 
 
-def test_join_back_is_map_side_for_small_statistics(spark, raw):
-    df = payroll.with_role_range(payroll.standardize_annual_salary(raw))
+def test_join_back_is_map_side_for_stored_statistics(spark, raw):
+    pay = payroll.standardize_annual_salary(raw)
+    df = payroll.with_role_range(pay, materialize(payroll.role_salary_range(pay), "ranges"))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
 
 
+def test_role_table_equals_the_joined_rows(spark, raw):
+    pay = payroll.standardize_annual_salary(raw)
+    rows, roles = payroll.with_role_range(pay), payroll.role_table(pay)
+    assert sum(r.n_rows for r in roles.collect()) == len(ROWS)
+    for f in (payroll.top_ranges, payroll.distinct_sample):
+        assert f(rows, 9).collect() == f(roles, 9).collect()
+    a, b = (payroll.salary_range_stats(df).first() for df in (rows, roles))
+    assert list(a) == pytest.approx(list(b)) and a.positions_with_salary_range == 3
+
+
 def test_join_back_splits_skew_when_statistics_are_large(spark):
     """Beyond the broadcast limit the plan is a sort-merge join whose hot key is split."""
     settings = {

@@ -3,6 +3,7 @@ import json
 
 import pytest
 
+from paygrain.plans.sheets import ingest_sheets, read_sheet
 from paygrain.sources import cells, snapshots
 from paygrain.sources.schemas import CELLS_SCHEMA, all_strings
 
@@ -14,11 +15,27 @@ def test_raw_json_forms(spark, tmp_path):
     rows = [{"a": "1", "b": "x"}, {"a": "2"}]
     (tmp_path / "array.json").write_text(json.dumps(rows, indent=2))
     (tmp_path / "wrapped.json").write_text(json.dumps({"data": rows}))
-    for name in ("array.json", "wrapped.json"):
-        df = snapshots.read_raw_json(spark, str(tmp_path / name), SCHEMA)
+    (tmp_path / "lines.json").write_text("\n".join(map(json.dumps, rows)))
+    (tmp_path / "wrapped_lines.json").write_text("\n".join(json.dumps({"data": [r]}) for r in rows))
+    for name in ("array", "wrapped", "lines", "wrapped_lines"):
+        form = {"lines": "lines" in name, "wrapped": "wrapped" in name}
+        df = snapshots.read_raw_json(spark, str(tmp_path / f"{name}.json"), SCHEMA, **form)
         assert sorted((r.a, r.b) for r in df.collect()) == [("1", "x"), ("2", None)]
 
 
+def test_bad_json_raises_or_is_kept(spark, tmp_path):
+    path = str(tmp_path / "bad.json")
+    (tmp_path / "bad.json").write_text('{"a": "1", "data": "own"}\n{"a": \n')
+    schema = all_strings(["a", "data"])
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        snapshots.read_raw_json(spark, path, schema, lines=True).collect()
+    df = snapshots.read_raw_json(spark, path, schema, lines=True, corrupt="bad").cache()
+    assert sorted(map(tuple, df.collect()), key=str) == [("1", "own", None), (None, None, '{"a": ')]
+    (tmp_path / "wrapped.json").write_text('{"data": [{"a": "1"}]}\n{"data": \n')
+    df = snapshots.read_raw_json(spark, str(tmp_path / "wrapped.json"), schema, True, True, "bad")
+    assert sorted(map(tuple, df.collect()), key=str) == [("1", None, None), (None, None, '{"data": ')]
+
+
 def test_benchmark_formats(spark, tmp_path):
     (tmp_path / "b.csv").write_text("Job Title,salary\nClerk,10\n")
     (tmp_path / "b.json").write_text(json.dumps([{"Job Title": "Clerk", "salary": 10}]))
@@ -36,7 +53,9 @@ def test_snapshots(spark, tmp_path):
         df = spark.range(n).selectExpr("string(id) AS a", "'x' AS b")
         assert snapshots.write_processed(df, root, "jobs_source", stamp) == n
         assert snapshots.write_raw(df, root, "raw_source", stamp) == n
-    (tmp_path / "jobs_source" / "snapshot_ts=zzz").mkdir()
+    for name in ("zzz", "20250303_060000"):  # a malformed name; a write that has not ended
+        (tmp_path / "jobs_source" / f"snapshot_ts={name}" / "_temporary").mkdir(parents=True)
+    (tmp_path / "jobs_source" / "snapshot_ts=zzz" / "_SUCCESS").touch()
     assert [s for s, _ in snapshots.list_snapshots(spark, root, "jobs_source")] == [
         "20250301_060000", "20250302_060000", "zzz",
     ]
@@ -90,6 +109,21 @@ def test_sheet_to_table(spark):
     assert table.columns == ["a", "b"] and title == "a" and table.count() == 2
     assert cells.sheet_to_table(rows, "w2", "Blank") is None
     assert cells.sheet_rows(df, max_rows=1).where("sheet = 'Data'").count() == 1
+    long = spark.createDataFrame(grid("w", "s", [["a", "b", "c"]] + [["1", "2", "3"]] * 1500), CELLS_SCHEMA)
+    assert cells.sheet_rows(long).count() == 1500
     twice = spark.createDataFrame(grid("w", "s", [["a", "a", "b"], ["1", "2", "3"]]), CELLS_SCHEMA)
     with pytest.raises(ValueError, match="repeated"):
         cells.sheet_to_table(cells.sheet_rows(twice), "w", "s")
+
+
+def test_ingest_sheets(spark, tmp_path):
+    df, root = spark.createDataFrame(SHEETS, CELLS_SCHEMA), str(tmp_path)
+    runs = {r.stage: r for r in ingest_sheets(df, root, T1).collect()}
+    assert set(runs) == {"w1/lighthouse_data", "w2/lighthouse_small", "w2/lighthouse_blank"}
+    data = runs["w1/lighthouse_data"]
+    assert (data.input_rows, data.output_rows, data.columns) == (9, 5, ["Title", "col_1", "Pay", "Kind"])
+    assert json.loads(data.details) == {"workbook": "w1", "sheet": "Data", "title": "Top Jobs"}
+    assert runs["w2/lighthouse_blank"].output_rows == 0
+    table = read_sheet(spark, root, "w1", "Data")
+    assert table.columns == ["Title", "col_1", "Pay", "Kind"] and table.count() == 5
+    assert read_sheet(spark, root, "w2", "Blank") is None and read_sheet(spark, root, "w1", "Cover") is None
