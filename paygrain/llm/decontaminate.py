@@ -21,6 +21,7 @@ from paygrain.llm.common import filter_rows, map_rows, whole_texts
 
 Q, EDIT_SHARE, BLOCK_BYTES, LEAST_BYTES = 8, 0.1, 4 << 20, 50
 SLOTS = 1 << 20
+OFFSET = 1 << 40  # makes diagonals positive
 # Line ends and tabs count as blanks, A-Z as a-z; places stay the same.
 PLAIN = bytes.maketrans(b"\t\n\r\x0b\x0c", b"     ")
 
@@ -51,50 +52,55 @@ def slot(g: np.ndarray) -> np.ndarray:
     return ((g * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int64)
 
 
-def align(item: np.ndarray, region: np.ndarray, first: int, width: int) -> tuple[int, int, int]:
+def align(
+    item: np.ndarray, region: np.ndarray, first: int, width: int, most: int
+) -> tuple[int, int, int] | None:
     """(edits, start, end) of the best place of the item in the region, within ``width`` diagonals from ``first``.
 
-    The whole item is matched, the ends of the region are free. Among equal numbers of edits the
-    first end counts.
+    The whole item is matched, the ends of the region are free. Among equal numbers of edits the first end
+    counts. None as soon as no alignment can stay within ``most`` edits.
     """
     m, n, far = len(item), len(region), 1 << 30
     lanes = np.arange(width)
-    # cost[d], begin[d]: best alignment of the item's first i bytes ending at region place i + first + d.
-    place = first + lanes
-    inside = (place >= 0) & (place <= n)
-    cost = np.where(inside, 0, far).astype(np.int64)
-    begin = place.copy()
+    # Lane d of row i: the item's first i bytes, ending at region place first + d + i. A margin of
+    # bytes that match nothing stands for what lies outside.
+    margin = np.full(m + width + abs(first) + 1, 256, np.int16)
+    padded = np.concatenate([margin, region, margin])
+    shift = len(margin) + first
+    outside = lambda i: (first + lanes + i < 0) | (first + lanes + i > n)
+    edge = first < 0 or first + width + m > n
+    cost = np.where(outside(0), far, 0)
+    begin = first + lanes
+    up, up_begin = np.empty_like(cost), np.empty_like(begin)
     for i in range(m):
-        here = place + i  # region byte that a diagonal step would take
-        real = (here >= 0) & (here < n)
-        differs = np.ones(width, np.int64)
-        differs[real] = region[here[real]] != item[i]
-        step = np.where(real, cost + differs, far)
-        start = begin.copy()
-        up = np.append(cost[1:] + 1, far)  # item byte left out: the next diagonal, one row above
-        better = up < step
-        step = np.where(better, up, step)
-        start = np.where(better, np.append(begin[1:], 0), start)
-        reach = place + i + 1
-        step[(reach < 0) | (reach > n)] = far
-        # region bytes left out move along the row: a running minimum of cost - lane
-        run = np.minimum.accumulate(step - lanes)
-        source = np.maximum.accumulate(np.where(step - lanes == run, lanes, 0))
-        cost = np.minimum(run + lanes, far)
-        begin = start[source]
-        cost[(reach < 0) | (reach > n)] = far
+        step = cost + (padded[shift + i : shift + i + width] != item[i])
+        up[:-1], up[-1] = cost[1:], far  # item byte left out: the next lane of the row above
+        up_begin[:-1], up_begin[-1] = begin[1:], 0
+        up += 1
+        step_begin = np.where(up < step, up_begin, begin)
+        np.minimum(step, up, out=step)
+        if edge:
+            step[outside(i + 1)] = far
+        step -= lanes  # region bytes left out move along the row: a running minimum
+        run = np.minimum.accumulate(step)
+        source = np.maximum.accumulate(np.where(step == run, lanes, 0))
+        cost = run + lanes
+        begin = step_begin[source]
+        if edge:
+            cost[outside(i + 1)] = far
+        if cost.min() > most:
+            return None
     best = int(cost.argmin())
-    return int(cost[best]), int(begin[best]), int(place[best] + m)
+    return int(cost[best]), int(begin[best]), first + best + m
 
 
 @dataclass(frozen=True)
 class Items:
-    """The q-grams of a block of benchmark items, sorted, with item and place of each."""
+    """A block of benchmark items: their sampled q-grams, sorted, with item and place of each."""
 
     ids: list[int]
-    texts: list[bytes]
+    texts: list[np.ndarray]
     budget: np.ndarray
-    bound: np.ndarray
     gram: np.ndarray
     item: np.ndarray
     place: np.ndarray
@@ -104,58 +110,71 @@ class Items:
     def of(rows: list[tuple[int, bytes]], edit_share: float) -> Items:
         texts = [t for _, t in rows]
         size = np.array([len(t) for t in texts])
-        # The bound must stay above zero for the lemma to filter; budgets are whole edits.
-        budget = np.minimum((size * edit_share).astype(int), (size + 1) // Q - 2)
-        g = [grams(t) for t in texts]
-        gram = np.concatenate(g)
-        item = np.repeat(np.arange(len(rows)), [len(x) for x in g])
-        place = np.concatenate([np.arange(len(x)) for x in g])
+        # Whole edits; at least two sampled q-grams must remain, so that the counts can tell.
+        budget = np.minimum((size * edit_share).astype(int), size // Q - 2)
+        sampled = [grams(t)[::Q] for t in texts]
+        gram = np.concatenate(sampled)
+        item = np.repeat(np.arange(len(rows)), [len(x) for x in sampled])
+        place = np.concatenate([Q * np.arange(len(x)) for x in sampled])
         order = np.argsort(gram, kind="stable")
         present = np.zeros(SLOTS, bool)
         present[slot(gram)] = True
-        return Items(
-            [i for i, _ in rows], texts, budget, size + 1 - (budget + 1) * Q,
-            gram[order], item[order], place[order], present,
-        )
+        arrays = [np.frombuffer(t, np.uint8) for t in texts]
+        return Items([i for i, _ in rows], arrays, budget, gram[order], item[order], place[order], present)
 
-    def matches(self, raw: bytes) -> list[tuple[int, int, int, int, float]]:
-        """(item id, start, end, edits, similarity): the best place of every item found in a text."""
-        g = grams(raw)
+    def bands(self, g: np.ndarray) -> list[tuple[int, int]]:
+        """(item, first diagonal) of the bands of 2 (k + 1) diagonals that share enough sampled q-grams.
+
+        A new band begins every k + 1 diagonals, so that any k + 1 neighbours lie inside one.
+        """
         at = np.flatnonzero(self.present[slot(g)])
-        if not at.size:
-            return []
-        g = g[at]
-        low = np.searchsorted(self.gram, g, "left")
-        times = np.searchsorted(self.gram, g, "right") - low
-        some = times > 0
-        at, low, times = at[some], low[some], times[some]
-        if not at.size:
-            return []
+        low = np.searchsorted(self.gram, g[at], "left")
+        times = np.searchsorted(self.gram, g[at], "right") - low
         entry = np.repeat(low - (np.cumsum(times) - times), times) + np.arange(times.sum())
+        if not entry.size:
+            return []
         item, diagonal = self.item[entry], np.repeat(at, times) - self.place[entry]
-        # Bands of 2 (k + 1) diagonals, a new one every k + 1: any k + 1 neighbours lie inside one.
         step = self.budget[item] + 1
-        band = (diagonal + (1 << 40)) // step
-        both = np.concatenate([band, band - 1])
-        key = np.concatenate([item, item])
-        order = np.lexsort((both, key))
-        key, both = key[order], both[order]
-        new = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (both[1:] != both[:-1])))
-        counts = np.diff(np.append(new, key.size))
-        best: dict[int, tuple] = {}
+        band = (diagonal + OFFSET) // step
+        key = (np.tile(item, 2) << 44) + np.concatenate([band, band - 1])
+        key, counts = np.unique(key, return_counts=True)
+        item, band = key >> 44, key & ((1 << 44) - 1)
+        size = np.array([len(t) for t in self.texts])[item]
+        enough = counts >= size // Q - self.budget[item]
+        first = band * (self.budget[item] + 1) - OFFSET
+        return list(zip(item[enough].tolist(), first[enough].tolist()))
+
+    def shared(self, g: np.ndarray, i: int, first: int) -> int:
+        """All q-grams of item i that the text shares with it on the diagonals of a band."""
+        k, own = int(self.budget[i]), grams(self.texts[i].tobytes())
+        low = max(first, 0)
+        near = g[low : max(first + 2 * (k + 1) + len(own), 0)]
+        order = np.argsort(own, kind="stable")
+        begin = np.searchsorted(own[order], near, "left")
+        times = np.searchsorted(own[order], near, "right") - begin
+        entry = np.repeat(begin - (np.cumsum(times) - times), times) + np.arange(times.sum())
+        place, at = order[entry], low + np.repeat(np.arange(len(near)), times)
+        inside = (at - place >= first) & (at - place < first + 2 * (k + 1))
+        return min(len(np.unique(place[inside])), len(np.unique(at[inside])))
+
+    def matches(self, raw: bytes) -> list[tuple[int, int, int, int, float]]:
+        """(item id, start, end, edits, similarity): the best place of every item found in a text."""
+        g, best = grams(raw), {}
         whole = np.frombuffer(raw, np.uint8)
-        for i, b, c in zip(key[new], both[new], counts):
-            if c < self.bound[i]:
-                continue
+        for i, first in self.bands(g):
             k, m = int(self.budget[i]), len(self.texts[i])
-            first = int(b) * (k + 1) - (1 << 40)
-            low_end = max(first - k, 0)
-            region = whole[low_end : max(first + 3 * (k + 1) + m + k, 0)]
-            edits, start, end = align(
-                np.frombuffer(self.texts[i], np.uint8), region, first - k - low_end, 4 * (k + 1)
-            )
-            if edits <= k:
-                found = (edits, low_end + start, low_end + end)
+            if self.shared(g, i, first) < m + 1 - (k + 1) * Q:
+                continue
+            begin = max(first - k, 0)
+            stop = max(first + 3 * (k + 1) + m + k, 0)
+            exact = raw.find(self.texts[i].tobytes(), begin, stop)
+            if exact >= 0:
+                found = (0, exact - begin, exact - begin + m)
+            else:
+                region = whole[begin:stop]
+                found = align(self.texts[i], region, first - k - begin, 4 * (k + 1), k)
+            if found is not None:
+                found = (found[0], begin + found[1], begin + found[2])
                 best[i] = min(best.get(i, found), found)
         return [
             (self.ids[i], start, end, edits, 1.0 - edits / len(self.texts[i]))
