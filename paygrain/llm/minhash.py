@@ -7,12 +7,13 @@ cost 2 * m * width minhashes only. A pair of similarity s is missed with probabi
 
 Equal sets are one class from the start. Candidates are found in two rounds:
 
-1. each member of a table bucket is compared with the smallest member (a star, not all pairs), and
+1. each member of a table bucket is compared with the most central one (a star, not all pairs), and
    the links found are contracted to components;
 2. only buckets that still hold several components go on. In small ones the pairs of different
    components are compared. Members of large ones are handed to an exact join: sets of this similarity share
-   one of their rarest shingles, so pairs are taken from the prefixes of the sets in global order of
-   rareness, where passages that many documents share do not appear.
+   one of their rarest shingles, so pairs are taken from the prefixes of the sets in a common order of
+   rareness, where passages that many documents share do not appear, as far as the shingles behind the
+   shared one can still make up the similarity.
 
 Every pair that is compared is confirmed on both whole sets.
 """
@@ -182,7 +183,7 @@ def verify(pairs: DataFrame, sets: Sets, percent: int) -> DataFrame:
 
 
 def rare_prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """(node, n, item): the rarest items of each set, of which any similar set shares one.
+    """(node, n, place, item): the rarest items of each set, of which any similar set shares one.
 
     Of sets of sizes a and b with similarity t, a set of size a shares at least t * a items; so one of its
     a - ceil(t * a) + 1 rarest is shared, by both sides' prefixes in a common order.
@@ -200,26 +201,66 @@ def rare_prefixes(sets: DataFrame, percent: int) -> DataFrame:
     )  # a list for each text, as long as the text
     keep = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
     first = F.slice("all", F.lit(1), keep.cast("int"))
-    return ranked.select("node", "n", F.explode(first).alias("x")).select("node", "n", "x.item")
+    return ranked.select("node", "n", F.posexplode(first).alias("place", "x")).select(
+        "node", "n", "place", "x.item"
+    )
+
+
+def stars(hits: DataFrame) -> DataFrame:
+    """(u, v, nu, nv): each member of a bucket with the bucket's most central one.
+
+    Central are sets that meet many others in all their buckets: of a text and its altered
+    copies that is the text, to which the copies are closer than to each other.
+    """
+    weight = hits.groupBy("node").agg(F.sum("members").alias("weight"))
+    weighed = hits.join(weight, "node").select("key", F.struct("weight", "node", "n").alias("x"))
+    leads = weighed.groupBy("key").agg(F.max("x").alias("lead"))
+    leads = leads.select("key", F.col("lead.node").alias("u"), F.col("lead.n").alias("nu"))
+    star = hits.join(leads, "key").where("node <> u")
+    return star.select("u", F.col("node").alias("v"), "nu", F.col("n").alias("nv"))
 
 
 def crossing(hits: DataFrame, key: str, found: DataFrame) -> DataFrame:
-    """Rows (key, node, n) of buckets that hold several components, with the component and the size."""
+    """Rows of buckets that hold several components, with the component ``c``, the size of the bucket and the
+    component ``top`` that has most of it."""
     placed = hits.join(found.withColumnRenamed("component", "c"), "node", "left")
     placed = placed.withColumn("c", F.coalesce("c", "node"))
-    mixed = placed.groupBy(key).agg(
-        F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("members")
+    parts = placed.groupBy(key, "c").agg(F.count("*").alias("part"))
+    mixed = parts.groupBy(key).agg(
+        F.sum("part").alias("members"),
+        F.count("*").alias("parts"),
+        F.max(F.struct("part", "c")).alias("most"),
     )
-    mixed = mixed.where("lo <> hi").select(key, "members")
+    mixed = mixed.where("parts > 1").select(key, "members", F.col("most.c").alias("top"))
     return placed.join(mixed, key)
 
 
-def pairs_within(rows: DataFrame, key: str) -> DataFrame:
-    """Pairs of rows of one bucket that lie in different components and have near enough sizes."""
-    a = rows.select(key, F.col("node").alias("u"), F.col("n").alias("nu"), F.col("c").alias("cu"))
-    b = rows.select(key, F.col("node").alias("v"), F.col("n").alias("nv"), F.col("c").alias("cv"))
-    close = F.least("nu", "nv") * 100 >= F.greatest("nu", "nv") * PERCENT
-    return a.join(b, key).where((F.col("u") < F.col("v")) & (F.col("cu") != F.col("cv")) & close)
+def pairs_within(rows: DataFrame, key: str, percent: int, near=None) -> DataFrame:
+    """(u, v, nu, nv): pairs of one bucket in different components, with near enough sizes.
+
+    Every such pair has a member outside of the largest component, so only those look for partners. ``near``
+    adds a condition on the columns of a (left) and b (right).
+    """
+    kept = [c for c in rows.columns if c not in (key, "members", "top")]
+    b = rows.select(key, *[F.col(c).alias(f"b_{c}") for c in kept])
+    a = rows.where(F.col("c") != F.col("top"))
+    a = a.select(key, "top", *[F.col(c).alias(f"a_{c}") for c in kept])
+    once = (F.col("b_c") == F.col("top")) | (F.col("a_node") < F.col("b_node"))
+    sizes = F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent
+    wanted = (F.col("a_c") != F.col("b_c")) & once & sizes
+    first = F.col("a_node") < F.col("b_node")
+    return a.join(b, (a[key] == b[key]) & (wanted if near is None else wanted & near)).select(
+        F.when(first, F.col("a_node")).otherwise(F.col("b_node")).alias("u"),
+        F.when(first, F.col("b_node")).otherwise(F.col("a_node")).alias("v"),
+        F.when(first, F.col("a_n")).otherwise(F.col("b_n")).alias("nu"),
+        F.when(first, F.col("b_n")).otherwise(F.col("a_n")).alias("nv"),
+    )
+
+
+def still_reachable(percent: int):
+    """At the first item that two prefixes share, only what follows in both can be shared besides."""
+    rest = F.least(F.col("a_n") - F.col("a_place"), F.col("b_n") - F.col("b_place"))
+    return rest * (100 + percent) >= (F.col("a_n") + F.col("b_n")) * percent
 
 
 def near_duplicates(
@@ -249,21 +290,17 @@ def near_duplicates(
         )
     )
     keyed = classes.select("node", "n", F.explode(tables).alias("key"))
-    buckets = keyed.groupBy("key").agg(F.count("*").alias("members"), F.min(F.struct("node", "n")).alias("lead"))
-    buckets = materialize(
-        buckets.where("members > 1").select("key", F.col("lead.node").alias("u"), F.col("lead.n").alias("nu")),
-        "minhash-buckets",
-    )
+    buckets = keyed.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
     hits = materialize(keyed.join(buckets, "key"), "minhash-hits")
     sets = Sets(docs, classes, words)
-    star = hits.where("node <> u").select("u", F.col("node").alias("v"), "nu", F.col("n").alias("nv"))
+    star = stars(hits)
     links = verify(star, sets, percent)
     found = components(links, "minhash-stars")
 
     mixed = crossing(hits.select("key", "node", "n"), "key", found)
     mixed = materialize(mixed, "minhash-mixed")
     small = mixed.where(F.col("members") <= SMALL_BUCKET)
-    open_pairs = pairs_within(small, "key").select("u", "v", "nu", "nv").distinct()
+    open_pairs = pairs_within(small, "key", percent).distinct()
     large = mixed.where(F.col("members") > SMALL_BUCKET).select("node").distinct()
     if not large.isEmpty():
         asked = materialize(large, "minhash-large")
@@ -271,7 +308,7 @@ def near_duplicates(
         prefixes = materialize(rare_prefixes(whole, percent), "minhash-prefixes")
         shared = crossing(prefixes, "item", found)
         open_pairs = open_pairs.unionByName(
-            pairs_within(shared, "item").select("u", "v", "nu", "nv")
+            pairs_within(shared, "item", percent, still_reachable(percent))
         )
     more = verify(open_pairs, sets, percent)
     if not more.isEmpty():
