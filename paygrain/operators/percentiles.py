@@ -1,10 +1,10 @@
 """Exact, interpolated percentiles by radix selection.
 
-Every group is first reduced to its distinct values with their counts, combined before the shuffle. Ranks
-are then found in three steps: values of a group are cut by their leading bits, the counts of the cuts
-give the cut that holds a wanted rank, and only that cut is looked at more closely. No task
-holds or sorts more than some millions of (cut, count) pairs of one group, whatever the group holds, and there is
-one way for groups of all sizes. Interpolation is that of the built-in ``percentile``.
+Every group is first reduced to its distinct values with their counts, combined before the shuffle. The values
+are cut by their leading bits (65,536 cuts between a power of two and the next). The counts of a group's
+cuts give the cut that holds a wanted rank, and only the values of that cut are ordered. So no task
+orders more of a group than its cuts, or the distinct values of one cut; there is one way for groups of
+all sizes. Interpolation is that of the built-in ``percentile``.
 """
 
 from __future__ import annotations
@@ -15,8 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Leading bits: sign, exponent and 11 bits of the fraction; then 21 more; the rest is ordered itself.
-_FIRST, _SECOND = 2.0**11, 2.0**21
+_LEADING = 1 << 16
 
 
 def _same(left: str, right: str, keys: Sequence[str]) -> Column:
@@ -24,76 +23,75 @@ def _same(left: str, right: str, keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, parts, F.lit(True))
 
 
-def _cuts(value: Column) -> tuple[Column, Column]:
-    """Two numbers that grow with the value, the second within equal firsts.
+def _cut(value: Column) -> Column:
+    """A whole number that never falls as the value rises.
 
-    With |v| = f * 2^e, the first is made of e and the leading bits of f, the second of the next
-    bits. Scaling by powers of two is exact, and a rounded logarithm still grows with the value, so that the
-    order is right even where e is one off.
+    With |v| = f * 2^e, it is made of e and the leading bits of f. Scaling by a power of two is exact, and a
+    rounded logarithm still grows with the value, so that the order is right even where e is one off.
     """
     finite = ~F.isnan(value) & (F.abs(value) < float("inf"))
-    size = F.when(finite, F.abs(value))
+    size = F.when(finite & (value != 0), F.abs(value))
     exponent = F.floor(F.log2(size))
-    scaled = size / F.pow(F.lit(2.0), exponent) * F.lit(_FIRST)
-    lead = F.floor(scaled)
-    first = (exponent + 1100) * F.lit(4 * int(_FIRST)) + lead
-    second = F.floor((scaled - lead) * F.lit(_SECOND))
-    zero, negative = size == 0, value < 0
-    ends = F.when(F.isnan(value), F.lit(2)).when(negative, F.lit(-1)).otherwise(F.lit(1)) * F.lit(1 << 40)
-    return (
-        F.when(~finite, ends).when(zero, F.lit(0)).when(negative, -first).otherwise(first).cast("long"),
-        F.when(~finite | zero, F.lit(0)).when(negative, -second).otherwise(second).cast("long"),
-    )
-
-
-def _narrowed(rows: DataFrame, keys: list[str], cut: str) -> DataFrame:
-    """Rows (keys, rank, base, ..., c) of the cuts that hold their rank, ``base`` raised to the cut's start."""
-    before = Window.partitionBy(*keys, "rank").orderBy(cut).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    totals = rows.groupBy(*keys, "rank", "base", cut).agg(F.sum("c").alias("n_cut"))
-    totals = totals.withColumn("end", F.col("base") + F.sum("n_cut").over(before))
-    inside = (F.col("rank") >= F.col("end") - F.col("n_cut")) & (F.col("rank") < F.col("end"))
-    chosen = totals.where(inside).select(
-        *keys, "rank", cut, (F.col("end") - F.col("n_cut")).alias("new_base")
-    )
-    a, b = rows.alias("a"), chosen.alias("b")
-    return a.join(b, _same("a", "b", [*keys, "rank", cut])).select(
-        *[F.col(f"a.{c}").alias(c) for c in rows.columns if c != "base"], F.col("b.new_base").alias("base")
-    )
+    lead = F.floor(size / F.pow(F.lit(2.0), exponent) * F.lit(float(_LEADING)))
+    cut = (exponent + 1100) * F.lit(4 * _LEADING) + lead
+    ends = F.when(F.isnan(value), F.lit(2)).when(value < 0, F.lit(-1)).otherwise(F.lit(1)) * F.lit(1 << 50)
+    signed = F.when(value < 0, -cut).otherwise(cut)
+    return F.when(~finite, ends).when(value == 0, F.lit(0)).otherwise(signed).cast("long")
 
 
 def percentiles_of(
-    df: DataFrame, keys: Sequence[str], value: str, fractions: Mapping[str, float]
+    df: DataFrame, keys: Sequence[str], values: Sequence[str], fractions: Sequence[float]
 ) -> DataFrame:
-    """Keys and one double per named fraction, for the groups that have a value; builds no job."""
-    keys = list(keys)
-    counts = df.where(F.col(value).isNotNull()).groupBy(
-        *keys, F.col(value).cast("double").alias("v")
-    ).agg(F.count("*").alias("c"))
-    sizes = counts.groupBy(*keys).agg(F.sum("c").alias("n"))
-    position = {name: (F.col("n") - 1) * F.lit(float(f)) for name, f in fractions.items()}
-    ranks = F.array_distinct(
-        F.array(*[f(p).cast("long") for p in position.values() for f in (F.floor, F.ceil)])
+    """Keys and, per value column, an array ``<column>`` with a double per fraction; null without values.
+
+    All columns go through one pass. Nothing runs before the result is used.
+    """
+    keys, group = list(keys), [*keys, "_column"]
+    pairs = [F.struct(F.lit(c).alias("_column"), F.col(c).cast("double").alias("v")) for c in values]
+    counts = (
+        df.select(*keys, F.inline(F.array(*pairs)))
+        .where("v IS NOT NULL")
+        .groupBy(*group, "v")
+        .agg(F.count("*").alias("c"))
+        .withColumn("cut", _cut(F.col("v")))
+    )
+    whole = Window.partitionBy(*group)
+    so_far = whole.orderBy("cut").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cuts = (
+        counts.groupBy(*group, "cut")
+        .agg(F.sum("c").alias("n_cut"))
+        .withColumn("end", F.sum("n_cut").over(so_far))
+        .withColumn("n", F.sum("n_cut").over(whole))
+    )
+    places = [(F.col("n") - 1) * F.lit(float(f)) for f in fractions]
+    ranks = F.array_distinct(F.array(*[f(p).cast("long") for p in places for f in (F.floor, F.ceil)]))
+    wanted = (
+        cuts.withColumn("ranks", F.filter(ranks, lambda r: (r < F.col("end")) & (r >= F.col("end") - F.col("n_cut"))))
+        .where(F.size("ranks") > 0)
+        .select(*group, "cut", "n", (F.col("end") - F.col("n_cut")).alias("base"), "ranks")
     )
-    wanted = sizes.select(*keys, "n", F.explode(ranks).alias("rank"))
     a, b = counts.alias("a"), wanted.alias("b")
-    first, second = _cuts(F.col("v"))
-    rows = a.join(b, _same("a", "b", keys)).select(
-        *[F.col(f"a.{k}").alias(k) for k in keys],
-        "v", "c", "n", "rank", F.lit(0).cast("long").alias("base"),
-        first.alias("first"), second.alias("second"),
-    )
-    for cut in ("first", "second", "v"):
-        rows = _narrowed(rows, keys, cut)
-    found = rows.groupBy(*keys, "n").agg(F.map_from_entries(F.collect_list(F.struct("rank", "v"))).alias("at"))
+    within = Window.partitionBy(*group, "cut").orderBy("v").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    found = (
+        a.join(b, _same("a", "b", [*group, "cut"]))
+        .select(*[F.col(f"a.{c}").alias(c) for c in [*group, "cut", "v", "c"]], "n", "base", "ranks")
+        .withColumn("end", F.col("base") + F.sum("c").over(within))
+        .withColumn("at", F.filter("ranks", lambda r: (r < F.col("end")) & (r >= F.col("end") - F.col("c"))))
+        .select(*group, "n", "v", F.explode("at").alias("rank"))
+        .groupBy(*group, "n")
+        .agg(F.map_from_entries(F.collect_list(F.struct("rank", "v"))).alias("at"))  # two per fraction
+    )
     results = []
-    for name, p in position.items():
+    for p in places:
         low, high = F.floor(p).cast("long"), F.ceil(p).cast("long")
         at_low, at_high = F.col("at")[low], F.col("at")[high]
         between = (high - p) * at_low + (p - low) * at_high
-        results.append(F.when((low == high) | (at_low == at_high), at_low).otherwise(between).alias(name))
-    return found.select(*keys, *results)
+        results.append(F.when((low == high) | (at_low == at_high), at_low).otherwise(between))
+    found = found.select(*group, F.array(*results).alias("p"))
+    wide = [F.max(F.when(F.col("_column") == c, F.col("p"))).alias(c) for c in values]
+    return found.groupBy(*keys).agg(*wide)
 
 
 def agg_with_percentiles(
@@ -107,23 +105,20 @@ def agg_with_percentiles(
     Without keys the result has exactly one row. A group without a value has null percentiles.
     """
     keys = list(keys)
-    if not keys:
-        one = df.withColumn("_all", F.lit(1))
-        result = df.agg(*aggregates).withColumn("_all", F.lit(1))
-        return _joined(one, ["_all"], result, percentiles).drop("_all")
-    return _joined(df, keys, df.groupBy(*keys).agg(*aggregates), percentiles)
+    result = df.groupBy(*keys).agg(*aggregates) if keys else df.agg(*aggregates)
+    columns = list(dict.fromkeys(c for c, _ in percentiles.values()))
+    fractions = list(dict.fromkeys(f for _, f in percentiles.values()))
+    found = percentiles_of(df, keys, columns, fractions)
+    a, b = result.alias("a"), found.alias("b")
+    # One row on either side without keys.
+    joined = a.join(b, _same("a", "b", keys), "left") if keys else _beside(result, found, columns).alias("b")
+    side = "a." if keys else ""
+    return joined.select(
+        *[F.col(f"{side}{c}").alias(c) for c in result.columns],
+        *[F.col(f"b.{c}" if keys else f"_p.{c}")[fractions.index(f)].alias(n) for n, (c, f) in percentiles.items()],
+    )
 
 
-def _joined(
-    df: DataFrame, keys: list[str], result: DataFrame, percentiles: Mapping[str, tuple[str, float]]
-) -> DataFrame:
-    wanted: dict[str, dict[str, float]] = {}
-    for name, (column, fraction) in percentiles.items():
-        wanted.setdefault(column, {})[name] = fraction
-    for column, fractions in wanted.items():
-        found = percentiles_of(df.select(*keys, column), keys, column, fractions)
-        a, b = result.alias("a"), found.alias("b")
-        result = a.join(b, _same("a", "b", keys), "left").select(
-            *[F.col(f"a.{c}").alias(c) for c in result.columns], *[F.col(f"b.{n}") for n in fractions]
-        )
-    return result
+def _beside(result: DataFrame, found: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """A one-row table with the one row (or none) of another as a struct, by a scalar subquery."""
+    return result.withColumn("_p", found.select(F.struct(*columns)).scalar())
