@@ -21,12 +21,12 @@ from paygrain.llm import (
     suffixes,
     token_counts,
 )
+from paygrain.llm.oracles import ORACLES  # noqa: F401  (read by the entry point)
 from paygrain.session import scratch_dir
 
 KINDS = ("assign", "access", "hex")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
 
 
 def query(f):
