@@ -142,6 +142,25 @@ def _(fx):
     return rounded(matched.select("job_id", "fuzzy_match_string", *MATCH_COLUMNS), **MATCH_SCALES)
 
 
+ORDERED_PAY = PAYROLL_SQL.replace("SELECT agency_name, title_description, base_salary,",
+                                  "SELECT payroll_number, agency_name, title_description, base_salary,")
+
+
+@query("J2_best_fuzzy_match_by_first_row", f"""
+WITH RECURSIVE lookup AS MATERIALIZED (SELECT fuzzy_match_string AS key, min(CAST(payroll_number AS BIGINT)) AS ord
+    FROM ({ORDERED_PAY}) p WHERE fuzzy_match_string <> '' AND salary_min IS NOT NULL GROUP BY 1),
+prepared AS MATERIALIZED ({POSTINGS_SQL}),
+keys AS MATERIALIZED (SELECT DISTINCT fuzzy_match_string AS key FROM prepared),
+{best_match("keys", "lookup", 0.85, ordered=True)}
+SELECT job_id, match AS best_payroll_match, score AS best_match_score
+FROM prepared p LEFT JOIN best b ON p.fuzzy_match_string = b.key""", ["fx_payroll", "fx_jobs"])
+def _(fx):
+    pay = fx.payroll.withColumn("ord", F.col("payroll_number").cast("bigint"))
+    df = postings.prepare_postings(fx.jobs, YEARS).select("job_id", "fuzzy_match_string")
+    matched = postings.match_payroll(df, payroll.build_payroll(pay))
+    return matched.select("job_id", "best_payroll_match", "best_match_score")
+
+
 TITLE_MATCH = f"""title_keys AS MATERIALIZED (SELECT DISTINCT {ALNUM_KEY.format("business_title")} AS key
     FROM prepared),
 titles AS MATERIALIZED (SELECT {ALNUM_KEY.format("job_title")} AS key, job_title,
@@ -175,6 +194,21 @@ def _(fx):
     return benchmark.match_benchmark(df, benchmark.build_benchmark(fx.benchmark))
 
 
+@query("J3_best_title_match_by_first_row", f"""
+WITH RECURSIVE prepared AS MATERIALIZED ({POSTINGS_SQL}),
+title_keys AS MATERIALIZED (SELECT DISTINCT {ALNUM_KEY.format("business_title")} AS key FROM prepared),
+titles AS MATERIALIZED (SELECT {ALNUM_KEY.format("job_title")} AS key, job_title, reverse(job_title) AS ord FROM fx_benchmark),
+{best_match("title_keys", "titles", 0.7, ordered=True)}
+SELECT job_id, job_title AS lighthouse_match_title, score AS lighthouse_match_score
+FROM prepared p LEFT JOIN best b ON {ALNUM_KEY.format("p.business_title")} = b.key
+LEFT JOIN titles t ON b.match = t.key""", ["fx_jobs", "fx_benchmark"])
+def _(fx):
+    bench = benchmark.build_benchmark(fx.benchmark.withColumn("position", F.reverse("job_title")))
+    df = postings.prepare_postings(fx.jobs, YEARS).select("job_id", "business_title", "posting_duration_days")
+    matched = benchmark.match_benchmark(df, bench, order="lighthouse_position")
+    return matched.select("job_id", "lighthouse_match_title", "lighthouse_match_score")
+
+
 def _matched(threshold: float) -> str:
     return MATCHED.replace("{threshold}", str(threshold))
 

@@ -23,11 +23,13 @@ ratios AS (SELECT x, y, CAST(2 AS DOUBLE) * CAST(sum(coalesce(m.n, 0)) AS DOUBLE
     / (length(x) + length(y)) AS ratio FROM pieces GROUP BY x, y)"""
 
 
-def best_match(left: str, right: str, threshold: float) -> str:
+def best_match(left: str, right: str, threshold: float, ordered: bool = False) -> str:
     """Common table expressions up to ``best (key, match, score)`` for two tables with ``key``.
 
-    Pairs that share too few characters for the threshold are left out before the recursion.
+    Pairs that share too few characters for the threshold are left out before the recursion. Ties go to
+    the smaller key, or to the smaller ``ord`` of the right table.
     """
+    tie = f"(SELECT ord FROM {right} o WHERE o.key = y)" if ordered else "y"
     counts = """list_transform(string_split('abcdefghijklmnopqrstuvwxyz_0123456789', ''), lambda ch:
         length(key) - length(replace(key, ch, '')))"""
     return f"""
@@ -38,7 +40,7 @@ candidates AS MATERIALIZED (SELECT l.key AS x, r.key AS y FROM left_counts l JOI
     ON list_sum(list_transform(range(1, 38), lambda i: least(l.c[i], r.c[i])))
        >= {threshold} / 2 * (l.n + r.n) - 0.000001),
 {ratio("candidates")},
-ranked AS (SELECT *, row_number() OVER (PARTITION BY x ORDER BY ratio DESC, y) AS place FROM ratios
+ranked AS (SELECT *, row_number() OVER (PARTITION BY x ORDER BY ratio DESC, {tie}) AS place FROM ratios
     WHERE ratio >= CAST({threshold} AS DOUBLE)),
 best AS (SELECT key, key AS match, CAST(1 AS DOUBLE) AS score FROM {left}
     WHERE key <> '' AND key IN (SELECT key FROM {right})
