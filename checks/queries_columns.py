@@ -68,9 +68,13 @@ def _(fx):
 @query("P5_cast_by_name_pattern", """
 SELECT job_title AS lighthouse_job_title, CAST(total_postings AS INT) AS lighthouse_total_postings,
        median_posting_duration AS lighthouse_median_posting_duration,
-       median_salary AS lighthouse_median_salary FROM fx_benchmark""", ["fx_benchmark"])
+       median_salary AS lighthouse_median_salary, CASE WHEN length(job_title) % 2 = 0
+       THEN CAST('2024-05-06 07:08:09' AS TIMESTAMP) END AS lighthouse_listed_date FROM fx_benchmark""", ["fx_benchmark"])
 def _(fx):
+    # A year or a bare date is no timestamp.
+    even, three = F.length("job_title") % 2 == 0, F.length("job_title") % 3 == 0
     raw = fx.benchmark.select(
+        F.when(even, "2024-05-06T07:08:09.000").when(three, "2024").otherwise("2024-05-06").alias("lighthouse_listed_date"),
         F.col("job_title").alias("lighthouse_job_title"),
         F.concat(F.col("total_postings").cast("string"), F.lit(".0")).alias("lighthouse_total_postings"),
         F.col("median_posting_duration").cast("string").alias("lighthouse_median_posting_duration"),
