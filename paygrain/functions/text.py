@@ -90,17 +90,6 @@ def _code_point(text: Column, index: Column) -> Column:
     return F.ascii(F.substring(text, index, F.lit(1))).cast("long")
 
 
-def char_tokens(column: str) -> Column:
-    """The multiset of characters as a set: one number per (character, n-th occurrence)."""
-    # The one-element array binds the sorted code points, so that they are computed once.
-    return F.expr(f"""
-        CASE WHEN length({column}) > 0 THEN flatten(transform(
-            array(sort_array(transform(sequence(1, length({column})),
-                i -> bigint(ascii(substring({column}, i, 1)))))),
-            codes -> transform(codes, (c, i) -> shiftleft(c, 32) + i + 1 - array_position(codes, c))))
-        ELSE cast(array() AS array<bigint>) END""")
-
-
 def trigram_tokens(text: Column) -> Column:
     """Set of three-letter sequences of all words, each padded with two blanks before and one
     after it; a trigram is stored as one number made of its three code points."""

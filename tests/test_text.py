@@ -99,11 +99,3 @@ def test_trigram_similarity_against_sets(spark):
         expected = len(x & y) / len(x | y) if x and y else 0.0
         assert row.s == pytest.approx(expected, abs=1e-6), (a, b)
     assert round(got.collect()[-1].s, 4) == 0.3636
-
-
-def test_char_tokens_count_every_occurrence(spark):
-    df = spark.createDataFrame([("abca😀a",), ("",)], "s string")
-    rows = [r[0] for r in df.select(text.char_tokens("s")).collect()]
-    assert len(rows[0]) == len(set(rows[0])) == 6
-    assert {t >> 32 for t in rows[0]} == {97, 98, 99, 0x1F600}
-    assert rows[1] == []
