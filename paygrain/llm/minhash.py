@@ -20,14 +20,19 @@ Every pair that is compared is confirmed on both whole sets.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import (
     ArrayType,
     BinaryType,
     BooleanType,
+    IntegerType,
     LongType,
     StructField,
     StructType,
@@ -38,6 +43,7 @@ from paygrain.session import materialize
 
 M, WIDTH, SEED = 9, 2, 20
 SMALL_BUCKET = 32
+COUNT_CLASSES = 1 << 18
 PERCENT = 80
 
 SIGNED = StructType(
@@ -50,9 +56,8 @@ SIGNED = StructType(
     ]
 )
 SETS = StructType([StructField("node", LongType()), StructField("items", BinaryType())])
-PREFIX = StructType(
-    [StructField("node", LongType()), StructField("n", LongType()), StructField("item", LongType())]
-)
+PREFIX = StructType([StructField(c, LongType()) for c in ("node", "n", "place", "item")])
+CLASS_COUNTS = StructType([StructField("class", IntegerType()), StructField("n", LongType())])
 PAIRS = StructType(
     [StructField("u", LongType()), StructField("v", LongType()), StructField("linked", BooleanType())]
 )
@@ -182,28 +187,49 @@ def verify(pairs: DataFrame, sets: Sets, percent: int) -> DataFrame:
     return materialize(map_rows(both, make, PAIRS).select("u", "v"), "minhash-links")
 
 
+def item_counts(sets: DataFrame) -> np.ndarray:
+    """How many sets have an item of each hash class; summed in tasks first, of fixed size."""
+    arrow = to_arrow_schema(CLASS_COUNTS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(COUNT_CLASSES, np.int64)
+        for b in batches:
+            for items in b.column(0).to_pylist():
+                at = (np.frombuffer(items, np.uint64) % np.uint64(COUNT_CLASSES)).astype(np.int64)
+                np.add.at(counts, at, 1)
+        some = np.flatnonzero(counts)
+        columns = [pa.array(some.astype(np.int32)), pa.array(counts[some])]
+        yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+
+    got = sets.select("items").mapInArrow(run, CLASS_COUNTS).groupBy("class").agg(F.sum("n").alias("n"))
+    got, counts = got.toArrow(), np.zeros(COUNT_CLASSES, np.int64)
+    counts[got["class"].to_numpy()] = got["n"].to_numpy()
+    return counts
+
+
 def rare_prefixes(sets: DataFrame, percent: int) -> DataFrame:
     """(node, n, place, item): the rarest items of each set, of which any similar set shares one.
 
     Of sets of sizes a and b with similarity t, a set of size a shares at least t * a items; so one of its
-    a - ceil(t * a) + 1 rarest is shared, by both sides' prefixes in a common order.
+    a - ceil(t * a) + 1 first is shared, by both sides' prefixes in any common order. The order here is by
+    the count of the item's hash class, which puts frequent items last; the classes are of fixed number, and
+    more collisions could only make the prefixes less selective.
     """
+    counts = sets.sparkSession.sparkContext.broadcast(item_counts(sets))
 
-    def exploded():
-        return lambda node, items: [
-            (node, len(items) // 8, x) for x in np.frombuffer(items, np.int64).tolist()
-        ]
-
-    items = materialize(map_rows(sets.select("node", "items"), exploded, PREFIX), "minhash-items")
-    times = items.groupBy("item").agg(F.count("*").alias("times"))
-    ranked = items.join(times, "item").groupBy("node").agg(
-        F.max("n").alias("n"), F.array_sort(F.collect_list(F.struct("times", "item"))).alias("all")
-    )  # a list for each text, as long as the text
-    keep = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    first = F.slice("all", F.lit(1), keep.cast("int"))
-    return ranked.select("node", "n", F.posexplode(first).alias("place", "x")).select(
-        "node", "n", "place", "x.item"
-    )
+    def make():
+        known = counts.value
+
+        def f(node, items):
+            x = np.frombuffer(items, np.uint64)
+            n = len(x)
+            order = np.lexsort((x, known[(x % np.uint64(COUNT_CLASSES)).astype(np.int64)]))
+            first = x[order[: n + (-n * percent // 100) + 1]].view(np.int64)
+            return [(node, n, i, item) for i, item in enumerate(first.tolist())]
+
+        return f
+
+    return map_rows(sets.select("node", "items"), make, PREFIX)
 
 
 def stars(hits: DataFrame) -> DataFrame:
