@@ -39,6 +39,12 @@ def _conformed(df: DataFrame, name: str, data_type: str, check_widths: bool) ->
     return col.alias(name)
 
 
+def declared_widths(ddl: Mapping[str, str]) -> dict[str, int]:
+    """Widths of the varchar columns of a definition."""
+    found = ((name, re.fullmatch(r"varchar\((\d+)\)", kind)) for name, kind in ddl.items())
+    return {name: int(m[1]) for name, m in found if m}
+
+
 def conform(
     df: DataFrame,
     ddl: Mapping[str, str],

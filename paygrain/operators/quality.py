@@ -57,6 +57,12 @@ def check_accepted_range(df: DataFrame, column: str, low: float, high: float) ->
     return df.where(~F.col(column).between(low, high))
 
 
+def check_widths(df: DataFrame, widths: Mapping[str, int]) -> DataFrame:
+    """(check, column, failed_rows, passed): texts longer than the declared width of their column."""
+    long = [F.count_if(F.length(c) > w).alias(c) for c, w in widths.items()]
+    return _as_checks(df.agg(*long), {c: ("max_length", c) for c in widths})
+
+
 def _as_checks(row: DataFrame, names: Mapping[str, tuple[str, str]]) -> DataFrame:
     """One row of failure counts -> (check, column, failed_rows, passed)."""
     items = [

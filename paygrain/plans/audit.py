@@ -13,7 +13,7 @@ from paygrain.functions.columns import standard_name
 from paygrain.operators import benchmark, facts, marts, payroll, postings, quality, reports
 from paygrain.session import materialize
 from paygrain.sources import snapshots
-from paygrain.sources.schemas import BENCHMARK_NAMES, PAYROLL_SCHEMA, POSTINGS_SCHEMA
+from paygrain.sources.schemas import BENCHMARK_NAMES, FACT_POSTINGS, PAYROLL_SCHEMA, POSTINGS_SCHEMA
 
 
 PAYROLL_SOURCE, POSTINGS_SOURCE, BENCHMARK_SOURCE = "raw_payroll", "raw_postings", "raw_benchmark"
@@ -177,6 +177,7 @@ def run_audit(
         "jobs_benchmark_matched": matched,
         **views,
         "quality_report": reports.quality_report(fact_postings, fact_duration),
+        "width_checks": quality.check_widths(fact_postings, facts.declared_widths(FACT_POSTINGS)),
         **reports.summary_report(fact_postings, fact_duration),
     }
 

@@ -18,6 +18,7 @@ def test_run_audit_stores_stages_and_runs(spark, tmp_path):
     assert jobs == out["fact_postings"].count() == out["fact_duration"].count() > 0
     assert out["vw_audit_summary_stats"].first().total_job_postings == jobs
     assert out["agency_breakdown"].count() == 10
+    assert out["width_checks"].where("NOT passed").isEmpty() and out["width_checks"].count() == 12
     runs = {r.stage: r for r in read_runs(spark, str(tmp_path)).collect()}
     assert runs["jobs_processed"].output_rows == jobs
     assert runs["jobs_processed"].thresholds == {"match_threshold": 0.85}
