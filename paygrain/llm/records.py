@@ -87,9 +87,9 @@ def store(uri: str):
     """(file system, path) of a folder on any store that Arrow can open; a bare path is local."""
     from pyarrow import fs
 
-    if "://" not in uri and not uri.startswith("file:"):
-        return fs.LocalFileSystem(), uri
-    return fs.FileSystem.from_uri("file://" + uri[5:] if uri.startswith("file:/") and not uri.startswith("file://") else uri)
+    if uri.startswith("file:/") and not uri.startswith("file://"):
+        uri = "file://" + uri.removeprefix("file:")
+    return fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), uri)
 
 
 def write_records(docs: DataFrame, vocabulary: str, folder: str, end_id: int = 1) -> DataFrame:
