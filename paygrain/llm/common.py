@@ -38,8 +38,8 @@ def _size(value) -> int:
     return len(value) if isinstance(value, (str, bytes, list)) else 8
 
 
-def map_rows(df: DataFrame, make: Callable[[], Callable], schema: StructType) -> DataFrame:
-    """``make()`` gives, once a task, a function from the values of a row to a list of rows.
+def map_slices(df: DataFrame, make: Callable[[], Callable], schema: StructType) -> DataFrame:
+    """``make()`` gives, once a task, a function from the columns of a slice of rows (lists) to rows.
 
     Input is taken in slices and output is handed back in batches of a few megabytes, so that a
     task holds a bounded number of texts (one at least) whatever the partition holds.
@@ -57,10 +57,9 @@ def map_rows(df: DataFrame, make: Callable[[], Callable], schema: StructType) ->
         for whole in batches:
             for start in range(0, whole.num_rows, ROWS_AT_ONCE):
                 part = whole.slice(start, ROWS_AT_ONCE)
-                for row in zip(*[c.to_pylist() for c in part.columns]):
-                    for made in f(*row):
-                        out.append(made)
-                        held += sum(map(_size, made))
+                for made in f(*[c.to_pylist() for c in part.columns]):
+                    out.append(made)
+                    held += sum(map(_size, made))
                     if held >= OUTPUT_BYTES:
                         yield batch(out)
                         out, held = [], 0
@@ -70,6 +69,16 @@ def map_rows(df: DataFrame, make: Callable[[], Callable], schema: StructType) ->
     return df.mapInArrow(run, schema)
 
 
+def map_rows(df: DataFrame, make: Callable[[], Callable], schema: StructType) -> DataFrame:
+    """As :func:`map_slices`, with a function from the values of a row to a list of rows."""
+
+    def by_row():
+        f = make()
+        return lambda *columns: (made for row in zip(*columns) for made in f(*row))
+
+    return map_slices(df, by_row, schema)
+
+
 def filter_rows(docs: DataFrame, make: Callable[[], Callable[[str], bool]]) -> DataFrame:
     """The rows of ``docs`` whose whole text ``make()(text)`` accepts, all columns as they are; no shuffle.
 

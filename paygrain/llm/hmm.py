@@ -32,7 +32,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from paygrain.llm.common import ROWS_AT_ONCE, fold, map_rows, summed, whole_texts
+from paygrain.llm.common import ROWS_AT_ONCE, fold, map_slices, summed, whole_texts
 from paygrain.session import materialize
 
 STATES, OWN, LENGTHS, ENDINGS, ITERATIONS, SEED = 8, 200, 6, 9, 5, 11
@@ -119,26 +119,40 @@ class Words:
     def log_shared(self) -> np.ndarray:
         return np.log10(self.shared_total + 0.5 * (self.shared_types + 1))
 
-    def code(self, text: str) -> tuple:
-        """Symbols with the end, known tokens, sum of log10(c + 0.5) without rare words, log10 of the
-        shares within shared symbols (without the counts of rare words), and the rare words."""
-        h, g = tokens(text)
-        count, symbol, rare = np.zeros(len(h), np.int64), np.full(len(h), -1), np.ones(len(h), bool)
-        if len(self.word) and len(h):
-            at = np.searchsorted(self.word, h)
+    def code(self, texts: list[str]) -> Iterator[tuple]:
+        """For each text: symbols with the end, known tokens, sum of log10(c + 0.5) without rare words, log10
+        of the shares within shared symbols (without the counts of rare words), and the rare words.
+
+        The distinct words of all the texts are looked up together, in order.
+        """
+        split = [tokens(t) for t in texts]
+        sizes = [len(h) for h, _ in split]
+        h, g = (np.concatenate(x) for x in zip(*split))
+        word, which = np.unique(h, return_inverse=True)
+        count, symbol = np.zeros(len(word), np.int64), np.full(len(word), -1)
+        found = np.zeros(len(word), bool)
+        if len(self.word):
+            at = np.searchsorted(self.word, word)
             at[at == len(self.word)] = 0
-            rare = self.word[at] != h
-            count[~rare] = self.n[at[~rare]]
-            symbol[~rare] = self.symbol[at[~rare]]
-        logs = np.log10(count + 0.5)
+            found = self.word[at] == word
+            count[found], symbol[found] = self.n[at[found]], self.symbol[at[found]]
         own = symbol >= 0
-        known = int((~rare).sum()) + int(self.ends > 0)
-        log_counts = float(logs[~rare].sum()) + float(np.log10(self.ends + 0.5))
-        log_own = float(logs[~rare & ~own].sum()) - float(self.log_shared[g[~own]].sum())
+        logs = np.where(found, np.log10(count + 0.5), 0.0)
+        log_all, log_shared = logs[which], np.where(own, 0.0, logs)[which]
+        own, symbol, known = own[which], symbol[which], found[which]
+        log_shared -= np.where(own, 0.0, self.log_shared[g])
         symbols = np.where(own, symbol, OWN + g).astype(np.uint8)
-        return (
-            np.append(symbols, np.uint8(END)).tobytes(), known, log_counts, log_own, h[rare].tolist()
-        )
+        end_log, at = float(np.log10(self.ends + 0.5)), 0
+        for n in sizes:
+            part = slice(at, at + n)
+            at += n
+            yield (
+                symbols[part].tobytes() + bytes([END]),
+                int(known[part].sum()) + int(self.ends > 0),
+                float(log_all[part].sum()) + end_log,
+                float(log_shared[part].sum()),
+                h[part][~known[part]].tolist(),
+            )
 
 
 def word_table(counts: DataFrame, ends: int, head_words: int = HEAD_WORDS) -> Words:
@@ -292,9 +306,14 @@ def score_documents(docs: DataFrame, iterations: int = ITERATIONS) -> DataFrame:
 
     def make():
         words = known.value
-        return lambda doc_id, held_out, text: [(doc_id, held_out, *words.code(text))]
 
-    coded = map_rows(texts.select("doc_id", "held_out", "text"), make, CODED)
+        def f(doc_ids, held_out, texts):
+            for doc_id, out, made in zip(doc_ids, held_out, words.code(texts)):
+                yield (doc_id, out, *made)
+
+        return f
+
+    coded = map_slices(texts.select("doc_id", "held_out", "text"), make, CODED)
     coded = coded.withColumn("row", F.monotonically_increasing_id())
     coded = materialize(coded, "hmm-coded")
 
