@@ -258,7 +258,9 @@ def crossing(hits: DataFrame, key: str, found: DataFrame) -> DataFrame:
         F.max(F.struct("part", "c")).alias("most"),
     )
     mixed = mixed.where("parts > 1").select(key, "members", F.col("most.c").alias("top"))
-    return placed.join(mixed, key)
+    # Both stored, so that this join and the one of the rows with each other can be split at hot keys.
+    mixed = materialize(mixed, f"minhash-mixed-{key}")
+    return materialize(placed.join(mixed, key), f"minhash-open-{key}")
 
 
 def pairs_within(rows: DataFrame, key: str, percent: int, near=None) -> DataFrame:
@@ -324,7 +326,6 @@ def near_duplicates(
     found = components(links, "minhash-stars")
 
     mixed = crossing(hits.select("key", "node", "n"), "key", found)
-    mixed = materialize(mixed, "minhash-mixed")
     small = mixed.where(F.col("members") <= SMALL_BUCKET)
     open_pairs = pairs_within(small, "key", percent).distinct()
     large = mixed.where(F.col("members") > SMALL_BUCKET).select("node").distinct()
