@@ -14,6 +14,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from paygrain.session import materialize
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -151,7 +153,7 @@ def scan_blobs(versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES
     place = F.element_at(
         F.create_map(*[F.lit(x) for i, r in enumerate(rules) for x in (r.key, i)]), F.col("rule")
     )
-    return (
+    spans = (
         _stored(spark, f"{ledger}/findings", FINDINGS)
         .where(F.col("rule").isin([r.key for r in rules]))
         .join(done, ["blob", "rule", "run"], "left_semi")
@@ -160,6 +162,8 @@ def scan_blobs(versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES
         .groupBy("blob")
         .agg(F.array_sort(F.collect_list("span")).alias("spans"))  # of one text
     )
+    # Stored, so that the join back to the paths of a blob is a plain one that can be split where hot.
+    return materialize(spans, "secret-spans")
 
 
 def scan_versions(
