@@ -208,6 +208,55 @@ def test_leak_edges(spark, docs_of):
     assert decontaminate.find_leaks(docs_of(rows), benchmark.limit(0)).count() == 0
 
 
+def brute_short(item, text):
+    """Smallest edit distance of an item to a part of a text between word borders."""
+    a, b = item.decode(), text.decode()
+    cuts = [p for p in range(len(b) + 1) if not (b[:p][-1:].isalnum() and b[p:][:1].isalnum())]
+    most = int(len(item) * 0.1)
+    near = [(x, y) for x in cuts for y in cuts if x <= y and abs(y - x - len(a)) <= most]
+    return min((whole_edits(a.encode(), b[x:y].encode()) for x, y in near), default=len(item))
+
+
+def whole_edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        old, row = row, [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(old[j - 1] + (x != y), old[j] + 1, row[j - 1] + 1))
+    return row[-1]
+
+
+def test_short_items_are_found_between_word_borders(spark, docs_of):
+    rng = random.Random(12)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    items = [(m, "".join(rng.choice(letters) for _ in range(m))) for m in range(1, 50)]
+    items += [(100 + m, t[: m // 2] + " " + t[m // 2 + 1 :]) for m, t in items if m > 4]
+    rows, want = [], {}
+    for i, item in items:
+        part = list(item)
+        for _ in range(rng.randint(0, len(item) // 10)):
+            part[rng.randrange(len(part))] = rng.choice(["", "7", "8 "])
+        rows.append((i, f"({item.upper()}) 10"))  # verbatim
+        rows.append((1000 + i, f"00 {''.join(part)}, 11"))  # within the budget, or near it
+        rows.append((2000 + i, f"9{item}9"))  # no borders
+    found = decontaminate.find_leaks(docs_of(rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    got = {(r.doc_id, r.item_id): r.edits for r in found}
+    for (d, text), (i, item) in product(rows, items):
+        a, b = decontaminate.plain(item), decontaminate.plain(text)
+        if (e := edits(a, b)) <= int(len(a) * 0.1) and (e := brute_short(a, b)) <= int(len(a) * 0.1):
+            want[d, i] = e
+    assert got == want and all(got[i, i] == 0 for i, _ in items) and any(want.values())
+    assert all(r.start_byte == 1 for r in found if r.doc_id == r.item_id)
+    left = decontaminate.without_leaks(docs_of(rows), spark.createDataFrame(items, "item_id long, text string"))
+    assert sorted(r.doc_id for r in left.collect()) == sorted({d for d, _ in rows} - {d for d, _ in want})
+
+
+def test_word_borders_of_scripts():
+    places = lambda t: np.flatnonzero(decontaminate.word_borders(t.encode())).tolist()
+    assert places("") == [0] and places("a\u00e9b") == [0, 4] and places("\u201cab\u201d") == [0, 3, 5, 8]
+    assert places("\u6771\u4eacx") == [0, 3, 6, 7] and places("e\u0301 _x") == [0, 3, 4, 5, 6]
+
+
 def test_pipeline_against_its_stages_by_hand(spark, tmp_path):
     from tests.llm.test_near_duplicates import brute_components
     from tests.llm.test_secrets import brute
