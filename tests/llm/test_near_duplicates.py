@@ -200,3 +200,11 @@ def test_repeated_bytes_equal_brute_force(docs_of, monkeypatch, hot, batch):
 
 def test_repeated_bytes_of_an_empty_table(docs_of):
     assert suffixes.repeated_bytes(docs_of([])).count() == 0
+
+
+def test_repeated_rows_have_one_equal_result_each(docs_of):
+    shared = "this passage of more than fifty bytes stands in two documents. "
+    rows = [(1, shared + "one"), *[(2, "two " + shared)] * 5, *[(3, "three, a text of its own that is as long as fifty bytes")] * 4]
+    got = suffixes.repeated_bytes(docs_of(rows), keep_bytes=True).collect()
+    found = sorted(((r.doc_id, r.n_bytes, r.starts, r.ends, r.kept_sha256) for r in got), key=str)
+    assert found == brute_removed(rows) and len(found) == 10
