@@ -2,11 +2,13 @@
 
 Each token stands for a symbol: the most frequent words have their own, all others share one with
 the words of like length and last byte, and the end of a text has one. A hidden Markov
-model runs over the symbols; within a shared symbol a word has the smoothed share of its count. This is a
-distribution over whole texts, and the scaled forward recursion gives its exact value.
+model runs over the symbols; within a shared symbol every state has its own share of every training word. This is
+a distribution over whole texts, and the scaled forward recursion gives its exact value.
 
 Word counts are taken over all training texts. Baum-Welch counts are summed over partitions in every
-iteration, for all training texts. Words are told apart by a 64-bit hash.
+iteration, for all training texts, with the expected count of every word of the head in every state. The last
+iteration gathers those of all other words too, as rows that Spark adds up, whose number grows with the words of
+the texts; until then they have common shares by symbol. Words are told apart by a 64-bit hash.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from operator import itemgetter
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -26,6 +29,7 @@ from pyspark.sql.types import (
     BinaryType,
     BooleanType,
     DoubleType,
+    FloatType,
     IntegerType,
     LongType,
     StructField,
@@ -42,6 +46,9 @@ SYMBOLS = END + 1
 HEAD_WORDS = 500_000  # most frequent words whose counts every task holds (16 bytes each)
 TOKENS_AT_ONCE = 1 << 20
 CELLS_AT_ONCE = 1 << 19
+PLACES = 1 << 12  # of the head in a block of sums
+NO_WORD = -1 - SHARED  # place of ends and padding; -1 - i is that of words of shared symbol i outside of the head
+WORD_SHARE = 0.8  # of a state's emissions within a shared symbol that follow the words it was seen with
 
 COUNTED = StructType(
     [StructField("word", LongType()), StructField("shared", IntegerType()), StructField("n", LongType())]
@@ -55,9 +62,31 @@ CODED = StructType(
         StructField("log_counts", DoubleType()),
         StructField("log_own", DoubleType()),
         StructField("rare", ArrayType(LongType())),
+        StructField("head", BinaryType()),
+    ]
+)
+IN_STATES = [f"in_{s}" for s in range(STATES)]
+GATHERED = StructType(
+    [StructField("block", IntegerType()), StructField("sums", BinaryType()), StructField("word", LongType())]
+    + [StructField("symbol", IntegerType()), StructField("n", LongType())]
+    + [StructField(name, FloatType()) for name in IN_STATES]
+)
+BLOCK_SUMS = StructType(GATHERED.fields[:2])
+RATIOS = StructType(
+    [StructField("word", LongType()), StructField("n", LongType()), StructField("ratio", BinaryType())]
+)
+SCORED = StructType(
+    [
+        StructField("doc_id", LongType()),
+        StructField("held_out", BooleanType()),
+        StructField("n_tokens", LongType()),
+        StructField("n_known", LongType()),
+        StructField("log_counts", DoubleType()),
+        StructField("log_own", DoubleType()),
+        StructField("rare_logs", DoubleType()),
+        StructField("log10", DoubleType()),
     ]
 )
-SCORED = StructType([StructField("row", LongType()), StructField("log10", DoubleType())])
 
 
 def tokens(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -98,6 +127,17 @@ def count_words(texts: DataFrame) -> DataFrame:
     return parts.groupBy("word").agg(F.max("shared").alias("shared"), F.sum("n").alias("n"))
 
 
+def packed(values: np.ndarray) -> bytes:
+    """Four-byte values, compressed after like bytes are brought together."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(-1, 4).T
+    return zstandard.compress(planes.tobytes(), 1)
+
+
+def unpacked(raw: bytes, dtype: str) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(raw), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(dtype)
+
+
 @dataclass(frozen=True)
 class Words:
     """Totals of the training tokens and the counts of the head; sizes are bounded by HEAD_WORDS."""
@@ -110,6 +150,7 @@ class Words:
     word: np.ndarray  # sorted hashes of the head
     n: np.ndarray
     symbol: np.ndarray  # own symbol of a head word, -1 for most
+    shared: np.ndarray  # shared symbol of a head word, whether it has its own or not
 
     @property
     def log_all(self) -> float:
@@ -121,7 +162,8 @@ class Words:
 
     def code(self, texts: list[str]) -> Iterator[tuple]:
         """For each text: symbols with the end, known tokens, sum of log10(c + 0.5) without rare words, log10
-        of the shares within shared symbols (without the counts of rare words), and the rare words.
+        of the shares within shared symbols (without the counts of rare words), the rare words, and the place
+        of every word in the head (negative for rare ones, by shared symbol).
 
         The distinct words of all the texts are looked up together, in order.
         """
@@ -130,16 +172,18 @@ class Words:
         h, g = (np.concatenate(x) for x in zip(*split))
         word, which = np.unique(h, return_inverse=True)
         count, symbol = np.zeros(len(word), np.int64), np.full(len(word), -1)
-        found = np.zeros(len(word), bool)
+        found, place = np.zeros(len(word), bool), np.full(len(word), -1, np.int32)
         if len(self.word):
             at = np.searchsorted(self.word, word)
             at[at == len(self.word)] = 0
             found = self.word[at] == word
             count[found], symbol[found] = self.n[at[found]], self.symbol[at[found]]
+            place[found] = at[found]
         own = symbol >= 0
         logs = np.where(found, np.log10(count + 0.5), 0.0)
         log_all, log_shared = logs[which], np.where(own, 0.0, logs)[which]
         own, symbol, known = own[which], symbol[which], found[which]
+        place = np.where(known, place[which], -1 - g).astype(np.int32)
         log_shared -= np.where(own, 0.0, self.log_shared[g])
         symbols = np.where(own, symbol, OWN + g).astype(np.uint8)
         end_log, at = float(np.log10(self.ends + 0.5)), 0
@@ -152,6 +196,7 @@ class Words:
                 float(log_all[part].sum()) + end_log,
                 float(log_shared[part].sum()),
                 h[part][~known[part]].tolist(),
+                packed(place[part]),
             )
 
 
@@ -187,7 +232,7 @@ def word_table(counts: DataFrame, ends: int, head_words: int = HEAD_WORDS) -> Wo
         total, types = total + r["n"], types + r["types"]
     np.subtract.at(shared_total, shared[top], n[top])
     np.subtract.at(shared_types, shared[top], 1)
-    return Words(total, types, ends, shared_total, shared_types, word, n, symbol)
+    return Words(total, types, ends, shared_total, shared_types, word, n, symbol, shared)
 
 
 def blocks(column: pa.Array):
@@ -215,14 +260,19 @@ class Hmm:
     move: np.ndarray
     emit: np.ndarray  # (symbols, states)
 
-    def forward(self, padded, active, keep: bool):
-        """log10 likelihoods and, if asked for, the scaled forward values and scales of all steps."""
+    def forward(self, padded, active, keep: bool, ratio=None):
+        """log10 likelihoods and, if asked for, the scaled forward values and scales of all steps.
+
+        ``ratio`` has a factor of the emission for every step, sequence and state.
+        """
         steps, n = padded.shape
         logs, alphas, scales = np.zeros(n), [], []
         alpha = None
         for t in range(steps):
             k = active[t]
             here = self.emit[padded[t, :k]]
+            if ratio is not None:
+                here = here * ratio[t, :k]
             alpha = here * (self.start if t == 0 else alpha[:k] @ self.move)
             scale = alpha.sum(1)
             alpha /= scale[:, None]
@@ -232,11 +282,15 @@ class Hmm:
                 scales.append(scale)
         return logs, alphas, scales
 
-    def expected(self, column: pa.Array) -> np.ndarray:
-        """Expected counts of a batch: rows of starts, moves, emissions (states by symbols), log10."""
+    def expected(self, column: pa.Array, ratios=None, seen=None) -> np.ndarray:
+        """Expected counts of a batch: rows of starts, moves, emissions (states by symbols), log10.
+
+        ``seen`` is given the rows and lengths of each block, its symbols step by step, and the chances of the states.
+        """
         out = np.zeros((2 + 2 * STATES, SYMBOLS))
-        for padded, active, _ in blocks(column):
-            logs, alphas, scales = self.forward(padded, active, True)
+        for padded, active, rows in blocks(column):
+            ratio = None if ratios is None else ratios(rows, len(padded))
+            logs, alphas, scales = self.forward(padded, active, True, ratio)
             out[-1, 0] += logs.sum()
             moves = np.zeros((STATES, STATES))
             beta = np.ones((active[-1], STATES))
@@ -245,6 +299,8 @@ class Hmm:
                 if t + 1 < len(padded):
                     later = active[t + 1]
                     weighed = self.emit[padded[t + 1, :later]] * beta / scales[t + 1][:, None]
+                    if ratio is not None:
+                        weighed *= ratio[t + 1, :later]
                     moves += alphas[t][:later].T @ weighed
                     beta = np.ones((k, STATES))
                     beta[:later] = weighed @ self.move.T
@@ -255,15 +311,173 @@ class Hmm:
             chances = np.concatenate(alphas)
             for s in range(STATES):
                 out[1 + STATES + s] += np.bincount(symbols, chances[:, s], SYMBOLS)
+            if seen is not None:
+                seen(rows, active, symbols, chances)
         return out
 
-    def likelihoods(self, column: pa.Array) -> np.ndarray:
+    def likelihoods(self, column: pa.Array, ratios=None) -> np.ndarray:
         out = np.zeros(len(column))
         for padded, active, rows in blocks(column):
-            out[rows] = self.forward(padded, active, False)[0]
+            ratio = None if ratios is None else ratios(rows, len(padded))
+            out[rows] = self.forward(padded, active, False, ratio)[0]
         return out
 
 
+def padded_places(heads: list[np.ndarray], rows: np.ndarray, steps: int) -> np.ndarray:
+    """Places in the head of the words of some rows, as (steps, rows)."""
+    out = np.full((steps, len(rows)), NO_WORD, np.int32)
+    for j, i in enumerate(rows.tolist()):
+        out[: len(heads[i]), j] = heads[i]
+    return out
+
+
+def gathered(coded: DataFrame, model: Hmm, known, table, others: bool) -> DataFrame:
+    """What an iteration gathers: the matrix of :meth:`Hmm.expected` as block -1, sums of the head by blocks of
+    places and, if asked for, (word, symbol, n, expected count in each state) of the other words.
+    """
+    arrow = to_arrow_schema(GATHERED)
+
+    def batch(blocks: list, sums: list) -> pa.RecordBatch:
+        none = [pa.nulls(len(blocks), f.type) for f in list(arrow)[2:]]
+        return pa.RecordBatch.from_arrays([pa.array(blocks, pa.int32()), pa.array(sums, pa.binary()), *none], schema=arrow)
+
+    def added(key, chances, size):
+        return np.stack([np.bincount(key, chances[:, s], size) for s in range(STATES)], 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size, total, ready = len(known.value.word), None, []
+        sums = np.zeros((size, STATES))
+        for b in batches:
+            if not b.num_rows:
+                continue
+            heads, rares, place = [unpacked(x, "<i4") for x in b.column(1).to_pylist()], b.column(2), None
+
+            def ratios(rows, steps):
+                nonlocal place
+                place = padded_places(heads, rows, steps)
+                return table.value[place]
+
+            def seen(rows, active, symbols, chances):
+                inside = np.arange(len(rows)) < active[:, None]
+                flat = place[inside]
+                shared = (symbols >= OWN) & (symbols < END)
+                at = np.flatnonzero(shared & (flat >= 0))
+                if len(at):
+                    sums[:] += added(flat[at], chances[at], size)
+                at = np.flatnonzero(shared & (flat < 0))
+                if not others or not len(at):
+                    return
+                rare = np.zeros(place.shape, np.int64)
+                for j, i in enumerate(rows.tolist()):
+                    own = rares[i].values.to_numpy()
+                    if len(own):
+                        rare[np.flatnonzero(heads[i] < 0), j] = own
+                word, first, key, n = np.unique(
+                    rare[inside][at], return_index=True, return_inverse=True, return_counts=True
+                )
+                columns = [word, symbols[at][first].astype(np.int32), n, *added(key, chances[at], len(word)).T]
+                columns = [pa.array(np.ascontiguousarray(c)).cast(f.type) for c, f in zip(columns, list(arrow)[2:])]
+                none = [pa.nulls(len(word), f.type) for f in list(arrow)[:2]]
+                ready.append(pa.RecordBatch.from_arrays(none + columns, schema=arrow))
+
+            part = model.expected(b.column(0), ratios, seen)
+            total = part if total is None else total + part
+            yield from ready
+            ready.clear()
+        if total is None:
+            return
+        yield batch([-1], [total.tobytes()])
+        for at in range(0, size, PLACES):
+            part = sums[at : at + PLACES]
+            some = np.flatnonzero(part.any(1))
+            if len(some):
+                yield batch([at // PLACES], [np.append(len(some), some).astype("<u2").tobytes() + packed(part[some].T.astype("<f4"))])
+
+    return coded.select("symbols", "head", "rare").mapInArrow(run, GATHERED)
+
+
+def block_sums(rows: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The matrix and the sums of the head (places by states); both have bounded sizes and come to the driver."""
+    arrow = to_arrow_schema(BLOCK_SUMS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = {}
+        for b in batches:
+            for block, sums in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                if block < 0:
+                    held[block] = held.get(block, 0) + np.frombuffer(sums)
+                    continue
+                total = held.setdefault(block, np.zeros((PLACES, STATES)))
+                n = int.from_bytes(sums[:2], "little")
+                part = unpacked(sums[2 + 2 * n :], "<f4").reshape(STATES, n).T
+                total[np.frombuffer(sums, "<u2", n, 2)] += part
+        for block, total in held.items():
+            columns = [pa.array([block], pa.int32()), pa.array([total.tobytes()], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+
+    got = rows.where("block IS NOT NULL").select("block", "sums").repartition("block").mapInArrow(run, BLOCK_SUMS)
+    counts, head = np.zeros((0, 0)), np.zeros((size, STATES))
+    for r in got.toLocalIterator():
+        sums = np.frombuffer(r["sums"])
+        if r["block"] < 0:
+            counts = sums.reshape(-1, SYMBOLS)
+        else:
+            part = head[r["block"] * PLACES :][:PLACES]
+            part += sums.reshape(PLACES, STATES)[: len(part)]
+    return counts, head
+
+
+def head_shared(words: Words) -> np.ndarray:
+    """Places in the head of the words of shared symbols."""
+    return np.flatnonzero(words.symbol < 0)
+
+
+def rest_ratios(words: Words, ratio: np.ndarray) -> np.ndarray:
+    """The table of ratios by place: that of the head, then of all other words of each shared symbol together, so
+    that the shares of a state add up to one, and of no word.
+    """
+    own, rest = head_shared(words), np.zeros((SHARED, STATES))
+    g = words.shared[own]
+    plain = (words.n[own] + 0.5) / (words.shared_total[g] + 0.5 * (words.shared_types[g] + 1))
+    taken = np.stack([np.bincount(g, plain * ratio[own, s], SHARED) for s in range(STATES)], 1)
+    left = 1 - np.bincount(g, plain, SHARED)
+    rest = np.maximum(1 - taken, 1e-9) / np.maximum(left, 1e-9)[:, None]
+    return np.concatenate([ratio, np.ones((1, STATES)), rest[::-1]]).astype(np.float32)
+
+
+def first_ratios(words: Words) -> np.ndarray:
+    """Each state with its own bias on the words of the head, as in :func:`first_model`."""
+    ratio, own = np.ones((len(words.word), STATES)), head_shared(words)
+    if len(own):
+        bias, g = np.exp(np.random.default_rng(SEED + 1).normal(0, 1.0, (len(own), STATES))), words.shared[own]
+        weight = words.n[own] + 0.5
+        whole = np.stack([np.bincount(g, weight * bias[:, s], SHARED) for s in range(STATES)], 1)
+        ratio[own] = bias * (np.bincount(g, weight, SHARED)[g][:, None] / whole[g])
+    return rest_ratios(words, ratio)
+
+
+def head_ratios(words: Words, counts: np.ndarray, sums: np.ndarray) -> np.ndarray:
+    ratio, own = np.ones((len(words.word), STATES)), head_shared(words)
+    if counts.size and len(own):
+        ratio[own] = word_ratios(words, counts, OWN + words.shared[own], words.n[own], sums[own])
+    return ratio
+
+
+def word_ratios(words: Words, counts: np.ndarray, symbol: np.ndarray, n: np.ndarray, inside: np.ndarray) -> np.ndarray:
+    """How much likelier than by its plain share within its symbol a word is in each state.
+
+    The expected counts of a word are smoothed by half a count that is dealt as its symbol, and mixed with the
+    plain shares. Over the words of a symbol, an unknown one among them, the shares of a state add up to one.
+    """
+    g = symbol - OWN
+    total, types = words.shared_total[g], words.shared_types[g]
+    whole = counts[1 + STATES : 1 + 2 * STATES].T[symbol]
+    dealt = 0.5 * (whole + 1e-3) / (whole + 1e-3).sum(1, keepdims=True)
+    share = (inside + dealt) / (whole + types[:, None] * dealt)
+    plain = (n + 0.5) / (total + 0.5 * types)
+    return WORD_SHARE * share / plain[:, None] + (1 - WORD_SHARE)
+
+
 def first_model(words: Words) -> Hmm:
     """States that stay likely and emit the training shares, each with its own bias on the own symbols."""
     rng = np.random.default_rng(SEED)
@@ -294,7 +508,8 @@ def score_documents(docs: DataFrame, iterations: int = ITERATIONS) -> DataFrame:
     Learns from documents whose fold is not 1; a null doc_id is not held out. A null or empty text is
     the end token alone. Repeated rows are scored, and learnt from, each by itself. Without training
     texts every word is unknown. Other columns are not read. Hot words are in the head, which every
-    task holds; rare ones are looked up by a join, for whatever share of the text they make up.
+    task holds; rare ones, and their shares in the states, are looked up by joins, for whatever share of the
+    text they make up.
     """
     spark = docs.sparkSession
     held = F.coalesce(fold(F.col("doc_id")) == 1, F.lit(False))
@@ -317,38 +532,85 @@ def score_documents(docs: DataFrame, iterations: int = ITERATIONS) -> DataFrame:
     coded = coded.withColumn("row", F.monotonically_increasing_id())
     coded = materialize(coded, "hmm-coded")
 
-    model, symbols = first_model(words), coded.where("NOT held_out").select("symbols")
-    for _ in range(iterations):
-        model = maximised(summed(symbols, lambda b, m=model: m.expected(b.column(0))), model)
+    model, train, size = first_model(words), coded.where("NOT held_out"), len(words.word)
+    table, counted, sums, rows = first_ratios(words), np.zeros((0, 0)), np.zeros((size, STATES)), None
+    for i in range(iterations):
+        last = i == iterations - 1
+        # At most HEAD_WORDS rows of 32 bytes.
+        rows = gathered(train, model, known, spark.sparkContext.broadcast(table), last)
+        if last:
+            rows = materialize(rows, "hmm-gathered")
+        counted, sums = block_sums(rows, size)
+        model, table = maximised(counted, model), rest_ratios(words, head_ratios(words, counted, sums))
+    # In the score every word has its own ratio, and unknown ones are as likely in all states.
+    table[size:] = 1.0
+    table = spark.sparkContext.broadcast(table)
+    ratio_arrow = to_arrow_schema(RATIOS)
+
+    def ratios(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                symbol, n = b.column(1).to_numpy(), b.column(2).to_numpy()
+                inside = np.stack([c.to_numpy() for c in b.columns[3:]], 1)
+                made = word_ratios(known.value, counted, symbol, n, inside).astype(np.float32)
+                columns = [b.column(0), b.column(2), pa.array([r.tobytes() for r in made], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, schema=ratio_arrow)
+
+    if rows is None:
+        by_word = counts.select("word", "n", F.lit(None).cast("binary").alias("ratio"))
+    else:
+        others = rows.where("word IS NOT NULL").groupBy("word", "symbol")
+        others = others.agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in IN_STATES])
+        by_word = others.mapInArrow(ratios, RATIOS)
 
     arrow = to_arrow_schema(SCORED)
 
-    def likelihoods(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if b.num_rows:
-                logs = model.likelihoods(b.column(1))
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(logs)], schema=arrow)
-
-    run = coded.select("row", "symbols").mapInArrow(likelihoods, SCORED)
-    rare = coded.select("row", F.explode("rare").alias("word"))
-    rare = rare.join(counts.select("word", "n"), "word", "left")
+            if not b.num_rows:
+                continue
+            heads = [unpacked(x, "<i4") for x in b.column("head").to_pylist()]
+            places, made = b.column("at").to_pylist(), b.column("ratio").to_pylist()
+
+            def ratio(rows, steps):
+                out = table.value[padded_places(heads, rows, steps)]
+                for j, i in enumerate(rows.tolist()):
+                    if places[i]:
+                        rare = np.flatnonzero(heads[i] < 0)[places[i]]
+                        out[rare, j] = np.frombuffer(b"".join(made[i]), np.float32).reshape(-1, STATES)
+                return out
+
+            logs = model.likelihoods(b.column("symbols"), ratio)
+            columns = [b.column(name) for name in SCORED.names[:-1]] + [pa.array(logs)]
+            yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+
+    rare = coded.select("row", F.posexplode("rare").alias("at", "word")).join(by_word, "word", "left")
     log = F.log10(F.coalesce("n", F.lit(0)) + F.lit(0.5))
+    found = F.when(F.col("ratio").isNotNull(), F.struct("at", "ratio"))
     rare = rare.groupBy("row").agg(
-        F.sum(log).alias("rare_logs"), F.count_if(F.col("n") > 0).alias("rare_known")
+        F.sum(log).alias("rare_logs"),
+        F.count_if(F.col("n") > 0).alias("rare_known"),
+        F.collect_list(found).alias("found"),
+    )
+    run = coded.drop("rare").join(rare, "row", "left").select(
+        "doc_id",
+        "held_out",
+        F.octet_length("symbols").cast("long").alias("n_tokens"),
+        (F.col("known") + F.coalesce("rare_known", F.lit(0))).cast("long").alias("n_known"),
+        "log_counts",
+        "log_own",
+        F.coalesce("rare_logs", F.lit(0.0)).alias("rare_logs"),
+        "symbols",
+        "head",
+        "found.at",
+        "found.ratio",
     )
-    n_tokens = F.octet_length("symbols").cast("long")
-    rare_logs = F.coalesce("rare_logs", F.lit(0.0))
-    return (
-        coded.select("row", "doc_id", "held_out", n_tokens.alias("n_tokens"), "known", "log_counts", "log_own")
-        .join(run, "row")
-        .join(rare, "row", "left")
-        .select(
-            "doc_id",
-            "held_out",
-            "n_tokens",
-            (F.col("known") + F.coalesce("rare_known", F.lit(0))).cast("long").alias("n_known"),
-            F.lit(words.total).cast("long").alias("train_tokens"),
-            (F.col("log_counts") + rare_logs - F.col("n_tokens") * F.lit(words.log_all)).alias("base_score"),
-            (F.col("log10") + F.col("log_own") + rare_logs).alias("score"),
-        )
+    return run.mapInArrow(scored, SCORED).select(
+        "doc_id",
+        "held_out",
+        "n_tokens",
+        "n_known",
+        F.lit(words.total).cast("long").alias("train_tokens"),
+        (F.col("log_counts") + F.col("rare_logs") - F.col("n_tokens") * F.lit(words.log_all)).alias("base_score"),
+        (F.col("log10") + F.col("log_own") + F.col("rare_logs")).alias("score"),
     )

@@ -110,6 +110,44 @@ def test_language_model_edges(docs_of):
     assert (r.n_tokens, r.n_known, r.train_tokens) == (3, 0, 0) and np.isfinite(r.score)
 
 
+@pytest.mark.parametrize("head", [hmm.HEAD_WORDS, 300, 0])
+def test_language_model_learns_words_beyond_the_own_symbols(docs_of, monkeypatch, head):
+    rng = random.Random(13)
+    common = [f"c{i:03}" for i in range(200)]  # take the own symbols
+    topics = [[f"t{chr(97 + i // 26 % 26)}{chr(97 + i % 26)}{chr(97 + t)}x" for i in range(60)] for t in range(2)]
+    rows = []
+    for i in range(400):
+        words = [w for _ in range(12) for w in (rng.choice(topics[i % 2]), rng.choice(common), rng.choice(topics[i % 2]))]
+        rows.append((i, " ".join(words + common)))
+    table = hmm.word_table
+    monkeypatch.setattr(hmm, "word_table", lambda counts, ends: table(counts, ends, head))
+    got = hmm.score_documents(docs_of(rows)).collect()
+    held = [r for r in got if r.held_out]
+    with_words = sum(r.score for r in held)
+    assert len(held) > 40 and with_words > sum(r.base_score for r in held)
+    # The topics share symbols, so that symbols alone cannot tell them.
+    if head:
+        few = 200  # only the own symbols are known as words until the last iteration
+        monkeypatch.setattr(hmm, "word_table", lambda counts, ends: table(counts, ends, few))
+        assert with_words > sum(r.score for r in hmm.score_documents(docs_of(rows)).collect() if r.held_out)
+
+
+def test_shares_of_words_in_a_state_add_up_to_one():
+    rng = np.random.default_rng(4)
+    n = np.array([1, 1, 2, 9, 40])
+    inside = n[:, None] * rng.dirichlet(np.ones(hmm.STATES), 5)
+    total, types = np.zeros(hmm.SHARED), np.zeros(hmm.SHARED)
+    total[7], types[7] = n.sum(), 5
+    words = hmm.Words(int(n.sum()), 5, 0, total, types, n, n, np.full(5, -1), np.full(5, 7))
+    counts = np.zeros((2 + 2 * hmm.STATES, hmm.SYMBOLS))
+    counts[1 + hmm.STATES : 1 + 2 * hmm.STATES, hmm.OWN + 7] = inside.sum(0)
+    ratio = hmm.word_ratios(words, counts, np.full(5, hmm.OWN + 7), n, inside)
+    plain = (n + 0.5) / 10 ** words.log_shared[7]
+    unknown = 0.5 / 10 ** words.log_shared[7]
+    assert plain @ ratio + unknown == pytest.approx(np.ones(hmm.STATES)) and ratio.min() > 0
+    assert np.abs(ratio - 1).max() > 0.2
+
+
 def small_model(rng):
     norm = lambda x, axis: x / x.sum(axis, keepdims=True)
     return hmm.Hmm(
