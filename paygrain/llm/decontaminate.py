@@ -4,8 +4,8 @@ A place where a benchmark item stands in a document with at most k edits shares
 m + 1 - (k + 1) q of the item's m - q + 1 q-grams with it (the q-gram lemma), and all on diagonals that are at most
 k apart. Shared q-grams are therefore counted in overlapping bands of diagonals, bands that meet
 the bound are kept, and the item is aligned with the region of each kept band by dynamic programming
-inside the band. The filter loses nothing within the budget. Short items take a smaller q, which follows from
-their size and budget; items of eight bytes or less without edits are looked up whole. Places of short items
+inside the band. The filter loses nothing within the budget. Items take a smaller q where their size and
+budget ask for it; items of eight bytes or less without edits are looked up whole. Places of short items
 begin and end at word borders, as a few bytes also stand inside other words by chance.
 
 Items go to the tasks in blocks of bounded size; documents are read once for each block and not shuffled.
@@ -274,14 +274,10 @@ class Block:
         for item_id, text in rows:
             size = len(text)
             k = int(size * edit_share)
-            if size >= SHORT_BYTES:
-                q, k = Q, min(k, size // Q - 2)
-            elif size <= Q and not k:
+            if size <= Q and not k:
                 tiny.setdefault(size, []).append((item_id, text, 0))
-                continue
             else:
-                q = gram_size(size, k)
-            longer.setdefault(q, []).append((item_id, text, k))
+                longer.setdefault(gram_size(size, k), []).append((item_id, text, k))
         parts = [Tiny.of(part, size) for size, part in sorted(tiny.items())]
         parts += [Items.of(part, q) for q, part in sorted(longer.items())]
         return Block(parts, any(len(text) < SHORT_BYTES for _, text in rows))
@@ -325,7 +321,7 @@ def find_leaks(
 
     A row for each document and item that stands in it, whole, with edits of at most ``edit_share``
     of its bytes; letters A-Z in either case and any white space are the same. Places of items under ``SHORT_BYTES``
-    bytes begin and end at word borders. Offsets are bytes of the UTF-8
+    bytes begin and end at word borders. An ``edit_share`` that leaves nothing to find an item by raises. Offsets are bytes of the UTF-8
     text. A null or empty text, or an empty benchmark, gives no rows; repeated rows and null doc_ids are reported
     once each; of equally good places the first counts. Other columns are not read.
     """

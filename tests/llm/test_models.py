@@ -289,6 +289,28 @@ def test_short_items_are_found_between_word_borders(spark, docs_of):
     assert sorted(r.doc_id for r in left.collect()) == sorted({d for d, _ in rows} - {d for d, _ in want})
 
 
+@pytest.mark.parametrize("share", [0.1, 0.25])
+def test_items_have_their_whole_budget(spark, docs_of, share):
+    rng = random.Random(14)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    items = [(m, "".join(rng.choice(letters) for _ in range(m))) for m in range(50, 100)]
+    rows, want = [], {}
+    for m, item in items:
+        k, part = int(m * share), list(item)
+        for at in range(k):
+            part[at * m // k + m // k // 2] = "7"
+        rows += [(m, "00 " + "".join(part) + " 11"), (1000 + m, "0 " + "".join(part)[:-1] + "5 1")]
+    for (d, text), (i, item) in product(rows, items):
+        if d % 1000 == i and (e := edits(item.encode(), text.encode())) <= int(i * share):
+            want[d, i] = e
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.find_leaks(docs_of(rows), benchmark, edit_share=share).collect()
+    assert {(r.doc_id, r.item_id): r.edits for r in found} == want
+    assert all(want[m, m] == int(m * share) for m, _ in items)
+    with pytest.raises(ValueError):
+        decontaminate.gram_size(4, 3)
+
+
 def test_word_borders_of_scripts():
     places = lambda t: np.flatnonzero(decontaminate.word_borders(t.encode())).tolist()
     assert places("") == [0] and places("a\u00e9b") == [0, 4] and places("\u201cab\u201d") == [0, 3, 5, 8]
