@@ -81,7 +81,55 @@ sums AS (SELECT doc_id, CAST(sum(e - s) AS BIGINT) AS removed, count(*) AS k FRO
 SELECT doc_id, n AS n_bytes, coalesce(removed, 0) AS n_removed, coalesce(k, 0) AS n_spans, kept_sha256
 FROM bytes JOIN kept USING (doc_id) LEFT JOIN sums USING (doc_id)"""
 
+op11_spelling = f"""
+WITH RECURSIVE bits AS (SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+runs AS (SELECT doc_id, translate(r, '{UPPER}', '{LOWER}') AS w, count(*) AS k FROM (SELECT doc_id, unnest(
+    regexp_extract_all(coalesce(text, ''), '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) AS r FROM documents) WHERE length(r) >= 7 GROUP BY 1, 2),
+coded AS (SELECT w, k, hex(encode(doc_id || ':' || w)) AS x FROM runs),
+hashed AS (SELECT w, k, xor(4294967295, list_reduce(list_concat([4294967295], list_transform(range(length(x) // 2),
+    lambda i: CAST('0x' || substr(x, 2 * i + 1, 2) AS BIGINT))), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS h
+    FROM coded, bits),
+spelt AS (SELECT CASE WHEN h % 31 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, k
+    FROM hashed),
+words AS MATERIALIZED (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM spelt WHERE length(word) >= 7 GROUP BY 1 HAVING sum(k) >= 2),
+shorter AS MATERIALIZED (SELECT word, n, j, substr(word, 1, j - 1) || substr(word, j + 1) AS r
+    FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS j FROM words)),
+near AS (SELECT a.word, b.word AS o, b.n AS m FROM shorter a JOIN shorter b ON a.j = b.j AND a.r = b.r AND a.word <> b.word
+    UNION SELECT s.word, w.word, w.n FROM shorter s JOIN words w ON s.r = w.word
+    UNION SELECT w.word, s.word, s.n FROM shorter s JOIN words w ON s.r = w.word),
+ranked AS (SELECT word, o, m, count(*) OVER (PARTITION BY word) AS c,
+    row_number() OVER (PARTITION BY word ORDER BY m DESC, o) AS place FROM near),
+forms AS MATERIALIZED (SELECT w.word, w.n, coalesce(c, 0) AS n_near, CASE WHEN m >= 10 * w.n THEN o END AS form,
+    CASE WHEN m >= 10 * w.n THEN m END AS form_n FROM words w LEFT JOIN ranked r ON r.word = w.word AND place = 1),
+way AS (SELECT word, word AS root FROM forms UNION ALL
+    SELECT way.word, f.form FROM way JOIN forms f ON f.word = way.root WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, root, f.n, f.n_near, f.form_n
+FROM forms f JOIN way ON way.word = f.word JOIN forms l ON l.word = root AND l.form IS NULL"""
+
+op13_fill_middle = """
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || doc_id) AS h,
+    regexp_extract_all(coalesce(text, ''), '[^\\n]*\\n|[^\\n]+') AS u FROM documents),
+numbers AS (SELECT *, CAST(len(u) AS BIGINT) AS n, CAST('0x' || h[1:8] AS BIGINT) % (len(u) + 1) AS x,
+    CAST('0x' || h[9:16] AS BIGINT) % (len(u) + 1) AS y, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM texts),
+parts AS (SELECT doc_id, n, text, array_to_string(u[1:least(x, y)], '') AS p,
+    array_to_string(u[least(x, y) + 1:greatest(x, y)], '') AS m, array_to_string(u[greatest(x, y) + 1:], '') AS s,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') THEN 'plain'
+         WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM numbers)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+           ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(text) AS restored_sha256
+FROM parts"""
+
 ORACLES = {
     name: globals()[name]
-    for name in ("op1_minhash", "op2_secrets", "op6_embedding", "op10_suffix_dedup")
+    for name in (
+        "op1_minhash",
+        "op2_secrets",
+        "op6_embedding",
+        "op10_suffix_dedup",
+        "op11_spelling",
+        "op13_fill_middle",
+    )
 }

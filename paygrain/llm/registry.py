@@ -13,11 +13,13 @@ from paygrain.llm import (
     byte_bpe,
     decontaminate,
     embedding,
+    fill_middle,
     hmm,
     minhash,
     quality,
     records,
     secrets,
+    spelling,
     suffixes,
     token_counts,
 )
@@ -127,3 +129,20 @@ def op10_suffix_dedup(spark, sf_dir):
         F.size("starts").cast("long").alias("n_spans"),
         "kept_sha256",
     )
+
+
+@query
+def op11_spelling(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return spelling.variant_groups(docs, spelt=spelling.planted_typo)
+
+
+@query
+def op13_fill_middle(spark, sf_dir):
+    cut = fill_middle.transform(table(spark, sf_dir, "documents"))
+    text = fill_middle.restored(F.col("output"), F.col("form"))
+    return cut.select(
+        *[c for c in cut.columns if c != "output"],
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(text, 256).alias("restored_sha256"),
+    )
