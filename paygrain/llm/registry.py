@@ -16,6 +16,7 @@ from paygrain.llm import (
     fill_middle,
     hmm,
     minhash,
+    page_text,
     quality,
     records,
     secrets,
@@ -137,6 +138,11 @@ def op11_spelling(spark, sf_dir):
     return spelling.variant_groups(docs, spelt=spelling.planted_typo)
 
 
+@query
+def op12_html(spark, sf_dir):
+    return page_text.main_text(table(spark, sf_dir, "pages"))
+
+
 @query
 def op13_fill_middle(spark, sf_dir):
     cut = fill_middle.transform(table(spark, sf_dir, "documents"))
