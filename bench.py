@@ -90,16 +90,16 @@ QUERIES = {
 
 
 def pair_counts(fx) -> dict[str, dict[str, int]]:
-    """All pairs of keys without an equal partner, those past the bounds, and ratios computed; untimed."""
+    """All pairs of keys without an equal partner, those compared in any tier, past the bounds, and scored; untimed."""
     counts = {}
     for threshold in (0.85, 0.7):
         left, right = (fx.stored_keys(part) for part in (0, 1))
-        rest = left.join(right.select("key"), "key", "left_anti")
-        found = similarity.scored_keys(rest, right, threshold)
-        sums = found.agg(F.count("*"), F.sum("bounded"), F.sum("scored")).first()
-        counts[f"bench_fuzzy_{round(threshold * 100):03d}_text"] = {
-            "pairs": sums[0] * right.count(), "bounded": sums[1], "scored": sums[2]
-        }
+        rest = left.join(right.select("key"), "key", "left_anti").select("key")
+        work = dict.fromkeys(("compared", "bounded", "scored"), 0)
+        for tier in similarity.match_in_tiers(rest, right, threshold):
+            sums = tier.agg(*[F.sum(c) for c in work]).first()
+            work = {c: n + (x or 0) for (c, n), x in zip(work.items(), sums)}
+        counts[f"bench_fuzzy_{round(threshold * 100):03d}_text"] = {"pairs": rest.count() * right.count(), **work}
     return counts
 
 

@@ -1,9 +1,10 @@
 """String-similarity joins.
 
-:func:`best_fuzzy_match` finds the best partner of every key by sequence ratio. The lookup side is taken
-in blocks of bounded size, against which tasks compare their share of the keys: cheap upper bounds of
-the ratio for a whole block at once, then the longest common subsequence, then the ratio itself. No pair
-becomes a row.
+:func:`best_fuzzy_match` finds the best partner of every key by sequence ratio. The lookup keys lie in blocks of
+bounded size by length and hash; a key goes to the blocks that its length allows, and a task
+compares the keys of a block, or a bounded share of them, with the lookup keys of it
+(:mod:`paygrain.operators.key_blocks`). Only counts by length reach the driver, which cuts the blocks; no pair
+becomes a row, and the shape of the plan does not depend on the data.
 
 :func:`overlap_pairs` finds all pairs of token sets with ``|A n B| >= coef * (|A| + |B|)`` by an
 equi-join on rare tokens (prefix filtering). For trigram similarity > t, ``coef = t / (1 + t)``.
@@ -12,23 +13,29 @@ equi-join on rare tokens (prefix filtering). For trigram similarity > t, ``coef
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator, Sequence
+from bisect import bisect_right
+from collections.abc import Callable, Sequence
 from difflib import SequenceMatcher
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from paygrain.operators.key_blocks import EPS, KeyBlock, partner_sizes
 from paygrain.session import materialize
 
-_EPS = 1e-9
+_EPS = EPS
 # 64-bit words of the token bitmap that bounds the overlap cheaply.
 _WORDS = 4
-# Lookup keys that a task holds at a time, and the hash classes of their letters and letter pairs.
-BLOCK_KEYS, BLOCK_CHARS = 50_000, 4 << 20
-_LETTERS, _PAIRS = 48, 96
+# Largest block of lookup keys, share of the other keys that meets it, and pairs of both.
+BLOCK_KEYS, BLOCK_CHARS, SHARE_KEYS, SHARE_PAIRS = 20_000, 4 << 20, 50_000, 50_000_000
+# Lengths up to EXACT are told apart when lookup keys are counted by length, longer ones by this factor.
+_EXACT, _STEP = 256, 1.05
+# A key whose best partner reaches a tier is closed; only the others are compared at the next one. Tiers of a job
+# with fewer pairs than this of keys that are open would cost more time, for planning, than they save.
+TIERS, TIER_PAIRS = (0.95, 0.85), 200_000_000
 
 
 @F.pandas_udf(T.DoubleType())
@@ -154,160 +161,194 @@ def overlap_pairs(
     )
 
 
-def _profile(keys: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Counts of the letters and of the neighbouring pairs of letters of each key, by hash class."""
-    wide = max(map(len, keys), default=0) > 255
-    kind = np.uint32 if wide else np.uint8
-    letters = np.zeros((len(keys), _LETTERS), kind)
-    pairs = np.zeros((len(keys), _PAIRS), kind)
-    for row, key in enumerate(keys):
-        codes = np.frombuffer(key.encode("utf-32-le"), np.uint32).astype(np.int64)
-        letters[row] = np.bincount(codes % _LETTERS, minlength=_LETTERS)
-        pairs[row] = np.bincount((codes[:-1] * 31 + codes[1:]) % _PAIRS, minlength=_PAIRS)
-    return letters, pairs
+def _step(size: Column) -> Column:
+    """A number that never falls with the length, with some 600 values up to a billion letters."""
+    beyond = F.floor(F.log(F.greatest(size, F.lit(_EXACT)) / F.lit(float(_EXACT))) / math.log(_STEP))
+    return (F.least(size, F.lit(_EXACT)) + beyond).cast("int")
 
 
-def common_subsequence(masks: dict[str, int], size: int, other: str) -> int:
-    """Length of the longest common subsequence of ``other`` and the string that the bit masks stand for."""
-    full = (1 << size) - 1
-    rest = full
-    for ch in other:
-        hit = rest & masks.get(ch, 0)
-        rest = ((rest + hit) | (rest - hit)) & full
-    return size - rest.bit_count()
+def _reach(threshold: float) -> tuple[Column, Column]:
+    """Steps of the shortest and the longest partner of a key."""
+    t, size = threshold, F.length("key")
+    low = F.greatest(F.ceil(size * (t / (2 - t)) - EPS), F.lit(1))
+    return _step(low), _step(F.floor(size * ((2 - t) / t) + EPS))
 
 
-class _Block:
-    """Some lookup keys, by length, with what bounds the ratio.
-
-    M matched characters in r blocks leave r - 1 gaps, each with an unmatched character, so that the two
-    strings (T characters together) share at least M - r >= 3 M - 1 - T pairs of letters, and M letters. Merging
-    letters or pairs into classes can only raise what they seem to share.
+def key_lengths(left: DataFrame, right: DataFrame) -> list[Row]:
+    """(lookup, step, n, chars, least, most) of both sides: counts by length step, a few hundred rows."""
+    both = left.select("key", F.lit(False).alias("lookup")).unionByName(
+        right.select("key", F.lit(True).alias("lookup"))
+    )
+    size = F.length("key")
+    return both.groupBy("lookup", _step(size).alias("step")).agg(
+        F.count("*").alias("n"), F.sum(size).alias("chars"), F.min(size).alias("least"), F.max(size).alias("most")
+    ).collect()
+
+
+class _Cut:
+    """Length classes of the lookup, of neighbouring steps with ``BLOCK_KEYS`` keys or ``BLOCK_CHARS`` characters together;
+    a step with more is a class of several chunks. ``first`` has the first step of each."""
+
+    def __init__(self, lengths: Sequence[Row]):
+        self.first, self.least, self.n, self.chunks = [], [], [], []
+        n = chars = 0
+        for row in sorted((r for r in lengths if r.lookup), key=lambda r: r.step):
+            if not self.first or n + row.n > BLOCK_KEYS or chars + row.chars > BLOCK_CHARS:
+                n = chars = 0
+                for column, value in ((self.first, row.step), (self.least, row.least), (self.n, 0), (self.chunks, 0)):
+                    column.append(value)
+            n, chars = n + row.n, chars + row.chars
+            self.n[-1], self.chunks[-1] = n, max(-(-n // BLOCK_KEYS), -(-chars // BLOCK_CHARS))
+
+    def column(self, step: Column) -> Column:
+        """The class of a step, as an expression."""
+        firsts = F.array(*[F.lit(x) for x in self.first[1:]]).cast("array<int>")
+        return F.size(F.filter(firsts, lambda x: x <= step))
+
+    def shares(self, lengths: Sequence[Row], threshold: float, tasks: int) -> list[int]:
+        """Into how many shares the keys that meet a class are cut; small work makes about two pieces a task."""
+        met = [0] * len(self.first)
+        for row in lengths:
+            if not row.lookup and self.first:
+                low, high = partner_sizes(row.least, threshold)[0], partner_sizes(row.most, threshold)[1]
+                for c in range(max(bisect_right(self.least, low) - 1, 0), bisect_right(self.least, high)):
+                    met[c] += row.n
+        piece = min(SHARE_PAIRS, -(-sum(m * n for m, n in zip(met, self.n)) // (2 * tasks)) or 1)
+        sizes = zip(met, self.n, self.chunks)
+        return [max(-(-m // SHARE_KEYS), min(-(-m * n // (k * piece)), m), 1) for m, n, k in sizes]
+
+
+def _blocks(
+    left: DataFrame, right: DataFrame, threshold: float, lengths: Sequence[Row], tasks: int
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides with the (class, chunk, share) in which they meet.
+
+    Each share of the keys that a class meets gets its copy of the chunk.
     """
+    cut = _Cut(lengths)
+    shares = cut.shares(lengths, threshold, tasks)
+    low, high = _reach(threshold)
+
+    def number(counts: Sequence[int]) -> Column:
+        return F.element_at(F.array(*[F.lit(n) for n in counts or [1]]), F.col("class") + 1)
 
-    def __init__(self, rows: list[tuple[str, object]], threshold: float):
-        rows = sorted(rows, key=lambda r: len(r[0]))
-        self.keys, self.order = [k for k, _ in rows], [o for _, o in rows]
-        self.sizes = np.array([len(k) for k in self.keys])
-        self.letters, self.pairs = _profile(self.keys)
-        self.threshold = threshold
-
-    def candidates(self, key: str) -> tuple[np.ndarray, np.ndarray]:
-        """(places, upper bounds) of the keys whose bound reaches the threshold, best first."""
-        t, m = self.threshold, len(key)
-        low = np.searchsorted(self.sizes, math.ceil(m * t / (2 - t) - _EPS), "left")
-        high = np.searchsorted(self.sizes, math.floor(m * (2 - t) / t + _EPS), "right")
-        letters, pairs = _profile([key])
-        total = m + self.sizes[low:high]
-        kind = np.promote_types(self.letters.dtype, letters.dtype)
-        shared = np.minimum(self.letters[low:high], letters.astype(kind)).sum(1, dtype=np.int64)
-        places = np.flatnonzero(2 * shared >= (t - _EPS) * total)
-        total, shared = total[places], shared[places]
-        near = np.minimum(self.pairs[low + places], pairs.astype(kind)).sum(1, dtype=np.int64)
-        bound = np.minimum(2 * shared / total, 2 * (near + 1 + total) / (3 * total))
-        fine = bound >= t - _EPS
-        places, bound = low + places[fine], bound[fine]
-        best_first = np.argsort(-bound, kind="stable")
-        return places[best_first], bound[best_first]
-
-    def best(self, key: str) -> tuple[tuple | None, int, int]:
-        """((score, order, match) or None, pairs past the bounds, ratios computed)."""
-        places, bounds = self.candidates(key)
-        masks: dict[str, int] = {}
-        for i, ch in enumerate(key):
-            masks[ch] = masks.get(ch, 0) | 1 << i
-        best, scored, matcher = None, 0, SequenceMatcher(None)
-        for place, bound in zip(places.tolist(), bounds.tolist()):
-            if best is not None and bound < best[0] - _EPS:
-                break
-            other, order = self.keys[place], self.order[place]
-            most = 2 * common_subsequence(masks, len(key), other) / (len(key) + len(other))
-            if most < self.threshold or (best is not None and (most, best[1]) <= (best[0], order)):
-                continue
-            matcher.set_seqs(key, other)
-            score, scored = matcher.ratio(), scored + 1
-            if score >= self.threshold and (
-                best is None or score > best[0] or (score == best[0] and order < best[1])
-            ):
-                best = (score, order, other)
-        return best, len(places), scored
-
-
-def _blocks(right: DataFrame) -> Iterator[list[tuple[str, object]]]:
-    """The lookup keys in lists of bounded size; one is held at a time."""
-    block, held = [], 0
-    for key, order in right.select("key", "ord").toLocalIterator():
-        block.append((key, order))
-        held += len(key)
-        if len(block) == BLOCK_KEYS or held >= BLOCK_CHARS:
-            yield block
-            block, held = [], 0
-    if block:
-        yield block
-
-
-def scored_keys(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
-    """``key, match, score, ord, bounded, scored`` for every key and block of the lookup side.
-
-    ``match`` is null without a partner in the block; ``bounded`` pairs passed the bounds, ``scored``
-    ratios were computed.
+    def part(counts: Sequence[int]) -> Column:
+        return F.pmod(F.xxhash64("key"), number(counts)).cast("int")
+
+    def every(counts: Sequence[int]) -> Column:
+        return F.explode(F.sequence(F.lit(0), number(counts) - 1))
+
+    keys = left.select("key", F.explode(F.sequence(cut.column(low), cut.column(high))).alias("class"))
+    keys = keys.select("key", "class", part(shares).alias("share"), every(cut.chunks).alias("chunk"))
+    lookup = right.select("key", "ord", cut.column(_step(F.length("key"))).alias("class"))
+    lookup = lookup.select(
+        F.col("key").alias("match"), "ord", "class", part(cut.chunks).alias("chunk"), every(shares).alias("share")
+    )
+    return keys, lookup
+
+
+def scored_keys(
+    left: DataFrame, right: DataFrame, threshold: float, lengths: Sequence[Row] | None = None
+) -> DataFrame:
+    """``key, match, score, ord, compared, bounded, scored``: the best partner of a key in a block of the lookup.
+
+    A row with a null ``key`` has the sums of a block and share: pairs that were ``compared`` at all, ``bounded`` pairs that
+    passed the bounds, ratios ``scored``. ``lengths`` are the :func:`key_lengths` of both sides, or of more keys.
     """
     if threshold <= 0:
         raise ValueError("the threshold must be above 0")
-    spark = left.sparkSession
+    if lengths is None:
+        lengths = key_lengths(left, right)
+    work = [T.StructField(c, T.LongType()) for c in ("compared", "bounded", "scored")]
     schema = T.StructType(
         [
             T.StructField("key", T.StringType()),
             T.StructField("match", T.StringType()),
             T.StructField("score", T.DoubleType()),
             T.StructField("ord", right.schema["ord"].dataType),
-            T.StructField("bounded", T.LongType()),
-            T.StructField("scored", T.LongType()),
+            *work,
         ]
     )
+    place = ["class", "chunk", "share"]
     # The cost of a key does not show in its bytes, so the number of partitions is given.
-    keys = left.select("key").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "key")
-    result = spark.createDataFrame([], schema)
-    for rows in _blocks(right):
-        held = spark.sparkContext.broadcast(rows)  # at most BLOCK_KEYS keys and BLOCK_CHARS characters
-
-        def run(batches: Iterator[pd.DataFrame], held=held) -> Iterator[pd.DataFrame]:
-            block = _Block(held.value, threshold)
-            for batch in batches:
-                made = []
-                for key in batch["key"]:
-                    best, bounded, scored = block.best(key)
-                    score, order, match = best or (None, None, None)
-                    made.append((key, match, score, order, bounded, scored))
-                yield pd.DataFrame(made, columns=schema.names)
-
-        result = result.unionByName(keys.mapInPandas(run, schema))
-    return result
-
-
-def best_fuzzy_match(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
+    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys, lookup = (side.repartition(parts, *place) for side in _blocks(left, right, threshold, lengths, parts))
+
+    def compare(mine: pd.DataFrame, other: pd.DataFrame) -> pd.DataFrame:
+        made, done = [], np.zeros(3, np.int64)
+        if len(mine) and len(other):
+            block = KeyBlock(other["match"].tolist(), other["ord"].tolist(), threshold)
+            for key in mine["key"]:
+                best, counts = block.best(key)
+                done += counts
+                if best is not None:
+                    made.append((key, best[2], best[0], best[1], None, None, None))
+            made.append((None, None, None, None, *done.tolist()))
+        return pd.DataFrame(made, columns=schema.names, dtype=object)
+
+    return keys.groupBy(*place).cogroup(lookup.groupBy(*place)).applyInPandas(compare, schema)
+
+
+def _best(scored: DataFrame) -> DataFrame:
+    """``key, match, score`` of the keys that have a partner: one row for each."""
+    best = F.min(F.struct((-F.col("score")).alias("score"), "ord", "match")).alias("best")
+    found = scored.where("key IS NOT NULL").groupBy("key").agg(best)
+    return found.select("key", F.col("best.match").alias("match"), (-F.col("best.score")).alias("score"))
+
+
+def match_in_tiers(
+    left: DataFrame,
+    right: DataFrame,
+    threshold: float,
+    tiers: Sequence[float] = TIERS,
+    least_pairs: int = 0,
+) -> list[DataFrame]:
+    """Stored results of :func:`scored_keys` for each tier above the threshold and the threshold itself.
+
+    At a high tier few lengths and few triples allow a partner, and a key that has found one is closed, because
+    all partners that reach the tier are seen there; only open keys go on. With fewer than ``least_pairs`` pairs of
+    keys there is no tier but the threshold. All choices give the same best partners.
+    """
+    results, lengths = [], key_lengths(left, right)
+    sides = [sum(r.n for r in lengths if r.lookup == lookup) for lookup in (False, True)]
+    if sides[0] * sides[1] < least_pairs:
+        tiers = ()
+    for tier in [*sorted((t for t in tiers if threshold < t < 1), reverse=True), threshold]:
+        results.append(materialize(scored_keys(left, right, tier, lengths), "fuzzy-tier"))
+        closed = results[-1].select("key").where("key IS NOT NULL")
+        left = left.join(closed, "key", "left_anti")
+    return results
+
+
+def best_fuzzy_match(
+    left: DataFrame,
+    right: DataFrame,
+    threshold: float,
+    tiers: Sequence[float] = TIERS,
+    least_pairs: int = TIER_PAIRS,
+) -> DataFrame:
     """Best partner per left key: ``key, match, score``; keys without a partner are absent.
 
     ``left``: distinct ``key``. ``right``: distinct ``key`` and ``ord``, where the smaller
     ``ord`` wins a tie. Empty keys match nothing. Both should be compact stored tables
     (:func:`paygrain.session.materialize`), because each is read several times. With a threshold of 1 only
-    equal keys match; one of 0 or less is an error.
+    equal keys match; one of 0 or less is an error. The result does not depend on the ``tiers``
+    of :func:`match_in_tiers`.
     """
     if threshold <= 0:
         raise ValueError("the threshold must be above 0")
     left = left.where(F.length("key") > 0)
     right = right.where(F.length("key") > 0)
     # Equal keys have ratio 1.0, which no other key reaches: they need no scoring.
-    exact = left.join(right, "key").select(
+    found = left.join(right, "key").select(
         "key", F.col("key").alias("match"), F.lit(1.0).alias("score")
     )
     if threshold >= 1:
-        return exact
-    rest = left.join(right.select("key"), "key", "left_anti")
-    scored = scored_keys(rest, right, threshold).where("match IS NOT NULL")
-    place = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("score"), "ord"))
-    best = scored.withColumn("place", place).where("place = 1")  # a row for each block of the lookup
-    return exact.unionByName(best.select("key", "match", "score"))
+        return found
+    rest = left.select("key").join(right.select("key"), "key", "left_anti")
+    for scored in match_in_tiers(rest, right, threshold, tiers, least_pairs):
+        found = found.unionByName(_best(scored))
+    return found
 
 
 def attach_best_match(

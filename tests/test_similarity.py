@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from paygrain.functions import text
 from paygrain.operators import similarity
+from paygrain.operators.key_blocks import KeyBlock, common_subsequence
 
 WORDS = ["senior", "junior", "data", "analyst", "clerk", "police", "officer", "ii", "of", "parks", "é"]
 
@@ -30,7 +31,7 @@ def brute(left, right, threshold):
 def run(spark, left, right, threshold):
     l = spark.createDataFrame([(k,) for k in left], "key string")
     r = spark.createDataFrame([(k, i) for i, k in enumerate(right)], "key string, ord int")
-    rows = similarity.best_fuzzy_match(l, r, threshold).collect()
+    rows = similarity.best_fuzzy_match(l, r, threshold, least_pairs=0).collect()
     found = {x.key: (x.match, x.score) for x in rows}
     assert len(found) == len(rows)
     return found
@@ -94,22 +95,53 @@ def test_overlap_pairs_is_lossless(spark, coef):
     assert {(r.left_key, r.right_key, r.shared) for r in rows} == expected
 
 
-def test_plan_has_no_nested_loop_and_one_python_node(spark):
-    l = spark.createDataFrame([("ab",), ("abc",)], "key string")
-    r = spark.createDataFrame([("ab", 1)], "key string, ord int")
-    df = similarity.best_fuzzy_match(l, r, 0.85)
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-    assert plan.count("MapInPandas") == 1 and "ArrowEvalPython" not in plan
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
 
 
-def test_blocks_of_the_lookup_give_one_best_partner(spark, monkeypatch):
+def test_plan_does_not_grow_with_the_lookup(spark, monkeypatch):
+    monkeypatch.setattr(similarity, "BLOCK_KEYS", 40)
+    plans = []
+    for n in (30, 120):  # one block of the lookup, and three
+        l = spark.createDataFrame([("abcdefgh",), ("abc",)], "key string")
+        rows = [(f"key_{i:04d}", i) for i in range(n)]
+        scored = similarity.scored_keys(l, spark.createDataFrame(rows, "key string, ord int"), 0.85)
+        r = spark.createDataFrame(rows, "key string, ord int")
+        blocks = similarity._blocks(l, r, 0.85, similarity.key_lengths(l, r), 8)[1]
+        assert blocks.select("chunk").distinct().count() == (1 if n == 30 else 3)
+        plans.append([line.strip(" :+-").split("#")[0].split(" ")[0] for line in plan_of(scored).splitlines()])
+        text = plan_of(scored)
+        assert text.count("FlatMapCoGroupsInPandas") == 1 and "Cartesian" not in text
+    assert plans[0] == plans[1]
+
+
+def test_blocks_and_shares_give_one_best_partner(spark, monkeypatch):
     # All candidates have the same letters; the best ones lie in different blocks and tie.
     monkeypatch.setattr(similarity, "BLOCK_KEYS", 70)
+    monkeypatch.setattr(similarity, "SHARE_KEYS", 1)
     rng = random.Random(4)
     hot = "abcdefghijklmnop"
     right = sorted({"".join(rng.sample(hot, len(hot))) for _ in range(400)} - {hot})
     assert run(spark, [hot, hot[::-1]], right, 0.1) == brute([hot, hot[::-1]], right, 0.1)
+    monkeypatch.setattr(similarity, "BLOCK_CHARS", 64)
+    assert run(spark, [hot], right[:60], 0.5) == brute([hot], right[:60], 0.5)
+
+
+def test_every_key_meets_every_block_of_its_lengths_once(spark, monkeypatch):
+    monkeypatch.setattr(similarity, "BLOCK_KEYS", 7)
+    monkeypatch.setattr(similarity, "SHARE_KEYS", 5)
+    rng = random.Random(8)
+    left, right = (sorted({"x" * rng.randint(1, 60) + str(rng.random())[2:5] for _ in range(90)}) for _ in range(2))
+    l = spark.createDataFrame([(k,) for k in left], "key string")
+    r = spark.createDataFrame([(k, k) for k in right], "key string, ord string")
+    for threshold in (0.95, 0.7, 0.3):
+        mine, lookup = similarity._blocks(l, r, threshold, similarity.key_lengths(l, r), 8)
+        met = mine.join(lookup, ["class", "chunk", "share"]).select("key", "match").collect()
+        assert len(met) == len(set(met))
+        near = {(a, b) for a in left for b in right if 2 * min(len(a), len(b)) >= threshold * (len(a) + len(b))}
+        assert near <= {tuple(x) for x in met}
+        sizes = lookup.groupBy("class", "chunk", "share").count()
+        assert sizes.agg(F.max("count")).first()[0] <= 20
 
 
 def word_made(rng, n):
@@ -117,27 +149,80 @@ def word_made(rng, n):
     return sorted({"_".join(rng.choices(words, k=rng.randint(2, 5))) for _ in range(n)})
 
 
-@pytest.mark.parametrize("threshold,bounded,scored", [(0.85, 0.01, 0.0005), (0.7, 0.15, 0.005)])
-def test_few_pairs_pass_the_bounds_and_the_share_does_not_grow(spark, threshold, bounded, scored):
+def compared(results):
+    """Pairs compared, past the bounds, and scored, of all tiers."""
+    sums = [x.agg(F.sum("compared"), F.sum("bounded"), F.sum("scored")).first() for x in results]
+    return [sum(x[i] or 0 for x in sums) for i in range(3)]
+
+
+def frames(spark, left, right):
+    l = spark.createDataFrame([(k,) for k in left], "key string")
+    return l, spark.createDataFrame([(k, k) for k in right], "key string, ord string")
+
+
+@pytest.mark.parametrize("threshold,share,scored", [(0.85, 0.002, 0.0005), (0.7, 1.0, 0.005)])
+def test_few_pairs_are_compared_and_the_share_does_not_grow(spark, threshold, share, scored):
     shares = []
     for n in (500, 2000):
         rng = random.Random(n)
         left, right = word_made(rng, n), word_made(rng, n)
-        l = spark.createDataFrame([(k,) for k in left], "key string")
-        r = spark.createDataFrame([(k, k) for k in right], "key string, ord string")
-        sums = similarity.scored_keys(l, r, threshold).agg(F.sum("bounded"), F.sum("scored")).first()
+        sums = compared([similarity.scored_keys(*frames(spark, left, right), threshold)])
         shares.append([x / (len(left) * len(right)) for x in sums])
-    assert shares[1][0] <= bounded and shares[1][1] <= scored
+    assert shares[1][0] <= share and shares[1][2] <= scored
     assert shares[1][0] <= 1.2 * shares[0][0] + 1e-4
 
 
+def titles(rng, n):
+    """Titles of words by Zipf's law, over a vocabulary that grows with the square root of the text."""
+    size = int(12 * n**0.5)
+    vocabulary = ["".join(rng.choices("etaoinshrdlucmfwypvbgk", k=rng.randint(3, 9))) for _ in range(size)]
+    weights, out = [1 / (i + 1) for i in range(size)], set()
+    while len(out) < n:
+        out.add("_".join(rng.choices(vocabulary, weights, k=rng.randint(2, 5))))
+    out = sorted(out)
+    rng.shuffle(out)
+    return out
+
+
+def test_comparisons_of_a_key_grow_slower_than_the_lookup(spark):
+    """Keys with a close partner are closed early; others meet a small share of the lookup."""
+    per_key, share = [], []
+    for n in (2000, 8000):
+        rng = random.Random(n)
+        words = titles(rng, n + 300)
+        right = words[300:]
+        typos = [k[:i] + "x" + k[i + 1 :] for k in rng.sample(right, 400) if len(k) > 20 for i in [rng.randrange(len(k))]]
+        results = similarity.match_in_tiers(*frames(spark, typos, right), 0.85)
+        assert results[0].where("key IS NOT NULL").select("key").distinct().count() == len(set(typos))
+        per_key.append(compared(results)[0] / len(typos))
+        results = similarity.match_in_tiers(*frames(spark, words[:300], right), 0.85)
+        share.append(compared(results)[0] / 300 / n)
+    assert per_key[1] < 2 * per_key[0]
+    assert max(share) < 0.006
+
+
+def test_tiers_compare_less_than_the_threshold_alone(spark):
+    rng = random.Random(12)
+    right = titles(rng, 1500)
+    typos = [k[:i] + "x" + k[i + 1 :] for k in right[:400] if (i := rng.randrange(len(k))) >= 0]
+    left = sorted(set(typos) - set(right)) + ["qqqq_zzzzzzzz_jjjj", "zq"]
+    l, r = frames(spark, left, right)
+    tiered, flat = (similarity.match_in_tiers(l, r, 0.7, tiers) for tiers in (similarity.TIERS, ()))
+    assert len(tiered) == 3 and len(flat) == 1
+    assert compared(tiered)[0] < 0.5 * compared(flat)[0]
+    a, b = ({tuple(x) for x in similarity.best_fuzzy_match(l, r, 0.7, t, 0).collect()} for t in ((), similarity.TIERS))
+    assert a == b and len(a) >= 390
+    closed = {x.key for x in tiered[0].where("key IS NOT NULL").collect()}
+    assert closed and not closed & {x.key for x in tiered[1].where("key IS NOT NULL").collect()}
+
+
 def test_bounds_lose_nothing(spark):
     rng = random.Random(9)
     right = keys(rng, 60) + ["a" * 300, "ab" * 150, "x"]
     for threshold in (0.9, 0.75, 0.5, 0.2):
-        block = similarity._Block([(k, k) for k in right], threshold)
+        block = KeyBlock(right, right, threshold)
         for key in [*keys(rng, 60), "a" * 299, "ba" * 150, "x", "xy"]:
-            places, bounds = block.candidates(key)
+            places, bounds, _ = block.candidates(key)
             found = {block.keys[p]: b for p, b in zip(places.tolist(), bounds.tolist())}
             for other in right:
                 ratio = SequenceMatcher(None, key, other).ratio()
@@ -145,6 +230,24 @@ def test_bounds_lose_nothing(spark):
                     assert found[other] >= ratio - 1e-9
 
 
+def test_index_loses_nothing():
+    rng = random.Random(21)
+    for _ in range(60):
+        base = "".join(rng.choices("abcde_é", k=rng.randint(1, 40)))
+        right = {base}
+        while len(right) < 40:  # copies with moved, dropped, put in and doubled parts
+            k = rng.choice(sorted(right))
+            i, j = sorted(rng.choices(range(len(k) + 1), k=2))
+            right.add(rng.choice([k[:i] + k[j:], k[i:] + k[:i], k[:i] + "xy" + k[i:], k[:j] + k[i:j][:6] + k[j:], k[::-1]])[:60] or "q")
+        right = sorted(right)
+        for threshold in (0.95, 0.85, 0.7):
+            block = KeyBlock(right, right, threshold)
+            for key in rng.sample(right, 6):
+                key = key[1:] + rng.choice("ab") if rng.random() < 0.5 else key
+                found = {block.keys[p] for p in block.candidates(key)[0].tolist()}
+                assert {b for b in right if SequenceMatcher(None, key, b).ratio() >= threshold and key} <= found
+
+
 def test_common_subsequence_equals_the_table():
     rng = random.Random(3)
     for _ in range(200):
@@ -157,7 +260,7 @@ def test_common_subsequence_equals_the_table():
         masks = {}
         for i, ch in enumerate(a):
             masks[ch] = masks.get(ch, 0) | 1 << i
-        assert similarity.common_subsequence(masks, len(a), b) == row[-1]
+        assert common_subsequence(masks, len(a), b) == row[-1]
 
 
 def test_threshold_limits(spark):
