@@ -344,38 +344,51 @@ def _(fx):
     return matched.drop(*MATCH_COLUMNS)
 
 
-@query("V5_fact_job_postings", f"""
-WITH RECURSIVE {JOBS_PROCESSED}
-SELECT job_id, agency, business_title, CAST(number_of_positions AS INT) AS number_of_positions,
-    CAST(CAST(salary_range_from AS DECIMAL(24,6)) AS DECIMAL(12,2)) AS salary_range_from,
-    CAST(CAST(salary_range_to AS DECIMAL(24,6)) AS DECIMAL(12,2)) AS salary_range_to,
-    CAST(posting_date AS TIMESTAMP) AS posting_date, posting_duration_days, best_payroll_match,
-    CAST(CAST(best_match_score AS DECIMAL(24,6)) AS DECIMAL(5,4)) AS best_match_score,
-    CAST(payroll_salary_min AS DECIMAL(12,2)) AS payroll_salary_min FROM jobs_processed""", ["fx_payroll", "fx_jobs"])
-def _(fx):
-    df = facts.conform_postings(_jobs_processed(fx), check_widths=True)
-    return df.select(
-        "job_id", "agency", "business_title", "number_of_positions", "salary_range_from",
-        "salary_range_to", "posting_date", "posting_duration_days", "best_payroll_match",
-        "best_match_score", "payroll_salary_min",
-    )
-
-
-@query("V5_fact_posting_duration", f"""
+STAMP = dt.datetime(1999, 1, 1)
+STAMPED = "TIMESTAMP '1999-01-01' AS created_at, TIMESTAMP '1999-01-01' AS updated_at"
+FACT_COLUMNS = f"""job_id, agency, posting_type, CAST(number_of_positions AS INT) AS number_of_positions, business_title,
+    CAST(NULL AS VARCHAR) AS civil_service_title, CAST(NULL AS VARCHAR) AS job_category,
+    CAST(NULL AS VARCHAR) AS full_time_part_time_indicator, career_level,
+    {_d("salary_range_from", 12)} AS salary_range_from, {_d("salary_range_to", 12)} AS salary_range_to,
+    CAST(NULL AS VARCHAR) AS salary_frequency, CAST(NULL AS VARCHAR) AS work_location,
+    CAST(posting_date AS TIMESTAMP) AS posting_date, posting_duration_days, fuzzy_match_string, best_payroll_match,
+    {_d("best_match_score", 5, 4)} AS best_match_score, {_d("payroll_salary_min", 12)} AS payroll_salary_min,
+    {_d("payroll_salary_max", 12)} AS payroll_salary_max, @stamps"""
+FACT_POSTINGS_SQL = f"WITH RECURSIVE {JOBS_PROCESSED} SELECT {FACT_COLUMNS} FROM jobs_processed"
+FACT_DURATION_SQL = f"""
 WITH RECURSIVE prepared AS MATERIALIZED ({POSTINGS_SQL}), {TITLE_MATCH},
-wide AS (SELECT job_id, agency, business_title, posting_duration_days, {TITLE_COLUMNS} FROM matched)
-SELECT job_id, agency, business_title, posting_duration_days AS actual_posting_duration_days,
+wide AS (SELECT job_id, agency, business_title, posting_duration_days, {TITLE_COLUMNS} FROM matched),
+fact AS (SELECT job_id, agency, business_title, posting_duration_days AS actual_posting_duration_days,
     {_d("lighthouse_median_posting_duration", 8, 2)} AS lighthouse_median_posting_duration,
     {_d("duration_variance", 8, 2)} AS duration_variance,
     {_d("duration_variance_pct", 8, 2)} AS duration_variance_pct, lighthouse_match_title,
     {_d("lighthouse_match_score", 5, 4)} AS lighthouse_match_score, lighthouse_total_postings,
     {_d("lighthouse_median_salary", 12, 2)} AS lighthouse_median_salary, lighthouse_top_skills,
     lighthouse_education_requirements, lighthouse_experience_level, lighthouse_salary_category,
-    {_d("lighthouse_posting_intensity", 8, 4)} AS lighthouse_posting_intensity FROM wide""",
-       ["fx_jobs", "fx_benchmark"])
+    {_d("lighthouse_posting_intensity", 8, 4)} AS lighthouse_posting_intensity FROM wide)
+SELECT @ids *, @stamps FROM fact"""
+DENSE = "row_number() OVER (ORDER BY job_id) AS duration_analysis_id,"
+
+
+def fact_duration_sql(ids: str, stamps: str) -> str:
+    return FACT_DURATION_SQL.replace("@ids", ids).replace("@stamps", stamps)
+
+
+@query("V5_fact_job_postings", FACT_POSTINGS_SQL.replace("@stamps", STAMPED), ["fx_payroll", "fx_jobs"])
+def _(fx):
+    return facts.conform_postings(_jobs_processed(fx), as_of=STAMP, check_widths=True)
+
+
+@query("V5_fact_posting_duration", fact_duration_sql("", STAMPED), ["fx_jobs", "fx_benchmark"])
+def _(fx):
+    matched = benchmark.match_benchmark(_jobs_processed(fx), benchmark.build_benchmark(fx.benchmark))
+    return facts.conform_duration(matched, with_id=False, as_of=STAMP)
+
+
+@query("S11_dense_ids", fact_duration_sql(DENSE, STAMPED), ["fx_jobs", "fx_benchmark"])
 def _(fx):
     matched = benchmark.match_benchmark(_jobs_processed(fx), benchmark.build_benchmark(fx.benchmark))
-    return facts.conform_duration(matched, with_id=False).drop("created_at", "updated_at")
+    return facts.conform_duration(matched.repartition(7), as_of=STAMP)
 
 
 @query("V6_high_quality_payroll_matches", """
@@ -468,16 +481,11 @@ def _(fx):
     )
 
 
-@query("S11_conform_to_fact", """
-SELECT job_id, agency, posting_type, CAST(number_of_positions AS INT) AS number_of_positions,
-       business_title, CAST(NULL AS VARCHAR) AS work_location,
-       CAST(CAST(salary_range_from AS DECIMAL(24,6)) AS DECIMAL(12,2)) AS salary_range_from,
-       CAST(CAST(salary_range_to AS DECIMAL(24,6)) AS DECIMAL(12,2)) AS salary_range_to,
-       CAST(posting_date AS TIMESTAMP) AS posting_date
-FROM fx_jobs WHERE year(CAST(posting_date AS TIMESTAMP)) IN (1997, 1998)""", JOBS)
+@query("S11_conform_to_fact", f"""
+WITH prepared AS MATERIALIZED ({POSTINGS_SQL}), unmatched AS (SELECT *, CAST(NULL AS VARCHAR) AS best_payroll_match,
+    CAST(NULL AS DOUBLE) AS best_match_score, CAST(NULL AS DOUBLE) AS payroll_salary_min,
+    CAST(NULL AS DOUBLE) AS payroll_salary_max FROM prepared)
+SELECT {FACT_COLUMNS.replace("@stamps", STAMPED)} FROM unmatched""", JOBS)
 def _(fx):
     df = postings.build_postings(fx.jobs, None, YEARS)
-    return facts.conform_postings(df, as_of=dt.datetime(1999, 1, 1), check_widths=True).select(
-        "job_id", "agency", "posting_type", "number_of_positions", "business_title",
-        "work_location", "salary_range_from", "salary_range_to", "posting_date",
-    )
+    return facts.conform_postings(df, as_of=STAMP, check_widths=True)

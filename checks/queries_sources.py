@@ -6,6 +6,8 @@ import uuid
 from pyspark.sql import functions as F
 
 
+from checks.queries_columns import POSTINGS_SQL
+from checks.queries_matching import DENSE, FACT_POSTINGS_SQL, JOBS_PROCESSED, TITLE_MATCH, fact_duration_sql
 from checks.registry import query
 from paygrain.functions.text import sheet_slug
 from paygrain.plans import audit, sheets
@@ -144,32 +146,56 @@ NOON = FIRST + dt.timedelta(hours=6)
 
 @query("S6_stage_records", f"""
 WITH ranges AS (SELECT agency_name, title_description, max(base_salary) > min(base_salary) AS wide
-    FROM fx_payroll GROUP BY 1, 2)
-SELECT 'payroll_processed' AS stage, count(*) AS input_rows, count(*) AS output_rows,
-    count(*) FILTER (WHERE wide) AS positions_with_salary_range
-FROM fx_payroll JOIN ranges USING (agency_name, title_description)
-UNION ALL SELECT 'jobs_processed', count(*), count(*) FILTER (WHERE year(CAST(posting_date AS TIMESTAMP)) IN (1997, 1998)), NULL
-FROM fx_jobs""", [*PAY, *JOBS])
+    FROM fx_payroll GROUP BY 1, 2),
+pay_rows AS (SELECT count(*) AS n, count(*) FILTER (WHERE wide) AS wide
+    FROM fx_payroll JOIN ranges USING (agency_name, title_description)),
+raw_rows AS (SELECT count(*) AS n FROM fx_jobs), bench_rows AS (SELECT count(*) AS n FROM fx_benchmark),
+job_rows AS (WITH RECURSIVE {JOBS_PROCESSED}
+    SELECT count(*) AS n, count(best_match_score) AS m FROM jobs_processed),
+match_rows AS (WITH RECURSIVE prepared AS MATERIALIZED ({POSTINGS_SQL}), {TITLE_MATCH}
+    SELECT count(*) AS n, count(score) AS m FROM matched)
+SELECT 'payroll_processed' AS stage, n AS input_rows, n AS output_rows, wide AS positions_with_salary_range,
+    CAST(NULL AS BIGINT) AS matched_rows, CAST(NULL AS DECIMAL(3,2)) AS threshold FROM pay_rows
+UNION ALL SELECT 'jobs_processed', r.n, j.n, NULL, m, 0.85 FROM raw_rows r, job_rows j
+UNION ALL SELECT 'benchmark_processed', n, n, NULL, NULL, NULL FROM bench_rows
+UNION ALL SELECT 'jobs_benchmark_matched', j.n, x.n, NULL, x.m, 0.7 FROM job_rows j, match_rows x
+UNION ALL SELECT 'fact_postings', n, n, NULL, NULL, NULL FROM job_rows
+UNION ALL SELECT 'fact_duration', n, n, NULL, NULL, NULL FROM match_rows""", [*PAY, *JOBS, "fx_benchmark"])
 def _(fx):
     root = _landed(fx)
     audit.run_audit_from(fx.spark, root, NOON, years=(1997, 1998), gates=False)
-    runs = snapshots.read_runs(fx.spark, root).where("stage IN ('payroll_processed', 'jobs_processed')")
-    wide = F.get_json_object("details", "$.positions_with_salary_range").cast("bigint")
-    return runs.select("stage", "input_rows", "output_rows", wide.alias("positions_with_salary_range"))
 
+    def detail(name: str):
+        return F.get_json_object("details", f"$.{name}").cast("bigint").alias(name)
 
-@query("S10_load_fact", """
-SELECT job_id, agency, CAST(CAST(salary_range_to AS DECIMAL(24,6)) AS DECIMAL(12,2)) AS salary_range_to
-FROM fx_jobs WHERE year(CAST(posting_date AS TIMESTAMP)) IN (1997, 1998)""", JOBS)
-def _(fx):
-    # Through the job from landed files; the second load replaces the first.
+    limit = F.col("thresholds")["match_threshold"].cast("decimal(3,2)").alias("threshold")
+    return snapshots.read_runs(fx.spark, root).select(
+        "stage", "input_rows", "output_rows", detail("positions_with_salary_range"), detail("matched_rows"), limit
+    )
+
+
+LOADED = "TIMESTAMP '1998-06-01 13:00:00' AS created_at, TIMESTAMP '1998-06-01 13:00:00' AS updated_at"
+
+
+def _loaded(fx) -> list[str]:
+    """Both facts, through the job from landed files; the second load replaces the first."""
     root, names = _landed(fx), [f"check_{uuid.uuid4().hex}" for _ in range(2)]
     for hours in (0, 1):
         audit.run_audit_from(
             fx.spark, root, NOON + dt.timedelta(hours=hours), years=(1997, 1998), gates=False,
             tables=tuple(names), table_path=root,
         )
-    return fx.spark.table(names[0]).select("job_id", "agency", "salary_range_to")
+    return names
+
+
+@query("S10_load_fact", FACT_POSTINGS_SQL.replace("@stamps", LOADED), [*PAY, *JOBS])
+def _(fx):
+    return fx.spark.table(_loaded(fx)[0])
+
+
+@query("S10_load_fact_duration", fact_duration_sql(DENSE, LOADED), [*JOBS, "fx_benchmark"])
+def _(fx):
+    return fx.spark.table(_loaded(fx)[1])
 
 
 FILLED = "trim(value) <> ''"

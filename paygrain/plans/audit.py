@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paygrain.functions import text
@@ -52,6 +52,16 @@ class _Store:
 
     def __init__(self, spark: SparkSession, root: str | None, as_of: dt.datetime):
         self.spark, self.root, self.as_of = spark, root, as_of
+        self.kept: dict[int, tuple[DataFrame, int]] = {}  # stages stored here and their rows
+
+    def rows_of(self, source: DataFrame) -> int:
+        """Rows that a stage gets, counted apart from its scan, which can then push its filters down.
+
+        Those of a stored stage are known. For others a count without columns is made, which Parquet answers
+        from the footers; JSON lines are read once more.
+        """
+        known = self.kept.get(id(source))
+        return known[1] if known else source.count()
 
     def keep(
         self,
@@ -61,23 +71,21 @@ class _Store:
         steps: Sequence[str],
         thresholds: dict | None = None,
     ) -> DataFrame | None:
-        """Store ``build(source)``; the run record has the rows read, the rows written and the
-        statistics of the stage, all counted by the one job that writes."""
-        if self.root is None:
-            df = build(source)
+        """Store ``build(source)``; the run record has the rows of the source, and the rows written with the
+        statistics of the stage, which the writing job counts."""
+        df = build(source)
+        if df is None or self.root is None:
             return None if df is None else materialize(df, name)
-        seen = Observation()
-        df = build(source.observe(seen, F.count(F.lit(1)).alias("rows")))
-        if df is None:
-            return None
         path = snapshots.snapshot_path(self.root, name, self.as_of)
         counted = snapshots.write_counted(df, path, measures=_statistics(name))
         rows = counted.pop("rows")
         snapshots.record_run(
-            self.spark, self.root, name, seen.get["rows"], rows, df.columns, steps, self.as_of,
+            self.spark, self.root, name, self.rows_of(source), rows, df.columns, steps, self.as_of,
             thresholds, counted,
         )
-        return self.spark.read.schema(df.schema).parquet(path)
+        stored = self.spark.read.schema(df.schema).parquet(path)
+        self.kept[id(stored)] = stored, rows
+        return stored
 
 
 def run_audit(
@@ -102,7 +110,8 @@ def run_audit(
     record if ``root`` is given). With ``gates`` an empty stage or a failed quality gate raises. ``order``
     names a column of payroll and benchmark that gives the order of their rows: the first key wins a
     tie of the match, the last row of a title its attributes. ``tables`` are the catalog tables (postings,
-    durations) that the facts replace, below ``table_path`` if given; the load gate follows. ``register``
+    durations) that the facts replace together, below ``table_path`` if given, once they have passed the load
+    gate. ``register``
     makes the facts and views known to SQL. ``processed_payroll`` replaces the first stage.
     """
     spark = raw_postings.sparkSession
@@ -156,10 +165,8 @@ def run_audit(
     if gates:
         quality.critical_gate(fact_postings, fact_duration)
     if tables:
-        for df, table in zip((fact_postings, fact_duration), tables):
-            facts.load_fact(df, table, f"{table_path}/{table}" if table_path else None)
-        if gates:
-            quality.load_gate(*map(spark.table, tables))
+        loads = dict(zip(tables, (fact_postings, fact_duration)))
+        facts.load_facts(loads, table_path, quality.load_gate if gates else None)
     views = {
         "fact_postings": fact_postings,
         "fact_duration": fact_duration,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from checks.standins import Fx
 from paygrain.functions import columns
 from paygrain.operators import benchmark, marts, payroll, quality, reports
+from paygrain.operators import postings as postings_module
 from paygrain.plans.audit import run_audit, run_audit_from, run_models
 from paygrain.session import materialize, scratch_dir
 from paygrain.sources import snapshots
@@ -92,6 +93,33 @@ def test_run_from_landed_files(spark, tmp_path):
         run_audit_from(spark, root, AS_OF + dt.timedelta(hours=90), years=YEARS)
 
 
+def test_filters_reach_the_scan_of_the_job(spark, tmp_path, monkeypatch):
+    fx, plans = Fx(spark, SF), {}
+    stored = materialize(fx.jobs, "raw-jobs")
+    write, store = snapshots.write_counted, postings_module.prepare_postings
+
+    def watched(df, path, *args, **options):
+        plans[path.split("/")[-2]] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, path, *args, **options)
+
+    def prepared(raw, years):
+        df = store(raw, years)
+        plans["read"] = df._jdf.queryExecution().executedPlan().toString()
+        return df
+
+    monkeypatch.setattr(snapshots, "write_counted", watched)
+    monkeypatch.setattr(postings_module, "prepare_postings", prepared)
+    root = str(tmp_path)
+    run_audit(fx.payroll, stored, fx.benchmark, AS_OF, years=YEARS, root=root)
+    for name in ("read", "jobs_processed"):
+        assert "PushedFilters" in plans[name] and "GreaterThanOrEqual(posting_date" in plans[name]
+        assert "CollectMetrics" not in plans["read"]
+    runs = {r.stage: r for r in snapshots.read_runs(spark, root).collect()}
+    assert runs["jobs_processed"].input_rows == stored.count() > runs["jobs_processed"].output_rows
+    assert runs["fact_postings"].input_rows == runs["jobs_processed"].output_rows
+    assert len(runs) == 6
+
+
 def test_load_gate_after_loading(spark, tmp_path):
     fx = Fx(spark, SF)
     with pytest.raises(quality.QualityGateError):

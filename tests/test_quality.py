@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from paygrain.operators import facts, quality, reports
 from paygrain.sources.schemas import FACT_DURATION, FACT_POSTINGS
@@ -48,6 +49,77 @@ def test_load_fact_replaces(spark, tmp_path):
     assert spark.table("fact_test").count() == 1
 
 
+def test_facts_change_together_or_not_at_all(spark, tmp_path, monkeypatch):
+    tables, path = ("swap_postings", "swap_durations"), str(tmp_path)
+
+    def load(n, broken=None):
+        frames = [postings(spark, [(str(i), *GOOD) for i in range(n)]), durations(spark, ["0"] * n)]
+        if broken is not None:  # dies while it is written, after the first one
+            problem = F.raise_error(F.lit("disk")).cast("string")
+            frames[1] = frames[1].withColumn("agency", F.when(F.col("job_id") == broken, problem))
+        return facts.load_facts(dict(zip(tables, frames)), path, quality.load_gate)
+
+    def rows():
+        return [spark.table(t).count() for t in tables]
+
+    first = load(3)
+    assert rows() == [3, 3]
+    with pytest.raises(Exception, match="disk"):
+        load(5, broken="0")
+    assert rows() == [3, 3]
+    with pytest.raises(quality.QualityGateError):
+        load(0)
+    assert rows() == [3, 3]
+    point = facts._point
+
+    def fails_once(session, table, folder, schema):
+        if table == tables[1] and "load=" in folder and folder not in first.values():
+            raise RuntimeError("catalog")
+        point(session, table, folder, schema)
+
+    monkeypatch.setattr(facts, "_point", fails_once)
+    with pytest.raises(RuntimeError, match="catalog"):
+        load(4)
+    assert rows() == [3, 3]
+    monkeypatch.setattr(facts, "_point", point)
+    second = load(2)
+    assert rows() == [2, 2] and set(first.values()).isdisjoint(second.values())
+    # The earlier folders are still there.
+    assert spark.read.parquet(first[tables[0]]).count() == 3
+    with pytest.raises(ValueError, match="columns of swap_postings"):
+        facts.load_facts({tables[0]: spark.range(3)}, path)
+    assert rows() == [2, 2]
+
+
+def test_first_load_that_fails_leaves_no_table(spark, tmp_path, monkeypatch):
+    point = facts._point
+
+    def fails(session, table, folder, schema):
+        if table == "fresh_two":
+            raise RuntimeError("catalog")
+        point(session, table, folder, schema)
+
+    monkeypatch.setattr(facts, "_point", fails)
+    with pytest.raises(RuntimeError):
+        facts.load_facts({"fresh_one": spark.range(2), "fresh_two": spark.range(2)}, str(tmp_path))
+    assert not spark.catalog.tableExists("fresh_one") and not spark.catalog.tableExists("fresh_two")
+
+
+def test_dense_ids_do_not_depend_on_the_partitions(spark):
+    rows = [(f"j{i % 40:02d}", i % 3 or None, 0.5 * i) for i in range(200)] + [("hot", 1, 1.0)] * 300 + [(None, None, None)] * 2
+    df = spark.createDataFrame(rows, "job_id string, n int, x double")
+    want = None
+    for parts in (1, 3, 16):
+        got = facts.dense_ids(df.repartition(parts), "id", ["job_id"])
+        assert got.columns == ["id", "job_id", "n", "x"]
+        got = sorted(tuple(r) for r in got.collect())
+        assert [r[0] for r in got] == list(range(1, len(rows) + 1))
+        assert [r[1] for r in got] == sorted([r[0] for r in rows], key=lambda k: (k is not None, k or ""))
+        assert want in (None, got)
+        want = got
+    assert facts.dense_ids(df.limit(0), "id").count() == 0
+
+
 def test_gate_passes_and_reports_every_reason(spark):
     jobs = postings(spark, [(str(i), *GOOD) for i in range(20)])
     metrics = quality.critical_gate(jobs, durations(spark, ["1", "2"]))
