@@ -102,7 +102,8 @@ def near_vectors(
     rows = vectors.select(
         vectors["vec_id"].cast("long").alias("vec_id"),
         vectors["embedding"].cast("array<double>").alias("e"),
-        vectors["label"].cast("long").alias("label"),
+        # Labels of any simple type, as 64-bit hashes of their texts.
+        F.when(vectors["label"].isNotNull(), F.xxhash64(vectors["label"].cast("string"))).alias("label"),
     )
     largest = rows.where("label IS NOT NULL").groupBy("label").count().agg(F.max("count")).first()[0]
     bits, tables = tables_for(largest or 0, threshold, miss)
@@ -115,7 +116,7 @@ def near_vectors(
             vector = None if bad else np.array(e, np.float64) + 0.0  # -0.0 becomes 0.0
             if bad or not np.isfinite(vector).all() or not vector.any():
                 return [(vec_id, None, None, None, None)]
-            node = xxhash.xxh3_64_intdigest(vector.tobytes(), seed=label & 0xFFFFFFFF) - (1 << 63)
+            node = xxhash.xxh3_64_intdigest(np.int64(label).tobytes() + vector.tobytes()) - (1 << 63)
             return [(vec_id, node, vector.tobytes(), *planes.sign(label, scaled(vector)))]
 
         return f

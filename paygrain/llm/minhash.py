@@ -8,7 +8,8 @@ cost 2 * m * width minhashes only. A pair of similarity s is missed with probabi
 Equal sets are one class from the start. Candidates are found in two rounds:
 
 1. each member of a table bucket is compared with the most central one (a star, not all pairs), and
-   the links found are contracted to components;
+   the links found are contracted to components; buckets that still hold several get a few more
+   rounds of stars, around a member outside of their largest component;
 2. only buckets that still hold several components go on. In small ones the pairs of different
    components are compared. Members of large ones are handed to an exact join: sets of this similarity share
    one of their rarest shingles, so pairs are taken from the prefixes of the sets in a common order of
@@ -38,13 +39,14 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from paygrain.llm.common import components, map_rows, whole_texts
+from paygrain.llm.common import components, map_rows, small_batches, whole_texts
 from paygrain.session import materialize
 
 M, WIDTH, SEED = 9, 2, 20
 SMALL_BUCKET = 32
 COUNT_CLASSES = 1 << 18
 PERCENT = 80
+ROUNDS, WIDE_ROWS = 4, 64
 
 SIGNED = StructType(
     [
@@ -184,7 +186,8 @@ def verify(pairs: DataFrame, sets: Sets, percent: int) -> DataFrame:
     def make():
         return lambda u, v, a, b: [(u, v, True)] if confirmed(a, b, percent) else []
 
-    return materialize(map_rows(both, make, PAIRS).select("u", "v"), "minhash-links")
+    with small_batches(pairs.sparkSession, WIDE_ROWS):  # a row holds two whole sets
+        return materialize(map_rows(both, make, PAIRS).select("u", "v"), "minhash-links")
 
 
 def item_counts(sets: DataFrame) -> np.ndarray:
@@ -263,6 +266,26 @@ def crossing(hits: DataFrame, key: str, found: DataFrame) -> DataFrame:
     return materialize(placed.join(mixed, key), f"minhash-open-{key}")
 
 
+def next_stars(mixed: DataFrame, rounds: int) -> DataFrame:
+    """(u, v, nu, nv): members of a bucket with one that lies outside of its largest component.
+
+    That one changes with the round, so that in a group of near copies the parts that no copy has reached yet are
+    met from another side; a bucket gives as many rows as it has members.
+    """
+    turn = F.xxhash64(F.col("node"), F.lit(rounds))
+    outside = mixed.where(F.col("c") != F.col("top"))
+    lead = outside.groupBy("key").agg(F.min(F.struct(turn.alias("turn"), "node", "n", "c")).alias("lead"))
+    lead = lead.select("key", F.col("lead.node").alias("u"), F.col("lead.n").alias("nu"), F.col("lead.c").alias("cu"))
+    star = mixed.join(lead, "key").where(F.col("c") != F.col("cu"))
+    first = F.col("u") < F.col("node")
+    return star.select(
+        F.least("u", "node").alias("u"),
+        F.greatest("u", "node").alias("v"),
+        F.when(first, F.col("nu")).otherwise(F.col("n")).alias("nu"),
+        F.when(first, F.col("n")).otherwise(F.col("nu")).alias("nv"),
+    )
+
+
 def pairs_within(rows: DataFrame, key: str, percent: int, near=None) -> DataFrame:
     """(u, v, nu, nv): pairs of one bucket in different components, with near enough sizes.
 
@@ -326,6 +349,13 @@ def near_duplicates(
     found = components(links, "minhash-stars")
 
     mixed = crossing(hits.select("key", "node", "n"), "key", found)
+    for rounds in range(ROUNDS):
+        again = verify(next_stars(mixed, rounds), sets, percent)
+        if again.isEmpty():
+            break
+        links = links.unionByName(again)
+        found = components(links, "minhash-stars")
+        mixed = crossing(mixed.select("key", "node", "n"), "key", found)
     small = mixed.where(F.col("members") <= SMALL_BUCKET)
     open_pairs = pairs_within(small, "key", percent).distinct()
     large = mixed.where(F.col("members") > SMALL_BUCKET).select("node").distinct()

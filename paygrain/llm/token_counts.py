@@ -25,7 +25,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from paygrain.llm.common import map_rows, whole_texts
+from paygrain.llm.common import map_rows, small_batches, whole_texts
 from paygrain.llm.word_bpe import counter
 from paygrain.session import materialize
 
@@ -174,8 +174,9 @@ def _spliced(texts: DataFrame, vocabulary: str, chunk: int, overlap: int) -> Dat
         return f
 
     parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    chunks = map_rows(texts.select("row", "text"), cutter, CHUNKS).repartition(parts)
-    edges = materialize(map_rows(chunks, coder, EDGES), "token-counts-edges")
+    with small_batches(texts.sparkSession, 16):
+        chunks = map_rows(texts.select("row", "text"), cutter, CHUNKS).repartition(parts)
+        edges = materialize(map_rows(chunks, coder, EDGES), "token-counts-edges")
     sides = ["ids", "starts", "ends", "open"]
     left = edges.where("border >= 0 AND right = 0").select("row", "border", *sides)
     right = edges.where("border >= 0 AND right = 1").select(

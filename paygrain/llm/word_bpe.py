@@ -15,7 +15,8 @@ from array import array
 
 from paygrain.llm.byte_bpe import byte_of_char
 
-WORDS_KEPT = 500_000
+# Words, and parts of words, that a worker remembers; an entry takes some 160 bytes (counts) or 200 (ids).
+WORDS_KEPT, COUNTS_KEPT = 500_000, 150_000
 # White space beyond blank, tab and line ends, on which Python and the library may differ.
 ODD_SPACE = re.compile(
     "[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u3000\ufeff]"
@@ -28,7 +29,7 @@ EASY_WORD = re.compile("([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([!-/:-@\\[-`{-~]*
 class WordTable(dict):
     """``kept(ids)`` of a word, where the kept values of parts add up; remembers a bounded number."""
 
-    def __init__(self, path: str, kept):
+    def __init__(self, path: str, kept, most: int = WORDS_KEPT):
         from tokenizers import Tokenizer
 
         super().__init__()
@@ -38,7 +39,7 @@ class WordTable(dict):
         self.tokenizer.no_padding()
         self.merge = self.tokenizer.model.tokenize
         self.stand_in = {b: c for c, b in byte_of_char().items()}
-        self.kept, self.parts = kept, {}
+        self.kept, self.parts, self.most = kept, {}, most
 
     def whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -51,7 +52,7 @@ class WordTable(dict):
             if not piece.isascii():
                 name = piece.encode("utf-8").decode("latin-1").translate(self.stand_in)
             value = self.kept([t.id for t in self.merge(name)])
-            if len(self.parts) < WORDS_KEPT and len(piece) < 64:
+            if len(self.parts) < self.most and len(piece) < 64:
                 self.parts[piece] = value
         return value
 
@@ -64,7 +65,7 @@ class WordTable(dict):
             value = self.part(letters.lower())
             if signs:
                 value = value + self.part(signs)
-        if len(self) < WORDS_KEPT and len(word) < 64:
+        if len(self) < self.most and len(word) < 64:
             self[word] = value
         return value
 
@@ -87,4 +88,4 @@ def encoder(path: str) -> WordTable:
 @functools.lru_cache(maxsize=1)
 def counter(path: str) -> WordTable:
     """Words to their number of ids."""
-    return WordTable(path, len)
+    return WordTable(path, len, COUNTS_KEPT)

@@ -7,6 +7,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from paygrain.llm import embedding, minhash, suffixes
 from paygrain.llm.common import components
@@ -208,3 +209,25 @@ def test_repeated_rows_have_one_equal_result_each(docs_of):
     got = suffixes.repeated_bytes(docs_of(rows), keep_bytes=True).collect()
     found = sorted(((r.doc_id, r.n_bytes, r.starts, r.ends, r.kept_sha256) for r in got), key=str)
     assert found == brute_removed(rows) and len(found) == 10
+
+
+def test_labels_far_apart_and_labels_of_text(spark):
+    same = [1.0, 2.0, 3.0]
+    rows = [(0, same, 1), (1, same, 1 + (1 << 32)), (2, same, 1), (3, [1.0, 2.0, 3.001], 1 + (1 << 32)), (4, same, None)]
+    df = spark.createDataFrame([(*r, "x", 5) for r in rows], "vec_id long, embedding array<double>, label long, node string, size int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding.near_vectors(df).collect()}
+    assert got == {0: (1, 0), 2: (1, 0), 1: (1, 1), 3: (1, 1), 4: (0, 4)}
+    text = df.withColumn("label", F.when(F.col("label") == 1, F.lit("one")).when(F.col("label") > 1, F.lit("two")))
+    assert {r.vec_id: (r.n_links, r.component_id) for r in embedding.near_vectors(text).collect()} == got
+
+
+def test_chain_of_near_copies_is_one_component(docs_of):
+    """Each copy is near its neighbours only, so that no single member reaches them all."""
+    words = [f"w{i}" for i in range(400)]
+    rows = []
+    for i in range(60):
+        rows.append((i, " ".join(words)))
+        words = [*words[:i * 6 % 390], f"n{i}a", f"n{i}b", f"n{i}c", *words[i * 6 % 390 + 3:]]
+    rows += [(100 + i, " ".join(f"z{i}_{j}" for j in range(50))) for i in range(10)]
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs_of(rows)).collect()}
+    assert {got[i] for i in range(60)} == {0} and all(got[100 + i] == 100 + i for i in range(10))
