@@ -78,20 +78,31 @@ def _as_checks(row: DataFrame, names: Mapping[str, tuple[str, str]]) -> DataFram
 
 
 def run_checks(df: DataFrame, checks: TableChecks) -> DataFrame:
-    """All row checks in one aggregation pass; each uniqueness check adds one grouped count."""
-    aggregates: list[Column] = []
-    names: dict[str, tuple[str, str]] = {}
-    for c in checks.not_null:
-        aggregates.append(F.count_if(F.col(c).isNull()).alias(f"not_null.{c}"))
-        names[f"not_null.{c}"] = ("not_null", c)
+    """All checks of a table in one scan: (check, column, failed_rows, passed).
+
+    Each row gives one entry that carries its failed row checks, and one with its value for each unique column. Entries
+    are counted by (column, value), combined before the shuffle, and the counts are summed up once.
+    """
+    failed = {f"not_null.{c}": F.col(c).isNull() for c in checks.not_null}
     for c, (low, high) in checks.accepted_range.items():
-        aggregates.append(F.count_if(~F.col(c).between(low, high)).alias(f"accepted_range.{c}"))
-        names[f"accepted_range.{c}"] = ("accepted_range", c)
-    parts = [_as_checks(df.agg(*aggregates), names)] if aggregates else []
-    for c in checks.unique:
-        row = check_unique(df, c).agg(F.count(F.lit(1)).alias("unique"))
-        parts.append(_as_checks(row, {"unique": ("unique", c)}))
-    return reduce(DataFrame.unionByName, parts, df.sparkSession.createDataFrame([], CHECK_SCHEMA))
+        failed[f"accepted_range.{c}"] = ~F.col(c).between(low, high)
+    names = {alias: tuple(alias.split(".", 1)) for alias in failed}
+    names.update({f"unique.{c}": ("unique", c) for c in checks.unique})
+    if not names:
+        return df.sparkSession.createDataFrame([], CHECK_SCHEMA)
+
+    def entry(column: str | None, value: Column) -> Column:
+        own = [F.when(bad, 1).otherwise(0) if column is None else F.lit(0) for bad in failed.values()]
+        marks = [n.cast("long").alias(f"f{i}") for i, n in enumerate(own)]
+        return F.struct(F.lit(column).cast("string").alias("column"), value.cast("string").alias("value"), *marks)
+
+    entries = [entry(None, F.lit(None)), *[entry(c, F.col(c)) for c in checks.unique]]
+    sums = [F.sum(f"f{i}").alias(f"f{i}") for i in range(len(failed))]
+    counts = df.select(F.inline(F.array(*entries))).where("column IS NULL OR value IS NOT NULL")
+    counts = counts.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"), *sums)
+    repeated = [F.count_if((F.col("column") == c) & (F.col("n") > 1)).alias(f"unique.{c}") for c in checks.unique]
+    totals = [F.coalesce(F.sum(f"f{i}"), F.lit(0)).alias(alias) for i, alias in enumerate(failed)]
+    return _as_checks(counts.agg(*totals, *repeated), names)
 
 
 def model_checks(models: Mapping[str, DataFrame]) -> DataFrame:

@@ -12,26 +12,37 @@ from paygrain.session import materialize
 from paygrain.sources import cells as sheets
 from paygrain.sources import snapshots
 
-SOURCE = "sheets"
+SOURCE, HEADS = "sheets", "sheet_heads"
+# Read with their types: the name of a workbook such as 007 is no number.
+ROW_SCHEMA = "sheet string, row_idx int, filled map<int,string>, workbook string, slug string"
+HEAD_SCHEMA = "workbook string, sheet string, title string, width int, heads map<int,string>"
+ROWS_A_FILE = 1_000_000
 
 
 def ingest_sheets(cells: DataFrame, root: str, as_of: dt.datetime) -> DataFrame:
     """Store every sheet that holds a table, and a run record for each; the records.
 
-    The rows of all kept sheets are put together and written once, by folders of workbook and slug; the
-    records are one more write. Nothing is done sheet by sheet on the driver, however many there are. A kept
-    sheet without rows below its header has a record with no output. :func:`read_sheet` gives a sheet
-    with its own column names.
+    The rows of all kept sheets are put together and written once, with their filled cells only, by folders of workbook
+    and slug: a sheet is one file, a large one a file for each million of its rows. A table of the heads,
+    a row a sheet, goes beside them, and the records are one more write. Nothing is done sheet by sheet on the
+    driver, however many there are. A kept sheet without rows below its header has a record with no
+    output. :func:`read_sheet` gives a sheet with its own column names.
     """
     spark = cells.sparkSession
     profile = materialize(sheets.profile_sheets(cells), "sheet-profile")
+    rows, heads = sheets.sparse_rows(cells, keep=profile)
+    heads_path = snapshots.snapshot_path(root, HEADS, as_of)
+    heads.write.mode("overwrite").parquet(heads_path)
     path = snapshots.snapshot_path(root, SOURCE, as_of)
-    rows = sheets.sheet_rows(cells, keep=profile).withColumn("slug", sheet_slug(F.col("sheet")))
-    rows.write.mode("overwrite").partitionBy("workbook", "slug").parquet(path)
-    stored = spark.read.schema(rows.schema).parquet(path)
-    heads = profile.where("keep").join(sheets.sheet_heads(stored), sheets.SHEET, "left")
+    rows = rows.withColumn("slug", sheet_slug(F.col("sheet")))
+    part = F.floor(F.col("row_idx") / ROWS_A_FILE)
+    rows.repartition("workbook", "slug", part).write.mode("overwrite").partitionBy("workbook", "slug").parquet(path)
+    counts = spark.read.schema(ROW_SCHEMA).parquet(path).groupBy(*sheets.SHEET).agg(F.count("*").alias("n_rows"))
+    known = spark.read.schema(HEAD_SCHEMA).parquet(heads_path)
+    found = counts.join(known, sheets.SHEET).select(*sheets.SHEET, "title", "n_rows", sheets.headers().alias("headers"))
+    stored = profile.where("keep").join(found, sheets.SHEET, "left")
     none = F.array().cast("array<string>")
-    records = heads.select(
+    records = stored.select(
         F.concat_ws("/", "workbook", sheet_slug(F.col("sheet"))).alias("stage"),
         F.col("max_row").cast("long").alias("input_rows"),
         F.coalesce("n_rows", F.lit(0)).cast("long").alias("output_rows"),
@@ -46,7 +57,17 @@ def ingest_sheets(cells: DataFrame, root: str, as_of: dt.datetime) -> DataFrame:
 
 
 def read_sheet(spark: SparkSession, root: str, workbook: str, sheet: str) -> DataFrame | None:
-    """The newest stored table of a sheet, with its header as column names."""
-    stored = snapshots.latest_snapshot(spark, root, SOURCE)
-    found = None if stored is None else sheets.sheet_to_table(stored, workbook, sheet)
-    return None if found is None else found[0]
+    """The newest stored table of a sheet, with its header as column names; None for one without rows."""
+    found = snapshots.list_snapshots(spark, root, SOURCE)
+    if not found:
+        return None
+    stamp, path = found[-1]
+    here = (F.col("workbook") == workbook) & (F.col("sheet") == sheet)
+    rows = spark.read.schema(ROW_SCHEMA).parquet(path).where(here)
+    heads = spark.read.schema(HEAD_SCHEMA).parquet(f"{root}/{HEADS}/snapshot_ts={stamp}").where(here)
+    head = heads.select(sheets.headers().alias("headers")).first()
+    if head is None or rows.isEmpty():
+        return None
+    sheets.check_names(sheet, head.headers)
+    cells = [F.coalesce(F.col("filled")[j], F.lit("")).alias(name) for j, name in enumerate(head.headers)]
+    return rows.select(*cells)

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paygrain.functions.text import header_or_default, strip
@@ -64,45 +64,62 @@ def _sheet_layout(cells: DataFrame) -> DataFrame:
     )
 
 
-def _by_column(fallback) -> F.Column:
-    """Array over all columns of the sheet from the map ``filled`` (column -> text)."""
+def _filled() -> Column:
+    """Map from the columns of the filled cells to their texts."""
+    return F.map_from_entries(F.collect_list(F.when(F.length("text") > 0, F.struct("col_idx", "text"))))
+
+
+def _by_column(filled: str, fallback: Callable[[Column, Column], Column]) -> Column:
+    """Array over all columns of the sheet from a map (column -> text)."""
     return F.transform(
         F.sequence(F.lit(0), F.col("width") - 1),
-        lambda j: fallback(F.try_element_at("filled", j), j),
+        lambda j: fallback(F.coalesce(F.try_element_at(filled, j), F.lit("")), j),
     )
 
 
-def sheet_rows(
+def headers() -> Column:
+    """All column names of a sheet, from ``heads`` and ``width``; a blank one becomes ``col_<j>``."""
+    return _by_column("heads", header_or_default)
+
+
+def sparse_rows(
     cells: DataFrame, max_rows: int | None = None, keep: DataFrame | None = None
-) -> DataFrame:
-    """Table rows of all sheets: ``workbook, sheet, title, row_idx, headers, values``.
+) -> tuple[DataFrame, DataFrame]:
+    """Rows ``workbook, sheet, row_idx, filled`` and heads ``workbook, sheet, title, width, heads`` of all sheets.
 
-    Blank rows are dropped and missing cells are empty text; a blank header becomes ``col_<j>``.
-    Only one row of a sheet is ever put together, never a sheet. All rows are taken unless ``max_rows``
-    asks for the first ones; ``keep`` is a profile of which only the sheets marked to keep are taken.
+    ``filled`` and ``heads`` map columns to texts and hold what is filled only, so that a row is as large as its
+    cells, however far to the right a stray one stands. Blank rows are dropped. Only one row of a sheet is ever
+    put together, never a sheet. All rows are taken unless ``max_rows`` asks for the first ones; ``keep``
+    is a profile of which only the sheets marked to keep are taken.
     """
     if keep is not None:
         cells = cells.join(keep.where("keep").select(*SHEET), SHEET, "left_semi")
     cells = _trimmed(cells)
     layout = _sheet_layout(cells)
-    placed = cells.join(layout, SHEET).where(F.col("row_idx") >= F.col("start"))
+    placed = cells.where(F.length("text") > 0).join(layout, SHEET).where(F.col("row_idx") >= F.col("start"))
     if max_rows is not None:
         placed = placed.where(F.col("row_idx") <= F.col("start") + max_rows)
-    filled = F.map_from_entries(
-        F.collect_list(F.when(F.length("text") > 0, F.struct("col_idx", "text")))
+    body = placed.where(F.col("row_idx") > F.col("start"))
+    rows = body.groupBy(*SHEET, "row_idx").agg(_filled().alias("filled"))
+    named = placed.where(F.col("row_idx") == F.col("start")).groupBy(*SHEET).agg(_filled().alias("heads"))
+    none = F.create_map().cast("map<int,string>")
+    heads = layout.join(named, SHEET, "left").select(
+        *SHEET, "title", "width", F.coalesce("heads", none).alias("heads")
     )
-    rows = placed.groupBy(*SHEET, "title", "start", "width", "row_idx").agg(filled.alias("filled"))
-    body = rows.where((F.col("row_idx") > F.col("start")) & (F.size("filled") > 0)).select(
-        *SHEET, "row_idx", _by_column(lambda v, j: F.coalesce(v, F.lit(""))).alias("values")
-    )
-    head = layout.join(
-        rows.where(F.col("row_idx") == F.col("start")).select(*SHEET, "filled"), SHEET, "left"
-    ).select(
-        *SHEET,
-        "title",
-        _by_column(lambda v, j: header_or_default(F.coalesce(v, F.lit("")), j)).alias("headers"),
-    )
-    return body.join(head, SHEET).select(*SHEET, "title", "row_idx", "headers", "values")
+    return rows, heads
+
+
+def sheet_rows(
+    cells: DataFrame, max_rows: int | None = None, keep: DataFrame | None = None
+) -> DataFrame:
+    """:func:`sparse_rows` at full width: ``workbook, sheet, title, row_idx, headers, values``.
+
+    Missing cells are empty text; a blank header becomes ``col_<j>``.
+    """
+    rows, heads = sparse_rows(cells, max_rows, keep)
+    wide = rows.join(heads, SHEET)
+    values = _by_column("filled", lambda v, j: v)
+    return wide.select(*SHEET, "title", "row_idx", headers().alias("headers"), values.alias("values"))
 
 
 def sheet_values(rows: DataFrame) -> DataFrame:
@@ -111,16 +128,15 @@ def sheet_values(rows: DataFrame) -> DataFrame:
     return rows.select(*SHEET, "title", "row_idx", pairs.alias("header", "value"))
 
 
-def sheet_heads(rows: DataFrame) -> DataFrame:
-    """One row per sheet with rows: ``workbook, sheet, title, headers, n_rows``."""
-    return rows.groupBy(*SHEET, "title", "headers").agg(F.count(F.lit(1)).alias("n_rows"))
-
-
 def named_columns(rows: DataFrame, sheet: str, headers: Sequence[str]) -> DataFrame:
     """The rows of one sheet with its header as column names."""
+    check_names(sheet, headers)
+    return rows.select([F.get("values", F.lit(j)).alias(n) for j, n in enumerate(headers)])
+
+
+def check_names(sheet: str, headers: Sequence[str]) -> None:
     if len(set(headers)) < len(headers):
         raise ValueError(f"repeated column names in sheet {sheet}: {list(headers)}")
-    return rows.select([F.get("values", F.lit(j)).alias(n) for j, n in enumerate(headers)])
 
 
 def sheet_to_table(rows: DataFrame, workbook: str, sheet: str) -> tuple[DataFrame, str] | None:

@@ -159,6 +159,26 @@ def test_model_checks(spark):
     assert quality.rate_checks(fx.fact_jobs.limit(0), ["agency"]).first().null_rate_passed
 
 
+def test_checks_of_a_model_scan_it_once(spark):
+    stored = materialize(Fx(spark, SF).jobs.select("job_id", "agency", "salary_range_from"), "checked")
+    rules = quality.TableChecks(unique=["job_id", "agency"], not_null=["job_id"], accepted_range={"salary_range_from": (0, 9)})
+    df = quality.run_checks(stored, rules)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning") <= 2
+    got = {(r.check, r.column): (r.failed_rows, r.passed) for r in df.collect()}
+    n = stored.groupBy("agency").count().where("count > 1").count()
+    over = stored.where("salary_range_from > 9").count()
+    assert got == {
+        ("unique", "job_id"): (0, True), ("unique", "agency"): (n, False), ("not_null", "job_id"): (0, True),
+        ("accepted_range", "salary_range_from"): (over, False),
+    }
+    odd = spark.createDataFrame([(None, 1), (None, 1), ("a", None), ("a", 2), ("b", 99)], "k string, v int")
+    got = {(r.check, r.column): r.failed_rows for r in quality.run_checks(
+        odd, quality.TableChecks(unique=["k", "v"], not_null=["k"], accepted_range={"v": (0, 9)})).collect()}
+    assert got == {("unique", "k"): 1, ("unique", "v"): 1, ("not_null", "k"): 2, ("accepted_range", "v"): 1}
+    assert quality.run_checks(odd.limit(0), quality.TableChecks(unique=["k"], not_null=["k"])).where("passed").count() == 2
+
+
 def test_names_of_benchmark_columns():
     name = lambda raw: columns.standard_name(raw, BENCHMARK_NAMES, "lighthouse_")
     assert [name(x) for x in ("Job Title", " JOB-title ", "job_title!", "Salary ($)")] == [

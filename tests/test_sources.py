@@ -127,3 +127,24 @@ def test_ingest_sheets(spark, tmp_path):
     table = read_sheet(spark, root, "w1", "Data")
     assert table.columns == ["Title", "col_1", "Pay", "Kind"] and table.count() == 5
     assert read_sheet(spark, root, "w2", "Blank") is None and read_sheet(spark, root, "w1", "Cover") is None
+
+
+def test_numbered_workbooks_and_stray_cells(spark, tmp_path):
+    root = str(tmp_path)
+    body = [["Id", "Name", "Pay"], *[[str(i), f"n{i}", "5"] for i in range(40)]]
+    rows = grid("007", "Data", body) + grid("7", "Data", [["Id", "Name", "Other"], *[["1", "a", "b"]] * 9])
+    rows += [("007", "Data", 5, 16_000, "stray")]
+    df = spark.createDataFrame(rows, "workbook string, sheet string, row_idx int, col_idx int, value string")
+    sparse, heads = cells.sparse_rows(df)
+    sizes = {len(r.filled) for r in sparse.where("workbook = '007'").collect()}
+    assert sizes == {3, 4} and heads.where("width = 16001").count() == 1
+    runs = {r.stage: r for r in ingest_sheets(df, root, T1).collect()}
+    assert len(runs["007/lighthouse_data"].columns) == 16_001 and runs["7/lighthouse_data"].output_rows == 9
+    files = list(tmp_path.glob("sheets/snapshot_ts=*/workbook=*/slug=*/*.parquet"))
+    assert len(files) == 2 and sum(f.stat().st_size for f in files) < 20_000
+    table = read_sheet(spark, root, "007", "Data")
+    assert len(table.columns) == 16_001 and table.columns[:4] == ["Id", "Name", "Pay", "col_3"]
+    got = table.select("Id", "col_3", "col_16000").where("col_16000 <> ''").collect()
+    assert [tuple(r) for r in got] == [("4", "", "stray")]
+    assert table.count() == 40 and read_sheet(spark, root, "7", "Data").columns[2] == "Other"
+    assert read_sheet(spark, root, "07", "Data") is None
