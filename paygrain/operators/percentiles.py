@@ -39,10 +39,10 @@ def _cut(value: Column) -> Column:
     return F.when(~finite, ends).when(value == 0, F.lit(0)).otherwise(signed).cast("long")
 
 
-def percentiles_of(
+def _ranked(
     df: DataFrame, keys: Sequence[str], values: Sequence[str], fractions: Sequence[float]
 ) -> DataFrame:
-    """Keys and, per value column, an array ``<column>`` with a double per fraction; null without values.
+    """``_column, n, rank, v`` of every group: the values at the ranks next to a fraction, from n values.
 
     All columns go through one pass. Nothing runs before the result is used.
     """
@@ -74,24 +74,43 @@ def percentiles_of(
     within = Window.partitionBy(*group, "cut").orderBy("v").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    found = (
+    return (
         a.join(b, _same("a", "b", [*group, "cut"]))
         .select(*[F.col(f"a.{c}").alias(c) for c in [*group, "cut", "v", "c"]], "n", "base", "ranks")
         .withColumn("end", F.col("base") + F.sum("c").over(within))
         .withColumn("at", F.filter("ranks", lambda r: (r < F.col("end")) & (r >= F.col("end") - F.col("c"))))
-        .select(*group, "n", "v", F.explode("at").alias("rank"))
-        .groupBy(*group, "n")
-        .agg(F.map_from_entries(F.collect_list(F.struct("rank", "v"))).alias("at"))  # two per fraction
+        .select(*group, "n", F.explode("at").alias("rank"), "v")
+    )
+
+
+def _at(column: str, fraction: float) -> Column:
+    """The percentile from the aggregates of :func:`_gathered`."""
+    at, place = F.col(f"_at_{column}"), (F.col(f"_n_{column}") - 1) * F.lit(float(fraction))
+    low, high = F.floor(place).cast("long"), F.ceil(place).cast("long")
+    between = (high - place) * at[low] + (place - low) * at[high]
+    return F.when((low == high) | (at[low] == at[high]), at[low]).otherwise(between)
+
+
+def _gathered(values: Sequence[str]) -> list[Column]:
+    """Number of values and map from rank to value of each column; two ranks a fraction at most."""
+    out = []
+    for c in values:
+        mine = F.col("_column") == c
+        out.append(F.max(F.when(mine, F.col("n"))).alias(f"_n_{c}"))
+        ranks = F.collect_list(F.when(mine, F.struct("rank", "v")))
+        out.append(F.map_from_entries(ranks).alias(f"_at_{c}"))
+    return out
+
+
+def percentiles_of(
+    df: DataFrame, keys: Sequence[str], values: Sequence[str], fractions: Sequence[float]
+) -> DataFrame:
+    """Keys and, per value column, an array ``<column>`` with a double per fraction; null without values."""
+    found = _ranked(df, keys, values, fractions).groupBy(*keys).agg(*_gathered(values))
+    present = {c: F.array(*[_at(c, f) for f in fractions]) for c in values}
+    return found.select(
+        *keys, *[F.when(F.col(f"_n_{c}").isNotNull(), p).alias(c) for c, p in present.items()]
     )
-    results = []
-    for p in places:
-        low, high = F.floor(p).cast("long"), F.ceil(p).cast("long")
-        at_low, at_high = F.col("at")[low], F.col("at")[high]
-        between = (high - p) * at_low + (p - low) * at_high
-        results.append(F.when((low == high) | (at_low == at_high), at_low).otherwise(between))
-    found = found.select(*group, F.array(*results).alias("p"))
-    wide = [F.max(F.when(F.col("_column") == c, F.col("p"))).alias(c) for c in values]
-    return found.groupBy(*keys).agg(*wide)
 
 
 def agg_with_percentiles(
@@ -102,23 +121,20 @@ def agg_with_percentiles(
 ) -> DataFrame:
     """``groupBy(keys).agg(...)`` plus exact percentiles ``{name: (column, fraction)}``.
 
-    Without keys the result has exactly one row. A group without a value has null percentiles.
+    Without keys the result has exactly one row. A group without a value has null percentiles. The few ranked
+    values of a group meet its other aggregates in one last grouping, not in a join.
     """
     keys = list(keys)
-    result = df.groupBy(*keys).agg(*aggregates) if keys else df.agg(*aggregates)
+    result = df.groupBy(*keys).agg(*aggregates)
+    names = [c for c in result.columns if c not in keys]
     columns = list(dict.fromkeys(c for c, _ in percentiles.values()))
     fractions = list(dict.fromkeys(f for _, f in percentiles.values()))
-    found = percentiles_of(df, keys, columns, fractions)
-    a, b = result.alias("a"), found.alias("b")
-    # One row on either side without keys.
-    joined = a.join(b, _same("a", "b", keys), "left") if keys else _beside(result, found, columns).alias("b")
-    side = "a." if keys else ""
-    return joined.select(
-        *[F.col(f"{side}{c}").alias(c) for c in result.columns],
-        *[F.col(f"b.{c}" if keys else f"_p.{c}")[fractions.index(f)].alias(n) for n, (c, f) in percentiles.items()],
+    ranked = _ranked(df, keys, columns, fractions)
+    plain = result.select(*keys, F.struct(*names).alias("_plain"))
+    whole = plain.unionByName(ranked, allowMissingColumns=True).groupBy(*keys)
+    whole = whole.agg(F.first("_plain", ignorenulls=True).alias("_plain"), *_gathered(columns))
+    return whole.select(
+        *keys,
+        *[F.col("_plain")[c].alias(c) for c in names],
+        *[_at(c, f).alias(n) for n, (c, f) in percentiles.items()],
     )
-
-
-def _beside(result: DataFrame, found: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """A one-row table with the one row (or none) of another as a struct, by a scalar subquery."""
-    return result.withColumn("_p", found.select(F.struct(*columns)).scalar())
