@@ -319,32 +319,54 @@ def _(fx):
     return rounded(reports.quality_report(fx.fact_jobs, fx.fact_durations), value=4)
 
 
+# Every measure of the report, by section, with its SQL.
+AGENCY_MEASURES = {
+    "job_count": "count(*)", "high_quality_matches": "count(*) FILTER (WHERE best_match_score >= 0.85)",
+    "avg_posting_duration": "avg(posting_duration_days)", "avg_min_salary": "avg(CAST(salary_range_from AS DOUBLE))",
+    "avg_max_salary": "avg(CAST(salary_range_to AS DOUBLE))",
+}
+TITLE_MEASURES = {
+    "posting_count": "count(*)", "avg_match_score": "avg(CAST(best_match_score AS DOUBLE))",
+    "avg_duration": "avg(posting_duration_days)",
+}
+DURATION_MEASURES = ["avg_variance_pct", "median_variance_pct", "significant_variances", "longer_than_expected",
+                     "shorter_than_expected"]
+
+
+def _largest(key: str, measures: dict[str, str]) -> str:
+    values = ", ".join(f"{dec(sql)} AS {name}" for name, sql in measures.items())
+    return f"""SELECT {key} AS name, {values}, count(*) AS n FROM fx_fact_jobs GROUP BY 1
+    ORDER BY n DESC, name NULLS FIRST LIMIT 10"""
+
+
+def _long(section: str, name: str, table: str, measures) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{section}' AS section, {name} AS name, '{m}' AS measure, CAST({m} AS DECIMAL(18,2)) AS value FROM {table}"
+        for m in measures
+    )
+
+
 @query("V14_summary_report", f"""
-WITH agencies AS (SELECT agency AS name, count(*) AS n FROM fx_fact_jobs GROUP BY 1
-    ORDER BY n DESC, name NULLS FIRST LIMIT 10),
-titles AS (SELECT business_title AS name, count(*) AS n FROM fx_fact_jobs GROUP BY 1
-    ORDER BY n DESC, name NULLS FIRST LIMIT 10),
+WITH agencies AS ({_largest("agency", AGENCY_MEASURES)}), titles AS ({_largest("business_title", TITLE_MEASURES)}),
 pay AS ({SALARY_STATS}), lengths AS ({VARIANCE_STATS})
-SELECT 'agency' AS section, name, CAST(n AS DECIMAL(18,2)) AS value FROM agencies
-UNION ALL SELECT 'title', name, CAST(n AS DECIMAL(18,2)) FROM titles
-UNION ALL SELECT 'salary', 'median_min_salary', median_min_salary FROM pay
-UNION ALL SELECT 'duration', 'median_variance_pct', median_variance_pct FROM lengths""", BOTH)
+{_long("agency", "name", "agencies", AGENCY_MEASURES)} UNION ALL {_long("title", "name", "titles", TITLE_MEASURES)}
+UNION ALL {_long("salary", "NULL", "pay", SALARY_SCALES)} UNION ALL {_long("duration", "NULL", "lengths", DURATION_MEASURES)}
+""", BOTH)
 def _(fx):
     report = reports.summary_report(fx.fact_jobs, fx.fact_durations)
+    none = F.lit(None).cast("string")
     sections = [
-        ("agency", "agency_breakdown", F.col("agency"), "job_count"),
-        ("title", "top_job_titles", F.col("business_title"), "posting_count"),
-        ("salary", "salary_statistics", F.lit("median_min_salary"), "median_min_salary"),
-        ("duration", "duration_variance_statistics", F.lit("median_variance_pct"), "median_variance_pct"),
-    ]
-    parts = [
-        report[table].select(
-            F.lit(section).alias("section"),
-            name.alias("name"),
-            F.col(value).cast("double").alias("value"),
-        )
-        for section, table, name, value in sections
+        ("agency", "agency_breakdown", F.col("agency")),
+        ("title", "top_job_titles", F.col("business_title")),
+        ("salary", "salary_statistics", none),
+        ("duration", "duration_variance_statistics", none),
     ]
+    parts = []
+    for section, table, name in sections:
+        df = report[table]
+        measures = [c for c in df.columns if c not in ("agency", "business_title")]
+        values = F.array(*[F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("value")) for c in measures])
+        parts.append(df.select(F.lit(section).alias("section"), name.alias("name"), F.inline(values)))
     return rounded(snapshots.concat_chunks(parts), value=2)
 
 

@@ -142,10 +142,9 @@ def _(fx):
 
     keys = ["agency_name", "title_description"]
     df = agg_with_percentiles(fx.payroll, keys, [F.count(F.lit(1)).alias("n")], {"m": ("base_salary", 0.5)})
+    low, high = scalars.acceptable_range(F.col("m"))
     return df.select(
-        *keys,
-        columns.money(F.col("m") * 0.8, 18, 2).alias("lower_bound"),
-        columns.money(F.col("m") * 1.2, 18, 2).alias("upper_bound"),
+        *keys, columns.money(low, 18, 2).alias("lower_bound"), columns.money(high, 18, 2).alias("upper_bound")
     )
 
 

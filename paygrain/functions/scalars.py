@@ -93,6 +93,11 @@ def posting_intensity(postings: Column, duration: Column, default_days: int = 30
     return F.try_divide(postings.cast("double"), F.coalesce(duration, F.lit(float(default_days))))
 
 
+def acceptable_range(median: Column, low: float = 0.8, high: float = 1.2) -> tuple[Column, Column]:
+    """Lower and upper bound of the pay that is usual for a median."""
+    return median * low, median * high
+
+
 def is_high_variance(variation: Column, threshold: float = 0.20) -> Column:
     return F.coalesce(variation > threshold, F.lit(False))
 

@@ -164,12 +164,12 @@ def int_salary_benchmarks(
     variance_threshold: float = 0.20,
 ) -> DataFrame:
     df = salary_benchmarks(staged, min_count)
-    median = F.col("median_base_salary").cast("double")
+    low, high = scalars.acceptable_range(F.col("median_base_salary").cast("double"))
     return df.withColumns(
         {
             "salary_band": scalars.salary_band(F.col("avg_base_salary")),
-            "salary_range_lower": money(median * 0.8),
-            "salary_range_upper": money(median * 1.2),
+            "salary_range_lower": money(low),
+            "salary_range_upper": money(high),
             "is_high_variance_position": scalars.is_high_variance(
                 F.col("salary_coefficient_variation"), variance_threshold
             ),
