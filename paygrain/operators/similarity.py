@@ -29,6 +29,8 @@ from paygrain.session import materialize
 _EPS = EPS
 # 64-bit words of the token bitmap that bounds the overlap cheaply.
 _WORDS = 4
+# Rows of one token that a part of it holds, on either side of the join on tokens.
+HOT_ROWS = 1_000
 # Largest block of lookup keys, share of the other keys that meets it, and pairs of both.
 BLOCK_KEYS, BLOCK_CHARS, SHARE_KEYS, SHARE_PAIRS = 20_000, 4 << 20, 50_000, 50_000_000
 # Lengths up to EXACT are told apart when lookup keys are counted by length, longer ones by this factor.
@@ -65,51 +67,66 @@ def _misses(mine: str, other: str) -> str:
     )
 
 
-def _encoded(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Both sides with the rare tokens first, size and bitmap.
+def _encoded(left: DataFrame, right: DataFrame, block: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Both sides with the rare tokens first, size, bitmap and the parts of each token on either side.
 
-    The frequency of every token of the right side is counted and joined to the tokens. Stored, because
+    The frequency of every token within its block is counted on both sides and joined to the tokens. Stored, because
     the optimizer would otherwise repeat the array expressions in every filter that it pushes down.
     """
-    counts = right.select(F.explode("tokens").alias("token")).groupBy("token").agg(
-        F.count("*").alias("f")
-    )
-    df = left.withColumn("side", F.lit("left")).unionByName(
-        right.withColumn("side", F.lit("right")), allowMissingColumns=True
+    df = left.withColumn("right_side", F.lit(False)).unionByName(
+        right.withColumn("right_side", F.lit(True)), allowMissingColumns=True
     )
     names = [c for c in df.columns if c != "tokens"]
+    one = df.withColumn("token", F.explode("tokens")).drop("tokens")
+    counts = one.groupBy(*block, "token").agg(
+        F.count_if("right_side").alias("f"), F.count_if(~F.col("right_side")).alias("g")
+    )
+    met = F.struct(
+        "f",
+        "token",
+        F.ceil(F.col("f") / HOT_ROWS).cast("int").alias("right_parts"),
+        F.ceil(F.col("g") / HOT_ROWS).cast("int").alias("left_parts"),
+    )
     ranked = (
-        df.withColumn("token", F.explode("tokens"))
-        .drop("tokens")
-        .join(counts, "token", "left")
+        one.join(counts, [*block, "token"])
         .groupBy(*names)
-        .agg(F.sort_array(F.collect_list(F.struct(F.coalesce("f", F.lit(0)).alias("f"), "token"))).alias("ranked"))
+        .agg(F.sort_array(F.collect_list(met)).alias("ranked"))
         .withColumn("tokens", F.transform("ranked", lambda x: x["token"]))
+        .withColumn("parts", F.transform("ranked", lambda x: F.struct(
+            F.greatest(x["right_parts"], F.lit(1)).alias("right"), F.greatest(x["left_parts"], F.lit(1)).alias("left"))))
         .drop("ranked")
-    )
+    )
     encoded = ranked.withColumn("size", F.size("tokens")).withColumns(
         {f"bits{w}": _bitmap(w) for w in range(_WORDS)}
     )
     stored = materialize(encoded, "tokens")
-    return stored.where("side = 'left'"), stored.where("side = 'right'")
+    return stored.where("NOT right_side"), stored.where("right_side")
 
 
 def _prefixed(df: DataFrame, side: str, coef: float, size_class: str, others) -> DataFrame:
     """One row per (size class, prefix token) with the other columns named after the side.
 
     The prefix holds the rarest tokens, so many that any partner with enough overlap shares at
-    least one of them.
+    least one of them. The rows of a token are dealt over its parts by their keys, and each stands in every part of
+    the other side, so that (left_part, right_part) of a hot token hold about ``HOT_ROWS`` rows of either side.
     """
     band = (1 - coef) / coef
     least_overlap = f"ceil((size + ceil(size / {band}D - {_EPS}D)) * {coef}D - {_EPS}D)"
     own_class = f"int(floor(ln(size) / {math.log(band * (1 + _EPS))}D))"
     names = ["key", "tokens", "size", *[f"bits{w}" for w in range(_WORDS)]]
-    return df.selectExpr(
+    other = "right" if side == "left" else "left"
+    rows = df.selectExpr(
         *[f"{n} AS {side}_{n}" for n in names],
         *others,
+        "parts",
         f"slice(tokens, 1, int(size - {least_overlap} + 1)) AS {side}_prefix",
         size_class.format(own=own_class) + " AS size_class",
     ).selectExpr("*", f"posexplode({side}_prefix) AS ({side}_pos, token)")
+    return rows.selectExpr(
+        *[c for c in rows.columns if c != "parts"],
+        f"int(pmod(xxhash64({side}_key), parts[{side}_pos].{side})) AS {side}_part",
+        f"explode(sequence(0, parts[{side}_pos].{other} - 1)) AS {other}_part",
+    )
 
 
 def overlap_pairs(
@@ -127,11 +144,11 @@ def overlap_pairs(
 
     The sizes of two partners differ at most by the factor ``(1 - coef) / coef``, so with
     classes of that width a partner is in the same or the next class on either side. The join
-    key (block, size class, token) has no nulls and both inputs are plain shuffles, which AQE can
-    split where one token is hot. ``accept(shared, left_size, right_size)`` may narrow the result;
+    key (block, size class, token) has no nulls; a token that is hot is cut into parts on both sides, by the counts
+    of the tokens, so that no task joins more than a bounded number of rows of one token. ``accept(shared, left_size, right_size)`` may narrow the result;
     it belongs here because a later filter would be pushed in front of the cheap tests.
     """
-    a, b = _encoded(left.select(*block, "key", "tokens"), right)
+    a, b = _encoded(left.select(*block, "key", "tokens"), right, block)
     extra = [c for c in right.columns if c not in {*block, "key", "tokens"}]
     a = _prefixed(a, "left", coef, "explode(sequence({own} - 1, {own} + 1))", block)
     b = _prefixed(b, "right", coef, "{own}", [*block, *extra])
@@ -153,7 +170,7 @@ def overlap_pairs(
         F.expr(reachable), F.when(F.expr(possible), F.when(F.expr(first_meeting), enough))
     )
     return (
-        a.join(b, [*block, "size_class", "token"])
+        a.join(b, [*block, "size_class", "token", "left_part", "right_part"])
         .where(passes)
         .selectExpr(
             *block, "left_key", "right_key", f"{shared} AS shared", "left_size", "right_size", *extra

@@ -95,6 +95,33 @@ def test_overlap_pairs_is_lossless(spark, coef):
     assert {(r.left_key, r.right_key, r.shared) for r in rows} == expected
 
 
+def test_hot_tokens_are_cut_into_parts(spark, monkeypatch):
+    # One token stands in 90 % of the sets, which have nothing rarer.
+    rows = [(i, ["hot"] if i % 10 else [f"a{i // 20}", f"b{i // 20}"]) for i in range(2000)]
+    make = lambda part: spark.createDataFrame(
+        [("x", f"k{i:04d}", t) for i, t in rows if i // 10 % 2 == part], "block string, key string, tokens array<string>"
+    )
+    counts = {}
+    for limit in (10**9, 50):
+        monkeypatch.setattr(similarity, "HOT_ROWS", limit)
+        a, b = similarity._encoded(make(0), make(1), ["block"])
+        a = similarity._prefixed(a, "left", 0.4, "explode(sequence({own} - 1, {own} + 1))", ["block"])
+        b = similarity._prefixed(b, "right", 0.4, "{own}", ["block"])
+        keys = ["block", "size_class", "token", "left_part", "right_part"]
+        both = a.groupBy(*keys).agg(F.count("*").alias("m")).join(b.groupBy(*keys).agg(F.count("*").alias("n")), keys)
+        tasks = both.groupBy(F.pmod(F.hash(*keys), F.lit(24))).agg(F.sum(F.col("m") * F.col("n")).alias("pairs"))
+        counts[limit] = sorted(r.pairs for r in tasks.collect())
+    assert counts[10**9][-1] > 4 * counts[10**9][len(counts[10**9]) // 2]
+    assert len(counts[50]) >= 20 and counts[50][-1] <= 4 * counts[50][len(counts[50]) // 2]
+    assert sum(counts[50]) == sum(counts[10**9])
+    found = {}
+    for limit in (10**9, 7):
+        monkeypatch.setattr(similarity, "HOT_ROWS", limit)
+        pairs = similarity.overlap_pairs(make(0), make(1), 0.4, ["block"])
+        found[limit] = pairs.agg(F.count("*"), F.sum(F.xxhash64("left_key", "right_key") % 1000)).first()
+    assert found[7] == found[10**9] and found[7][0] > 100_000
+
+
 def plan_of(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
