@@ -9,6 +9,7 @@ count: a task that is run again writes a file of another name, and what a lost a
 
 from __future__ import annotations
 
+import os
 import struct
 import uuid
 import zlib
@@ -35,7 +36,7 @@ from paygrain.llm.word_bpe import encoder
 # Fixed value: the rotation constant of masked checksums in record files.
 MASK_DELTA = 0xA282EAD8
 HEAD, TAIL = struct.Struct("<QI"), struct.Struct("<I")
-FLUSH_BYTES = 4 << 20
+FLUSH_BYTES, INDEX_ROWS = 4 << 20, 50_000
 
 INDEX = StructType(
     [
@@ -83,26 +84,64 @@ def unframe(data: bytes) -> bytes:
     return payload
 
 
+# Names under which Arrow knows a store that Hadoop calls otherwise.
+ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3", "abfs": "abfss"}
+KNOWN_SCHEMES = ("file", "s3", "gs", "gcs", "hdfs", "viewfs", "abfss")
+
+
+def full_uri(folder: str, master: str, default: str | None = None) -> str:
+    """``folder`` with a scheme, so that Spark and Arrow open the same store.
+
+    A bare path belongs to the file system ``default`` (of Hadoop); without one it is a local folder, which is
+    refused unless the session is local, as every executor would write to its own disk.
+    """
+    if folder.startswith("file:/") and not folder.startswith("file://"):
+        return "file://" + folder.removeprefix("file:")
+    if "://" in folder:
+        return folder
+    if default and not default.startswith("file:"):
+        return default.rstrip("/") + folder
+    if master.startswith("local") and not master.startswith("local-cluster"):
+        return "file://" + os.path.abspath(folder)
+    raise ValueError(f"{folder}: name the scheme of a folder that all executors share")
+
+
+def arrow_uri(uri: str) -> str:
+    scheme, rest = uri.split("://", 1)
+    scheme = ARROW_SCHEMES.get(scheme, scheme)
+    if scheme not in KNOWN_SCHEMES:
+        raise ValueError(f"{uri}: Arrow opens none of these stores; known are {', '.join(KNOWN_SCHEMES)}")
+    return f"{scheme}://{rest}"
+
+
+def shared_folder(spark: SparkSession, folder: str) -> str:
+    return full_uri(folder, spark.sparkContext.master, spark.conf.get("spark.hadoop.fs.defaultFS", None))
+
+
 def store(uri: str):
-    """(file system, path) of a folder on any store that Arrow can open; a bare path is local."""
+    """(file system, path) of a folder given with its scheme."""
     from pyarrow import fs
 
-    if uri.startswith("file:/") and not uri.startswith("file://"):
-        uri = "file://" + uri.removeprefix("file:")
-    return fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), uri)
+    return fs.FileSystem.from_uri(arrow_uri(uri))
 
 
 def write_records(docs: DataFrame, vocabulary: str, folder: str, end_id: int = 1) -> DataFrame:
     """Writes the ids of all whole texts below ``folder`` in ascending doc_id order; the index.
 
-    ``folder`` must be reachable from every executor. Texts are shuffled by ranges of doc_id first
+    ``folder`` must be reachable from every executor (:func:`full_uri`). Texts are shuffled by ranges of doc_id first
     and encoded once, in the task that writes them; a file holds one range. A null or empty text
     gives a record with the end id alone, null doc_ids come first, rows of one doc_id are ordered by
-    their text, and an empty table gives an empty index. Other columns are not read.
+    the hashes of their texts, by which many of them are cut into several ranges, and an empty table gives an empty
+    index. Other columns are not read.
     """
     spark = docs.sparkSession
+    folder = shared_folder(spark, folder)
     arrow = to_arrow_schema(INDEX)
 
+    def index(rows: list[tuple]) -> pa.RecordBatch:
+        columns = [pa.array(c, type=f.type) for c, f in zip(zip(*rows), arrow)]
+        return pa.RecordBatch.from_arrays(columns, schema=arrow)
+
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = encoder(vocabulary)
         width = 2 if words.tokenizer.get_vocab_size() <= 1 << 16 else 4
@@ -128,25 +167,30 @@ def write_records(docs: DataFrame, vocabulary: str, folder: str, end_id: int = 1
                         out = out or system.open_output_stream(f"{path}/{name}", compression=None)
                         out.write(b"".join(waiting))
                         waiting, held = [], 0
-        if rows:
+                if len(rows) >= INDEX_ROWS:  # they count only once the task has ended
+                    yield index(rows)
+                    rows = []
+        if waiting:
             out = out or system.open_output_stream(f"{path}/{name}", compression=None)
             out.write(b"".join(waiting))
+        if out is not None:
             out.close()
-            columns = [pa.array(c, type=f.type) for c, f in zip(zip(*rows), arrow)]
-            yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+        if rows:
+            yield index(rows)
 
     system, path = store(folder)
     system.create_dir(path, recursive=True)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = whole_texts(docs).repartitionByRange(parts, "doc_id")
-    ordered = ordered.sortWithinPartitions("doc_id", "text")
+    mark = F.xxhash64("text")
+    ordered = whole_texts(docs).repartitionByRange(parts, "doc_id", mark)
+    ordered = ordered.sortWithinPartitions("doc_id", mark, "text")
     ordered.mapInArrow(write, INDEX).write.parquet(f"{folder}/index")
     return read_index(spark, folder)
 
 
 def read_index(spark: SparkSession, folder: str) -> DataFrame:
     """One row for each record: file, place in it, doc_id, number of ids and of ids before it."""
-    return spark.read.schema(INDEX).parquet(f"{folder}/index")
+    return spark.read.schema(INDEX).parquet(f"{shared_folder(spark, folder)}/index")
 
 
 def read_records(index: DataFrame, folder: str) -> DataFrame:
@@ -155,6 +199,7 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
     Any choice and any order of index rows will do (shuffled reads); each record is fetched by its
     offset and both checksums are verified. Ids are little-endian unsigned 32-bit integers.
     """
+    folder = shared_folder(index.sparkSession, folder)
 
     def make():
         system, path = store(folder)

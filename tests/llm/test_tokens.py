@@ -94,6 +94,35 @@ def test_records_round_trip_in_order(spark, docs_of, folder):
     assert records.record_digests(docs_of([]), WORD, f"{folder}/none").count() == 0
 
 
+def test_many_texts_of_one_id_and_small_index_batches(spark, docs_of, folder, monkeypatch):
+    monkeypatch.setattr(records, "INDEX_ROWS", 7)
+    monkeypatch.setattr(records, "FLUSH_BYTES", 64)
+    texts = [(5, t) for t in random_texts(300, 20, 9)] + [(4, "before"), (6, "behind"), (None, "none"), (None, "no id")]
+    index = records.write_records(docs_of(texts), WORD, f"{folder}/hot")
+    parts = {r.part for r in index.where("doc_id = 5").select("part").distinct().collect()}
+    assert len(parts) > 2 and index.count() == len(texts)
+    found = records.read_records(index, f"{folder}/hot").collect()
+    want = sorted((i, np.array(ids_of(WORD, t) + [1], "<u4").tobytes()) for i, t in texts if i is not None)
+    assert sorted((r.doc_id, bytes(r.ids)) for r in found if r.doc_id is not None) == want
+    digests = records.record_digests(docs_of(texts), WORD, f"{folder}/again").collect()
+    spans = sorted((r.start, r.n_tokens, r.doc_id if r.doc_id is not None else -1) for r in digests)
+    assert [s[2] for s in spans] == sorted(s[2] for s in spans)
+    assert all(a + n == b for (a, n, _), (b, _, _) in zip(spans, spans[1:])) and spans[0][0] == 0
+
+
+def test_folders_of_records():
+    assert records.full_uri("/data/x", "local[4]") == "file:///data/x"
+    assert records.full_uri("file:/data/x", "yarn") == records.full_uri("file:///data/x", "yarn") == "file:///data/x"
+    assert records.full_uri("/data/x", "yarn", "hdfs://name:8020") == "hdfs://name:8020/data/x"
+    assert records.full_uri("s3a://bucket/x", "yarn") == "s3a://bucket/x"
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="name the scheme"):
+            records.full_uri("/data/x", master, "file:///")
+    assert records.arrow_uri("s3a://bucket/x") == "s3://bucket/x"
+    with pytest.raises(ValueError, match="dbfs"):
+        records.arrow_uri("dbfs://x")
+
+
 def counts_of(docs, **more):
     rows = token_counts.count_tokens(docs, WORD, **more).collect()
     return sorted(((r.doc_id, r.n_bytes, r.n_tokens) for r in rows), key=str)
