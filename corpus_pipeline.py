@@ -2,6 +2,10 @@
 
 Each stage takes (spark, docs, sf_dir) and returns what goes on; all but the last return the columns of
 ``documents``. ``run`` writes the result of each stage as Parquet and reads it back as the next one's docs.
+
+In every stage a null text counts as empty, repeated rows and rows with a null doc_id are each treated as rows of their
+own, ties go by the smaller doc_id, columns beyond doc_id and text are carried along unread up to the last stage, and an
+empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -16,28 +20,34 @@ from paygrain.session import materialize, scratch_dir
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, learnt from ``labels``, does not reject."""
+    """Documents that the classifier, learnt from ``labels``, does not reject; all of them without any label.
+
+    Empty texts share one score. Labels that are null or without a doc_id are left out.
+    """
     return quality.without_bad(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (five-word shingles, similarity 0.8)."""
+    """One document of each group of near-duplicates (five-word shingles, similarity 0.8).
+
+    The smallest doc_id stays, with all of its rows; empty texts and rows with a null doc_id stay.
+    """
     return minhash.without_near_duplicates(docs)
 
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no item of ``benchmark`` stands, exactly or with a few edits."""
+    """Documents in which no item of ``benchmark`` stands, exactly or with a few edits; null or empty items count as none."""
     return decontaminate.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def no_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, secrets replaced by a mark."""
+    """All documents, secrets replaced by a mark; a null text stays null."""
     folder = f"{scratch_dir(spark).rstrip('/')}/paygrain/pipeline-ledger-{uuid.uuid4().hex}"
     return secrets.redact(docs, folder)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, n_tokens, ids, intact) of every document left."""
+    """(doc_id, n_tokens, ids, intact) of every document left; an empty text has no ids."""
     return byte_bpe.encode_checked(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 

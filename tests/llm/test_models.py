@@ -352,3 +352,72 @@ def test_pipeline_against_its_stages_by_hand(spark, tmp_path):
         for start, _, _, end in reversed(brute(text)):
             text = text[:start] + "[secret]" + text[end:]
         assert bpe.decode(got[i].ids) == text
+
+
+def test_pipeline_edges_and_an_empty_table(spark, tmp_path):
+    rows, labels = labelled(120, 6)
+    odd = [(None, rows[0][1] + " more."), (None, None), (800, None), (801, ""), (5, rows[5][1]), (5, rows[5][1]), (802, "Word " * 20_000)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, node string, blob string, _new int"
+    marks = spark.createDataFrame(labels + [(None, 1), (6, None)], "doc_id long, quality int")
+    item = spark.createDataFrame([(1, "no such passage stands in any of these documents"), (2, None), (3, "")], "item_id long, text string")
+    for name, some in (("full", rows + odd), ("none", [])):
+        folder = f"{tmp_path}/{name}"
+        docs = spark.createDataFrame([(i, t, "en", "s", len(t or ""), "x", "y", 1) for i, t in some], schema)
+        docs.write.parquet(f"{folder}/documents.parquet")
+        marks.write.parquet(f"{folder}/labels.parquet")
+        item.write.parquet(f"{folder}/benchmark.parquet")
+        got = corpus_pipeline.run(spark, folder)
+        assert got.columns == ["doc_id", "n_tokens", "ids", "intact"]
+        found = Counter(r.doc_id for r in got.collect())
+        # Nothing here is near another text, so what the classifier keeps stays: repeated rows and null ids as well.
+        scores = quality.quality_scores(docs, marks).collect()
+        assert found == Counter(r.doc_id for r in scores if r.score >= 0.3)
+    assert not found
+
+
+def test_ridge_equals_a_dense_fit(spark, docs_of):
+    rows, labels = labelled(200, 11)
+    stats = quality.stats_of(docs_of(rows).repartition(5))
+    model = quality.fit(stats, spark.createDataFrame(labels, "doc_id long, quality int"))
+    truth = dict(labels)
+    train = [(i, t) for i, t in rows if fold(i) in (2, 3, 4)]
+    x = np.array([quality.document_stats(t) for _, t in train])
+    y = np.array([float(truth[i]) for i, _ in train])
+    assert np.allclose(model.mean, x.mean(0)) and np.allclose(model.spread, np.sqrt(np.maximum(x.var(0), 1e-8)))
+    scaled = np.clip((x - model.mean) / model.spread, -6, 6)
+    waves = np.sqrt(2 / quality.N_FOURIER) * np.cos(scaled @ model.waves + model.phases)
+    f = np.hstack([waves, scaled, np.ones((len(x), 1))])
+    # Ridge as least squares with one more row for each weight.
+    more = np.sqrt(quality.RIDGE * len(x)) * np.eye(f.shape[1])
+    weights = np.linalg.lstsq(np.vstack([f, more]), np.append(y, np.zeros(f.shape[1])), rcond=None)[0]
+    assert np.allclose(f @ model.weights, f @ weights, atol=1e-6)
+    # The first fold calibrates: its raw scores in bins, pooled.
+    held = [(i, t) for i, t in rows if fold(i) == 1]
+    raw = model.raw(np.array([quality.document_stats(t) for _, t in held]))
+    bins = np.clip((raw + 1) / 3 * quality.BINS, 0, quality.BINS - 1).astype(int)
+    some = sorted(set(bins.tolist()))
+    n = [int((bins == b).sum()) for b in some]
+    good = [sum(truth[i] for (i, _), b in zip(held, bins) if b == c) for c in some]
+    want = minimax(n, good)
+    centres = (np.array(some) + 0.5) / quality.BINS * 3 - 1
+    blocks = sorted(set(want))
+    pooled = [np.average(centres[[w == b for w in want]], weights=[k for k, w in zip(n, want) if w == b]) for b in blocks]
+    assert np.allclose(model.chances, blocks) and np.allclose(model.levels, pooled)
+
+
+def minimax(weights, positive):
+    """The rising fit of least squares by its formula: the largest, over starts, of the smallest mean over ends."""
+    n = len(weights)
+    mean = lambda a, b: sum(positive[a : b + 1]) / sum(weights[a : b + 1])
+    return [max(min(mean(a, b) for b in range(i, n)) for a in range(i + 1)) for i in range(n)]
+
+
+def test_isotonic_equals_its_formula():
+    rng = random.Random(3)
+    for _ in range(60):
+        n = rng.randint(1, 12)
+        weights = [rng.randint(1, 4) for _ in range(n)]
+        positive = [rng.randint(0, w) for w in weights]
+        centres, shares = quality.isotonic(np.arange(n, dtype=float), np.array(weights, float), np.array(positive, float))
+        want = minimax(weights, positive)
+        assert np.allclose(shares, sorted(set(want))) and (np.diff(centres) > 0).all()

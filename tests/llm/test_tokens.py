@@ -6,6 +6,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from paygrain.llm import byte_bpe, records, token_counts
@@ -146,3 +147,32 @@ def test_no_stable_place_is_reported():
 
 def test_counts_of_an_empty_table(docs_of):
     assert counts_of(docs_of([])) == []
+
+
+def test_round_trip_digests_equal_the_library(docs_of):
+    import hashlib
+
+    texts = EDGES + [(100 + i, t) for i, t in enumerate(random_texts(60, 40, 12))]
+    library = Tokenizer.from_file(BYTE)
+    want = []
+    for i, t in texts:
+        ids = library.encode(t or "", add_special_tokens=False).ids
+        back = library.decode(ids, skip_special_tokens=False)
+        digest = hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        want.append((i, len(ids), digest, hashlib.sha256(back.encode()).hexdigest()))
+    got = [tuple(r) for r in byte_bpe.round_trip_digests(docs_of(texts), BYTE).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_ids_that_are_no_whole_characters_decode_as_the_library_does():
+    bpe, library, rng = byte_bpe.load(BYTE), Tokenizer.from_file(BYTE), random.Random(8)
+    for _ in range(300):
+        ids = [rng.randrange(50_257) for _ in range(rng.randint(1, 12))]
+        assert bpe.decode(np.array(ids, "<u4").tobytes()) == library.decode(ids, skip_special_tokens=False)
+
+
+def test_counts_over_the_limit_with_repeated_ids(docs_of):
+    rows = [(1, "word " * 3000), (1, "word " * 3000), (2, "word " * 2048), (2, "word " * 2049), (None, None)]
+    counted = token_counts.count_tokens(docs_of(rows), WORD).withColumn("over", F.col("n_tokens") > 2048)
+    got = sorted(((r.doc_id, r.n_tokens, r.over) for r in counted.collect()), key=str)
+    assert got == sorted([(1, 3000, True), (1, 3000, True), (2, 2048, False), (2, 2049, True), (None, 0, False)], key=str)
