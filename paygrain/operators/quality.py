@@ -115,6 +115,14 @@ def model_checks(models: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def model_gate(checks: DataFrame) -> None:
+    """Raise with every check of :func:`model_checks` that failed, a row each."""
+    failed = checks.where("NOT passed").collect()
+    if failed:
+        reasons = [f"{r.model}: {r.check} {r.column} ({r.failed_rows} rows)" for r in sorted(failed)]
+        raise QualityGateError("; ".join(reasons))
+
+
 def rate_checks(
     df: DataFrame, columns: Sequence[str], max_null: float = 0.05, max_duplicate: float = 0.01
 ) -> DataFrame:

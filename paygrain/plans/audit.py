@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from paygrain.functions import text
 from paygrain.functions.columns import standard_name
 from paygrain.operators import benchmark, facts, marts, payroll, postings, quality, reports
+from paygrain.operators.percentiles import agg_with_percentiles
 from paygrain.session import materialize
 from paygrain.sources import snapshots
 from paygrain.sources.schemas import BENCHMARK_NAMES, FACT_POSTINGS, PAYROLL_SCHEMA, POSTINGS_SCHEMA
@@ -23,7 +24,7 @@ def _means(*columns: str) -> list[Column]:
     return [F.avg(F.col(c).cast("double")).alias(f"avg_{c}") for c in columns]
 
 
-def _statistics(name: str) -> list[Column]:
+def _statistics(name: str, columns: Sequence[str]) -> list[Column]:
     """Aggregates of a stage that its writing job takes along."""
     if name == "payroll_processed":
         return [
@@ -38,6 +39,12 @@ def _statistics(name: str) -> list[Column]:
             F.count("best_match_score").alias("matched_rows"),
             F.count("payroll_salary_min").alias("jobs_with_payroll_salary"),
         ]
+    if name == "benchmark_processed" and {*benchmark.ATTRIBUTES, "lighthouse_job_title"} <= set(columns):
+        return [
+            *_means("lighthouse_total_postings", "lighthouse_median_salary", "lighthouse_posting_intensity"),
+            F.sum("lighthouse_total_postings").alias("total_postings"),
+            F.count("lighthouse_job_title").alias("titles"),
+        ]
     if name == "jobs_benchmark_matched":
         return [
             *_means("lighthouse_match_score", "duration_variance", "duration_variance_pct"),
@@ -47,6 +54,27 @@ def _statistics(name: str) -> list[Column]:
     return []
 
 
+# Medians that the run records of a stage have, by their source column.
+_MEDIANS = {
+    "jobs_processed": {
+        "median_duration": "posting_duration_days", "median_match_score": "best_match_score",
+    },
+    "benchmark_processed": {
+        "median_salary": "lighthouse_median_salary", "median_posting_duration": "lighthouse_median_posting_duration",
+    },
+    "jobs_benchmark_matched": {"median_match_score": "lighthouse_match_score"},
+}
+
+
+def _medians(stored: DataFrame, name: str) -> dict[str, float | None]:
+    """Exact medians of a stored stage, from two or three of its columns."""
+    wanted = {m: (c, 0.5) for m, c in _MEDIANS.get(name, {}).items() if c in stored.columns}
+    if not wanted:
+        return {}
+    row = agg_with_percentiles(stored, [], [F.count(F.lit(1)).alias("n")], wanted).first()
+    return {m: row[m] for m in wanted}
+
+
 class _Store:
     """Writes stage results as snapshots under ``root``, else to the scratch area."""
 
@@ -77,13 +105,13 @@ class _Store:
         if df is None or self.root is None:
             return None if df is None else materialize(df, name)
         path = snapshots.snapshot_path(self.root, name, self.as_of)
-        counted = snapshots.write_counted(df, path, measures=_statistics(name))
+        counted = snapshots.write_counted(df, path, measures=_statistics(name, df.columns))
         rows = counted.pop("rows")
+        stored = self.spark.read.schema(df.schema).parquet(path)
         snapshots.record_run(
             self.spark, self.root, name, self.rows_of(source), rows, df.columns, steps, self.as_of,
-            thresholds, counted,
+            thresholds, {**counted, **_medians(stored, name)},
         )
-        stored = self.spark.read.schema(df.schema).parquet(path)
         self.kept[id(stored)] = stored, rows
         return stored
 
@@ -195,13 +223,15 @@ def run_audit_from(
     as_of: dt.datetime,
     max_age_hours: float = 24,
     benchmark_max_age_hours: float = 48,
+    limit: int | None = None,
     **options,
 ) -> dict[str, DataFrame]:
     """:func:`run_audit` from the landed snapshots below ``root``, which also gets the stages.
 
     Payroll and postings are JSON lines, the benchmark is a stored table; the newest committed snapshot of each
     is read. Processed payroll that is young enough at ``as_of`` is used as it is. A source without a
-    snapshot, or a benchmark that is too old, raises.
+    snapshot, or a benchmark that is too old, raises. ``limit`` takes that many rows of payroll and of postings only, for
+    trial runs; by default all are taken.
     """
     done = snapshots.recent_snapshot(spark, root, "payroll_processed", as_of, max_age_hours)
     found = {
@@ -215,6 +245,8 @@ def run_audit_from(
     if missing:
         raise FileNotFoundError(f"no snapshot of {', '.join(missing)} below {root}")
     raw = [None if df is None else df.drop("snapshot_ts") for df in found.values()]
+    if limit is not None:
+        raw[:2] = [None if df is None else snapshots.limit_rows(df, limit) for df in raw[:2]]
     if done is not None:
         done = done.drop("snapshot_ts")
     return run_audit(*raw, as_of, root=root, processed_payroll=done, **options)
@@ -229,9 +261,11 @@ def run_models(
     agency_rules=text.AGENCY_RULES,
     mode: str = "all",
     register: bool = False,
+    gate: bool = False,
 ) -> dict[str, DataFrame]:
     """Staging, benchmarks, mart and ``model_checks``; ``register`` also creates temporary views for SQL
-    users. The checks are a table (model, check, column, failed_rows, passed) that is evaluated when read."""
+    users. The checks are a table (model, check, column, failed_rows, passed) that is evaluated when read; with
+    ``gate`` they are evaluated here, and one that fails raises with all that failed, before anything is registered."""
     staged_pay = marts.stg_payroll_data(raw_payroll, agency_rules, as_of)
     staged_jobs = marts.stg_job_postings(raw_postings, agency_rules, as_of)
     benchmarks = materialize(marts.int_salary_benchmarks(staged_pay), "int-benchmarks")
@@ -239,6 +273,8 @@ def run_models(
         staged_jobs, benchmarks, as_of.year, start, end, mode=mode, as_of=as_of
     )
     models = dict(zip(marts.MODELS, (staged_jobs, staged_pay, benchmarks, mart)))
+    if gate:
+        quality.model_gate(quality.model_checks(models))
     if register:
         for name, df in models.items():
             df.createOrReplaceTempView(name)

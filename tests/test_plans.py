@@ -159,6 +159,29 @@ def test_model_checks(spark):
     assert quality.rate_checks(fx.fact_jobs.limit(0), ["agency"]).first().null_rate_passed
 
 
+def test_gate_of_the_models_and_limited_runs(spark, tmp_path):
+    fx = Fx(spark, SF)
+    models = run_models(fx.payroll, fx.jobs, AS_OF, "1997-01-01", "1998-12-31", mode="best")
+    failed = models["model_checks"].where("NOT passed").count()
+    if failed:
+        with pytest.raises(quality.QualityGateError):
+            run_models(fx.payroll, fx.jobs, AS_OF, "1997-01-01", "1998-12-31", mode="best", gate=True)
+    twice = fx.jobs.unionByName(fx.jobs)
+    with pytest.raises(quality.QualityGateError, match="stg_job_postings: unique job_id"):
+        run_models(fx.payroll, twice, AS_OF, "1997-01-01", "1998-12-31", mode="best", gate=True)
+    root = str(tmp_path)
+    land(spark, root, AS_OF - dt.timedelta(hours=5))
+    run_audit_from(spark, root, AS_OF, years=YEARS, gates=False, limit=50)
+    runs = {r.stage: r for r in snapshots.read_runs(spark, root).collect()}
+    assert runs["payroll_processed"].input_rows == runs["jobs_processed"].input_rows == 50
+    assert runs["benchmark_processed"].input_rows == fx.benchmark.count()
+    details = json.loads(runs["benchmark_processed"].details)
+    truth = sorted(r.median_salary for r in fx.benchmark.collect())
+    middle = (truth[(len(truth) - 1) // 2] + truth[len(truth) // 2]) / 2
+    assert details["median_salary"] == pytest.approx(middle) and details["titles"] == len(truth)
+    assert set(json.loads(runs["jobs_processed"].details)) >= {"median_duration", "median_match_score"}
+
+
 def test_checks_of_a_model_scan_it_once(spark):
     stored = materialize(Fx(spark, SF).jobs.select("job_id", "agency", "salary_range_from"), "checked")
     rules = quality.TableChecks(unique=["job_id", "agency"], not_null=["job_id"], accepted_range={"salary_range_from": (0, 9)})
