@@ -105,7 +105,8 @@ class _Store:
         if df is None or self.root is None:
             return None if df is None else materialize(df, name)
         path = snapshots.snapshot_path(self.root, name, self.as_of)
-        counted = snapshots.write_counted(df, path, measures=_statistics(name, df.columns))
+        measures = _statistics(name, df.columns)
+        counted = snapshots.write_snapshot(df, self.root, name, self.as_of, measures=measures)
         rows = counted.pop("rows")
         stored = self.spark.read.schema(df.schema).parquet(path)
         snapshots.record_run(

@@ -31,13 +31,17 @@ def ingest_sheets(cells: DataFrame, root: str, as_of: dt.datetime) -> DataFrame:
     spark = cells.sparkSession
     profile = materialize(sheets.profile_sheets(cells), "sheet-profile")
     rows, heads = sheets.sparse_rows(cells, keep=profile)
+    stamp = as_of.strftime(snapshots.TIMESTAMP_FORMAT)
+    snapshots.begin_snapshot(spark, root, SOURCE, stamp)
     heads_path = snapshots.snapshot_path(root, HEADS, as_of)
     heads.write.mode("overwrite").parquet(heads_path)
     path = snapshots.snapshot_path(root, SOURCE, as_of)
     rows = rows.withColumn("slug", sheet_slug(F.col("sheet")))
     part = F.floor(F.col("row_idx") / ROWS_A_FILE)
     rows.repartition("workbook", "slug", part).write.mode("overwrite").partitionBy("workbook", "slug").parquet(path)
-    counts = spark.read.schema(ROW_SCHEMA).parquet(path).groupBy(*sheets.SHEET).agg(F.count("*").alias("n_rows"))
+    stored_rows = spark.read.schema(ROW_SCHEMA).parquet(path)
+    snapshots.commit_snapshot(spark, root, SOURCE, stamp, stored_rows.count())
+    counts = stored_rows.groupBy(*sheets.SHEET).agg(F.count("*").alias("n_rows"))
     known = spark.read.schema(HEAD_SCHEMA).parquet(heads_path)
     found = counts.join(known, sheets.SHEET).select(*sheets.SHEET, "title", "n_rows", sheets.headers().alias("headers"))
     stored = profile.where("keep").join(found, sheets.SHEET, "left")

@@ -1,21 +1,24 @@
 """Landed sources, time-stamped snapshots and run metadata.
 
-Layout: ``<root>/<source>/snapshot_ts=<yyyyMMdd_HHmmss>/``. Snapshots are found by listing the
-folder names of one source, so that a reader opens the files of one snapshot only.
+Layout: ``<root>/<source>/snapshot_ts=<yyyyMMdd_HHmmss>/``. Snapshots are found in a log below the root, whose
+rows are written before and after the data, so that a reader opens the files of one whole snapshot only.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import json
+import time
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 TIMESTAMP_FORMAT = "%Y%m%d_%H%M%S"
+LOG, LOG_SCHEMA = "snapshot_log", "source string, stamp string, n_rows bigint, at bigint"
 METADATA_SCHEMA = (
     "stage string, input_rows bigint, output_rows bigint, columns array<string>, "
     "transformations array<string>, thresholds map<string,double>, details string, "
@@ -70,17 +73,49 @@ def read_processed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def list_snapshots(spark: SparkSession, root: str, source: str) -> list[tuple[str, str]]:
-    """(timestamp text, path) of the committed snapshots of a source, oldest first.
+def _log_event(spark: SparkSession, root: str, source: str, stamp: str, rows: int | None) -> None:
+    """Append to the snapshot log: a write has begun (``rows`` null) or ended."""
+    event = spark.range(0, 1, 1, 1).select(
+        F.lit(source).alias("source"),
+        F.lit(stamp).alias("stamp"),
+        F.lit(rows).cast("long").alias("n_rows"),
+        F.lit(time.time_ns()).alias("at"),
+    )
+    event.write.mode("append").partitionBy("source").parquet(f"{root}/{LOG}")
+
+
+def begin_snapshot(spark: SparkSession, root: str, source: str, stamp: str) -> None:
+    """Hide a snapshot folder, if there is one, until :func:`commit_snapshot`."""
+    _log_event(spark, root, source, stamp, None)
+
 
-    A snapshot counts once its write has left ``_SUCCESS``. Folders are listed by the session's own file
-    system, which has no public Python call; Spark Connect sessions are not supported.
+def commit_snapshot(spark: SparkSession, root: str, source: str, stamp: str, rows: int) -> None:
+    """Make a snapshot folder known to the readers; for folders that another tool has written whole."""
+    _log_event(spark, root, source, stamp, rows)
+
+
+def snapshot_log(spark: SparkSession, root: str) -> DataFrame:
+    """(source, stamp, n_rows, at) of the committed snapshots below ``root``.
+
+    A snapshot counts while the last event of its folder is the end of a write, so one that was never ended, or
+    that is being replaced, does not.
     """
-    jvm = spark.sparkContext._jvm
-    pattern = jvm.org.apache.hadoop.fs.Path(f"{root}/{source}/snapshot_ts=*/_SUCCESS")
-    files = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    paths = [str(s.getPath().getParent().toString()) for s in files.globStatus(pattern) or []]
-    return sorted((p.rsplit("snapshot_ts=", 1)[1], p) for p in paths)
+    try:
+        events = spark.read.schema(LOG_SCHEMA).parquet(f"{root}/{LOG}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        events = spark.createDataFrame([], LOG_SCHEMA)
+    last = events.groupBy("source", "stamp").agg(
+        F.max_by("n_rows", "at").alias("n_rows"), F.max("at").alias("at")
+    )
+    return last.where(F.col("n_rows").isNotNull())
+
+
+def list_snapshots(spark: SparkSession, root: str, source: str) -> list[tuple[str, str]]:
+    """(timestamp text, path) of the committed snapshots of a source, oldest first."""
+    found = snapshot_log(spark, root).where(F.col("source") == source).select("stamp")
+    return sorted((r.stamp, _folder(root, source, r.stamp)) for r in found.collect())
 
 
 def _read_snapshot(
@@ -134,8 +169,12 @@ def concat_chunks(chunks: Sequence[DataFrame]) -> DataFrame:
 # ---- writers --------------------------------------------------------------------------------
 
 
+def _folder(root: str, source: str, stamp: str) -> str:
+    return f"{root}/{source}/snapshot_ts={stamp}"
+
+
 def snapshot_path(root: str, source: str, as_of: dt.datetime) -> str:
-    return f"{root}/{source}/snapshot_ts={as_of.strftime(TIMESTAMP_FORMAT)}"
+    return _folder(root, source, as_of.strftime(TIMESTAMP_FORMAT))
 
 
 def write_counted(
@@ -148,12 +187,28 @@ def write_counted(
     return seen.get
 
 
+def write_snapshot(
+    df: DataFrame,
+    root: str,
+    source: str,
+    as_of: dt.datetime,
+    file_format: str = "parquet",
+    measures: Sequence[Column] = (),
+) -> dict[str, object]:
+    """:func:`write_counted` into the folder of the snapshot, which readers see once the log has its end."""
+    spark, stamp = df.sparkSession, as_of.strftime(TIMESTAMP_FORMAT)
+    begin_snapshot(spark, root, source, stamp)
+    counted = write_counted(df, snapshot_path(root, source, as_of), file_format, measures)
+    commit_snapshot(spark, root, source, stamp, counted["rows"])
+    return counted
+
+
 def write_raw(df: DataFrame, root: str, source: str, as_of: dt.datetime) -> int:
-    return write_counted(df, snapshot_path(root, source, as_of), "json")["rows"]
+    return write_snapshot(df, root, source, as_of, "json")["rows"]
 
 
 def write_processed(df: DataFrame, root: str, name: str, as_of: dt.datetime) -> int:
-    return write_counted(df, snapshot_path(root, name, as_of))["rows"]
+    return write_snapshot(df, root, name, as_of)["rows"]
 
 
 def record_run(

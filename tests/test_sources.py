@@ -3,6 +3,7 @@ import json
 
 import pytest
 
+from paygrain import session
 from paygrain.plans.sheets import ingest_sheets, read_sheet
 from paygrain.sources import cells, snapshots
 from paygrain.sources.schemas import CELLS_SCHEMA, all_strings
@@ -53,9 +54,10 @@ def test_snapshots(spark, tmp_path):
         df = spark.range(n).selectExpr("string(id) AS a", "'x' AS b")
         assert snapshots.write_processed(df, root, "jobs_source", stamp) == n
         assert snapshots.write_raw(df, root, "raw_source", stamp) == n
-    for name in ("zzz", "20250303_060000"):  # a malformed name; a write that has not ended
-        (tmp_path / "jobs_source" / f"snapshot_ts={name}" / "_temporary").mkdir(parents=True)
-    (tmp_path / "jobs_source" / "snapshot_ts=zzz" / "_SUCCESS").touch()
+    for stamp in ("zzz", "20250303_060000"):  # a malformed name; a write that has not ended
+        snapshots.begin_snapshot(spark, root, "jobs_source", stamp)
+    df.write.parquet(f"{root}/jobs_source/snapshot_ts=20250303_060000")
+    snapshots.commit_snapshot(spark, root, "jobs_source", "zzz", 0)
     assert [s for s, _ in snapshots.list_snapshots(spark, root, "jobs_source")] == [
         "20250301_060000", "20250302_060000", "zzz",
     ]
@@ -68,6 +70,69 @@ def test_snapshots(spark, tmp_path):
     assert {r.snapshot_ts for r in df.collect()} == {"20250302_060000"}
 
 
+def test_a_rewrite_that_dies_hides_the_snapshot(spark, tmp_path, monkeypatch):
+    root, df = str(tmp_path), spark.range(3).selectExpr("string(id) AS a", "'x' AS b")
+    for stamp in (T1, T2):
+        snapshots.write_processed(df, root, "s", stamp)
+    write = snapshots.write_counted
+
+    def dies(df, path, *args):
+        write(df.limit(1), path, *args)
+        raise OSError("lost")
+
+    monkeypatch.setattr(snapshots, "write_counted", dies)
+    with pytest.raises(OSError):
+        snapshots.write_processed(df, root, "s", T2)
+    assert [s for s, _ in snapshots.list_snapshots(spark, root, "s")] == ["20250301_060000"]
+    assert snapshots.latest_snapshot(spark, root, "s").count() == 3
+    monkeypatch.setattr(snapshots, "write_counted", write)
+    snapshots.write_processed(df, root, "s", T2)
+    assert [s for s, _ in snapshots.list_snapshots(spark, root, "s")] == ["20250301_060000", "20250302_060000"]
+    log = {(r.source, r.stamp): r.n_rows for r in snapshots.snapshot_log(spark, root).collect()}
+    assert log == {("s", "20250301_060000"): 3, ("s", "20250302_060000"): 3}
+    # Landed by another tool: known once it is committed.
+    df.write.json(snapshots.snapshot_path(root, "other", T1))
+    assert snapshots.latest_snapshot(spark, root, "other", SCHEMA) is None
+    snapshots.commit_snapshot(spark, root, "other", "20250301_060000", 3)
+    assert snapshots.latest_snapshot(spark, root, "other", SCHEMA).count() == 3
+
+
+def test_no_private_handles():
+    import pathlib
+
+    import paygrain
+
+    core = pathlib.Path(paygrain.__file__).parent
+    for folder in ("sources", "plans", "operators", "functions"):
+        for path in (core / folder).glob("*.py"):
+            assert "_jvm" not in path.read_text() and "_jsc" not in path.read_text(), path
+
+
+def test_sweep_empties_ended_runs_only(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "scratch_dir", lambda spark: str(tmp_path))
+    assert session.sweep_scratch(spark) == []
+    mine = session.materialize(spark.range(5), "mine")
+    folders = {}
+    for run in ("ended", "open", "again", "swept"):
+        session._log_run(spark, run, "begin")
+        folders[run] = f"{tmp_path}/paygrain/run-{run}/table-1"
+        spark.range(7).write.parquet(folders[run])
+    session._log_run(spark, "ended", "end")
+    for event in ("end", "begin"):
+        session._log_run(spark, "again", event)
+    assert session.sweep_scratch(spark) == ["ended"]
+    assert not (tmp_path / "paygrain" / "run-ended" / "table-1").exists()
+    assert [spark.read.parquet(folders[r]).count() for r in ("open", "again", "swept")] == [7, 7, 7]
+    assert session.sweep_scratch(spark) == [] and mine.count() == 5
+    assert session.sweep_scratch(spark, dt.timedelta(hours=1)) == []
+    assert session.sweep_scratch(spark, dt.timedelta(0)) == ["again", "open", "swept"]
+    assert mine.count() == 5
+    session.end_run(spark)
+    assert session.sweep_scratch(spark) == [spark.sparkContext.applicationId]
+    # Used again after that, the application has a folder once more.
+    assert session.materialize(spark.range(3), "later").count() == 3
+
+
 def test_run_metadata(spark, tmp_path):
     for stage in ("one", "two"):
         snapshots.record_run(spark, str(tmp_path), stage, 5, 4, ["a"], ["x"], T1, {"t": 0.85}, {"k": 1})
