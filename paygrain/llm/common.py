@@ -47,6 +47,18 @@ def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+@contextmanager
+def dropped_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Jobs planned and run inside leave no shuffle files behind once they have ended."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _size(value) -> int:
     return len(value) if isinstance(value, (str, bytes, list)) else 8
 

@@ -36,7 +36,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from paygrain.llm.common import ROWS_AT_ONCE, fold, map_slices, summed, whole_texts
+from paygrain.llm.common import ROWS_AT_ONCE, dropped_shuffles, fold, map_slices, summed, whole_texts
 from paygrain.session import materialize
 
 STATES, OWN, LENGTHS, ENDINGS, ITERATIONS, SEED = 8, 200, 6, 9, 5, 11
@@ -45,7 +45,8 @@ END = OWN + SHARED
 SYMBOLS = END + 1
 HEAD_WORDS = 500_000  # most frequent words whose counts every task holds (16 bytes each)
 TOKENS_AT_ONCE = 1 << 20
-CELLS_AT_ONCE = 1 << 19
+CELLS_AT_ONCE = 1 << 18  # tokens of a block; some 400 bytes each
+RESCALED = 8  # steps between scalings: the chance of a token stays above 1e-30
 PLACES = 1 << 12  # of the head in a block of sums
 NO_WORD = -1 - SHARED  # place of ends and padding; -1 - i is that of words of shared symbol i outside of the head
 WORD_SHARE = 0.8  # of a state's emissions within a shared symbol that follow the words it was seen with
@@ -236,22 +237,26 @@ def word_table(counts: DataFrame, ends: int, head_words: int = HEAD_WORDS) -> Wo
 
 
 def blocks(column: pa.Array):
-    """Symbol sequences of a batch, padded, by falling length; a block holds a bounded number of cells.
+    """Symbol sequences of a batch, by falling length, step after step; a block holds a bounded number of tokens.
 
-    Gives (symbols as (steps, sequences), number of sequences that reach each step, rows).
+    Gives (symbols of all sequences that reach step 0, of all that reach step 1, ...; places of those as a mask of
+    (steps, sequences); number of sequences that reach each step; rows).
     """
     sequences = [np.frombuffer(x, np.uint8) for x in column.to_pylist()]
     lengths = np.array([len(s) for s in sequences])
     order, at = np.argsort(-lengths, kind="stable"), 0
     while at < len(order):
-        longest = int(lengths[order[at]])
-        some = order[at : at + max(1, min(1024, CELLS_AT_ONCE // longest))]
+        ahead = lengths[order[at:]]
+        longest = int(ahead[0])
+        n = int(np.searchsorted(np.cumsum(ahead), CELLS_AT_ONCE, "right"))
+        some = order[at : at + max(1, min(n, 8 * CELLS_AT_ONCE // longest))]
         at += len(some)
         padded = np.zeros((longest, len(some)), np.uint8)
         for j, i in enumerate(some):
             padded[: lengths[i], j] = sequences[i]
         active = np.searchsorted(-lengths[some], -np.arange(longest), "left")
-        yield padded, active, some
+        inside = np.arange(len(some)) < active[:, None]
+        yield padded[inside], inside, active, some
 
 
 @dataclass(frozen=True)
@@ -260,66 +265,79 @@ class Hmm:
     move: np.ndarray
     emit: np.ndarray  # (symbols, states)
 
-    def forward(self, padded, active, keep: bool, ratio=None):
-        """log10 likelihoods and, if asked for, the scaled forward values and scales of all steps.
-
-        ``ratio`` has a factor of the emission for every step, sequence and state.
-        """
-        steps, n = padded.shape
-        logs, alphas, scales = np.zeros(n), [], []
-        alpha = None
-        for t in range(steps):
-            k = active[t]
-            here = self.emit[padded[t, :k]]
-            if ratio is not None:
-                here = here * ratio[t, :k]
-            alpha = here * (self.start if t == 0 else alpha[:k] @ self.move)
-            scale = alpha.sum(1)
-            alpha /= scale[:, None]
-            logs[:k] += np.log10(scale)
-            if keep:
-                alphas.append(alpha)
-                scales.append(scale)
-        return logs, alphas, scales
+    def emissions(self, symbols, ratio=None) -> np.ndarray:
+        """Chance of every token in each state; ``ratio`` has a factor for each."""
+        out = self.emit[symbols]
+        return out if ratio is None else np.multiply(out, ratio, out=out)
+
+    def forward(self, emitted, active):
+        """log10 likelihoods, and the forward values of all tokens, scaled to a sum of 1 every few steps."""
+        alphas, logs, at, last = np.empty_like(emitted), np.zeros(active[0]), 0, None
+        ended = np.append(active[1:], 0)
+        for t, (k, later) in enumerate(zip(active.tolist(), ended.tolist())):
+            here = alphas[at : at + k]
+            if last is None:
+                np.multiply(emitted[:k], self.start, out=here)
+            else:
+                np.matmul(last[:k], self.move, out=here)
+                here *= emitted[at : at + k]
+            if t % RESCALED == 0:
+                scale = here.sum(1)
+                here /= scale[:, None]
+                logs[:k] += np.log10(scale)
+            if later < k:
+                logs[later:k] += np.log10(here[later:].sum(1))
+            last, at = here, at + k
+        return logs, alphas
+
+    def backward(self, emitted, active) -> np.ndarray:
+        """Backward values of all tokens, scaled now and then; ``emitted`` is multiplied by them."""
+        betas, back = np.ones_like(emitted), np.ascontiguousarray(self.move.T)
+        at, after, later = len(emitted), None, 0
+        for t in range(len(active) - 1, -1, -1):
+            k = int(active[t])
+            at -= k
+            here = betas[at : at + k]
+            if later:
+                np.matmul(after, back, out=here[:later])
+                if t % RESCALED == 0:
+                    here /= here.max(1)[:, None]
+            after, later = emitted[at : at + k], k
+            after *= here
+        return betas
 
     def expected(self, column: pa.Array, ratios=None, seen=None) -> np.ndarray:
         """Expected counts of a batch: rows of starts, moves, emissions (states by symbols), log10.
 
-        ``seen`` is given the rows and lengths of each block, its symbols step by step, and the chances of the states.
+        The chance of a move is that of its two tokens' values and the matrix, scaled to a sum of 1 for every token, so
+        that the scales of the recursions do not matter. ``seen`` is given the rows of each block, the mask of its
+        tokens, its symbols and the chances of the states.
         """
         out = np.zeros((2 + 2 * STATES, SYMBOLS))
-        for padded, active, rows in blocks(column):
-            ratio = None if ratios is None else ratios(rows, len(padded))
-            logs, alphas, scales = self.forward(padded, active, True, ratio)
+        for symbols, inside, active, rows in blocks(column):
+            emitted = self.emissions(symbols, None if ratios is None else ratios(rows, inside))
+            logs, alphas = self.forward(emitted, active)
             out[-1, 0] += logs.sum()
-            moves = np.zeros((STATES, STATES))
-            beta = np.ones((active[-1], STATES))
-            for t in range(len(padded) - 1, -1, -1):
-                k = active[t]
-                if t + 1 < len(padded):
-                    later = active[t + 1]
-                    weighed = self.emit[padded[t + 1, :later]] * beta / scales[t + 1][:, None]
-                    if ratio is not None:
-                        weighed *= ratio[t + 1, :later]
-                    moves += alphas[t][:later].T @ weighed
-                    beta = np.ones((k, STATES))
-                    beta[:later] = weighed @ self.move.T
-                alphas[t] = alphas[t] * beta  # now the chance of each state
-            out[0, :STATES] += alphas[0].sum(0)
-            out[1 : 1 + STATES, :STATES] += moves * self.move
-            symbols = np.concatenate([padded[t, :k] for t, k in enumerate(active)])
-            chances = np.concatenate(alphas)
+            betas = self.backward(emitted, active)
+            first = int(active[0])
+            before = alphas[np.arange(first, len(symbols)) - np.repeat(active[:-1], active[1:])]
+            after = emitted[first:]
+            before /= np.einsum("ij,ij->i", before @ self.move, after)[:, None]
+            out[1 : 1 + STATES, :STATES] += before.T @ after * self.move
+            chances = np.multiply(alphas, betas, out=alphas)
+            chances /= chances.sum(1)[:, None]
+            out[0, :STATES] += chances[:first].sum(0)
             for s in range(STATES):
                 out[1 + STATES + s] += np.bincount(symbols, chances[:, s], SYMBOLS)
             if seen is not None:
-                seen(rows, active, symbols, chances)
+                seen(rows, inside, symbols, chances)
         return out
 
     def likelihoods(self, column: pa.Array, ratios=None) -> np.ndarray:
         out = np.zeros(len(column))
-        for padded, active, rows in blocks(column):
-            ratio = None if ratios is None else ratios(rows, len(padded))
-            out[rows] = self.forward(padded, active, False, ratio)[0]
+        for symbols, inside, active, rows in blocks(column):
+            emitted = self.emissions(symbols, None if ratios is None else ratios(rows, inside))
+            out[rows] = self.forward(emitted, active)[0]
         return out
 
 
@@ -346,28 +364,28 @@ def gathered(coded: DataFrame, model: Hmm, known, table, others: bool) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size, total, ready = len(known.value.word), None, []
-        sums = np.zeros((size, STATES))
+        sums = np.zeros((STATES, size))
         for b in batches:
             if not b.num_rows:
                 continue
             heads, rares, place = [unpacked(x, "<i4") for x in b.column(1).to_pylist()], b.column(2), None
 
-            def ratios(rows, steps):
+            def ratios(rows, inside):
                 nonlocal place
-                place = padded_places(heads, rows, steps)
+                place = padded_places(heads, rows, len(inside))[inside]
                 return table.value[place]
 
-            def seen(rows, active, symbols, chances):
-                inside = np.arange(len(rows)) < active[:, None]
-                flat = place[inside]
+            def seen(rows, inside, symbols, chances):
+                flat = place
                 shared = (symbols >= OWN) & (symbols < END)
                 at = np.flatnonzero(shared & (flat >= 0))
                 if len(at):
-                    sums[:] += added(flat[at], chances[at], size)
+                    for s in range(STATES):
+                        sums[s] += np.bincount(flat[at], chances[at, s], size)
                 at = np.flatnonzero(shared & (flat < 0))
                 if not others or not len(at):
                     return
-                rare = np.zeros(place.shape, np.int64)
+                rare = np.zeros(inside.shape, np.int64)
                 for j, i in enumerate(rows.tolist()):
                     own = rares[i].values.to_numpy()
                     if len(own):
@@ -388,10 +406,11 @@ def gathered(coded: DataFrame, model: Hmm, known, table, others: bool) -> DataFr
             return
         yield batch([-1], [total.tobytes()])
         for at in range(0, size, PLACES):
-            part = sums[at : at + PLACES]
-            some = np.flatnonzero(part.any(1))
+            part = sums[:, at : at + PLACES]
+            some = np.flatnonzero(part.any(0))
             if len(some):
-                yield batch([at // PLACES], [np.append(len(some), some).astype("<u2").tobytes() + packed(part[some].T.astype("<f4"))])
+                head = np.append(len(some), some).astype("<u2").tobytes()
+                yield batch([at // PLACES], [head + packed(part[:, some].astype("<f4"))])
 
     return coded.select("symbols", "head", "rare").mapInArrow(run, GATHERED)
 
@@ -415,9 +434,11 @@ def block_sums(rows: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
             columns = [pa.array([block], pa.int32()), pa.array([total.tobytes()], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
-    got = rows.where("block IS NOT NULL").select("block", "sums").repartition("block").mapInArrow(run, BLOCK_SUMS)
     counts, head = np.zeros((0, 0)), np.zeros((size, STATES))
-    for r in got.toLocalIterator():
+    with dropped_shuffles(rows.sparkSession):
+        got = rows.where("block IS NOT NULL").select("block", "sums").repartition("block").mapInArrow(run, BLOCK_SUMS)
+        got = got.toArrow()
+    for r in got.to_pylist():
         sums = np.frombuffer(r["sums"])
         if r["block"] < 0:
             counts = sums.reshape(-1, SYMBOLS)
@@ -572,12 +593,14 @@ def score_documents(docs: DataFrame, iterations: int = ITERATIONS) -> DataFrame:
             heads = [unpacked(x, "<i4") for x in b.column("head").to_pylist()]
             places, made = b.column("at").to_pylist(), b.column("ratio").to_pylist()
 
-            def ratio(rows, steps):
-                out = table.value[padded_places(heads, rows, steps)]
+            def ratio(rows, inside):
+                out = table.value[padded_places(heads, rows, len(inside))[inside]]
+                active = inside.sum(1)
+                first = np.cumsum(active) - active  # of the tokens of a step
                 for j, i in enumerate(rows.tolist()):
                     if places[i]:
                         rare = np.flatnonzero(heads[i] < 0)[places[i]]
-                        out[rare, j] = np.frombuffer(b"".join(made[i]), np.float32).reshape(-1, STATES)
+                        out[first[rare] + j] = np.frombuffer(b"".join(made[i]), np.float32).reshape(-1, STATES)
                 return out
 
             logs = model.likelihoods(b.column("symbols"), ratio)
