@@ -132,18 +132,16 @@ def scan_blobs(versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES
     known = _stored(spark, f"{ledger}/scanned", SCANNED)
     known = known.where(F.col("rule").isin([r.key for r in rules]))
     known = known.groupBy("blob").agg(F.collect_set("rule").alias("known"))  # as many as rules
-    todo = (
+    missing = F.array_except(keys, F.coalesce("known", F.array().cast("array<string>")))
+    # One text a blob, taken in each task before the shuffle: a task never gets the copies of a hot one.
+    unseen = (
         versions.groupBy("blob")
-        .agg(F.min("path").alias("first"))
+        .agg(F.first("text").alias("text"))
         .join(known, "blob", "left")
-        .select(
-            "blob", "first", F.array_except(keys, F.coalesce("known", F.array().cast("array<string>"))).alias("todo")
-        )
+        .select("blob", "text", missing.alias("todo"))
         .where(F.size("todo") > 0)
     )
-    a, b = versions.alias("a"), todo.hint("shuffle_hash").alias("b")
-    same = (F.col("a.blob") == F.col("b.blob")) & F.col("a.path").eqNullSafe(F.col("b.first"))
-    unseen = a.join(b, same).select("a.blob", "a.text", "b.todo")
+    todo = unseen.select("blob", "todo")
     named = find(unseen, rules).withColumn("run", F.lit(run))
     named.write.mode("append").parquet(f"{ledger}/findings")
     pairs = todo.select("blob", F.explode("todo").alias("rule"), F.lit(run).alias("run"))

@@ -82,3 +82,19 @@ def test_no_python_in_the_plan(spark, folder):
     df = spark.createDataFrame([(1, "token=abcdefghijklmnop")], "path long, text string")
     plan = secrets.scan_versions(df, f"{folder}/l")._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def test_repeated_rows_and_copies_are_scanned_once(spark, folder, monkeypatch):
+    find, scanned = secrets.find, []
+
+    def watched(blobs, rules):
+        scanned.append(sorted((r.text, len(r.todo)) for r in blobs.collect()))
+        return find(blobs, rules)
+
+    monkeypatch.setattr(secrets, "find", watched)
+    hot, other = "token=abcdefghijklmnop", "secret: abcdefghijklmnopq"
+    rows = [(1, hot)] * 50 + [(None, hot)] * 5 + [(i, hot) for i in range(2, 9)] + [(9, other), (10, None), (11, "")]
+    want = sorted(((i, brute(t)) for i, t in rows), key=str)
+    assert scan(spark, rows, f"{folder}/once") == want
+    assert scanned == [sorted((t, 3) for t in ("", hot, other))]
+    assert scan(spark, rows, f"{folder}/once") == want and scanned[1] == []
