@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from paygrain.functions.text import sheet_slug
 from paygrain.session import materialize
@@ -73,5 +74,7 @@ def read_sheet(spark: SparkSession, root: str, workbook: str, sheet: str) -> Dat
     if head is None or rows.isEmpty():
         return None
     sheets.check_names(sheet, head.headers)
-    cells = [F.coalesce(F.col("filled")[j], F.lit("")).alias(name) for j, name in enumerate(head.headers)]
-    return rows.select(*cells)
+    # The filled cells fall into their columns in one pass over them, however wide the sheet is.
+    wide = T.StructType([T.StructField(str(j), T.StringType()) for j in range(len(head.headers))])
+    row = F.from_json(F.to_json("filled"), wide).alias("row")
+    return rows.select(row).select("row.*").na.fill("").toDF(*head.headers)

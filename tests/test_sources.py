@@ -212,4 +212,8 @@ def test_numbered_workbooks_and_stray_cells(spark, tmp_path):
     got = table.select("Id", "col_3", "col_16000").where("col_16000 <> ''").collect()
     assert [tuple(r) for r in got] == [("4", "", "stray")]
     assert table.count() == 40 and read_sheet(spark, root, "7", "Data").columns[2] == "Other"
+    odd = ['"', "\\", "a\tb\nc", "{}", "é漢", "null", "1.50", "NaN"]
+    ingest_sheets(spark.createDataFrame(grid("odd", "Data", [[f"c.{j}" for j in range(8)], *[odd] * 9]), df.schema), root, T2)
+    got = read_sheet(spark, root, "odd", "Data")
+    assert got.columns == [f"c.{j}" for j in range(8)] and {tuple(r) for r in got.collect()} == {tuple(odd)}
     assert read_sheet(spark, root, "07", "Data") is None
