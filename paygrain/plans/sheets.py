@@ -18,20 +18,25 @@ SOURCE, HEADS = "sheets", "sheet_heads"
 ROW_SCHEMA = "sheet string, row_idx int, filled map<int,string>, workbook string, slug string"
 HEAD_SCHEMA = "workbook string, sheet string, title string, width int, heads map<int,string>"
 ROWS_A_FILE = 1_000_000
+# More sheets than this share files: a file for each would cost more than its rows.
+OWN_FILES = 1_000
 
 
 def ingest_sheets(cells: DataFrame, root: str, as_of: dt.datetime) -> DataFrame:
     """Store every sheet that holds a table, and a run record for each; the records.
 
-    The rows of all kept sheets are put together and written once, with their filled cells only, by folders of workbook
-    and slug: a sheet is one file, a large one a file for each million of its rows. A table of the heads,
+    The rows of all kept sheets are put together and written once, with their filled cells only. Up to ``OWN_FILES`` sheets
+    lie in folders of workbook and slug: a sheet is one file, a large one a file for each million of its rows. More sheets
+    share files, whose rows are sorted by workbook, slug and row, so that the files grow with the rows and not with the
+    sheets, and a reader of one sheet skips the rest by their value ranges. A table of the heads,
     a row a sheet, goes beside them, and the records are one more write. Nothing is done sheet by sheet on the
     driver, however many there are. A kept sheet without rows below its header has a record with no
     output. :func:`read_sheet` gives a sheet with its own column names.
     """
     spark = cells.sparkSession
     profile = materialize(sheets.profile_sheets(cells), "sheet-profile")
-    rows, heads = sheets.sparse_rows(cells, keep=profile)
+    top = materialize(sheets.top_cells(cells, profile), "sheet-tops")
+    rows, heads = sheets.sparse_rows(cells, keep=profile, top=top)
     stamp = as_of.strftime(snapshots.TIMESTAMP_FORMAT)
     snapshots.begin_snapshot(spark, root, SOURCE, stamp)
     heads_path = snapshots.snapshot_path(root, HEADS, as_of)
@@ -39,7 +44,11 @@ def ingest_sheets(cells: DataFrame, root: str, as_of: dt.datetime) -> DataFrame:
     path = snapshots.snapshot_path(root, SOURCE, as_of)
     rows = rows.withColumn("slug", sheet_slug(F.col("sheet")))
     part = F.floor(F.col("row_idx") / ROWS_A_FILE)
-    rows.repartition("workbook", "slug", part).write.mode("overwrite").partitionBy("workbook", "slug").parquet(path)
+    dealt = rows.repartition("workbook", "slug", part)
+    if profile.where("keep").count() <= OWN_FILES:
+        dealt.write.mode("overwrite").partitionBy("workbook", "slug").parquet(path)
+    else:
+        dealt.sortWithinPartitions("workbook", "slug", "row_idx").write.mode("overwrite").parquet(path)
     stored_rows = spark.read.schema(ROW_SCHEMA).parquet(path)
     snapshots.commit_snapshot(spark, root, SOURCE, stamp, stored_rows.count())
     counts = stored_rows.groupBy(*sheets.SHEET).agg(F.count("*").alias("n_rows"))

@@ -41,18 +41,23 @@ def profile_sheets(
     return profile.withColumn("keep", F.col("qualifies") | ~any_table)
 
 
-def _sheet_layout(cells: DataFrame) -> DataFrame:
+def top_cells(cells: DataFrame, keep: DataFrame | None = None) -> DataFrame:
+    """The filled cells of the first rows of each (kept) sheet, trimmed: titles and headers depend on no others."""
+    if keep is not None:
+        cells = cells.join(keep.where("keep").select(*SHEET), SHEET, "left_semi")
+    return _trimmed(cells).where((F.col("row_idx") < HEADER_ROWS) & (F.length("text") > 0))
+
+
+def _sheet_layout(top_filled: DataFrame, width: DataFrame) -> DataFrame:
     """Per sheet: title, header row, width. Only the first rows are looked at."""
     top = (
-        cells.where((F.col("row_idx") < HEADER_ROWS) & (F.length("text") > 0))
-        .groupBy(*SHEET, "row_idx")
+        top_filled.groupBy(*SHEET, "row_idx")
         .agg(F.count(F.lit(1)).alias("filled"), F.min_by("text", "col_idx").alias("first"))
     )
     found = top.groupBy(*SHEET).agg(
         F.min(F.when(F.col("filled") > 2, F.col("row_idx"))).alias("header"),
         F.min(F.when(F.col("filled") <= 2, F.struct("row_idx", "first"))).alias("label"),
     )
-    width = cells.groupBy(*SHEET).agg((F.max("col_idx") + 1).alias("width"))
     above = F.col("header").isNull() | (F.col("label.row_idx") < F.col("header"))
     return width.join(found, SHEET, "left").select(
         *SHEET,
@@ -83,25 +88,36 @@ def headers() -> Column:
 
 
 def sparse_rows(
-    cells: DataFrame, max_rows: int | None = None, keep: DataFrame | None = None
+    cells: DataFrame,
+    max_rows: int | None = None,
+    keep: DataFrame | None = None,
+    top: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Rows ``workbook, sheet, row_idx, filled`` and heads ``workbook, sheet, title, width, heads`` of all sheets.
 
     ``filled`` and ``heads`` map columns to texts and hold what is filled only, so that a row is as large as its
     cells, however far to the right a stray one stands. Blank rows are dropped. Only one row of a sheet is ever
     put together, never a sheet. All rows are taken unless ``max_rows`` asks for the first ones; ``keep``
-    is a profile of which only the sheets marked to keep are taken.
+    is a profile of which only the sheets marked to keep are taken. ``top`` are the stored :func:`top_cells` of them: then
+    the profile gives the widths and the cells are read once, for the rows.
     """
-    if keep is not None:
-        cells = cells.join(keep.where("keep").select(*SHEET), SHEET, "left_semi")
+    if keep is not None and top is not None:
+        kept = keep.where("keep").dropna(subset=SHEET)
+        width = kept.select(*SHEET, F.col("max_column").alias("width"))
+    else:
+        if keep is not None:
+            cells = cells.join(keep.where("keep").select(*SHEET), SHEET, "left_semi")
+        width = cells.groupBy(*SHEET).agg((F.max("col_idx") + 1).alias("width"))
+        top = top_cells(cells)
     cells = _trimmed(cells)
-    layout = _sheet_layout(cells)
+    layout = _sheet_layout(top, width)
     placed = cells.where(F.length("text") > 0).join(layout, SHEET).where(F.col("row_idx") >= F.col("start"))
     if max_rows is not None:
         placed = placed.where(F.col("row_idx") <= F.col("start") + max_rows)
     body = placed.where(F.col("row_idx") > F.col("start"))
     rows = body.groupBy(*SHEET, "row_idx").agg(_filled().alias("filled"))
-    named = placed.where(F.col("row_idx") == F.col("start")).groupBy(*SHEET).agg(_filled().alias("heads"))
+    first = top.join(layout, SHEET).where(F.col("row_idx") == F.col("start"))
+    named = first.groupBy(*SHEET).agg(_filled().alias("heads"))
     none = F.create_map().cast("map<int,string>")
     heads = layout.join(named, SHEET, "left").select(
         *SHEET, "title", "width", F.coalesce("heads", none).alias("heads")

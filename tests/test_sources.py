@@ -4,6 +4,7 @@ import json
 import pytest
 
 from paygrain import session
+from paygrain.plans import sheets
 from paygrain.plans.sheets import ingest_sheets, read_sheet
 from paygrain.sources import cells, snapshots
 from paygrain.sources.schemas import CELLS_SCHEMA, all_strings
@@ -217,3 +218,18 @@ def test_numbered_workbooks_and_stray_cells(spark, tmp_path):
     got = read_sheet(spark, root, "odd", "Data")
     assert got.columns == [f"c.{j}" for j in range(8)] and {tuple(r) for r in got.collect()} == {tuple(odd)}
     assert read_sheet(spark, root, "07", "Data") is None
+
+
+def test_many_sheets_share_files(spark, tmp_path):
+    root, count = str(tmp_path), sheets.OWN_FILES + 200
+    body = [["Id", "Name", "Pay"], *[[str(i), f"n{i}", ""] for i in range(6)]]
+    rows = [r for k in range(count) for r in grid(f"{k:04d}", "Data", body)] + grid("0007", "Cover", [["x"]])
+    df = spark.createDataFrame(rows, "workbook string, sheet string, row_idx int, col_idx int, value string")
+    runs = ingest_sheets(df, root, T1)
+    assert runs.count() == count and runs.where("output_rows = 6 AND input_rows = 7").count() == count
+    # Files grow with the rows, not with the sheets.
+    assert len(list(tmp_path.glob("sheets/**/*.parquet"))) < 50
+    table = read_sheet(spark, root, "0007", "Data")
+    assert table.columns == ["Id", "Name", "Pay"]
+    assert sorted(map(tuple, table.collect())) == [(str(i), f"n{i}", "") for i in range(6)]
+    assert read_sheet(spark, root, "7", "Data") is None and read_sheet(spark, root, "0007", "Cover") is None
