@@ -19,6 +19,8 @@ from pyspark.sql import types as T
 
 TIMESTAMP_FORMAT = "%Y%m%d_%H%M%S"
 LOG, LOG_SCHEMA = "snapshot_log", "source string, stamp string, n_rows bigint, at bigint"
+# Landed JSON lines are packed, as field names repeat in every row. Packed files cannot be split, so their rows are bounded.
+JSON_OPTIONS = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": 250_000}
 METADATA_SCHEMA = (
     "stage string, input_rows bigint, output_rows bigint, columns array<string>, "
     "transformations array<string>, thresholds map<string,double>, details string, "
@@ -183,7 +185,8 @@ def write_counted(
     """Write; the number of ``rows`` and other aggregates, taken by the writing job itself."""
     seen = Observation()
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"), *measures)
-    counted.write.mode("overwrite").format(file_format).save(path)
+    options = JSON_OPTIONS if file_format == "json" else {}
+    counted.write.mode("overwrite").format(file_format).options(**options).save(path)
     return seen.get
 
 

@@ -233,3 +233,17 @@ def test_many_sheets_share_files(spark, tmp_path):
     assert table.columns == ["Id", "Name", "Pay"]
     assert sorted(map(tuple, table.collect())) == [(str(i), f"n{i}", "") for i in range(6)]
     assert read_sheet(spark, root, "7", "Data") is None and read_sheet(spark, root, "0007", "Cover") is None
+
+
+def test_landed_lines_are_packed(spark, tmp_path, monkeypatch):
+    monkeypatch.setitem(snapshots.JSON_OPTIONS, "maxRecordsPerFile", 1_000)
+    root, n = str(tmp_path), 5_000
+    df = spark.range(0, n, 1, 2).selectExpr("CAST(id AS STRING) AS a", "concat('é \"', id % 7, '\\n') AS data")
+    assert snapshots.write_raw(df, root, "raw_source", T1) == n
+    files = list(tmp_path.glob("raw_source/snapshot_ts=*/*.json*"))
+    lines = df.selectExpr("sum(octet_length(to_json(struct(*))) + 1) AS size").first().size
+    assert sum(f.stat().st_size for f in files) * 3 < lines
+    # A packed file is read by one task, so its rows are bounded.
+    assert len(files) >= n / 1_000
+    back = snapshots.latest_snapshot(spark, root, "raw_source", df.schema).drop("snapshot_ts")
+    assert back.exceptAll(df).isEmpty() and back.count() == n
