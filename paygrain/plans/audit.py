@@ -91,6 +91,10 @@ class _Store:
         known = self.kept.get(id(source))
         return known[1] if known else source.count()
 
+    def counted(self, source: DataFrame, parts: DataFrame) -> None:
+        """The rows of a source are those of its stored ``parts``, by their column ``n_rows``."""
+        self.kept[id(source)] = source, parts.agg(F.coalesce(F.sum("n_rows"), F.lit(0))).first()[0]
+
     def keep(
         self,
         build: Callable[[DataFrame], DataFrame | None],
@@ -152,8 +156,11 @@ def run_audit(
     pay = processed_payroll
     if pay is None:
         ordered = raw_payroll.withColumnRenamed(order, "ord") if order else raw_payroll
-        ranges = payroll.role_salary_range(payroll.prepare_payroll(ordered))
+        rows = [F.count(F.lit(1)).alias("n_rows")]
+        ranges = payroll.role_salary_range(payroll.prepare_payroll(ordered), more=rows)
         ranges = materialize(ranges, "role-ranges")
+        store.counted(ordered, ranges)
+        ranges = ranges.drop("n_rows")
         pay = store.keep(
             lambda raw: payroll.build_payroll(raw, ranges),
             ordered,

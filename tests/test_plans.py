@@ -10,6 +10,7 @@ from checks.standins import Fx
 from paygrain.functions import columns
 from paygrain.operators import benchmark, marts, payroll, quality, reports
 from paygrain.operators import postings as postings_module
+from paygrain.plans import audit
 from paygrain.plans.audit import run_audit, run_audit_from, run_models
 from paygrain.session import materialize, scratch_dir
 from paygrain.sources import snapshots
@@ -222,3 +223,13 @@ def test_dates_and_typed_columns(spark):
 
 def test_scratch_folder(spark):
     assert scratch_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_rows_of_a_source_come_from_its_stored_parts(spark):
+    source = spark.range(3).select(F.raise_error(F.lit("read again")).alias("text")).where("text IS NOT NULL")
+    parts = spark.createDataFrame([("a", 2), (None, 3)], "agency_name string, n_rows bigint")
+    store = audit._Store(spark, None, dt.datetime(2025, 1, 1))
+    store.counted(source, parts)
+    assert store.rows_of(source) == 5
+    store.counted(source, parts.limit(0))
+    assert store.rows_of(source) == 0
