@@ -231,3 +231,49 @@ def test_chain_of_near_copies_is_one_component(docs_of):
     rows += [(100 + i, " ".join(f"z{i}_{j}" for j in range(50))) for i in range(10)]
     got = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs_of(rows)).collect()}
     assert {got[i] for i in range(60)} == {0} and all(got[100 + i] == 100 + i for i in range(10))
+
+
+def near_misses(n, seed=11):
+    """Altered copies of one text, most of them almost but not quite near enough to each other."""
+    rng = random.Random(seed)
+    base = [f"b{i}" for i in range(90)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, n):
+        words = list(base)
+        for at in rng.sample(range(90), rng.randint(4, 7)):
+            words[at] = f"x{i}_{at}"
+        rows.append((i, " ".join(words)))
+    return rows
+
+
+def test_pairs_compared_do_not_grow_with_the_square_of_a_group(docs_of, monkeypatch):
+    verify, compared = minhash.verify, []
+
+    def counted(pairs, sets, percent):
+        compared[-1] += pairs.select("u", "v").distinct().count()
+        return verify(pairs, sets, percent)
+
+    monkeypatch.setattr(minhash, "verify", counted)
+    for n in (60, 240):
+        compared.append(0)
+        rows = near_misses(n)
+        got = minhash.near_duplicates(docs_of(rows), words=2).collect()
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(rows, 2)
+        assert compared[-1] <= 3 * n
+    assert compared[1] <= 6 * compared[0]
+
+
+def test_sketches_never_part_a_link(spark):
+    rng, rows = np.random.default_rng(8), []
+    for _ in range(400):
+        n = int(rng.choice([1, 2, 9, 90, 900, 3000]))
+        x = np.unique(rng.integers(0, 1 << 64, 2 * n, np.uint64))
+        cut = int(n * rng.uniform(0, 0.3))
+        a, b = x[:n], x[cut : n + cut]
+        linked = minhash.confirmed(a.tobytes(), b.tobytes())
+        rows.append((minhash.sketch_of(a), minhash.sketch_of(b), len(a), len(b), linked))
+    df = spark.createDataFrame(rows, "a array<long>, b array<long>, na int, nb int, linked boolean")
+    got = df.select("linked", "na", minhash.may_link("a", "b", "na", "nb", 80).alias("may")).collect()
+    assert all(r.may for r in got if r.linked) and sum(r.linked for r in got) > 100
+    apart = [r.may for r in got if not r.linked and r.na == 90]
+    assert len(apart) > 20 and sum(apart) <= 0.2 * len(apart)
