@@ -536,7 +536,8 @@ def score_documents(docs: DataFrame, iterations: int = ITERATIONS) -> DataFrame:
     held = F.coalesce(fold(F.col("doc_id")) == 1, F.lit(False))
     texts = whole_texts(docs).withColumn("held_out", held)
     train = texts.where("NOT held_out")
-    counts = materialize(count_words(train), "hmm-words")
+    with dropped_shuffles(spark):
+        counts = materialize(count_words(train), "hmm-words")
     words = word_table(counts, train.select("doc_id").count())
     known = spark.sparkContext.broadcast(words)
 
@@ -583,6 +584,8 @@ def score_documents(docs: DataFrame, iterations: int = ITERATIONS) -> DataFrame:
         others = rows.where("word IS NOT NULL").groupBy("word", "symbol")
         others = others.agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in IN_STATES])
         by_word = others.mapInArrow(ratios, RATIOS)
+        with dropped_shuffles(spark):
+            by_word = materialize(by_word, "hmm-ratios")
 
     arrow = to_arrow_schema(SCORED)
 
@@ -615,6 +618,9 @@ def score_documents(docs: DataFrame, iterations: int = ITERATIONS) -> DataFrame:
         F.count_if(F.col("n") > 0).alias("rare_known"),
         F.collect_list(found).alias("found"),
     )
+    # Stored, so that the shuffles of single words are gone before the coded texts are shuffled.
+    with dropped_shuffles(spark):
+        rare = materialize(rare, "hmm-rare")
     run = coded.drop("rare").join(rare, "row", "left").select(
         "doc_id",
         "held_out",

@@ -132,6 +132,20 @@ def test_language_model_learns_words_beyond_the_own_symbols(docs_of, monkeypatch
         assert with_words > sum(r.score for r in hmm.score_documents(docs_of(rows)).collect() if r.held_out)
 
 
+def test_shuffles_of_words_are_dropped_before_texts_are_shuffled(spark, docs_of, monkeypatch):
+    store, table, stored = hmm.materialize, hmm.word_table, {}
+
+    def noted(df, name):
+        stored[name] = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false")
+        return store(df, name)
+
+    monkeypatch.setattr(hmm, "materialize", noted)
+    monkeypatch.setattr(hmm, "word_table", lambda counts, ends: table(counts, ends, 3))
+    rows = [(i, f"a b a c word{i} word{i // 2}") for i in range(20)]
+    assert hmm.score_documents(docs_of(rows), iterations=1).count() == 20
+    assert [stored.get(name) for name in ("hmm-words", "hmm-ratios", "hmm-rare")] == ["true"] * 3
+
+
 def test_shares_of_words_in_a_state_add_up_to_one():
     rng = np.random.default_rng(4)
     n = np.array([1, 1, 2, 9, 40])
