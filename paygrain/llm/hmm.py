@@ -15,10 +15,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
@@ -37,14 +37,14 @@ from pyspark.sql.types import (
 )
 
 from paygrain.llm.common import ROWS_AT_ONCE, dropped_shuffles, fold, map_slices, summed, whole_texts
-from paygrain.session import materialize
+from paygrain.session import emptied, materialize
 
 STATES, OWN, LENGTHS, ENDINGS, ITERATIONS, SEED = 8, 200, 6, 9, 5, 11
 SHARED = LENGTHS * ENDINGS
 END = OWN + SHARED
 SYMBOLS = END + 1
 HEAD_WORDS = 500_000  # most frequent words whose counts every task holds (16 bytes each)
-TOKENS_AT_ONCE = 1 << 20
+WORDS_AT_ONCE = 1 << 20  # distinct words of slices of texts that a task adds up at once
 CELLS_AT_ONCE = 1 << 18  # tokens of a block; some 400 bytes each
 RESCALED = 8  # steps between scalings: the chance of a token stays above 1e-30
 PLACES = 1 << 12  # of the head in a block of sums
@@ -90,39 +90,50 @@ SCORED = StructType(
 )
 
 
-def tokens(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and shared symbol of every word; A-Z count as a-z, the six ASCII white spaces part words."""
-    words = text.encode("utf-8").lower().split()
-    n = len(words)
-    h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, n).view(np.int64)
-    length = np.fromiter(map(len, words), np.int32, n)
-    last = np.fromiter(map(itemgetter(-1), words), np.int32, n)
-    return h, np.minimum(length - 1, 2 * LENGTHS - 1) // 2 * ENDINGS + last % ENDINGS
+def words_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash and shared symbol of the distinct words of some texts; for every token, which of them it is; the places
+    where the texts begin and end among the tokens.
+
+    A-Z count as a-z, the six ASCII white spaces part words.
+    """
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(texts, pa.large_string())))
+    parts = lists.flatten()
+    there = pc.greater(pc.binary_length(parts), 0)  # white space at either end of a text makes an empty part
+    bounds = np.append(0, np.cumsum(there.to_numpy(zero_copy_only=False)))[lists.offsets.to_numpy()]
+    coded = parts.filter(there).dictionary_encode()
+    n = len(coded.dictionary)
+    whole = pa.LargeListArray.from_arrays(pa.array([0, n], pa.int64()), coded.dictionary)
+    joined = pc.binary_join(whole, pa.scalar(" ", pa.large_string()))[0].as_buffer().to_pybytes()
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, joined.split()), np.uint64, n).view(np.int64)
+    length = pc.binary_length(coded.dictionary).to_numpy()
+    last = np.frombuffer(joined, np.uint8)[np.cumsum(length + 1) - 2].astype(np.int64)
+    g = np.minimum(length - 1, 2 * LENGTHS - 1) // 2 * ENDINGS + last % ENDINGS
+    return h, g, coded.indices.to_numpy(), bounds
 
 
 def count_words(texts: DataFrame) -> DataFrame:
     """(word, shared, n) over all texts: added up in each task first, then by Spark."""
     arrow = to_arrow_schema(COUNTED)
 
-    def batch(hs: list, gs: list) -> pa.RecordBatch:
-        word, first, n = np.unique(np.concatenate(hs), return_index=True, return_counts=True)
-        columns = [pa.array(word), pa.array(np.concatenate(gs)[first].astype(np.int32)), pa.array(n)]
+    def batch(parts: list) -> pa.RecordBatch:
+        h, g, n = (np.concatenate(x) for x in zip(*parts))
+        word, first, which = np.unique(h, return_index=True, return_inverse=True)
+        total = np.bincount(which, n, len(word)).astype(np.int64)
+        columns = [pa.array(word), pa.array(g[first].astype(np.int32)), pa.array(total)]
         return pa.RecordBatch.from_arrays(columns, schema=arrow)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hs, gs, held = [], [], 0
+        parts, held = [], 0
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS_AT_ONCE):
-                for text in whole.column(0).slice(at, ROWS_AT_ONCE).to_pylist():
-                    h, g = tokens(text)
-                    hs.append(h)
-                    gs.append(g)
-                    held += len(h)
-                    if held >= TOKENS_AT_ONCE:
-                        yield batch(hs, gs)
-                        hs, gs, held = [], [], 0
+                h, g, which, _ = words_of(whole.column(0).slice(at, ROWS_AT_ONCE).to_pylist())
+                parts.append((h, g, np.bincount(which, minlength=len(h))))
+                held += len(h)
+                if held >= WORDS_AT_ONCE:
+                    yield batch(parts)
+                    parts, held = [], 0
         if held:
-            yield batch(hs, gs)
+            yield batch(parts)
 
     parts = texts.select("text").mapInArrow(run, COUNTED)
     return parts.groupBy("word").agg(F.max("shared").alias("shared"), F.sum("n").alias("n"))
@@ -166,38 +177,32 @@ class Words:
         of the shares within shared symbols (without the counts of rare words), the rare words, and the place
         of every word in the head (negative for rare ones, by shared symbol).
 
-        The distinct words of all the texts are looked up together, in order.
+        The distinct words of all the texts are looked up together.
         """
-        split = [tokens(t) for t in texts]
-        sizes = [len(h) for h, _ in split]
-        h, g = (np.concatenate(x) for x in zip(*split))
-        word, which = np.unique(h, return_inverse=True)
-        count, symbol = np.zeros(len(word), np.int64), np.full(len(word), -1)
-        found, place = np.zeros(len(word), bool), np.full(len(word), -1, np.int32)
+        h, g, which, bounds = words_of(texts)
+        count, symbol = np.zeros(len(h), np.int64), np.full(len(h), -1)
+        found, place = np.zeros(len(h), bool), (-1 - g).astype(np.int32)
         if len(self.word):
-            at = np.searchsorted(self.word, word)
+            order, at = np.argsort(h), np.empty(len(h), np.int64)
+            at[order] = np.searchsorted(self.word, h[order])  # much faster in order
             at[at == len(self.word)] = 0
-            found = self.word[at] == word
+            found = self.word[at] == h
             count[found], symbol[found] = self.n[at[found]], self.symbol[at[found]]
             place[found] = at[found]
         own = symbol >= 0
         logs = np.where(found, np.log10(count + 0.5), 0.0)
-        log_all, log_shared = logs[which], np.where(own, 0.0, logs)[which]
-        own, symbol, known = own[which], symbol[which], found[which]
-        place = np.where(known, place[which], -1 - g).astype(np.int32)
-        log_shared -= np.where(own, 0.0, self.log_shared[g])
+        log_shared = np.where(own, 0.0, logs) - np.where(own, 0.0, self.log_shared[g])
         symbols = np.where(own, symbol, OWN + g).astype(np.uint8)
-        end_log, at = float(np.log10(self.ends + 0.5)), 0
-        for n in sizes:
-            part = slice(at, at + n)
-            at += n
+        end_log = float(np.log10(self.ends + 0.5))
+        for i in np.split(which, bounds[1:-1]):
+            known = found[i]
             yield (
-                symbols[part].tobytes() + bytes([END]),
-                int(known[part].sum()) + int(self.ends > 0),
-                float(log_all[part].sum()) + end_log,
-                float(log_shared[part].sum()),
-                h[part][~known[part]].tolist(),
-                packed(place[part]),
+                symbols[i].tobytes() + bytes([END]),
+                int(known.sum()) + int(self.ends > 0),
+                float(logs[i].sum()) + end_log,
+                float(log_shared[i].sum()),
+                h[i[~known]].tolist(),
+                packed(place[i]),
             )
 
 
@@ -267,7 +272,7 @@ class Hmm:
 
     def emissions(self, symbols, ratio=None) -> np.ndarray:
         """Chance of every token in each state; ``ratio`` has a factor for each."""
-        out = self.emit[symbols]
+        out = self.emit.take(symbols, 0)
         return out if ratio is None else np.multiply(out, ratio, out=out)
 
     def forward(self, emitted, active):
@@ -311,7 +316,7 @@ class Hmm:
 
         The chance of a move is that of its two tokens' values and the matrix, scaled to a sum of 1 for every token, so
         that the scales of the recursions do not matter. ``seen`` is given the rows of each block, the mask of its
-        tokens, its symbols and the chances of the states.
+        tokens, its symbols and the chances by state.
         """
         out = np.zeros((2 + 2 * STATES, SYMBOLS))
         for symbols, inside, active, rows in blocks(column):
@@ -320,17 +325,18 @@ class Hmm:
             out[-1, 0] += logs.sum()
             betas = self.backward(emitted, active)
             first = int(active[0])
-            before = alphas[np.arange(first, len(symbols)) - np.repeat(active[:-1], active[1:])]
+            before = alphas.take(np.arange(first, len(symbols)) - np.repeat(active[:-1], active[1:]), 0)
             after = emitted[first:]
             before /= np.einsum("ij,ij->i", before @ self.move, after)[:, None]
             out[1 : 1 + STATES, :STATES] += before.T @ after * self.move
             chances = np.multiply(alphas, betas, out=alphas)
-            chances /= chances.sum(1)[:, None]
+            chances /= (chances @ np.ones(STATES))[:, None]
             out[0, :STATES] += chances[:first].sum(0)
+            by_state, at = np.ascontiguousarray(chances.T), symbols.astype(np.intp)
             for s in range(STATES):
-                out[1 + STATES + s] += np.bincount(symbols, chances[:, s], SYMBOLS)
+                out[1 + STATES + s] += np.bincount(at, by_state[s], SYMBOLS)
             if seen is not None:
-                seen(rows, inside, symbols, chances)
+                seen(rows, inside, symbols, by_state)
         return out
 
     def likelihoods(self, column: pa.Array, ratios=None) -> np.ndarray:
@@ -359,12 +365,9 @@ def gathered(coded: DataFrame, model: Hmm, known, table, others: bool) -> DataFr
         none = [pa.nulls(len(blocks), f.type) for f in list(arrow)[2:]]
         return pa.RecordBatch.from_arrays([pa.array(blocks, pa.int32()), pa.array(sums, pa.binary()), *none], schema=arrow)
 
-    def added(key, chances, size):
-        return np.stack([np.bincount(key, chances[:, s], size) for s in range(STATES)], 1)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size, total, ready = len(known.value.word), None, []
-        sums = np.zeros((STATES, size))
+        sums, there, number = np.zeros((STATES, size)), np.zeros(size, bool), np.zeros(size, np.intp)
         for b in batches:
             if not b.num_rows:
                 continue
@@ -373,15 +376,20 @@ def gathered(coded: DataFrame, model: Hmm, known, table, others: bool) -> DataFr
             def ratios(rows, inside):
                 nonlocal place
                 place = padded_places(heads, rows, len(inside))[inside]
-                return table.value[place]
+                return table.value.take(place, 0, mode="wrap")
 
             def seen(rows, inside, symbols, chances):
                 flat = place
                 shared = (symbols >= OWN) & (symbols < END)
                 at = np.flatnonzero(shared & (flat >= 0))
                 if len(at):
+                    there[:] = False
+                    there[flat[at]] = True
+                    used = np.flatnonzero(there)
+                    number[used] = np.arange(len(used))
+                    key = number.take(flat[at])
                     for s in range(STATES):
-                        sums[s] += np.bincount(flat[at], chances[at, s], size)
+                        sums[s, used] += np.bincount(key, chances[s].take(at), len(used))
                 at = np.flatnonzero(shared & (flat < 0))
                 if not others or not len(at):
                     return
@@ -393,8 +401,9 @@ def gathered(coded: DataFrame, model: Hmm, known, table, others: bool) -> DataFr
                 word, first, key, n = np.unique(
                     rare[inside][at], return_index=True, return_inverse=True, return_counts=True
                 )
-                columns = [word, symbols[at][first].astype(np.int32), n, *added(key, chances[at], len(word)).T]
-                columns = [pa.array(np.ascontiguousarray(c)).cast(f.type) for c, f in zip(columns, list(arrow)[2:])]
+                added = [np.bincount(key, c.take(at), len(word)) for c in chances]
+                columns = [word, symbols[at][first].astype(np.int32), n, *added]
+                columns = [pa.array(c).cast(f.type) for c, f in zip(columns, list(arrow)[2:])]
                 none = [pa.nulls(len(word), f.type) for f in list(arrow)[:2]]
                 ready.append(pa.RecordBatch.from_arrays(none + columns, schema=arrow))
 
@@ -559,10 +568,12 @@ def score_documents(docs: DataFrame, iterations: int = ITERATIONS) -> DataFrame:
     for i in range(iterations):
         last = i == iterations - 1
         # At most HEAD_WORDS rows of 32 bytes.
-        rows = gathered(train, model, known, spark.sparkContext.broadcast(table), last)
+        given = spark.sparkContext.broadcast(table)
+        rows = gathered(train, model, known, given, last)
         if last:
             rows = materialize(rows, "hmm-gathered")
         counted, sums = block_sums(rows, size)
+        given.destroy()
         model, table = maximised(counted, model), rest_ratios(words, head_ratios(words, counted, sums))
     # In the score every word has its own ratio, and unknown ones are as likely in all states.
     table[size:] = 1.0
@@ -586,6 +597,7 @@ def score_documents(docs: DataFrame, iterations: int = ITERATIONS) -> DataFrame:
         by_word = others.mapInArrow(ratios, RATIOS)
         with dropped_shuffles(spark):
             by_word = materialize(by_word, "hmm-ratios")
+        emptied(rows)
 
     arrow = to_arrow_schema(SCORED)
 
@@ -621,6 +633,7 @@ def score_documents(docs: DataFrame, iterations: int = ITERATIONS) -> DataFrame:
     # Stored, so that the shuffles of single words are gone before the coded texts are shuffled.
     with dropped_shuffles(spark):
         rare = materialize(rare, "hmm-rare")
+    emptied(counts, *([] if rows is None else [by_word]))
     run = coded.drop("rare").join(rare, "row", "left").select(
         "doc_id",
         "held_out",

@@ -146,6 +146,32 @@ def test_shuffles_of_words_are_dropped_before_texts_are_shuffled(spark, docs_of,
     assert [stored.get(name) for name in ("hmm-words", "hmm-ratios", "hmm-rare")] == ["true"] * 3
 
 
+def test_tables_that_nothing_reads_again_are_emptied(spark, docs_of, monkeypatch):
+    store, table, folders = hmm.materialize, hmm.word_table, {}
+
+    def noted(df, name):
+        stored = store(df, name)
+        folders[name] = stored.inputFiles()[0].rpartition("/")[0]
+        return stored
+
+    monkeypatch.setattr(hmm, "materialize", noted)
+    monkeypatch.setattr(hmm, "word_table", lambda counts, ends: table(counts, ends, 3))
+    scored = hmm.score_documents(docs_of([(i, f"a b a c word{i} word{i // 2}") for i in range(20)]), iterations=2)
+    rows = {name: spark.read.parquet(folder).count() for name, folder in folders.items()}
+    assert rows == {"hmm-words": 0, "hmm-coded": 20, "hmm-gathered": 0, "hmm-ratios": 0, "hmm-rare": 20}
+    assert scored.count() == 20 and scored.where("isnan(score)").isEmpty()
+
+
+def test_words_are_parted_lower_cased_and_told_apart():
+    texts = ["", " a  B\x0bb ", "\x1c A\tb\x85\u00a0é", "\n", "É b"]
+    h, shared, which, bounds = hmm.words_of(texts)
+    words = [w for t in texts for w in t.encode().lower().split()]
+    assert [int(x) for x in h[which]] == [hmm.xxhash.xxh3_64_intdigest(w) - (hmm.xxhash.xxh3_64_intdigest(w) >> 63 << 64) for w in words]
+    groups = [min(len(w) - 1, 2 * hmm.LENGTHS - 1) // 2 * hmm.ENDINGS + w[-1] % hmm.ENDINGS for w in words]
+    assert shared[which].tolist() == groups and len(h) == len(set(words))
+    assert bounds.tolist() == [0, 0, 3, 6, 6, 8]
+
+
 def test_shares_of_words_in_a_state_add_up_to_one():
     rng = np.random.default_rng(4)
     n = np.array([1, 1, 2, 9, 40])
