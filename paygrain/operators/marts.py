@@ -228,21 +228,25 @@ def benchmark_match(
     """Left join of staged postings with the benchmarks of the same agency and a similar title.
 
     ``mode="all"`` keeps every partner, so a posting may appear several times. ``mode="best"``
-    keeps one: highest ratio, then most employees, then title. Pass stored benchmarks, which are read twice.
+    keeps one: highest ratio, then most employees, then title. The benchmarks are stored, a row a role and year: they are
+    read twice, and the payroll behind them should be read and aggregated once.
     """
-    pairs = similar_titles(postings, benchmarks, threshold)
-    values = benchmarks.select(
-        "agency_name",
-        F.col("title_description").alias("benchmark_title"),
-        "fiscal_year",
-        F.col("min_base_salary").alias("payroll_min_salary"),
-        F.col("max_base_salary").alias("payroll_max_salary"),
-        F.col("median_base_salary").alias("payroll_median_salary"),
-        F.col("avg_base_salary").alias("payroll_avg_salary"),
-        F.col("employee_count").alias("payroll_employee_count"),
-        F.col("salary_band").alias("payroll_salary_band"),
-        "is_high_variance_position",
+    values = materialize(
+        benchmarks.select(
+            "agency_name",
+            F.col("title_description").alias("benchmark_title"),
+            "fiscal_year",
+            F.col("min_base_salary").alias("payroll_min_salary"),
+            F.col("max_base_salary").alias("payroll_max_salary"),
+            F.col("median_base_salary").alias("payroll_median_salary"),
+            F.col("avg_base_salary").alias("payroll_avg_salary"),
+            F.col("employee_count").alias("payroll_employee_count"),
+            F.col("salary_band").alias("payroll_salary_band"),
+            "is_high_variance_position",
+        ),
+        "benchmarks",
     )
+    pairs = similar_titles(postings, values.withColumnRenamed("benchmark_title", "title_description"), threshold)
     partners = pairs.join(values, ["agency_name", "benchmark_title"])
     if mode == "best":
         # One row per (posting title, partner): the groups hold similar titles, not postings.

@@ -141,3 +141,21 @@ def test_similar_titles_plan_is_an_equi_join(spark):
     plan = marts.similar_titles(left, right)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "Python" not in plan
+
+
+@pytest.mark.parametrize("mode", ["all", "best"])
+def test_benchmarks_behind_the_match_are_computed_once(spark, mode):
+    bench = marts.int_salary_benchmarks(staged(spark, [pay(f"c{i}", title="Clerk", base="100") for i in range(3)]))
+    read = spark.sparkContext.accumulator(0)
+
+    def noted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    counted = bench.mapInArrow(noted, bench.schema)
+    rows = marts.benchmark_match(jobs(spark, [job("a", "Clerk"), job("b", "Cook")]), counted, mode=mode).collect()
+    assert sorted((r.job_id, r.payroll_employee_count, r.salary_match_ratio) for r in rows) == [
+        ("a", 3, 1.0), ("b", None, 0.0)
+    ]
+    assert read.value == 1
