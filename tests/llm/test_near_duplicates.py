@@ -199,6 +199,42 @@ def test_repeated_bytes_equal_brute_force(docs_of, monkeypatch, hot, batch):
     assert all(hashlib.sha256(r.kept).hexdigest() == r.kept_sha256 for r in got)
 
 
+def test_short_strings_in_common_are_no_regions(docs_of, monkeypatch):
+    """Texts of the same words of 20 bytes in other orders share anchors; regions are cut only where more may match."""
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(20)) for _ in range(400)]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(30))) for i in range(100)]
+    long_one = " ".join(words[:4])
+    rows += [(200, rows[0][1] + long_one + rows[1][1]), (201, "zyx" * 30 + long_one)]
+    seen, spread = [], suffixes.spread_regions
+
+    def counted(found, *more):
+        seen.extend((r.doc_id, len(r.places) // 4) for r in found.select("doc_id", "places").collect())
+        return spread(found, *more)
+
+    monkeypatch.setattr(suffixes, "spread_regions", counted)
+    got = suffixes.repeated_bytes(docs_of(rows)).collect()
+    found = sorted(((r.doc_id, r.n_bytes, r.starts, r.ends, r.kept_sha256) for r in got), key=str)
+    assert found == brute_removed(rows)
+    assert {0, 1, 200, 201} <= {i for i, _ in seen}
+    places = sum(n for _, n in seen)
+    assert places < sum(len(t) for _, t in rows) / 17 / 2  # anchors: about one in 17 bytes, nearly all of them shared
+
+
+def test_contexts_of_equal_windows_are_equal():
+    rng = np.random.default_rng(3)
+    for trial in range(200):
+        letters = rng.integers(97, 99 if trial % 2 else 120, 300).astype(np.uint8).tobytes()
+        at = int(rng.integers(0, 250))
+        window = letters[at : at + suffixes.WINDOW]
+        other = b"#" * int(rng.integers(0, 40)) + window + b"#" * int(rng.integers(0, 40))
+        a, b = ({x for x in zip(*suffixes.contexts(r, suffixes.anchors(r)[0]))} for r in (letters, other))
+        low = min((h, i) for i, h in enumerate(suffixes.gram_hashes(window).tolist()))[1]  # the window's anchor
+        here = {h for i, h in a if i == at + low}
+        there = {h for i, h in b if i == other.index(window) + low}
+        assert here & there
+
+
 def test_repeated_bytes_of_an_empty_table(docs_of):
     assert suffixes.repeated_bytes(docs_of([])).count() == 0
 
