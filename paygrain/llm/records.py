@@ -5,6 +5,9 @@ payload, masked crc32 of the payload (32 bit); all little-endian. The payload ho
 the vocabulary has at most 65,536 ids, else four. The index is a Parquet table with a row for
 each record. It is written by Spark's committer after the files, and only files named in it
 count: a task that is run again writes a file of another name, and what a lost attempt left is never read.
+
+Files are written and read through Arrow where it opens the store. Where only Spark does, the framed records
+are the rows of a Parquet table beside the index, in files of Spark's committer; all else is the same.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -30,7 +34,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from paygrain.llm.common import ROWS_AT_ONCE, map_rows, whole_texts
+from paygrain.llm.common import ROWS_AT_ONCE, dropped_shuffles, map_rows, whole_texts
 from paygrain.llm.word_bpe import encoder
 
 # Fixed value: the rotation constant of masked checksums in record files.
@@ -51,6 +55,7 @@ INDEX = StructType(
         StructField("n_tokens", LongType()),
     ]
 )
+FRAMES = StructType([*INDEX, StructField("data", BinaryType())])
 RECORDS = StructType(
     [
         StructField("file", StringType()),
@@ -125,31 +130,50 @@ def store(uri: str):
     return fs.FileSystem.from_uri(arrow_uri(uri))
 
 
+def arrow_folder(spark: SparkSession, folder: str) -> str | None:
+    """``folder``, made if need be, with a scheme under which Arrow opens it; None if Arrow does not."""
+    try:
+        uri = shared_folder(spark, folder)
+        system, path = store(uri)
+        system.create_dir(path, recursive=True)
+    except (ValueError, OSError, ImportError, NotImplementedError):
+        return None
+    return uri
+
+
+def spark_folder(spark: SparkSession, folder: str) -> str:
+    """``folder`` for Spark's readers and writers, which know what file system a bare path belongs to."""
+    try:
+        return shared_folder(spark, folder)
+    except ValueError:
+        return folder
+
+
 def write_records(docs: DataFrame, vocabulary: str, folder: str, end_id: int = 1) -> DataFrame:
     """Writes the ids of all whole texts below ``folder`` in ascending doc_id order; the index.
 
-    ``folder`` must be reachable from every executor (:func:`full_uri`). Texts are shuffled by ranges of doc_id first
+    ``folder`` must be reachable from every executor, by Arrow (:func:`full_uri`) or by Spark alone. Texts are shuffled by ranges of doc_id first
     and encoded once, in the task that writes them; a file holds one range. A null or empty text
     gives a record with the end id alone, null doc_ids come first, rows of one doc_id are ordered by
     the hashes of their texts, by which many of them are cut into several ranges, and an empty table gives an empty
     index. Other columns are not read.
     """
     spark = docs.sparkSession
-    folder = shared_folder(spark, folder)
-    arrow = to_arrow_schema(INDEX)
+    by_arrow, folder = arrow_folder(spark, folder), spark_folder(spark, folder)
 
-    def index(rows: list[tuple]) -> pa.RecordBatch:
+    def batch(rows: list[tuple], schema: StructType) -> pa.RecordBatch:
+        arrow = to_arrow_schema(schema)
         columns = [pa.array(c, type=f.type) for c, f in zip(zip(*rows), arrow)]
         return pa.RecordBatch.from_arrays(columns, schema=arrow)
 
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def framed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, bytes]]:
+        """The index row and the bytes of each record, in order."""
         words = encoder(vocabulary)
         width = 2 if words.tokenizer.get_vocab_size() <= 1 << 16 else 4
         end = np.array([end_id], f"<u{width}").tobytes()
-        system, path = store(folder)
         part = TaskContext.get().partitionId()
         name = f"part-{part:06d}-{uuid.uuid4().hex}.rec"
-        out, rows, waiting, held, offset, record, start = None, [], [], 0, 0, 0, 0
+        offset, record, start = 0, 0, 0
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS_AT_ONCE):
                 some = whole.slice(at, ROWS_AT_ONCE)
@@ -159,38 +183,83 @@ def write_records(docs: DataFrame, vocabulary: str, folder: str, end_id: int = 1
                         ids = np.frombuffer(ids, "<u4").astype("<u2").tobytes()
                     data = frame(ids + end)
                     n = len(ids) // width + 1
-                    rows.append((part, name, record, doc_id, offset, len(data), width, start, n))
-                    waiting.append(data)
+                    yield (part, name, record, doc_id, offset, len(data), width, start, n), data
                     offset, record, start = offset + len(data), record + 1, start + n
-                    held += len(data)
-                    if held >= FLUSH_BYTES:
-                        out = out or system.open_output_stream(f"{path}/{name}", compression=None)
-                        out.write(b"".join(waiting))
-                        waiting, held = [], 0
-                if len(rows) >= INDEX_ROWS:  # they count only once the task has ended
-                    yield index(rows)
-                    rows = []
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, path = store(by_arrow)
+        out, rows, waiting, held = None, [], [], 0
+        for row, data in framed(batches):
+            rows.append(row)
+            waiting.append(data)
+            held += len(data)
+            if held >= FLUSH_BYTES:
+                out = out or system.open_output_stream(f"{path}/{row[1]}", compression=None)
+                out.write(b"".join(waiting))
+                waiting, held = [], 0
+            if len(rows) >= INDEX_ROWS:  # they count only once the task has ended
+                yield batch(rows, INDEX)
+                rows = []
         if waiting:
-            out = out or system.open_output_stream(f"{path}/{name}", compression=None)
+            out = out or system.open_output_stream(f"{path}/{row[1]}", compression=None)
             out.write(b"".join(waiting))
         if out is not None:
             out.close()
         if rows:
-            yield index(rows)
+            yield batch(rows, INDEX)
+
+    def hand_on(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, held = [], 0
+        for row, data in framed(batches):
+            rows.append((*row, data))
+            held += len(data)
+            if held >= FLUSH_BYTES or len(rows) >= INDEX_ROWS:
+                yield batch(rows, FRAMES)
+                rows, held = [], 0
+        if rows:
+            yield batch(rows, FRAMES)
 
-    system, path = store(folder)
-    system.create_dir(path, recursive=True)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     mark = F.xxhash64("text")
     ordered = whole_texts(docs).repartitionByRange(parts, "doc_id", mark)
     ordered = ordered.sortWithinPartitions("doc_id", mark, "text")
-    ordered.mapInArrow(write, INDEX).write.parquet(f"{folder}/index")
+    with dropped_shuffles(spark):
+        if by_arrow:
+            ordered.mapInArrow(write, INDEX).write.parquet(f"{folder}/index")
+        else:
+            ordered.mapInArrow(hand_on, FRAMES).write.parquet(f"{folder}/records")
+            kept_frames(spark, folder).drop("data").write.parquet(f"{folder}/index")
     return read_index(spark, folder)
 
 
 def read_index(spark: SparkSession, folder: str) -> DataFrame:
     """One row for each record: file, place in it, doc_id, number of ids and of ids before it."""
-    return spark.read.schema(INDEX).parquet(f"{shared_folder(spark, folder)}/index")
+    return spark.read.schema(INDEX).parquet(f"{spark_folder(spark, folder)}/index")
+
+
+def kept_frames(spark: SparkSession, folder: str) -> DataFrame | None:
+    """The table of framed records, None if they lie in files of Arrow's."""
+    try:
+        return spark.read.schema(FRAMES).parquet(f"{spark_folder(spark, folder)}/records")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def unframed(frames: DataFrame) -> DataFrame:
+    """(file, record, doc_id, ids) of framed records with their index rows, both checksums verified."""
+
+    def make():
+        return lambda file, record, doc_id, width, data: [(file, record, doc_id, ids_of(data, width))]
+
+    return map_rows(frames.select("file", "record", "doc_id", "width", "data"), make, RECORDS)
+
+
+def ids_of(data: bytes, width: int) -> bytes:
+    """The ids of one framed record as little-endian unsigned 32-bit integers."""
+    payload = unframe(data)
+    return payload if width == 4 else np.frombuffer(payload, f"<u{width}").astype("<u4").tobytes()
 
 
 def read_records(index: DataFrame, folder: str) -> DataFrame:
@@ -199,7 +268,12 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
     Any choice and any order of index rows will do (shuffled reads); each record is fetched by its
     offset and both checksums are verified. Ids are little-endian unsigned 32-bit integers.
     """
-    folder = shared_folder(index.sparkSession, folder)
+    spark = index.sparkSession
+    kept = kept_frames(spark, folder)
+    if kept is not None:
+        wanted = index.select("file", "record").withColumn("place", F.monotonically_increasing_id())
+        return unframed(wanted.join(kept, ["file", "record"]).orderBy("place"))
+    folder = shared_folder(spark, folder)
 
     def make():
         system, path = store(folder)
@@ -210,10 +284,7 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
                 if opened[1] is not None:
                     opened[1].close()
                 opened[:] = file, system.open_input_file(f"{path}/{file}")
-            payload = unframe(opened[1].read_at(length, offset))
-            if width != 4:
-                payload = np.frombuffer(payload, f"<u{width}").astype("<u4").tobytes()
-            return [(file, record, doc_id, payload)]
+            return [(file, record, doc_id, ids_of(opened[1].read_at(length, offset), width))]
 
         return read
 
@@ -227,8 +298,13 @@ def record_digests(docs: DataFrame, vocabulary: str, folder: str, end_id: int =
     in_order = Window.orderBy("part")  # one row for each file
     files = index.groupBy("part", "file").agg(F.sum("n_tokens").alias("file_tokens"))
     files = files.withColumn("before", F.sum("file_tokens").over(in_order) - F.col("file_tokens"))
-    by_file = index.repartition("file").sortWithinPartitions("file", "offset")
-    records = read_records(by_file, folder).select(
+    kept = kept_frames(docs.sparkSession, folder)
+    if kept is None:
+        by_file = index.repartition("file").sortWithinPartitions("file", "offset")
+        records = read_records(by_file, folder)
+    else:
+        records = unframed(kept)  # all of them, as they lie; the join with the index finds their places
+    records = records.select(
         "file",
         "record",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),

@@ -111,6 +111,29 @@ def test_many_texts_of_one_id_and_small_index_batches(spark, docs_of, folder, mo
     assert all(a + n == b for (a, n, _), (b, _, _) in zip(spans, spans[1:])) and spans[0][0] == 0
 
 
+@pytest.mark.parametrize("bare", [False, True])
+def test_records_in_a_store_that_only_spark_opens(spark, docs_of, tmp_path, monkeypatch, bare):
+    """A path that Spark maps to a folder and Arrow does not know; a bare path on a cluster, which full_uri refuses."""
+    if bare:
+        monkeypatch.setattr(records, "shared_folder", lambda s, f: records.full_uri(f, "spark://host:7077"))
+        folder = f"{tmp_path}/r"
+    else:
+        monkeypatch.setattr(records, "ARROW_SCHEMES", {"file": "onlyspark"})
+        folder = f"file://{tmp_path}/r"
+    monkeypatch.setattr(records, "FLUSH_BYTES", 300)
+    texts = EDGES + [(100 + i, t) for i, t in enumerate(random_texts(50))] + [(5, "a"), (5, "b b"), (5, "a")]
+    got = records.record_digests(docs_of(texts), WORD, folder).collect()
+    monkeypatch.undo()
+    want = records.record_digests(docs_of(texts), WORD, f"file://{tmp_path}/by-arrow").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(map(tuple, want), key=str) and len(got) == len(texts)
+    index = records.read_index(spark, folder)
+    backwards = index.where("doc_id >= 100").orderBy(index["doc_id"].desc())
+    some = records.read_records(backwards, folder).collect()
+    assert [r.doc_id for r in some] == list(range(149, 99, -1))
+    by_id = dict(texts)
+    assert all(np.frombuffer(r.ids, "<u4").tolist() == ids_of(WORD, by_id[r.doc_id]) + [1] for r in some)
+
+
 def test_folders_of_records():
     assert records.full_uri("/data/x", "local[4]") == "file:///data/x"
     assert records.full_uri("file:/data/x", "yarn") == records.full_uri("file:///data/x", "yarn") == "file:///data/x"
